@@ -53,7 +53,11 @@ def class_report(df: DataFrame, group: list[str], y: str = "y", pred: str = "pre
     """Per class precision / recall / f1 / support, then accuracy, macro and weighted
     averages; undefined ratios are 0.  Columns: group..., label, precision, recall,
     f1_score, support."""
-    c = confusion_counts(df, group, y, pred)
+    return class_report_from_confusion(confusion_counts(df, group, y, pred), group)
+
+
+def class_report_from_confusion(c: DataFrame, group: list[str]) -> DataFrame:
+    """E3 on a (group..., tn, fp, fn, tp) table."""
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     p1, r1 = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
     p0, r0 = _safe_div(tn, tn + fn), _safe_div(tn, tn + fp)
@@ -62,6 +66,7 @@ def class_report(df: DataFrame, group: list[str], y: str = "y", pred: str = "pre
     s1, s0 = tp + fn, tn + fp
     n = s0 + s1
     acc = _safe_div(tp + tn, n)
+
     def row(label, p, r, f, s):
         return F.struct(F.lit(label).alias("label"), p.cast("double").alias("precision"),
                         r.cast("double").alias("recall"), f.cast("double").alias("f1_score"),
@@ -84,12 +89,12 @@ def class_report(df: DataFrame, group: list[str], y: str = "y", pred: str = "pre
 
 # --------------------------------------------------------------------------- E4-E7
 def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
-    """(group..., score, pos, neg, P, N): counts per distinct score with group totals."""
+    """(group..., score, pos, neg, tot_pos, tot_neg): counts per distinct score with group totals."""
     sc = df.groupBy(*group, F.col(prob).alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
     w = Window.partitionBy(*group) if group else Window.partitionBy()
-    return sc.withColumn("P", F.sum("pos").over(w)).withColumn("N", F.sum("neg").over(w))
+    return sc.withColumn("tot_pos", F.sum("pos").over(w)).withColumn("tot_neg", F.sum("neg").over(w))
 
 
 def _cumulative_desc(sc: DataFrame, group: list[str]) -> DataFrame:
@@ -110,30 +115,57 @@ def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
         keep = (F.lag("tp").over(w).isNull() | F.lead("tp").over(w).isNull()
                 | (d2("tp") != 0) | (d2("fp") != 0))
         c = c.withColumn("_keep", keep).where("_keep").drop("_keep")
-    pts = c.select(*group, F.col("score").alias("threshold"), "tp", "fp", "P", "N", "_i")
+    pts = c.select(*group, F.col("score").alias("threshold"), "tp", "fp", "tot_pos", "tot_neg", "_i")
     start = pts.where(F.col("_i") == 1).select(
         *group, F.lit(INF).alias("threshold"), F.lit(0).cast("long").alias("tp"),
-        F.lit(0).cast("long").alias("fp"), "P", "N", F.lit(0).alias("_i"))
+        F.lit(0).cast("long").alias("fp"), "tot_pos", "tot_neg", F.lit(0).alias("_i"))
     allp = pts.unionByName(start)
     wp = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_i")
     return allp.select(
         *group, (F.row_number().over(wp) - 1).alias("point"), _r("threshold").alias("threshold"),
-        _r(F.when(F.col("N") > 0, F.col("fp") / F.col("N"))).alias("fpr"),
-        _r(F.when(F.col("P") > 0, F.col("tp") / F.col("P"))).alias("tpr"))
+        _r(F.when(F.col("tot_neg") > 0, F.col("fp") / F.col("tot_neg"))).alias("fpr"),
+        _r(F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos"))).alias("tpr"))
 
 
-def roc_auc(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
-    """E5: AUC with ties counting half: sum_s pos_s * (neg below s + neg_s / 2) / (P N);
-    NULL when a group has one class only."""
-    sc = score_counts(df, group, y, prob)
+def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
+    w = Window.partitionBy(*group) if group else Window.partitionBy()
+    return sc.withColumn("tot_pos", F.sum("pos").over(w)).withColumn("tot_neg", F.sum("neg").over(w))
+
+
+def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
+    """E5 on a (group..., score, pos, neg) table, e.g. label counts per tree leaf."""
+    sc = _totals(sc, group)
     w = ((Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("score")
          .rowsBetween(Window.unboundedPreceding, -1))
     sc = sc.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     agg = sc.groupBy(*group).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("s"),
-        F.first("P").alias("P"), F.first("N").alias("N"))
-    return agg.select(*group, _r(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                        F.col("s") / (F.col("P") * F.col("N")))).alias("roc_auc"))
+        F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))
+    return agg.select(*group, _r(F.when((F.col("tot_pos") > 0) & (F.col("tot_neg") > 0),
+                                        F.col("s") / (F.col("tot_pos") * F.col("tot_neg")))).alias("roc_auc"))
+
+
+def roc_auc(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
+    """E5: AUC with ties counting half: sum_s pos_s * (neg below s + neg_s / 2) / (P N);
+    NULL when a group has one class only."""
+    return roc_auc_from_counts(score_counts(df, group, y, prob).drop("tot_pos", "tot_neg"), group)
+
+
+def average_precision_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
+    """E7 on a (group..., score, pos, neg) table."""
+    c = _cumulative_desc(_totals(sc, group), group)
+    term = (F.col("pos") / F.col("tot_pos")) * (F.col("tp") / (F.col("tp") + F.col("fp")))
+    agg = c.groupBy(*group).agg(F.sum(F.when(F.col("tot_pos") > 0, term)).alias("ap"),
+                                F.first("tot_pos").alias("tot_pos"))
+    return agg.select(*group, _r(F.when(F.col("tot_pos") > 0, F.col("ap"))).alias("average_precision"))
+
+
+def accuracy_from_counts(leaves: DataFrame, group: list[str], pred: str = "pred") -> DataFrame:
+    """E1 on a (group..., pred, pos, neg) table: correct = pos of class-1 leaves + neg of
+    class-0 leaves."""
+    ok = F.when(F.col(pred) == 1, F.col("pos")).otherwise(F.col("neg"))
+    return leaves.groupBy(*group).agg(
+        _r(F.try_divide(F.sum(ok).cast("double"), F.sum(F.col("pos") + F.col("neg")))).alias("accuracy"))
 
 
 def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
@@ -142,7 +174,7 @@ def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob")
     c = _cumulative_desc(score_counts(df, group, y, prob), group)
     pts = c.select(*group, F.col("_i").alias("point"), _r("score").alias("threshold"),
                    _r(F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                   _r(F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(1.0)).alias("recall"))
+                   _r(F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos")).otherwise(1.0)).alias("recall"))
     end = c.where(F.col("_i") == 1).select(
         *group, F.lit(0).cast("int").alias("point"), F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
@@ -152,11 +184,7 @@ def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob")
 def average_precision(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
     """Step-sum AP = sum over thresholds (top down) of (delta recall) * precision.
     Not the trapezoid area Spark's evaluator reports; NULL without positives."""
-    c = _cumulative_desc(score_counts(df, group, y, prob), group)
-    term = (F.col("pos") / F.col("P")) * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    agg = c.groupBy(*group).agg(F.sum(F.when(F.col("P") > 0, term)).alias("ap"),
-                                F.first("P").alias("P"))
-    return agg.select(*group, _r(F.when(F.col("P") > 0, F.col("ap"))).alias("average_precision"))
+    return average_precision_from_counts(score_counts(df, group, y, prob).drop("tot_pos", "tot_neg"), group)
 
 
 def summary(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
