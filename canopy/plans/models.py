@@ -1,4 +1,186 @@
-"""Model queries (tree growth, scoring, search) - filled in below."""
+"""Registered model queries (trees, search, reports) and SQL for the root-split tables.
 
-MODEL_QUERIES: dict = {}
-MODEL_ORACLE_SQL: dict = {}
+Tree growth, pruning and search are iterative, so most of these queries have no SQL
+oracle: they are checked by row counts here and by invariants and brute-force tests in
+``tests/``.  The root-split tables are plain aggregation + window and have SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from canopy.functions import encode as E
+from canopy.operators import prune as PRN
+from canopy.operators import tree as TR
+from canopy.plans import oracle as O
+from canopy.plans import search as S
+from canopy.plans import strategies as ST
+from canopy.session import ensure_checkpoint_dir
+from canopy.sources import model_io as IO
+from canopy.sources.survey import ID, TARGET, load_survey
+
+
+def _pp(spark, sf):
+    return E.preprocess(load_survey(spark, sf))
+
+
+def _pp_features(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in (ID, TARGET)]
+
+
+# --------------------------------------------------------------------------- root splits
+def q_root_split_gini(spark: SparkSession, sf: str) -> DataFrame:
+    pp = _pp(spark, sf)
+    return TR.root_splits(pp, _pp_features(pp), TARGET, "gini", None, 1)
+
+
+def q_root_split_entropy(spark: SparkSession, sf: str) -> DataFrame:
+    pp = _pp(spark, sf)
+    return TR.root_splits(pp, _pp_features(pp), TARGET, "entropy", "balanced", 1)
+
+
+def _sql_root_split(criterion: str, balanced: bool) -> str:
+    feats = [c for c in O.PP_COLS if c not in ("respondent_id", "Coping_Struggles")]
+    lng = ("lng AS (SELECT * FROM " + O._unpivot("pp", ["Coping_Struggles"], feats, "feature", "v") + ")")
+    h = ("h AS (SELECT feature, v, CAST(sum(CASE WHEN Coping_Struggles = 0 THEN 1 ELSE 0 END) AS BIGINT) AS c0, "
+         "CAST(sum(CASE WHEN Coping_Struggles = 1 THEN 1 ELSE 0 END) AS BIGINT) AS c1 FROM lng GROUP BY feature, v)")
+    tot = ("tot AS (SELECT CAST(sum(CASE WHEN Coping_Struggles = 0 THEN 1 ELSE 0 END) AS BIGINT) AS T0, "
+           "CAST(sum(CASE WHEN Coping_Struggles = 1 THEN 1 ELSE 0 END) AS BIGINT) AS T1 FROM pp)")
+    if balanced:
+        w = "wt AS (SELECT T0, T1, CAST(T0 + T1 AS DOUBLE) / (2 * T0) AS w0, CAST(T0 + T1 AS DOUBLE) / (2 * T1) AS w1 FROM tot)"
+    else:
+        w = "wt AS (SELECT T0, T1, CAST(1 AS DOUBLE) AS w0, CAST(1 AS DOUBLE) AS w1 FROM tot)"
+    cum = ("cum AS (SELECT feature, v, lead(v) OVER (PARTITION BY feature ORDER BY v) AS v_next, "
+           "sum(c0) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0, "
+           "sum(c1) OVER (PARTITION BY feature ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l1 "
+           "FROM h)")
+    side = ("side AS (SELECT feature, v, v_next, l0, l1, T0 - l0 AS r0, T1 - l1 AS r1, "
+            "w0 * l0 AS a0, w1 * l1 AS a1, w0 * (T0 - l0) AS b0, w1 * (T1 - l1) AS b1, "
+            "w0 * T0 AS n0, w1 * T1 AS n1 FROM cum CROSS JOIN wt WHERE v_next IS NOT NULL)")
+
+    def imp(a: str, b: str) -> str:
+        p, q = f"({a} / ({a} + {b}))", f"({b} / ({a} + {b}))"
+        if criterion == "gini":
+            return f"(CASE WHEN {a} + {b} <= 0 THEN 0.0 ELSE 1.0 - {p} * {p} - {q} * {q} END)"
+        return (f"(CASE WHEN {a} + {b} <= 0 THEN 0.0 ELSE -((CASE WHEN {p} > 0 THEN {p} * log2({p}) ELSE 0 END) "
+                f"+ (CASE WHEN {q} > 0 THEN {q} * log2({q}) ELSE 0 END)) END)")
+
+    imps = (f"imps AS (SELECT *, {imp('a0', 'a1')} AS il, {imp('b0', 'b1')} AS ir, {imp('n0', 'n1')} AS inode "
+            "FROM side)")
+    return (O.with_ctes(*O.BASE_PREFIX, lng, h, tot, w, cum, side, imps)
+            + "SELECT feature, round(CASE WHEN (v + v_next) / 2.0 = v_next THEN v ELSE (v + v_next) / 2.0 END, 6) "
+              "AS threshold, CAST(l0 + l1 AS BIGINT) AS n_left, CAST(r0 + r1 AS BIGINT) AS n_right, "
+              "round(il, 6) AS impurity_left, round(ir, 6) AS impurity_right, "
+              "round(((n0 + n1) * inode - (a0 + a1) * il - (b0 + b1) * ir) / (n0 + n1), 6) AS gain FROM imps")
+
+
+# --------------------------------------------------------------------------- baseline tree
+def q_tree_nodes(spark, sf):
+    b = ST.baseline(spark, sf)
+    return ST.node_frame(spark, b.full.trees["all"], b.features)
+
+
+def q_tree_importances(spark, sf):
+    b = ST.baseline(spark, sf)
+    imp = S.importances_table(b.full.trees["all"], b.features, 10).reset_index(drop=True)
+    imp["rank"] = range(1, len(imp) + 1)
+    return spark.createDataFrame(imp[["rank", "feature", "importance"]].round({"importance": 6}))
+
+
+def q_cv_scores(spark, sf):
+    b = ST.baseline(spark, sf)
+    fs = b.cv.fold_scores.drop("param_id")
+    mean = fs.agg(F.lit(-1).alias("fold"), *[F.round(F.avg(c), 6).alias(c)
+                                             for c in ("accuracy", "roc_auc", "average_precision")])
+    return fs.select("fold", "accuracy", "roc_auc", "average_precision").unionByName(mean)
+
+
+def q_tree_predict(spark, sf):
+    b = ST.baseline(spark, sf)
+    test = b.data.where(F.col("split") == "test")
+    out = S.predict_rows(test, b.holdout)
+    return out.select(ID, "split", F.col(TARGET).alias("y"), "prob", "pred")
+
+
+def q_tree_pruned(spark, sf):
+    b = ST.baseline(spark, sf)
+    pruned = PRN.derived_tree(b.full.trees["all"], PRN.Variant(0, None, 2, 0.001))
+    return ST.node_frame(spark, pruned, b.features)
+
+
+def q_model_roundtrip(spark, sf):
+    """S6 + S7: save the holdout tree to shared storage, load it, score the test rows."""
+    b = ST.baseline(spark, sf)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/models/baseline-{abs(hash(sf))}"
+    IO.save_tree(spark, b.holdout.trees["holdout"], b.features, path)
+    tree, feats = IO.load_tree(spark, path)
+    test = b.data.where(F.col("split") == "test")
+    return test.select(ID, F.col(TARGET).alias("y"),
+                       F.round(TR.predict_expr(tree, feats, "prob"), 6).alias("prob"),
+                       TR.predict_expr(tree, feats, "pred").cast("int").alias("pred"))
+
+
+# --------------------------------------------------------------------------- holdout strategy
+def q_grid_search(spark, sf):
+    return ST.holdout(spark, sf).search.summary
+
+
+def q_best_cv_scores(spark, sf):
+    h = ST.holdout(spark, sf)
+    fs = h.search.fold_scores.where(F.col("param_id") == h.search.best_index)
+    return fs.select("fold", "accuracy", "roc_auc", "average_precision")
+
+
+def q_final_test_report(spark, sf):
+    h = ST.holdout(spark, sf)
+    rep = S.report_from_leaves(h.fitted.leaves, ["root"])
+    name = F.element_at(F.array(F.lit("val"), F.lit("test")), F.col("root") + 1)
+    return rep.withColumn("split", name).drop("root")
+
+
+def q_final_importances(spark, sf):
+    h = ST.holdout(spark, sf)
+    imp = S.importances_table(h.fitted.trees["test"], h.features, 10).reset_index(drop=True)
+    imp["rank"] = range(1, len(imp) + 1)
+    return spark.createDataFrame(imp[["rank", "feature", "importance"]].round({"importance": 6}))
+
+
+# --------------------------------------------------------------------------- nested strategy
+def q_nested_cv(spark, sf):
+    return ST.nested(spark, sf).outer
+
+
+def q_oof_predictions(spark, sf):
+    n = ST.nested(spark, sf)
+    tv = n.data.where(F.col("split") == "train")
+    out = S.predict_rows(tv, n.oof, by="outer", which={o: f"outer{o}" for o in range(5)})
+    return out.select(ID, F.col("outer").alias("fold"), F.col(TARGET).alias("y"), "prob", "pred")
+
+
+def q_nested_test_report(spark, sf):
+    n = ST.nested(spark, sf)
+    return S.report_from_leaves(n.test.leaves, ["root"]).drop("root")
+
+
+MODEL_QUERIES = {
+    "root_split_gini": q_root_split_gini,
+    "root_split_entropy": q_root_split_entropy,
+    "tree_nodes": q_tree_nodes,
+    "tree_importances": q_tree_importances,
+    "cv_scores": q_cv_scores,
+    "tree_predict": q_tree_predict,
+    "tree_pruned": q_tree_pruned,
+    "model_roundtrip": q_model_roundtrip,
+    "grid_search": q_grid_search,
+    "best_cv_scores": q_best_cv_scores,
+    "final_test_report": q_final_test_report,
+    "final_importances": q_final_importances,
+    "nested_cv": q_nested_cv,
+    "oof_predictions": q_oof_predictions,
+    "nested_test_report": q_nested_test_report,
+}
+MODEL_ORACLE_SQL = {
+    "root_split_gini": _sql_root_split("gini", False),
+    "root_split_entropy": _sql_root_split("entropy", True),
+}
