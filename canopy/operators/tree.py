@@ -94,14 +94,6 @@ def impurity_py(a: float, b: float, criterion: str) -> float:
     return -sum(v * math.log2(v) for v in (p, q) if v > 0)
 
 
-def _impurity(a: Column, b: Column, crit: Column) -> Column:
-    w = a + b
-    p, q = a / w, b / w
-    gini = 1.0 - p * p - q * q
-    ent = -(F.when(p > 0, p * F.log2(p)).otherwise(0.0) + F.when(q > 0, q * F.log2(q)).otherwise(0.0))
-    return F.when(w <= 0, F.lit(0.0)).when(crit == 0, gini).otherwise(ent)
-
-
 # --------------------------------------------------------------------------- inputs
 def make_cells(df: DataFrame, features: list[str], label: str, keep: list[str]) -> DataFrame:
     """Distinct (x, y, keep...) with row counts: partial aggregation before the shuffle."""
@@ -133,22 +125,20 @@ def class_weights(spec: GrowSpec, c0: int, c1: int) -> tuple[float, float]:
 
 
 # --------------------------------------------------------------------------- level jobs
+# The per-level jobs are written as SQL expression text: the JVM parses each string in one
+# call, which keeps driver-side plan building cheap when a growth runs many levels.
 def histogram(assign: DataFrame) -> DataFrame:
     """(key, j, v, c0, c1): training class counts per node, feature and value."""
-    t = assign.where(F.col("role") == 0).select("key", "y", "n", F.posexplode("x").alias("j", "v"))
+    t = assign.where("role = 0").selectExpr("key", "y", "n", "posexplode(x) AS (j, v)")
     return t.groupBy("key", "j", "v").agg(
-        F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("c0"),
-        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("c1"))
+        F.expr("sum(IF(y = 0, n, 0L)) AS c0"), F.expr("sum(IF(y = 1, n, 0L)) AS c1"))
 
 
 def node_stats(assign: DataFrame) -> DataFrame:
     """(key, t0, t1, e0, e1): train and eval label counts per node."""
-    n, y, role = F.col("n"), F.col("y"), F.col("role")
     return assign.groupBy("key").agg(
-        F.sum(F.when((role == 0) & (y == 0), n).otherwise(0)).alias("t0"),
-        F.sum(F.when((role == 0) & (y == 1), n).otherwise(0)).alias("t1"),
-        F.sum(F.when((role == 1) & (y == 0), n).otherwise(0)).alias("e0"),
-        F.sum(F.when((role == 1) & (y == 1), n).otherwise(0)).alias("e1"))
+        F.expr("sum(IF(role = 0 AND y = 0, n, 0L)) AS t0"), F.expr("sum(IF(role = 0 AND y = 1, n, 0L)) AS t1"),
+        F.expr("sum(IF(role = 1 AND y = 0, n, 0L)) AS e0"), F.expr("sum(IF(role = 1 AND y = 1, n, 0L)) AS e1"))
 
 
 NODE_SPEC_SCHEMA = T.StructType([
@@ -165,50 +155,56 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def impurity_sql(a: str, b: str) -> str:
+    """Weighted gini (crit = 0) or entropy in bits (crit = 1) of class weights a, b."""
+    p, q = f"({a} / ({a} + {b}))", f"({b} / ({a} + {b}))"
+    return (f"CASE WHEN {a} + {b} <= 0 THEN 0D WHEN crit = 0 THEN 1D - {p} * {p} - {q} * {q} "
+            f"ELSE -(IF({a} > 0, {p} * log2({p}), 0D) + IF({b} > 0, {q} * log2({q}), 0D)) END")
+
+
+_W = "PARTITION BY gid, node, j ORDER BY v"
+
+
 def split_candidates(hist: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
     """Every valid threshold of every (spec, node, feature) with its gain.
 
     ``gain`` = W_node * imp_node - W_left * imp_left - W_right * imp_right (weighted, not
-    yet divided by the root weight)."""
+    yet divided by the root weight).  Window partitions hold the distinct values of one
+    feature in one node, so they stay small whatever the row count."""
     j = hist.join(_small(nodes, n_nodes), "key")
-    w = Window.partitionBy("gid", "node", "j").orderBy("v")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    c = (j.withColumn("l0", F.sum("c0").over(run)).withColumn("l1", F.sum("c1").over(run))
-         .withColumn("v_next", F.lead("v").over(w)))
-    c = c.where(F.col("v_next").isNotNull())
-    r0, r1 = F.col("tot0") - F.col("l0"), F.col("tot1") - F.col("l1")
-    nl, nr = F.col("l0") + F.col("l1"), r0 + r1
-    c = c.where((nl >= F.col("msl")) & (nr >= F.col("msl")))
-    wl0, wl1 = F.col("w0") * F.col("l0"), F.col("w1") * F.col("l1")
-    wr0, wr1 = F.col("w0") * r0, F.col("w1") * r1
-    crit = F.col("crit")
-    imp_l, imp_r = _impurity(wl0, wl1, crit), _impurity(wr0, wr1, crit)
-    mid = (F.col("v") + F.col("v_next")) / 2.0
-    thr = F.when(mid == F.col("v_next"), F.col("v")).otherwise(mid)
-    return c.select(
-        "gid", "node", "key", "j", thr.alias("threshold"), nl.alias("n_left"), nr.alias("n_right"),
-        imp_l.alias("imp_left"), imp_r.alias("imp_right"),
-        (F.col("parent_cost") - (wl0 + wl1) * imp_l - (wr0 + wr1) * imp_r).alias("gain"),
-        (wl0 + wl1 + wr0 + wr1).alias("w_node"))
+    c = j.selectExpr(
+        "gid", "node", "key", "j", "v", "crit", "w0", "w1", "msl", "tot0", "tot1", "parent_cost",
+        f"sum(c0) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0",
+        f"sum(c1) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l1",
+        f"lead(v) OVER ({_W}) AS v_next")
+    c = c.where("v_next IS NOT NULL AND l0 + l1 >= msl AND (tot0 - l0) + (tot1 - l1) >= msl")
+    c = c.selectExpr("gid", "node", "key", "j", "v", "v_next", "crit", "parent_cost",
+                     "l0 + l1 AS n_left", "(tot0 - l0) + (tot1 - l1) AS n_right",
+                     "w0 * l0 AS a0", "w1 * l1 AS a1", "w0 * (tot0 - l0) AS b0", "w1 * (tot1 - l1) AS b1")
+    c = c.selectExpr("*", f"{impurity_sql('a0', 'a1')} AS imp_left", f"{impurity_sql('b0', 'b1')} AS imp_right")
+    return c.selectExpr(
+        "gid", "node", "key", "j",
+        "IF((v + v_next) / 2D = v_next, v, (v + v_next) / 2D) AS threshold",
+        "n_left", "n_right", "imp_left", "imp_right",
+        "parent_cost - (a0 + a1) * imp_left - (b0 + b1) * imp_right AS gain",
+        "a0 + a1 + b0 + b1 AS w_node")
 
 
 def best_splits(cands: DataFrame) -> DataFrame:
     """Best candidate per (spec, node): max gain (relative, 12 decimals so float noise does
     not decide), then lowest feature index, then lowest threshold."""
-    order = F.struct(F.round(F.col("gain") / F.col("w_node"), 12), -F.col("j"), -F.col("threshold"))
-    best = F.max_by(F.struct("j", "threshold", "gain"), order)
-    return cands.groupBy("gid", "node").agg(best.alias("b")).select(
-        "gid", "node", F.col("b.j").alias("j"), F.col("b.threshold").alias("threshold"),
-        F.col("b.gain").alias("gain"))
+    best = F.expr("max_by(struct(j, threshold, gain), "
+                  "struct(round(gain / w_node, 12), -j, -threshold)) AS b")
+    return cands.groupBy("gid", "node").agg(best).selectExpr(
+        "gid", "node", "b.j AS j", "b.threshold AS threshold", "b.gain AS gain")
 
 
 def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
     """Move every row of a split key to its child key (one row per distinct split of the
     key); rows of keys no spec splits any further drop out."""
     j = assign.join(_small(splits, n_splits), "key")
-    go_left = F.element_at(F.col("x"), F.col("j") + 1) <= F.col("threshold")
-    return j.select("x", "y", "n", "role",
-                    F.when(go_left, F.col("lkey")).otherwise(F.col("rkey")).alias("key"))
+    return j.selectExpr("x", "y", "n", "role",
+                        "IF(element_at(x, j + 1) <= threshold, lkey, rkey) AS key")
 
 
 # --------------------------------------------------------------------------- growth

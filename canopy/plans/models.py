@@ -78,19 +78,19 @@ def _sql_root_split(criterion: str, balanced: bool) -> str:
 # --------------------------------------------------------------------------- baseline tree
 def q_tree_nodes(spark, sf):
     b = ST.baseline(spark, sf)
-    return ST.node_frame(spark, b.full.trees["all"], b.features)
+    return ST.node_frame(spark, b.fitted.trees["all"], b.features)
 
 
 def q_tree_importances(spark, sf):
     b = ST.baseline(spark, sf)
-    imp = S.importances_table(b.full.trees["all"], b.features, 10).reset_index(drop=True)
+    imp = S.importances_table(b.fitted.trees["all"], b.features, 10).reset_index(drop=True)
     imp["rank"] = range(1, len(imp) + 1)
     return spark.createDataFrame(imp[["rank", "feature", "importance"]].round({"importance": 6}))
 
 
 def q_cv_scores(spark, sf):
     b = ST.baseline(spark, sf)
-    fs = b.cv.fold_scores.drop("param_id")
+    fs = b.cv_scores
     mean = fs.agg(F.lit(-1).alias("fold"), *[F.round(F.avg(c), 6).alias(c)
                                              for c in ("accuracy", "roc_auc", "average_precision")])
     return fs.select("fold", "accuracy", "roc_auc", "average_precision").unionByName(mean)
@@ -99,13 +99,13 @@ def q_cv_scores(spark, sf):
 def q_tree_predict(spark, sf):
     b = ST.baseline(spark, sf)
     test = b.data.where(F.col("split") == "test")
-    out = S.predict_rows(test, b.holdout)
+    out = S.predict_rows(test, b.fitted, which="holdout")
     return out.select(ID, "split", F.col(TARGET).alias("y"), "prob", "pred")
 
 
 def q_tree_pruned(spark, sf):
     b = ST.baseline(spark, sf)
-    pruned = PRN.derived_tree(b.full.trees["all"], PRN.Variant(0, None, 2, 0.001))
+    pruned = PRN.derived_tree(b.fitted.trees["all"], PRN.Variant(0, None, 2, 0.001))
     return ST.node_frame(spark, pruned, b.features)
 
 
@@ -113,7 +113,7 @@ def q_model_roundtrip(spark, sf):
     """S6 + S7: save the holdout tree to shared storage, load it, score the test rows."""
     b = ST.baseline(spark, sf)
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/models/baseline-{abs(hash(sf))}"
-    IO.save_tree(spark, b.holdout.trees["holdout"], b.features, path)
+    IO.save_tree(spark, b.fitted.trees["holdout"], b.features, path)
     tree, feats = IO.load_tree(spark, path)
     test = b.data.where(F.col("split") == "test")
     return test.select(ID, F.col(TARGET).alias("y"),
@@ -154,7 +154,7 @@ def q_nested_cv(spark, sf):
 def q_oof_predictions(spark, sf):
     n = ST.nested(spark, sf)
     tv = n.data.where(F.col("split") == "train")
-    out = S.predict_rows(tv, n.oof, by="outer", which={o: f"outer{o}" for o in range(5)})
+    out = S.predict_rows(tv, n.oof, by="outer", which={o: o for o in range(5)})
     return out.select(ID, F.col("outer").alias("fold"), F.col(TARGET).alias("y"), "prob", "pred")
 
 

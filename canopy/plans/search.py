@@ -89,6 +89,7 @@ def evaluate_roots(df: DataFrame, features: list[str], label: str, roots: list[T
     """Fit every (root, parameter row) pair (all pairs by default) through shared growths;
     returns (growth, leaves with p/root index, gid map)."""
     pairs = pairs or [(ri, pi) for ri in range(len(roots)) for pi in range(len(params))]
+    pairs = list(dict.fromkeys(pairs))  # a repeated pair would count its leaves twice
     gkeys, specs, gid_of = {}, [], {}
     vkeys: dict[tuple, int] = {}
     model_rows = []
@@ -177,15 +178,26 @@ class Fitted:
 
 
 def refit(df: DataFrame, features: list[str], label: str, roots: list[TR.Root],
-          params: list[Params], keep: list[str] | None = None) -> Fitted:
-    """Fit ``params[i]`` on ``roots[i]`` (train predicate), report on its eval predicate."""
-    pairs = [(i, i) for i in range(len(roots))]
+          params: list[Params], keep: list[str] | None = None,
+          pairs: list[tuple[int, int]] | None = None) -> Fitted:
+    """Fit parameter rows on roots (train predicate) and report on their eval predicate.
+    ``pairs`` = (root index, param index); default pairs root i with ``params[i]``.
+    All pairs share ONE growth loop.  Trees are keyed by (root name, param index), and by
+    root name alone when a root has one pair."""
+    pairs = pairs or [(i, i) for i in range(len(roots))]
     growth, leaves, gid_map, variants = evaluate_roots(df, features, label, roots, params, pairs, keep)
     vmap = {v.vid: v for v in variants}
-    trees = {}
-    for i, r in enumerate(roots):
-        gid, vid = gid_map[(i, i)]
-        trees[r.name] = PRN.derived_tree(TR.tree_of(growth.nodes, gid), vmap[vid])
+    trees: dict = {}
+    per_root: dict[str, int] = {}
+    for ri, pi in pairs:
+        gid, vid = gid_map[(pi, ri)]
+        t = PRN.derived_tree(TR.tree_of(growth.nodes, gid), vmap[vid])
+        trees[(roots[ri].name, pi)] = t
+        per_root[roots[ri].name] = per_root.get(roots[ri].name, 0) + 1
+        if per_root[roots[ri].name] == 1:
+            trees[roots[ri].name] = t
+        else:
+            trees.pop(roots[ri].name, None)
     return Fitted(features, trees, leaves, roots)
 
 
@@ -202,14 +214,14 @@ def report_from_leaves(leaves: DataFrame, group: list[str]) -> DataFrame:
 
 
 def predict_rows(df: DataFrame, fitted: Fitted, by: str | None = None,
-                 which: dict | None = None) -> DataFrame:
-    """Score rows with one tree, or with the tree of each row's ``by`` value (``which``:
-    value -> root name): a CASE over column expressions, no join, no UDF."""
+                 which=None) -> DataFrame:
+    """Score rows with one tree (``which`` = its key), or with the tree of each row's ``by``
+    value (``which``: value -> tree key): a CASE over column expressions, no join, no UDF."""
     feats = fitted.features
     if by is None:
-        name = fitted.roots[0].name
-        prob = TR.predict_expr(fitted.trees[name], feats, "prob")
-        pred = TR.predict_expr(fitted.trees[name], feats, "pred")
+        tree = fitted.trees[which] if which is not None else fitted.trees[fitted.roots[0].name]
+        prob = TR.predict_expr(tree, feats, "prob")
+        pred = TR.predict_expr(tree, feats, "pred")
     else:
         prob, pred = F.lit(None).cast("double"), F.lit(None).cast("int")
         for val, name in which.items():

@@ -46,9 +46,12 @@ class Baseline:
     data: DataFrame
     features: list[str]
     params: S.Params
-    cv: S.SearchResult
-    full: S.Fitted
-    holdout: S.Fitted
+    fitted: S.Fitted          # roots: cv0..cv4, all, holdout (one growth loop)
+
+    @property
+    def cv_scores(self) -> DataFrame:
+        cv = self.fitted.leaves.where(F.col("root") < 5)
+        return S.scores_from_leaves(cv, ["root"]).withColumnRenamed("root", "fold")
 
 
 def baseline(spark: SparkSession, sf: str) -> Baseline:
@@ -57,13 +60,10 @@ def baseline(spark: SparkSession, sf: str) -> Baseline:
         feats = feature_names(fe)
         data = SP.kfold(SP.holdout_split(fe, ID, TARGET, 0.2), ID, 5)
         params = S.Params(max_depth=S.BASELINE["max_depth"], min_samples_leaf=S.BASELINE["min_samples_leaf"])
-        grid = {"max_depth": [params.max_depth], "min_samples_leaf": [params.min_samples_leaf]}
-        cv = S.grid_search(data, feats, TARGET, "fold", list(range(5)), grid, scoring="accuracy",
-                           keep=["fold", "split"])
-        full = S.refit(data, feats, TARGET, [TR.Root("all", "true")], [params], keep=["fold", "split"])
-        hold = S.refit(data, feats, TARGET, [TR.Root("holdout", "split = 'train'", "split = 'test'")],
-                       [params], keep=["fold", "split"])
-        return Baseline(data, feats, params, cv, full, hold)
+        roots = ([TR.Root(f"cv{f}", f"fold <> {f}", f"fold = {f}") for f in range(5)]
+                 + [TR.Root("all", "true"), TR.Root("holdout", "split = 'train'", "split = 'test'")])
+        fitted = S.refit(data, feats, TARGET, roots, [params] * len(roots), keep=["fold", "split"])
+        return Baseline(data, feats, params, fitted)
     return _memo(spark, sf, "baseline", run)
 
 
@@ -131,31 +131,43 @@ def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int
         feats = feature_names(data)
         keep = ["outer", "cfold", "split"] + [f"inner_{o}" for o in range(k_outer)]
         params = S.expand_grid(grid or S.GRID_NESTED)
-        # phase 1: every (outer, inner) root x every grid row, through shared growths
+        # phase 1: every (outer, inner) root and every final-search fold x every grid row,
+        # in ONE growth loop (paths shared across growths)
         roots = [TR.Root(f"o{o}i{i}", f"split = 'train' AND outer <> {o} AND inner_{o} <> {i}",
                          f"split = 'train' AND outer <> {o} AND inner_{o} = {i}")
                  for o in range(k_outer) for i in range(k_inner)]
+        n_inner = len(roots)
+        roots += [TR.Root(f"final{f}", f"split = 'train' AND cfold <> {f}", f"split = 'train' AND cfold = {f}")
+                  for f in range(5)]
         _g, leaves, _m, _v = S.evaluate_roots(data, feats, TARGET, roots, params, keep=keep)
-        sc = S.scores_from_leaves(leaves, ["param_id", "root"])
-        sc = sc.withColumn("outer", (F.col("root") / k_inner).cast("int"))
-        mean = sc.groupBy("outer", "param_id").agg(F.avg("roc_auc").alias("inner_auc"))
+        sc = S.scores_from_leaves(leaves, ["param_id", "root"]).cache()
+        inner = sc.where(F.col("root") < n_inner).withColumn("outer", (F.col("root") / k_inner).cast("int"))
+        mean = inner.groupBy("outer", "param_id").agg(F.avg("roc_auc").alias("inner_auc"))
         order = F.struct(F.coalesce(F.col("inner_auc"), F.lit(float("-inf"))), -F.col("param_id"))
         best = {r["outer"]: r["best"] for r in
                 mean.groupBy("outer").agg(F.max_by("param_id", order).alias("best")).collect()}
-        # phase 2: refit the inner winner on each outer training part, score the outer fold
+        fs = (sc.where(F.col("root") >= n_inner).withColumn("fold", F.col("root") - n_inner).drop("root"))
+        final = S.summarize(spark, params, fs, "roc_auc")
+        # phase 2: inner winners refit on each outer training part (scored on the outer
+        # fold), the final choice refit per outer fold (out-of-fold) and on train+val (test)
         oroots = [TR.Root(f"outer{o}", f"split = 'train' AND outer <> {o}",
                           f"split = 'train' AND outer = {o}") for o in range(k_outer)]
-        ofit = S.refit(data, feats, TARGET, oroots, [params[best[o]] for o in range(k_outer)], keep=keep)
-        osc = S.scores_from_leaves(ofit.leaves, ["root"]).withColumnRenamed("root", "outer")
+        troot = TR.Root("test", "split = 'train'", "split = 'test'")
+        fb = final.best_index
+        pairs = ([(o, best[o]) for o in range(k_outer)] + [(o, fb) for o in range(k_outer)]
+                 + [(k_outer, fb)])
+        fit2 = S.refit(data, feats, TARGET, oroots + [troot], params, keep=keep, pairs=pairs)
+        pick = F.col("param_id") == F.element_at(
+            F.array(*[F.lit(best[o]) for o in range(k_outer)]), F.col("root") + 1)
+        osc = S.scores_from_leaves(fit2.leaves.where((F.col("root") < k_outer) & pick), ["root"])
+        osc = osc.withColumnRenamed("root", "outer")
         labels = spark.createDataFrame([(o, best[o], params[best[o]].label()) for o in range(k_outer)],
                                        "outer int, param_id int, params string")
         outer = osc.join(labels, "outer")
-        # phase 3: final search on train+val with unshuffled stratified folds
-        final = S.grid_search(data, feats, TARGET, "cfold", list(range(5)), grid or S.GRID_NESTED,
-                              scoring="roc_auc", where="split = 'train'", keep=keep)
-        oof = S.refit(data, feats, TARGET, oroots, [final.best] * k_outer, keep=keep)
-        test = S.refit(data, feats, TARGET, [TR.Root("test", "split = 'train'", "split = 'test'")],
-                       [final.best], keep=keep)
+        oof = S.Fitted(feats, {o: fit2.trees[(f"outer{o}", fb)] for o in range(k_outer)},
+                       fit2.leaves.where((F.col("root") < k_outer) & (F.col("param_id") == fb)), oroots)
+        test = S.Fitted(feats, {"test": fit2.trees[("test", fb)]},
+                        fit2.leaves.where(F.col("root") == k_outer), [troot])
         return Nested(data, feats, outer, final, oof, test)
     return _memo(spark, sf, "nested", run)
 
