@@ -128,8 +128,11 @@ def class_weights(spec: GrowSpec, c0: int, c1: int) -> tuple[float, float]:
 # The per-level jobs are written as SQL expression text: the JVM parses each string in one
 # call, which keeps driver-side plan building cheap when a growth runs many levels.
 def histogram(assign: DataFrame) -> DataFrame:
-    """(key, j, v, c0, c1): training class counts per node, feature and value."""
-    t = assign.where("role = 0").selectExpr("key", "y", "n", "posexplode(x) AS (j, v)")
+    """(key, j, v, c0, c1) class counts per node, feature and value, plus node statistics
+    in the same pass: position 0 is a pseudo-feature whose value is the row's role
+    (0 train, 1 eval); positions 1.. are the features, exploded for training rows only."""
+    t = assign.selectExpr("key", "y", "n",
+                          "posexplode(IF(role = 0, concat(array(0D), x), array(1D))) AS (j, v)")
     return t.groupBy("key", "j", "v").agg(
         F.expr("sum(IF(y = 0, n, 0L)) AS c0"), F.expr("sum(IF(y = 1, n, 0L)) AS c1"))
 
@@ -208,10 +211,52 @@ def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- growth
+ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int"
+
+
+def level_job(assign: DataFrame, active: DataFrame, n_active: int) -> DataFrame:
+    """ONE job per level, three exchanges: histogram aggregation, one window pass per
+    (spec, node, feature) for running sums and node totals, one aggregation per
+    (spec, node) returning its statistics (train / eval label counts from the role
+    pseudo-feature) and its best split.  NULL feature values sort last: they go right,
+    as in scoring."""
+    hist = histogram(assign)
+    j = hist.join(_small(active, n_active), "key")
+    win = f"PARTITION BY gid, node, j ORDER BY v ASC NULLS LAST"
+    c = j.selectExpr(
+        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "w0", "w1", "msl",
+        f"sum(c0) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0",
+        f"sum(c1) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l1",
+        "sum(c0) OVER (PARTITION BY gid, node, j) AS tot0",
+        "sum(c1) OVER (PARTITION BY gid, node, j) AS tot1",
+        f"lead(v) OVER ({win}) AS v_next")
+    c = c.selectExpr(
+        "*", "j > 0 AND v_next IS NOT NULL AND l0 + l1 >= msl AND (tot0 - l0) + (tot1 - l1) >= msl AS ok",
+        "w0 * l0 AS a0", "w1 * l1 AS a1", "w0 * (tot0 - l0) AS b0", "w1 * (tot1 - l1) AS b1",
+        "w0 * tot0 AS n0", "w1 * tot1 AS n1")
+    c = c.selectExpr("*", f"{impurity_sql('a0', 'a1')} AS il", f"{impurity_sql('b0', 'b1')} AS ir",
+                     f"{impurity_sql('n0', 'n1')} AS inode")
+    c = c.selectExpr(
+        "*", "IF((v + v_next) / 2D = v_next, v, (v + v_next) / 2D) AS thr",
+        "(n0 + n1) * inode - (a0 + a1) * il - (b0 + b1) * ir AS gain")
+    best = ("max_by(struct(j - 1 AS j, thr AS threshold, gain), "
+            "IF(ok, struct(round(gain / (n0 + n1), 12), -j, -thr), NULL)) AS b")
+    out = c.groupBy("gid", "node", "key").agg(
+        F.expr("sum(IF(j = 0 AND v = 0, c0, 0L)) AS t0"), F.expr("sum(IF(j = 0 AND v = 0, c1, 0L)) AS t1"),
+        F.expr("sum(IF(j = 0 AND v = 1, c0, 0L)) AS e0"), F.expr("sum(IF(j = 0 AND v = 1, c1, 0L)) AS e1"),
+        F.expr(best))
+    return out.selectExpr("gid", "node", "key", "t0", "t1", "e0", "e1", "b.j AS j",
+                          "b.threshold AS threshold", "b.gain AS gain")
+
+
 def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
          specs: list[GrowSpec], keep: list[str] | None = None,
-         checkpoint_every: int = 1) -> Growth:
-    """Grow every spec to its ``max_depth`` (None: until no node can split)."""
+         checkpoint_every: int = 3) -> Growth:
+    """Grow every spec to its ``max_depth`` (None: until no node can split).
+
+    The assignment table is cached per level and reliably checkpointed every
+    ``checkpoint_every`` levels (lineage stays short; a lost executor recomputes at most
+    that many joins)."""
     spark = df.sparkSession
     root_by_name = {r.name: r for r in roots}
     crit_code = {"gini": 0, "entropy": 1}
@@ -225,59 +270,55 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
         c0, c1 = root_counts.get(root_by_name[s.root].key, (0, 0))
         weights[s.gid] = class_weights(s, c0, c1)
 
-    # active: (gid, node) -> key ; rows of the node table are filled level by level
-    active = {(s.gid, 1): root_by_name[s.root].key for s in specs}
     spec_of = {s.gid: s for s in specs}
+    active = {(s.gid, 1): root_by_name[s.root].key for s in specs}
     rows: list[dict] = []
-    depth = 0
+    depth, cached = 0, None
     while active:
-        stats = {r["key"]: r for r in node_stats(assign).collect()}
-        level_nodes, ready = [], []
-        for (gid, node), key in active.items():
-            s = spec_of[gid]
-            st = stats.get(key)
-            t0, t1, e0, e1 = (st["t0"], st["t1"], st["e0"], st["e1"]) if st else (0, 0, 0, 0)
-            w0, w1 = weights[gid]
+        act = [(gid, node, key, crit_code[spec_of[gid].criterion], *weights[gid],
+                spec_of[gid].min_samples_leaf) for (gid, node), key in active.items()]
+        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), len(act)).collect()
+        next_active, split_rows = {}, {}
+        for r in result:
+            s_ = spec_of[r["gid"]]
+            w0, w1 = weights[r["gid"]]
+            t0, t1 = r["t0"], r["t1"]
             W0, W1 = w0 * t0, w1 * t1
-            imp = impurity_py(W0, W1, s.criterion)
+            imp = impurity_py(W0, W1, s_.criterion)
             n = t0 + t1
-            leaf = ((s.max_depth is not None and depth >= s.max_depth) or n < 2
-                    or n < 2 * s.min_samples_leaf or imp <= IMPURITY_EPS)
-            row = dict(gid=gid, node=node, depth=depth, key=key, t0=t0, t1=t1, e0=e0, e1=e1,
-                       W0=W0, W1=W1, impurity=imp, feature=-1, threshold=float("nan"),
-                       gain=0.0, is_leaf=True)
+            leaf = ((s_.max_depth is not None and depth >= s_.max_depth) or n < 2
+                    or n < 2 * s_.min_samples_leaf or imp <= IMPURITY_EPS or r["j"] is None)
+            row = dict(gid=r["gid"], node=r["node"], depth=depth, key=r["key"], t0=t0, t1=t1,
+                       e0=r["e0"], e1=r["e1"], W0=W0, W1=W1, impurity=imp,
+                       feature=-1, threshold=float("nan"), gain=0.0, is_leaf=True)
             rows.append(row)
-            if not leaf:
-                level_nodes.append((gid, node, key, crit_code[s.criterion], w0, w1,
-                                    s.min_samples_leaf, t0, t1, (W0 + W1) * imp))
-                ready.append(row)
-        if not level_nodes:
-            break
-        nodes_df = spark.createDataFrame(level_nodes, NODE_SPEC_SCHEMA)
-        best = best_splits(split_candidates(histogram(assign), nodes_df, len(level_nodes)))
-        chosen = {(r["gid"], r["node"]): r for r in best.collect()}
-        next_active, split_rows = {}, {}
-        for row in ready:
-            b = chosen.get((row["gid"], row["node"]))
-            if b is None:
+            if leaf:
                 continue
-            thr = float(b["threshold"])
-            lkey = node_key(row["key"], b["j"], thr, "L")
-            rkey = node_key(row["key"], b["j"], thr, "R")
-            row.update(feature=int(b["j"]), threshold=thr, gain=float(b["gain"]), is_leaf=False)
-            next_active[(row["gid"], 2 * row["node"])] = lkey
-            next_active[(row["gid"], 2 * row["node"] + 1)] = rkey
-            split_rows[(row["key"], int(b["j"]), thr)] = (lkey, rkey)
+            thr = float(r["threshold"])
+            lkey = node_key(r["key"], r["j"], thr, "L")
+            rkey = node_key(r["key"], r["j"], thr, "R")
+            row.update(feature=int(r["j"]), threshold=thr, gain=float(r["gain"]), is_leaf=False)
+            next_active[(r["gid"], 2 * r["node"])] = lkey
+            next_active[(r["gid"], 2 * r["node"] + 1)] = rkey
+            split_rows[(r["key"], int(r["j"]), thr)] = (lkey, rkey)
         if not split_rows:
             break
         spl = spark.createDataFrame(
             [(k, j, t, lk, rk) for (k, j, t), (lk, rk) in split_rows.items()],
             "key long, j int, threshold double, lkey long, rkey long")
-        assign = advance(assign, spl, len(split_rows))
+        nxt = advance(assign, spl, len(split_rows))
         depth += 1
         if depth % checkpoint_every == 0:
-            assign = cut_lineage(assign)
+            nxt = cut_lineage(nxt)
+        else:
+            nxt = nxt.cache()
+        if cached is not None:
+            cached.unpersist()
+        cached = nxt if depth % checkpoint_every else None
+        assign = nxt
         active = next_active
+    if cached is not None:
+        cached.unpersist()
     nodes = pd.DataFrame(rows).sort_values(["gid", "node"]).reset_index(drop=True)
     return Growth(features=list(features), specs=spec_of, roots=root_by_name, nodes=nodes,
                   weights=weights)
@@ -342,7 +383,8 @@ def root_splits(df: DataFrame, features: list[str], label: str, criterion: str =
     nodes = spark.createDataFrame(
         [(0, 1, root.key, 0 if criterion == "gini" else 1, w0, w1, min_samples_leaf,
           st["t0"], st["t1"], W * imp)], NODE_SPEC_SCHEMA)
-    c = split_candidates(histogram(assign), nodes, 1)
+    hist = histogram(assign).where("j > 0").selectExpr("key", "j - 1 AS j", "v", "c0", "c1")
+    c = split_candidates(hist, nodes, 1)
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("j") + 1)
     return c.select(
         names.alias("feature"), F.round("threshold", 6).alias("threshold"),
