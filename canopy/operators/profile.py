@@ -208,32 +208,78 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def corr_matrix(df: DataFrame, cols: list[str], block: int = 400) -> DataFrame:
+def _centered_moments(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, dict]:
+    """Two passes, both single aggregations: (1) per-column non-NULL count and mean;
+    (2) sums of centered cross products per pair.  A pair of NULL-free columns needs one
+    sum; a pair touching a column with NULLs gets pairwise-complete (masked) sums."""
+    cols = sorted({c for p in pairs for c in p})
+    first = df.agg(F.count(F.lit(1)).alias("_n"),
+                   *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(cols)],
+                   *[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
+    n = first["_n"]
+    idx = {c: i for i, c in enumerate(cols)}
+    complete = {c for c in cols if first[f"n_{idx[c]}"] == n}
+    mean = {c: (first[f"m_{idx[c]}"] or 0.0) for c in cols}
+
+    def d(c):
+        return F.col(c).cast("double") - F.lit(mean[c])
+
+    aggs, names = [], {}
+    for c in cols:
+        if c in complete:
+            aggs.append(F.sum(d(c) * d(c)).alias(f"ss_{idx[c]}"))
+    for k, (a, b) in enumerate(pairs):
+        if a in complete and b in complete:
+            aggs.append(F.sum(d(a) * d(b)).alias(f"sab_{k}"))
+            names[k] = ("complete", a, b)
+        else:
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            da, db = F.when(both, d(a)), F.when(both, d(b))
+            aggs += [F.count(da).alias(f"n_{k}"), F.sum(da).alias(f"sa_{k}"), F.sum(db).alias(f"sb_{k}"),
+                     F.sum(da * db).alias(f"sab_{k}"), F.sum(da * da).alias(f"saa_{k}"),
+                     F.sum(db * db).alias(f"sbb_{k}")]
+            names[k] = ("masked", a, b)
+    return df.agg(*aggs), {"names": names, "idx": idx}
+
+
+def _clamp(c: Column) -> Column:
+    """Round to 6 digits inside [-1, 1]; NULL stays NULL (greatest/least skip NULLs)."""
+    return F.when(c.isNotNull(), F.round(F.least(F.greatest(c, F.lit(-1.0)), F.lit(1.0)), 6))
+
+
+def _pearson_exprs(meta: dict, both_orders: bool = False) -> list[str]:
+    out = []
+    for k, (kind, a, b) in meta["names"].items():
+        if kind == "complete":
+            num, va, vb = f"sab_{k}", f"ss_{meta['idx'][a]}", f"ss_{meta['idx'][b]}"
+        else:
+            num = f"(sab_{k} - sa_{k} * sb_{k} / n_{k})"
+            va, vb = f"(saa_{k} - sa_{k} * sa_{k} / n_{k})", f"(sbb_{k} - sb_{k} * sb_{k} / n_{k})"
+        r = f"CASE WHEN {va} > 0 AND {vb} > 0 THEN {num} / sqrt({va} * {vb}) END"
+        out.append(f"'{a}', '{b}', {r}")
+        if both_orders and a != b:
+            out.append(f"'{b}', '{a}', {r}")
+    return out
+
+
+def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every pair (pairwise complete), long form
     (col_a, col_b, corr), full square including the diagonal; constant column -> NULL.
-
-    Each block of pairs is ONE aggregation with map-side partial state (co-moments);
-    blocks bound the size of generated code for wide tables."""
+    Two scans whatever the number of columns; the k^2 results are formed from the
+    one-row moment table inside Spark."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    parts = []
-    for s in range(0, len(pairs), block):
-        chunk = pairs[s:s + block]
-        names = [f"p{s + i}" for i in range(len(chunk))]
-        agg = df.agg(*[pearson(a, b).alias(n) for (a, b), n in zip(chunk, names)])
-        stack = ", ".join(f"'{a}', '{b}', {n}" for (a, b), n in zip(chunk, names))
-        parts.append(agg.selectExpr(f"stack({len(chunk)}, {stack}) as (col_a, col_b, corr)"))
-    upper = parts[0]
-    for p in parts[1:]:
-        upper = upper.unionByName(p)
-    upper = upper.withColumn("corr", F.round(_nan_to_null(F.col("corr")), 6))
-    lower = upper.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return upper.unionByName(lower)
+    moments, meta = _centered_moments(df, pairs)
+    exprs = _pearson_exprs(meta, both_orders=True)
+    full = moments.selectExpr(f"stack({len(exprs)}, {', '.join(exprs)}) AS (col_a, col_b, corr)")
+    return full.withColumn("corr", _clamp(F.col("corr")))
 
 
 def corr_with_target(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """G16 + T1: (column_name, corr) with the target, sorted descending (NULLs last)."""
-    agg = df.agg(*[pearson(c, target).alias(c) for c in cols])
-    long = agg.unpivot([], cols, "column_name", "corr")
-    long = long.withColumn("corr", F.round(_nan_to_null(F.col("corr")), 6))
+    pairs = [(c, target) for c in cols]
+    moments, meta = _centered_moments(df, pairs)
+    exprs = [e.split(", ", 2) for e in _pearson_exprs(meta)]
+    stack = ", ".join(f"{a}, {r}" for a, _b, r in exprs)
+    long = moments.selectExpr(f"stack({len(pairs)}, {stack}) AS (column_name, corr)")
+    long = long.withColumn("corr", _clamp(F.col("corr")))
     return long.orderBy(F.desc_nulls_last("corr"), "column_name")
