@@ -18,6 +18,8 @@ from canopy.functions import features as FE
 from canopy.operators import metrics as MT
 from canopy.operators import profile as PR
 from canopy.operators import split as SP
+from canopy.session import ensure_checkpoint_dir
+from canopy.sources import sinks as SK
 from canopy.sources.survey import ID, SURVEY_COLUMNS, TARGET, load_survey, survey_with_age_years
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +101,24 @@ def q_preprocessed_work_interest(spark, sf):
     return rounded(encoded(spark, sf, "pp2"))
 
 
+def q_head_sample(spark, sf):
+    return rounded(SK.head_sample(encoded(spark, sf), ID, 5))
+
+
+def q_dtype_report(spark, sf):
+    return SK.dtype_report(encoded(spark, sf))
+
+
+def q_features_csv_roundtrip(spark, sf):
+    """S3 then S1: the base feature table written as CSV on shared storage and read back
+    with its declared schema (no inference); must equal ``features_base``."""
+    import uuid
+    fe = rounded(base_features(spark, sf))
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/csv/features-{uuid.uuid4().hex}"
+    SK.write_csv(fe, path)
+    return SK.read_csv(spark, path, fe.schema)
+
+
 # --------------------------------------------------------------------------- profiles
 def q_frequency(spark, sf):
     return PR.frequency(survey(spark, sf), SURVEY_COLUMNS)
@@ -249,6 +269,9 @@ QUERIES: dict[str, Query] = {
     "onehot_all": q_onehot_all,
     "preprocessed": q_preprocessed,
     "preprocessed_work_interest": q_preprocessed_work_interest,
+    "head_sample": q_head_sample,
+    "dtype_report": q_dtype_report,
+    "features_csv_roundtrip": q_features_csv_roundtrip,
     "frequency": q_frequency,
     "mode_per_column": q_mode_per_column,
     "pivot_age_gender": q_pivot_age_gender,

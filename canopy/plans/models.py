@@ -163,6 +163,23 @@ def q_nested_test_report(spark, sf):
     return S.report_from_leaves(n.test.leaves, ["root"]).drop("root")
 
 
+# --------------------------------------------------------------------------- streaming
+def q_stream_scores(spark, sf):
+    """Batch-fit the encoder and a depth-5 tree, then score the order stream with them
+    (stream-static join, Parquet sink with checkpoint on shared storage)."""
+    from canopy.functions import features as FE
+    from canopy.streaming import score as SS
+
+    batch = load_survey(spark, sf)
+    fitted = SS.fitted_encoder(batch)
+    feats_df = FE.banded4(SS.encode_with(batch, fitted))
+    age_levels = [c[len("Age_Group_"):] for c in feats_df.columns if c.startswith("Age_Group_")]
+    feats = ST.feature_names(feats_df)
+    fit = S.refit(feats_df, feats, TARGET, [TR.Root("all", "true")], [S.Params(max_depth=5)])
+    scored = SS.score_stream(SS.survey_stream(spark, sf), fit.trees["all"], feats, fitted, age_levels)
+    return spark.read.parquet(SS.run_to_parquet(scored))
+
+
 MODEL_QUERIES = {
     "root_split_gini": q_root_split_gini,
     "root_split_entropy": q_root_split_entropy,
@@ -179,6 +196,7 @@ MODEL_QUERIES = {
     "nested_cv": q_nested_cv,
     "oof_predictions": q_oof_predictions,
     "nested_test_report": q_nested_test_report,
+    "stream_scores": q_stream_scores,
 }
 MODEL_ORACLE_SQL = {
     "root_split_gini": _sql_root_split("gini", False),

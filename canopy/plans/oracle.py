@@ -451,6 +451,9 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(_q(c) for c in PP_DUMMIES) + " FROM pp",
         "preprocessed_work_interest": with_ctes(*BASE_PREFIX[:-1], CTE_PP2) + "SELECT respondent_id, "
         + _round(ORD) + ", Work_Interest, Coping_Struggles, " + ", ".join(_q(c) for c in PP2_DUMMIES) + " FROM pp2",
+        "head_sample": pre + "SELECT respondent_id, " + _round(ORD) + ", Coping_Struggles, "
+        + ", ".join(_q(c) for c in PP_DUMMIES) + " FROM pp ORDER BY respondent_id LIMIT 5",
+        "features_csv_roundtrip": _sql_features_base(),
         "frequency": with_ctes(CTE_SURVEY, _SURVEY_LONG, _FREQ)
         + "SELECT column_name, value, n, round(CAST(100 AS DOUBLE) * n / sum(n) OVER (PARTITION BY column_name), 6) "
           "AS pct FROM freq",
