@@ -91,37 +91,49 @@ def group_means(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
             .withColumn("mean", F.round("mean", 6)))
 
 
-# Poisson(1) inverse CDF, P(K <= k) for k = 0..9 (enough for u < 1 - 1e-7).
-_POISSON1_CDF = [sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)) for k in range(10)]
+POISSON_EXACT_MAX = 30  # counts up to this draw Poisson(c) exactly; above, N(c, c) rounded
 
 
-def _poisson1(u: Column) -> Column:
-    expr = F.lit(10)
-    for k in reversed(range(10)):
-        expr = F.when(u <= F.lit(_POISSON1_CDF[k]), F.lit(k)).otherwise(expr)
-    return expr
+def _uniform(seed: int, *cols: Column) -> Column:
+    """Deterministic uniform in (0, 1) from a hash: reruns and recomputed tasks agree."""
+    h = F.xxhash64(F.lit(seed), *cols)
+    return (F.abs(h % F.lit(1 << 30)) + F.lit(0.5)) / F.lit(float(1 << 30))
 
 
-def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: str,
+def poisson_count(c: Column, u: Column, u2: Column) -> Column:
+    """A Poisson(c) draw: the summed Poisson(1) weight of c rows.  Exact inverse CDF for
+    small c (an ``aggregate`` over k), normal approximation (Box-Muller) above."""
+    exact = F.expr(
+        f"aggregate(sequence(0, {4 * POISSON_EXACT_MAX}), "
+        "named_struct('k', -1, 'p', exp(-cast(_pc AS double)), 'cdf', 0D), "
+        "(acc, i) -> IF(acc.cdf >= _pu, acc, named_struct('k', i, "
+        "'p', IF(i = 0, acc.p, acc.p * _pc / i), 'cdf', acc.cdf + IF(i = 0, acc.p, acc.p * _pc / i))), "
+        "acc -> IF(acc.k < 0, 0, acc.k))")
+    z = F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * 3.141592653589793 * u2)
+    approx = F.greatest(F.lit(0), F.round(c + F.sqrt(c.cast("double")) * z).cast("long"))
+    return F.when(c <= POISSON_EXACT_MAX, exact.cast("long")).otherwise(approx)
+
+
+def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: str | None = None,
                           n_boot: int = 1000, seed: int = 42, ci: float = 95.0) -> DataFrame:
     """Grouped mean with a percentile bootstrap interval (the bar-plot error bar).
 
-    Poisson bootstrap: every row gets an independent Poisson(1) weight per replicate from a
-    hash of (seed, id, replicate), so replicates need no shuffle of the rows and no
-    per-group collection; each replicate mean is a weighted mean computed by one partial
-    aggregation over (target, replicate).  Interval = percentiles of the replicate means.
-    """
+    Poisson bootstrap on value cells: every bar is the mean of one (target, column), so
+    its rows collapse to (value, count) cells; in replicate b a cell of c rows weighs
+    Poisson(c) (the sum of c independent Poisson(1) row weights).  Work is
+    targets x columns x distinct values x replicates, after one value-count scan, however
+    many rows there are.  Interval = percentiles of the replicate means."""
     lo, hi = (100.0 - ci) / 200.0, 1.0 - (100.0 - ci) / 200.0
-    b = F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")
-    rows = df.where(F.col(target).isNotNull()).select(target, id_col, *cols, b)
-    u = (F.abs(F.xxhash64(F.lit(seed), F.col(id_col), F.col("rep")) % F.lit(1 << 30))
-         / F.lit(float(1 << 30)))
-    rows = rows.withColumn("w", _poisson1(u))
-    reps = rows.groupBy(target, "rep").agg(
-        *[(F.sum(F.col("w") * F.col(c).cast("double")) / F.sum(F.when(F.col(c).isNotNull(), F.col("w"))))
-          .alias(c) for c in cols])
-    long = reps.unpivot([target, "rep"], cols, "column_name", "boot_mean")
-    ci_df = long.groupBy(target, "column_name").agg(
+    vc = value_counts(df, target, cols)
+    reps = vc.select(target, "column_name", "value", "n",
+                     F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
+    u = _uniform(seed, F.col(target).cast("string"), F.col("column_name"), F.col("value"), F.col("rep"))
+    u2 = _uniform(seed + 1, F.col(target).cast("string"), F.col("column_name"), F.col("value"), F.col("rep"))
+    reps = reps.withColumn("_pc", F.col("n")).withColumn("_pu", u)
+    reps = reps.withColumn("w", poisson_count(F.col("n"), u, u2)).drop("_pc", "_pu")
+    boot = reps.groupBy(target, "column_name", "rep").agg(
+        (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("boot_mean"))
+    ci_df = boot.groupBy(target, "column_name").agg(
         F.percentile("boot_mean", F.array(F.lit(lo), F.lit(hi))).alias("q"))
     means = group_means(df, target, cols)
     return (means.join(ci_df, [target, "column_name"])

@@ -78,3 +78,19 @@ def test_base_bundle_formulas(spark):
     assert r0["WI_SW_Sum"] == 2 and r0["Occupation_Count"] == 1
     assert r0["Weight_Yes_Flag"] == 1 and r0["Long_Time_Indoors"] == 1
     assert r0["Mental_Stress_Frustration_Score"] == 4.0
+
+
+def test_bootstrap_interval_matches_binomial_width(spark):
+    import random
+
+    from canopy.operators import profile as PR
+
+    rnd = random.Random(4)
+    rows = [(i, i % 2, int(rnd.random() < 0.3)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "rid long, t int, d int")
+    r = {x["t"]: x for x in PR.group_means_bootstrap(df, "t", ["d"], n_boot=400).collect()}
+    for t, x in r.items():
+        p, n = x["mean"], 2000
+        se = math.sqrt(p * (1 - p) / n)
+        assert x["ci_low"] < p < x["ci_high"]
+        assert abs((x["ci_high"] - x["ci_low"]) - 2 * 1.96 * se) < 0.35 * 2 * 1.96 * se
