@@ -205,26 +205,45 @@ def encoded_first(df: DataFrame, encoded: list[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- whole preprocess
-def preprocess(df: DataFrame, variant: str = "pp", fit_on: DataFrame | None = None) -> DataFrame:
+def fit_preprocess(df: DataFrame, nominal: list[str] | None = None) -> dict:
+    """Everything preprocessing fits, in ONE aggregation over the raw survey: medians of
+    the mapped ordinal answers, sorted levels of the nominal answers and of the target,
+    and the distinct mapped Age codes (for the Age_Group dummies).  ``collect_set`` state
+    is bounded by the number of levels, ``percentile`` state by distinct answers."""
+    nominal = NOMINAL_COLUMNS if nominal is None else nominal
+    mapped = {c: ordinal_code(c, ORDINAL_MAPS[c]) for c in ORDINAL_COLUMNS}
+    row = df.agg(
+        *[F.percentile(v, 0.5).alias(f"med__{c}") for c, v in mapped.items()],
+        *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"lv__{c}") for c in nominal + [TARGET]],
+        F.array_sort(F.collect_set(mapped["Age"])).alias("age_codes"),
+    ).first()
+    medians = {c: (None if row[f"med__{c}"] is None else float(row[f"med__{c}"])) for c in ORDINAL_COLUMNS}
+    age = set(row["age_codes"] or [])
+    if medians["Age"] is not None:
+        age.add(medians["Age"])
+    return {"medians": medians, "levels": {c: list(row[f"lv__{c}"] or []) for c in nominal + [TARGET]},
+            "age_groups": sorted(AGE_GROUP_LABELS[int(a)] for a in age
+                                 if float(a).is_integer() and int(a) in AGE_GROUP_LABELS)}
+
+
+def preprocess(df: DataFrame, variant: str = "pp", fit_on: DataFrame | None = None,
+               fitted: dict | None = None) -> DataFrame:
     """The reference's preprocessing as one lazy plan.
 
     ``pp``  : ordinal maps, median impute of the 8 ordinal columns, dummies drop-first for
               Gender / Occupation / Work_Interest / Social_Weakness, target category code.
     ``pp2`` : same but Work_Interest becomes Yes=1 else 0 and gets no dummies.
-    Medians and levels are fitted on ``fit_on`` (default: the frame itself, as the reference).
+    Parameters are fitted on ``fit_on`` (default: the frame itself, as the reference) in
+    one aggregation, or taken from ``fitted`` (see ``fit_preprocess``).
     """
     if variant not in ("pp", "pp2"):
         raise ValueError(f"unknown variant {variant!r}")
-    src = fit_on if fit_on is not None else df
-    enc = ordinal_encode(df)
-    medians = fit_medians(ordinal_encode(src), ORDINAL_COLUMNS)
-    enc = impute(enc, medians)
+    nominal = NOMINAL_COLUMNS_PP2 if variant == "pp2" else NOMINAL_COLUMNS
+    fitted = fitted or fit_preprocess(fit_on if fit_on is not None else df, NOMINAL_COLUMNS)
+    enc = impute(ordinal_encode(df), fitted["medians"])
     if variant == "pp2":
         enc = enc.withColumn("Work_Interest", binarize("Work_Interest"))
-        nominal = NOMINAL_COLUMNS_PP2
-    else:
-        nominal = NOMINAL_COLUMNS
-    levels = fit_levels(src, nominal + [TARGET])
+    levels = fitted["levels"]
     enc = enc.withColumn(TARGET, category_code(TARGET, levels[TARGET]))
     return one_hot(enc, nominal, drop_first=True, levels={c: levels[c] for c in nominal})
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,18 @@ def _memo(spark: SparkSession, sf: str, name: str, fn):
     return _MEMO[key]
 
 
+def model_input(df: DataFrame) -> DataFrame:
+    """The feature table every growth and refit of a strategy reads: persisted once
+    (memory, spilling to disk), as iterative Spark ML fits do with their input."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def encoded_survey(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
+    survey = load_survey(spark, sf)
+    fitted = E.fit_preprocess(survey)
+    return E.preprocess(survey, "pp", fitted=fitted), fitted
+
+
 def feature_names(df: DataFrame, drop: tuple[str, ...] = ()) -> list[str]:
     skip = {ID, TARGET, "split", "fold", "outer", "cfold", *drop}
     return [c for c in df.columns if c not in skip and not c.startswith("inner_") and not c.startswith("_")]
@@ -56,9 +69,9 @@ class Baseline:
 
 def baseline(spark: SparkSession, sf: str) -> Baseline:
     def run():
-        fe = FE.base(E.preprocess(load_survey(spark, sf)))
+        fe = FE.base(encoded_survey(spark, sf)[0])
         feats = feature_names(fe)
-        data = SP.kfold(SP.holdout_split(fe, ID, TARGET, 0.2), ID, 5)
+        data = model_input(SP.kfold(SP.holdout_split(fe, ID, TARGET, 0.2), ID, 5))
         params = S.Params(max_depth=S.BASELINE["max_depth"], min_samples_leaf=S.BASELINE["min_samples_leaf"])
         roots = ([TR.Root(f"cv{f}", f"fold <> {f}", f"fold = {f}") for f in range(5)]
                  + [TR.Root("all", "true"), TR.Root("holdout", "split = 'train'", "split = 'test'")])
@@ -77,7 +90,8 @@ class Holdout:
 
 
 def holdout_frame(spark: SparkSession, sf: str) -> DataFrame:
-    fe = FE.banded4(E.preprocess(load_survey(spark, sf)))
+    pp, fitted = encoded_survey(spark, sf)
+    fe = FE.banded4(pp, age_levels=fitted["age_groups"])
     fe = SP.three_way_split(fe, ID, TARGET, 0.2, 0.25)
     train = SP.kfold(fe.where(F.col("split") == "train"), ID, 5)
     rest = fe.where(F.col("split") != "train").withColumn(
@@ -87,7 +101,7 @@ def holdout_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 def holdout(spark: SparkSession, sf: str, grid: dict | None = None) -> Holdout:
     def run():
-        data = holdout_frame(spark, sf)
+        data = model_input(holdout_frame(spark, sf))
         feats = feature_names(data)
         res = S.grid_search(data, feats, TARGET, "fold", list(range(5)), grid or S.GRID_HOLDOUT,
                             scoring="roc_auc", where="fold <= 4", keep=["fold"])
@@ -127,7 +141,7 @@ def nested_frame(spark: SparkSession, sf: str, k_outer: int = 5, k_inner: int =
 def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int = 5,
            k_inner: int = 3) -> Nested:
     def run():
-        data = nested_frame(spark, sf, k_outer, k_inner)
+        data = model_input(nested_frame(spark, sf, k_outer, k_inner))
         feats = feature_names(data)
         keep = ["outer", "cfold", "split"] + [f"inner_{o}" for o in range(k_outer)]
         params = S.expand_grid(grid or S.GRID_NESTED)
