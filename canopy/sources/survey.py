@@ -89,8 +89,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a too-coarse input (e.g. one file with one row group) over the
+    cluster's cores; an input already split at least that finely is left as it is, so at
+    scale this adds no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def load_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survey_from_tables(read_table(spark, sf_dir, "orders"),
+    return survey_from_tables(spread(read_table(spark, sf_dir, "orders")),
                               read_table(spark, sf_dir, "customer"))
 
 
