@@ -97,11 +97,40 @@ def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "pro
     return sc.withColumn("tot_pos", F.sum("pos").over(w)).withColumn("tot_neg", F.sum("neg").over(w))
 
 
+SCORE_BUCKETS = 4096  # first stage of the running sums: buckets of the score range [0, 1]
+
+
+def running_sums(sc: DataFrame, group: list[str], cols: list[str], descending: bool,
+                 inclusive: bool = True, with_index: bool = False) -> DataFrame:
+    """Running sums of ``cols`` over distinct scores per group, in two stages so that no
+    window holds more than one score bucket: sums per (group, bucket) -> prefix over at
+    most ``SCORE_BUCKETS`` buckets -> prefix inside each bucket + offset.  Equal to the
+    one-window result because the bucket is monotone in the score (scores in [0, 1]).
+    ``_i`` (optional) is the 1-based position of the score in that order."""
+    b = F.floor(F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)) * (SCORE_BUCKETS - 1))
+    x = sc.withColumn("_b", (-b if descending else b).cast("long"))
+    per = x.groupBy(*group, "_b").agg(*[F.sum(c).alias(f"_bs_{c}") for c in cols],
+                                      F.count(F.lit(1)).alias("_bn"))
+    wg = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_b")
+    prev = wg.rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select(*group, "_b", *[F.coalesce(F.sum(f"_bs_{c}").over(prev), F.lit(0)).alias(f"_off_{c}")
+                                     for c in cols],
+                     F.coalesce(F.sum("_bn").over(prev), F.lit(0)).alias("_off_n"))
+    j = x.join(off, [*group, "_b"])  # offsets: groups x buckets rows, a small table
+    order = F.desc("score") if descending else F.asc("score")
+    wi = Window.partitionBy(*group, "_b").orderBy(order)
+    frame = wi.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    for c in cols:
+        name = f"cum_{c}" if inclusive else f"below_{c}"
+        j = j.withColumn(name, F.coalesce(F.sum(c).over(frame), F.lit(0)) + F.col(f"_off_{c}"))
+    if with_index:
+        j = j.withColumn("_i", (F.row_number().over(wi) + F.col("_off_n")).cast("int"))
+    return j.drop("_b", "_off_n", *[f"_off_{c}" for c in cols])
+
+
 def _cumulative_desc(sc: DataFrame, group: list[str]) -> DataFrame:
-    w = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy(F.desc("score"))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return (sc.withColumn("tp", F.sum("pos").over(run)).withColumn("fp", F.sum("neg").over(run))
-            .withColumn("_i", F.row_number().over(w)))
+    out = running_sums(sc, group, ["pos", "neg"], descending=True, with_index=True)
+    return out.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
 
 
 def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
@@ -134,10 +163,8 @@ def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
 
 def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     """E5 on a (group..., score, pos, neg) table, e.g. label counts per tree leaf."""
-    sc = _totals(sc, group)
-    w = ((Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("score")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    sc = sc.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    sc = running_sums(_totals(sc, group), group, ["neg"], descending=False, inclusive=False)
+    sc = sc.withColumnRenamed("below_neg", "neg_below")
     agg = sc.groupBy(*group).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("s"),
         F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))

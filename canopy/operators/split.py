@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK, N_CLASS = "_rank", "_n_class"
+BROADCAST_ROWS = 2_000_000   # offset tables above this are joined with a shuffle
 
 
 def hash_key(id_col: str, seed: int = 42) -> Column:
@@ -31,7 +32,10 @@ def two_stage_rank(df: DataFrame, partition: list[str], order: list[Column], buc
     size, without a window whose partition is a whole class.  ``bucket`` must be monotone
     in ``order`` (a prefix of the leading sort key)."""
     b = df.withColumn("_bucket", bucket)
-    counts = b.groupBy(*partition, "_bucket").agg(F.count(F.lit(1)).alias("_nb"))
+    # (partition, bucket) counts: at most classes x buckets rows; cached because it is
+    # sized (to pick the join) and then read again for the offsets
+    counts = b.groupBy(*partition, "_bucket").agg(F.count(F.lit(1)).alias("_nb")).cache()
+    n_off = counts.count()
     wp = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
     offsets = counts.select(
         *partition, "_bucket",
@@ -41,14 +45,15 @@ def two_stage_rank(df: DataFrame, partition: list[str], order: list[Column], buc
     offsets = offsets.fillna(0, subset=["_off"])
     inner = Window.partitionBy(*partition, "_bucket").orderBy(*order)
     ranked = b.withColumn("_inner", F.row_number().over(inner))
-    # offsets: (classes x buckets) rows, bounded by 16^digits per class -> safe to broadcast
-    out = ranked.join(F.broadcast(offsets), [*partition, "_bucket"])
+    # offsets: (classes x buckets) rows; broadcast only under a checked row bound
+    offsets = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
+    out = ranked.join(offsets, [*partition, "_bucket"])
     return out.withColumn(rank_col, (F.col("_off") + F.col("_inner")).cast("long")).drop(
         "_bucket", "_inner", "_off")
 
 
 def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42,
-              digits: int = 3) -> DataFrame:
+              digits: int = 4) -> DataFrame:
     """Rank by md5 order, per class when ``label`` is given (NULL label is its own class)."""
     h = hash_key(id_col, seed)
     b = df.withColumn("_h", h)

@@ -101,11 +101,13 @@ def _brute_ap(ys, ps):
     return ap
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_auc_ap_against_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,digits", [(1, 1), (2, 1), (3, None)])
+def test_auc_ap_against_brute_force(spark, seed, digits):
     rnd = random.Random(seed)
-    ys = [rnd.randint(0, 1) for _ in range(300)]
-    ps = [round(rnd.random() * (0.5 + 0.5 * y), 1) for y in ys]  # many ties
+    ys = [rnd.randint(0, 1) for _ in range(600)]
+    ps = [rnd.random() * (0.5 + 0.5 * y) for y in ys]
+    if digits is not None:
+        ps = [round(p, digits) for p in ps]  # many ties; unrounded: one score per bucket
     df = spark.createDataFrame([(0, y, p, int(p > 0.5)) for y, p in zip(ys, ps)], "g int, y int, prob double, pred int")
     auc = MT.roc_auc(df, ["g"]).first()["roc_auc"]
     ap = MT.average_precision(df, ["g"]).first()["average_precision"]
