@@ -95,9 +95,35 @@ def impurity_py(a: float, b: float, criterion: str) -> float:
 
 
 # --------------------------------------------------------------------------- inputs
-def make_cells(df: DataFrame, features: list[str], label: str, keep: list[str]) -> DataFrame:
+MAX_BINS = 256
+
+
+def fit_bins(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> dict[str, list[float]]:
+    """Bin edges for features with more than ``max_bins`` distinct values (approximate
+    distinct count, then approximate quantiles, as Spark ML trees do).  Features at or under
+    the bound keep exact values, so survey codes are never binned."""
+    nd = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in features]).first()
+    wide = [c for c in features if (nd[c] or 0) > max_bins]
+    if not wide:
+        return {}
+    qs = F.array(*[F.lit(i / max_bins) for i in range(1, max_bins)])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), qs, 10_000).alias(c) for c in wide]).first()
+    return {c: sorted(set(float(v) for v in row[c] if v is not None)) for c in wide}
+
+
+def binned(c: str, edges: list[float]) -> Column:
+    """Value -> the upper edge of its bin (values above the last edge keep +inf)."""
+    arr = F.array(*[F.lit(e) for e in edges] + [F.lit(float("inf"))])
+    pos = F.size(F.filter(arr, lambda e: e < F.col(c).cast("double"))) + 1
+    return F.when(F.col(c).isNull(), F.lit(None).cast("double")).otherwise(F.element_at(arr, pos))
+
+
+def make_cells(df: DataFrame, features: list[str], label: str, keep: list[str],
+               bins: dict[str, list[float]] | None = None) -> DataFrame:
     """Distinct (x, y, keep...) with row counts: partial aggregation before the shuffle."""
-    x = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    bins = bins or {}
+    x = F.array(*[binned(c, bins[c]) if c in bins else F.col(c).cast("double")
+                  for c in features]).alias("x")
     return (df.select(x, F.col(label).cast("int").alias("y"), *keep)
             .groupBy("x", "y", *keep).agg(F.count(F.lit(1)).alias("n")))
 
@@ -214,7 +240,8 @@ def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
 ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int"
 
 
-def level_job(assign: DataFrame, active: DataFrame, n_active: int) -> DataFrame:
+def level_job(assign: DataFrame, active: DataFrame, n_active: int,
+              binned_flags: list[bool] | None = None) -> DataFrame:
     """ONE job per level, three exchanges: histogram aggregation, one window pass per
     (spec, node, feature) for running sums and node totals, one aggregation per
     (spec, node) returning its statistics (train / eval label counts from the role
@@ -236,8 +263,12 @@ def level_job(assign: DataFrame, active: DataFrame, n_active: int) -> DataFrame:
         "w0 * tot0 AS n0", "w1 * tot1 AS n1")
     c = c.selectExpr("*", f"{impurity_sql('a0', 'a1')} AS il", f"{impurity_sql('b0', 'b1')} AS ir",
                      f"{impurity_sql('n0', 'n1')} AS inode")
+    # binned features split at the left bin edge, so raw values score like their bins
+    flags = binned_flags or []
+    is_binned = (f"element_at(array(false, {', '.join('true' if b else 'false' for b in flags)}), "
+                 "cast(j AS int) + 1)" if any(flags) else "false")
     c = c.selectExpr(
-        "*", "IF((v + v_next) / 2D = v_next, v, (v + v_next) / 2D) AS thr",
+        "*", f"IF({is_binned} OR (v + v_next) / 2D = v_next, v, (v + v_next) / 2D) AS thr",
         "(n0 + n1) * inode - (a0 + a1) * il - (b0 + b1) * ir AS gain")
     best = ("max_by(struct(j - 1 AS j, thr AS threshold, gain), "
             "IF(ok, struct(round(gain / (n0 + n1), 12), -j, -thr), NULL)) AS b")
@@ -251,7 +282,7 @@ def level_job(assign: DataFrame, active: DataFrame, n_active: int) -> DataFrame:
 
 def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
          specs: list[GrowSpec], keep: list[str] | None = None,
-         checkpoint_every: int = 3) -> Growth:
+         checkpoint_every: int = 3, max_bins: int | None = MAX_BINS) -> Growth:
     """Grow every spec to its ``max_depth`` (None: until no node can split).
 
     The assignment table is cached per level and reliably checkpointed every
@@ -260,7 +291,9 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
     spark = df.sparkSession
     root_by_name = {r.name: r for r in roots}
     crit_code = {"gini": 0, "entropy": 1}
-    cells = make_cells(df, features, label, keep or [])
+    bins = fit_bins(df, features, max_bins) if max_bins else {}
+    flags = [c in bins for c in features]
+    cells = make_cells(df, features, label, keep or [], bins)
     assign = cut_lineage(assign_roots(cells, roots))
 
     # class counts of every root's training rows -> class weights per spec
@@ -277,7 +310,7 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
     while active:
         act = [(gid, node, key, crit_code[spec_of[gid].criterion], *weights[gid],
                 spec_of[gid].min_samples_leaf) for (gid, node), key in active.items()]
-        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), len(act)).collect()
+        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), len(act), flags).collect()
         next_active, split_rows = {}, {}
         for r in result:
             s_ = spec_of[r["gid"]]

@@ -156,3 +156,23 @@ def test_predict_expr_and_roundtrip(spark, tmp_path):
     assert p1 == p2
     imp = TR.importances(tree, ["a", "b", "c"])
     assert math.isclose(imp.importance.sum(), 1.0)
+
+
+def test_high_cardinality_feature_is_binned_and_scores_consistently(spark):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(3000):
+        x = rnd.random()
+        rows.append((i, x, float(rnd.randint(0, 2)), int((x > 0.37) != (rnd.random() < 0.1))))
+    df = spark.createDataFrame(rows, "rid long, x double, k double, y int")
+    g = TR.grow(df, ["x", "k"], "y", [TR.Root("all", "true")], [TR.GrowSpec(0, "all", "gini", None, 1, 3)],
+                max_bins=16)
+    bins = TR.fit_bins(df, ["x", "k"], 16)
+    assert set(bins) == {"x"}                      # the 3-valued feature stays exact
+    tree = TR.tree_of(g.nodes, 0)
+    assert tree[1]["feature"] == 0 and any(abs(tree[1]["threshold"] - e) < 1e-12 for e in bins["x"])
+    # scoring raw values lands every row in the leaf it was counted in during growth
+    leaf = df.select(TR.predict_expr(tree, ["x", "k"], "node").alias("leaf")).groupBy("leaf").count().collect()
+    got = {r["leaf"]: r["count"] for r in leaf}
+    want = {i: n["t0"] + n["t1"] for i, n in tree.items() if n["is_leaf"]}
+    assert got == want
