@@ -253,7 +253,8 @@ AGE_YEAR_LABELS = ["0_25", "26_40", "41_plus"]
 def preprocess_years(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """B4 input stage on a survey whose Age is text years (``survey_with_age_years``):
     the other ordinal answers become their numeric codes, every ordinal column is coerced
-    to double (bad text -> NULL) and median-imputed; the target becomes its 0/1 code."""
+    to double (bad text -> NULL) and median-imputed; the target becomes its 0/1 code.
+    Medians and target levels are fitted in ONE aggregation."""
     def numeric(frame: DataFrame) -> DataFrame:
         cols = {c: ordinal_code(c, ORDINAL_MAPS[c]) for c in ORDINAL_COLUMNS if c != "Age"}
         cols["Age"] = coerce_numeric("Age")
@@ -261,9 +262,10 @@ def preprocess_years(df: DataFrame, fit_on: DataFrame | None = None) -> DataFram
 
     out = numeric(df)
     src = out if fit_on is None else numeric(fit_on)
-    out = impute(out, fit_medians(src, ORDINAL_COLUMNS))
-    lv = fit_levels(df if fit_on is None else fit_on, [TARGET])[TARGET]
-    return out.withColumn(TARGET, category_code(TARGET, lv))
+    row = src.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in ORDINAL_COLUMNS],
+                  F.array_sort(F.collect_set(F.col(TARGET))).alias("_levels")).first()
+    out = impute(out, {c: (None if row[c] is None else float(row[c])) for c in ORDINAL_COLUMNS})
+    return out.withColumn(TARGET, category_code(TARGET, list(row["_levels"] or [])))
 
 
 def years(df: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFrame:

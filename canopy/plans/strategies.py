@@ -91,7 +91,7 @@ class Holdout:
 
 def holdout_frame(spark: SparkSession, sf: str) -> DataFrame:
     pp, fitted = encoded_survey(spark, sf)
-    fe = FE.banded4(pp, age_levels=fitted["age_groups"])
+    fe = FE.banded4(pp, age_levels=fitted["age_groups"]).persist(StorageLevel.MEMORY_AND_DISK)
     fe = SP.three_way_split(fe, ID, TARGET, 0.2, 0.25)
     train = SP.kfold(fe.where(F.col("split") == "train"), ID, 5)
     rest = fe.where(F.col("split") != "train").withColumn(
@@ -124,8 +124,8 @@ class Nested:
 
 def nested_frame(spark: SparkSession, sf: str, k_outer: int = 5, k_inner: int = 3) -> DataFrame:
     raw = survey_with_age_years(load_survey(spark, sf))
-    fe = FE.years(FE.preprocess_years(raw))
-    fe = SP.holdout_split(fe, ID, TARGET, 0.2)
+    fe = FE.years(FE.preprocess_years(raw)).persist(StorageLevel.MEMORY_AND_DISK)
+    fe = SP.holdout_split(fe, ID, TARGET, 0.2).persist(StorageLevel.MEMORY_AND_DISK)
     tv = SP.stratified_kfold(fe.where(F.col("split") == "train"), ID, TARGET, k_outer, keep_rank=True)
     tv = tv.withColumnRenamed("fold", "outer")
     tv = tv.withColumns({f"inner_{o}": SP.inner_fold(F.col(SP.RANK), F.lit(o), k_outer, k_inner)
