@@ -223,35 +223,39 @@ def pearson(a: str, b: str) -> Column:
 def _centered_moments(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, dict]:
     """Two passes, both single aggregations: (1) per-column non-NULL count and mean;
     (2) sums of centered cross products per pair.  A pair of NULL-free columns needs one
-    sum; a pair touching a column with NULLs gets pairwise-complete (masked) sums."""
+    sum; a pair touching a column with NULLs gets pairwise-complete (masked) sums.
+    Written as SQL text: one parse in the JVM however many pairs there are."""
     cols = sorted({c for p in pairs for c in p})
-    first = df.agg(F.count(F.lit(1)).alias("_n"),
-                   *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(cols)],
-                   *[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
-    n = first["_n"]
     idx = {c: i for i, c in enumerate(cols)}
+
+    def q(c):
+        return "`" + c.replace("`", "``") + "`"
+
+    first = df.selectExpr("count(1) AS _n", *[f"count({q(c)}) AS n_{idx[c]}" for c in cols],
+                          *[f"avg(CAST({q(c)} AS DOUBLE)) AS m_{idx[c]}" for c in cols]).first()
+    n = first["_n"]
     complete = {c for c in cols if first[f"n_{idx[c]}"] == n}
-    mean = {c: (first[f"m_{idx[c]}"] or 0.0) for c in cols}
 
-    def d(c):
-        return F.col(c).cast("double") - F.lit(mean[c])
+    def d(c):  # centered value; the mean enters as an exact double literal
+        m = first[f"m_{idx[c]}"] or 0.0
+        return f"(CAST({q(c)} AS DOUBLE) - CAST('{m!r}' AS DOUBLE))"
 
     aggs, names = [], {}
     for c in cols:
         if c in complete:
-            aggs.append(F.sum(d(c) * d(c)).alias(f"ss_{idx[c]}"))
+            aggs.append(f"sum({d(c)} * {d(c)}) AS ss_{idx[c]}")
     for k, (a, b) in enumerate(pairs):
         if a in complete and b in complete:
-            aggs.append(F.sum(d(a) * d(b)).alias(f"sab_{k}"))
+            aggs.append(f"sum({d(a)} * {d(b)}) AS sab_{k}")
             names[k] = ("complete", a, b)
         else:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            da, db = F.when(both, d(a)), F.when(both, d(b))
-            aggs += [F.count(da).alias(f"n_{k}"), F.sum(da).alias(f"sa_{k}"), F.sum(db).alias(f"sb_{k}"),
-                     F.sum(da * db).alias(f"sab_{k}"), F.sum(da * da).alias(f"saa_{k}"),
-                     F.sum(db * db).alias(f"sbb_{k}")]
+            both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
+            da, db = f"IF({both}, {d(a)}, NULL)", f"IF({both}, {d(b)}, NULL)"
+            aggs += [f"count({da}) AS n_{k}", f"sum({da}) AS sa_{k}", f"sum({db}) AS sb_{k}",
+                     f"sum({da} * {db}) AS sab_{k}", f"sum({da} * {da}) AS saa_{k}",
+                     f"sum({db} * {db}) AS sbb_{k}"]
             names[k] = ("masked", a, b)
-    return df.agg(*aggs), {"names": names, "idx": idx}
+    return df.selectExpr(*aggs), {"names": names, "idx": idx}
 
 
 def _clamp(c: Column) -> Column:

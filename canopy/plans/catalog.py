@@ -178,6 +178,16 @@ def q_corr_with_target(spark, sf):
     return PR.corr_with_target(pp, TARGET, _numeric_cols(pp))
 
 
+def q_corr_matrix_features(spark, sf):
+    fe = base_features(spark, sf)
+    return PR.corr_matrix(fe, _numeric_cols(fe))
+
+
+def q_corr_with_work_interest(spark, sf):
+    pp = encoded(spark, sf, "pp2")
+    return PR.corr_with_target(pp, "Work_Interest", _numeric_cols(pp))
+
+
 def q_corr_with_target_features(spark, sf):
     fe = base_features(spark, sf)
     return PR.corr_with_target(fe, TARGET, _numeric_cols(fe))
@@ -285,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "corr_matrix": q_corr_matrix,
     "corr_with_target": q_corr_with_target,
     "corr_with_target_features": q_corr_with_target_features,
+    "corr_matrix_features": q_corr_matrix_features,
+    "corr_with_work_interest": q_corr_with_work_interest,
     "features_base": q_features_base,
     "features_banded3": q_features_banded3,
     "features_banded4": q_features_banded4,

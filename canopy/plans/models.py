@@ -139,6 +139,15 @@ def q_final_test_report(spark, sf):
     return rep.withColumn("split", name).drop("root")
 
 
+def q_final_train_report(spark, sf):
+    """E8 overfit check: the final model's report on its own training rows (train + val),
+    from the training label counts of its leaves."""
+    h = ST.holdout(spark, sf)
+    train = h.fitted.leaves.where(F.col("root") == 1).drop("e0", "e1").withColumnRenamed(
+        "t0", "e0").withColumnRenamed("t1", "e1")
+    return S.report_from_leaves(train, ["root"]).withColumn("split", F.lit("train+val")).drop("root")
+
+
 def q_final_importances(spark, sf):
     h = ST.holdout(spark, sf)
     imp = S.importances_table(h.fitted.trees["test"], h.features, 10).reset_index(drop=True)
@@ -193,6 +202,7 @@ MODEL_QUERIES = {
     "best_cv_scores": q_best_cv_scores,
     "final_test_report": q_final_test_report,
     "final_importances": q_final_importances,
+    "final_train_report": q_final_train_report,
     "nested_cv": q_nested_cv,
     "oof_predictions": q_oof_predictions,
     "nested_test_report": q_nested_test_report,

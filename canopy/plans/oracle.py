@@ -411,19 +411,19 @@ def _sql_density_grid(gridsize: int = 100) -> str:
               "GROUP BY g.Coping_Struggles, g.column_name, g.point, g.x, g.n_obs, g.bw, q.q1, q.median, q.q3")
 
 
-def _sql_corr_matrix(cols: list[str]) -> str:
+def _sql_corr_matrix(cols: list[str], prefix: list[str] | None = None, src: str = "pp") -> str:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     aggs = ", ".join(f"coalesce(corr(CAST({_q(a)} AS DOUBLE), CAST({_q(b)} AS DOUBLE)), 'NaN'::DOUBLE) "
                      f"AS {_q(a + '|' + b)}" for a, b in pairs)
     up = ("up AS (SELECT split_part(pair, '|', 1) AS col_a, split_part(pair, '|', 2) AS col_b, "
           "round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr FROM (UNPIVOT (SELECT " + aggs
-          + " FROM pp) ON COLUMNS(*) INTO NAME pair VALUE c) )")
-    return (with_ctes(*BASE_PREFIX, up)
+          + f" FROM {src}) ON COLUMNS(*) INTO NAME pair VALUE c) )")
+    return (with_ctes(*(prefix or BASE_PREFIX), up)
             + "SELECT col_a, col_b, corr FROM up UNION ALL SELECT col_b, col_a, corr FROM up WHERE col_a <> col_b")
 
 
-def _sql_corr_with_target(prefix: list[str], src: str, cols: list[str]) -> str:
-    aggs = ", ".join(f"coalesce(corr(CAST({_q(c)} AS DOUBLE), CAST(Coping_Struggles AS DOUBLE)), 'NaN'::DOUBLE) "
+def _sql_corr_with_target(prefix: list[str], src: str, cols: list[str], target: str = "Coping_Struggles") -> str:
+    aggs = ", ".join(f"coalesce(corr(CAST({_q(c)} AS DOUBLE), CAST({target} AS DOUBLE)), 'NaN'::DOUBLE) "
                      f"AS {_q(c)}" for c in cols)
     return (with_ctes(*prefix) + "SELECT column_name, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS corr "
             "FROM (UNPIVOT (SELECT " + aggs + f" FROM {src}) ON COLUMNS(*) INTO NAME column_name VALUE c)")
@@ -431,6 +431,8 @@ def _sql_corr_with_target(prefix: list[str], src: str, cols: list[str]) -> str:
 
 NUMERIC_PP = [c for c in PP_COLS if c != "respondent_id"]
 NUMERIC_FE = [c for c in FE_COLS if c != "respondent_id"]
+PP2_COLS = ["respondent_id", *ORD, "Work_Interest", "Coping_Struggles", *PP2_DUMMIES]
+NUMERIC_PP2 = [c for c in PP2_COLS if c != "respondent_id"]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -482,6 +484,9 @@ def oracle_sql() -> dict[str, str]:
         "corr_matrix": _sql_corr_matrix(NUMERIC_PP),
         "corr_with_target": _sql_corr_with_target(BASE_PREFIX, "pp", NUMERIC_PP),
         "corr_with_target_features": _sql_corr_with_target(BASE_PREFIX + [CTE_THR, CTE_FE], "fe", NUMERIC_FE),
+        "corr_matrix_features": _sql_corr_matrix(NUMERIC_FE, BASE_PREFIX + [CTE_THR, CTE_FE], "fe"),
+        "corr_with_work_interest": _sql_corr_with_target(BASE_PREFIX[:-1] + [CTE_PP2], "pp2", NUMERIC_PP2,
+                                                         "Work_Interest"),
         "features_base": _sql_features_base(),
         "features_banded3": _sql_banded3(),
         "features_banded4": _sql_banded4(),
