@@ -93,8 +93,7 @@ def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "pro
     sc = df.groupBy(*group, F.col(prob).alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
-    w = Window.partitionBy(*group) if group else Window.partitionBy()
-    return sc.withColumn("tot_pos", F.sum("pos").over(w)).withColumn("tot_neg", F.sum("neg").over(w))
+    return _totals(sc, group)
 
 
 SCORE_BUCKETS = 4096  # first stage of the running sums: buckets of the score range [0, 1]
@@ -136,29 +135,40 @@ def _cumulative_desc(sc: DataFrame, group: list[str]) -> DataFrame:
 def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
               drop_intermediate: bool = True) -> DataFrame:
     """(group..., point, threshold, fpr, tpr) from the top score down, starting at
-    (threshold=+inf, 0, 0); collinear intermediate points dropped like scikit-learn."""
+    (threshold=+inf, 0, 0); collinear intermediate points dropped like scikit-learn.
+    Neighbours come from an equi-join on the point index and point numbers from a
+    two-stage prefix count, so no window spans a whole group."""
     c = _cumulative_desc(score_counts(df, group, y, prob), group)
-    w = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_i")
     if drop_intermediate:
-        d2 = lambda col: F.lead(col).over(w) - 2 * F.col(col) + F.lag(col).over(w)
-        keep = (F.lag("tp").over(w).isNull() | F.lead("tp").over(w).isNull()
-                | (d2("tp") != 0) | (d2("fp") != 0))
-        c = c.withColumn("_keep", keep).where("_keep").drop("_keep")
-    pts = c.select(*group, F.col("score").alias("threshold"), "tp", "fp", "tot_pos", "tot_neg", "_i")
-    start = pts.where(F.col("_i") == 1).select(
-        *group, F.lit(INF).alias("threshold"), F.lit(0).cast("long").alias("tp"),
-        F.lit(0).cast("long").alias("fp"), "tot_pos", "tot_neg", F.lit(0).alias("_i"))
+        nb = c.select(*group, "_i", "tp", "fp")
+        prv = nb.select(*group, (F.col("_i") + 1).alias("_i"), F.col("tp").alias("ptp"), F.col("fp").alias("pfp"))
+        nxt = nb.select(*group, (F.col("_i") - 1).alias("_i"), F.col("tp").alias("ntp"), F.col("fp").alias("nfp"))
+        c = c.join(prv, [*group, "_i"], "left").join(nxt, [*group, "_i"], "left")
+        keep = (F.col("ptp").isNull() | F.col("ntp").isNull()
+                | (F.col("ntp") - 2 * F.col("tp") + F.col("ptp") != 0)
+                | (F.col("nfp") - 2 * F.col("fp") + F.col("pfp") != 0))
+        c = c.where(keep)
+    c = c.withColumn("_k", F.lit(1).cast("long"))
+    c = running_sums(c, group, ["_k"], descending=True)  # point = kept points so far
+    pts = c.select(*group, F.col("cum__k").alias("point"), F.col("score").alias("threshold"),
+                   "tp", "fp", "tot_pos", "tot_neg")
+    start = c.where(F.col("_i") == 1).select(
+        *group, F.lit(0).cast("long").alias("point"), F.lit(INF).alias("threshold"),
+        F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "tot_pos", "tot_neg")
     allp = pts.unionByName(start)
-    wp = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_i")
     return allp.select(
-        *group, (F.row_number().over(wp) - 1).alias("point"), _r("threshold").alias("threshold"),
+        *group, F.col("point").cast("int").alias("point"), _r("threshold").alias("threshold"),
         _r(F.when(F.col("tot_neg") > 0, F.col("fp") / F.col("tot_neg"))).alias("fpr"),
         _r(F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos"))).alias("tpr"))
 
 
 def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
-    w = Window.partitionBy(*group) if group else Window.partitionBy()
-    return sc.withColumn("tot_pos", F.sum("pos").over(w)).withColumn("tot_neg", F.sum("neg").over(w))
+    """Group totals joined back (a groupBy, not a window over every distinct score)."""
+    keys = group or ["_all"]
+    x = sc if group else sc.withColumn("_all", F.lit(0))
+    tot = x.groupBy(*keys).agg(F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
+    out = x.join(F.broadcast(tot) if not group else tot, keys)  # one row per group
+    return out if group else out.drop("_all")
 
 
 def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
