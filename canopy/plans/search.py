@@ -201,6 +201,29 @@ def refit(df: DataFrame, features: list[str], label: str, roots: list[TR.Root],
     return Fitted(features, trees, leaves, roots)
 
 
+def fitted_from(growth, leaves: DataFrame, gid_map: dict, variants: list, roots: list[TR.Root],
+                root_idx: list[int], param_of: dict[int, int], features: list[str]) -> Fitted:
+    """Pick already-grown trees out of a shared evaluation: root ``root_idx[i]`` with
+    parameter row ``param_of[root_idx[i]]``; leaves are renumbered to roots 0..n-1."""
+    vmap = {v.vid: v for v in variants}
+    trees, conds = {}, []
+    for new, ri in enumerate(root_idx):
+        pi = param_of[ri]
+        gid, vid = gid_map[(pi, ri)]
+        trees[roots[ri].name] = PRN.derived_tree(TR.tree_of(growth.nodes, gid), vmap[vid])
+        trees[(roots[ri].name, pi)] = trees[roots[ri].name]
+        conds.append((F.col("root") == ri) & (F.col("param_id") == pi))
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond | c
+    mapping = {ri: new for new, ri in enumerate(root_idx)}
+    renum = F.lit(None).cast("int")
+    for ri, new in mapping.items():
+        renum = F.when(F.col("root") == ri, F.lit(new)).otherwise(renum)
+    return Fitted(features, trees, leaves.where(cond).withColumn("root", renum),
+                  [roots[ri] for ri in root_idx])
+
+
 def report_from_leaves(leaves: DataFrame, group: list[str]) -> DataFrame:
     """E3 + E5 + E7 on evaluation counts of derived leaves."""
     c = leaves.groupBy(*group).agg(

@@ -103,10 +103,18 @@ def holdout(spark: SparkSession, sf: str, grid: dict | None = None) -> Holdout:
     def run():
         data = model_input(holdout_frame(spark, sf))
         feats = feature_names(data)
-        res = S.grid_search(data, feats, TARGET, "fold", list(range(5)), grid or S.GRID_HOLDOUT,
-                            scoring="roc_auc", where="fold <= 4", keep=["fold"])
-        roots = [TR.Root("val", "fold <= 4", "fold = 5"), TR.Root("test", "fold <= 5", "fold = 6")]
-        fitted = S.refit(data, feats, TARGET, roots, [res.best, res.best], keep=["fold"])
+        params = S.expand_grid(grid or S.GRID_HOLDOUT)
+        # the 5 CV roots and, speculatively, the two refit roots for every growth key: the
+        # refits then need no second growth loop (growths are shared by all grid rows)
+        roots = ([TR.Root(f"cv{f}", f"(fold <= 4) AND fold <> {f}", f"(fold <= 4) AND fold = {f}")
+                  for f in range(5)]
+                 + [TR.Root("val", "fold <= 4", "fold = 5"), TR.Root("test", "fold <= 5", "fold = 6")])
+        growth, leaves, gid_map, variants = S.evaluate_roots(data, feats, TARGET, roots, params, keep=["fold"])
+        leaves = leaves.cache()
+        fs = S.scores_from_leaves(leaves.where(F.col("root") < 5), ["param_id", "root"])
+        res = S.summarize(spark, params, fs.withColumnRenamed("root", "fold"), "roc_auc")
+        fitted = S.fitted_from(growth, leaves, gid_map, variants, roots, [5, 6],
+                               {5: res.best_index, 6: res.best_index}, feats)
         return Holdout(data, feats, res, fitted)
     return _memo(spark, sf, "holdout", run)
 
@@ -145,16 +153,22 @@ def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int
         feats = feature_names(data)
         keep = ["outer", "cfold", "split"] + [f"inner_{o}" for o in range(k_outer)]
         params = S.expand_grid(grid or S.GRID_NESTED)
-        # phase 1: every (outer, inner) root and every final-search fold x every grid row,
-        # in ONE growth loop (paths shared across growths)
+        # ONE growth loop for everything: every (outer, inner) root, every final-search fold,
+        # and speculatively the outer refit roots and the test root for every growth key
+        # (their parameter rows are only known after the inner search; growths are shared)
         roots = [TR.Root(f"o{o}i{i}", f"split = 'train' AND outer <> {o} AND inner_{o} <> {i}",
                          f"split = 'train' AND outer <> {o} AND inner_{o} = {i}")
                  for o in range(k_outer) for i in range(k_inner)]
         n_inner = len(roots)
         roots += [TR.Root(f"final{f}", f"split = 'train' AND cfold <> {f}", f"split = 'train' AND cfold = {f}")
                   for f in range(5)]
-        _g, leaves, _m, _v = S.evaluate_roots(data, feats, TARGET, roots, params, keep=keep)
-        sc = S.scores_from_leaves(leaves, ["param_id", "root"]).cache()
+        n_search = len(roots)
+        roots += [TR.Root(f"outer{o}", f"split = 'train' AND outer <> {o}", f"split = 'train' AND outer = {o}")
+                  for o in range(k_outer)]
+        roots += [TR.Root("test", "split = 'train'", "split = 'test'")]
+        growth, leaves, gid_map, variants = S.evaluate_roots(data, feats, TARGET, roots, params, keep=keep)
+        leaves = leaves.cache()
+        sc = S.scores_from_leaves(leaves.where(F.col("root") < n_search), ["param_id", "root"]).cache()
         inner = sc.where(F.col("root") < n_inner).withColumn("outer", (F.col("root") / k_inner).cast("int"))
         mean = inner.groupBy("outer", "param_id").agg(F.avg("roc_auc").alias("inner_auc"))
         order = F.struct(F.coalesce(F.col("inner_auc"), F.lit(float("-inf"))), -F.col("param_id"))
@@ -162,26 +176,21 @@ def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int
                 mean.groupBy("outer").agg(F.max_by("param_id", order).alias("best")).collect()}
         fs = (sc.where(F.col("root") >= n_inner).withColumn("fold", F.col("root") - n_inner).drop("root"))
         final = S.summarize(spark, params, fs, "roc_auc")
-        # phase 2: inner winners refit on each outer training part (scored on the outer
-        # fold), the final choice refit per outer fold (out-of-fold) and on train+val (test)
-        oroots = [TR.Root(f"outer{o}", f"split = 'train' AND outer <> {o}",
-                          f"split = 'train' AND outer = {o}") for o in range(k_outer)]
-        troot = TR.Root("test", "split = 'train'", "split = 'test'")
         fb = final.best_index
-        pairs = ([(o, best[o]) for o in range(k_outer)] + [(o, fb) for o in range(k_outer)]
-                 + [(k_outer, fb)])
-        fit2 = S.refit(data, feats, TARGET, oroots + [troot], params, keep=keep, pairs=pairs)
-        pick = F.col("param_id") == F.element_at(
-            F.array(*[F.lit(best[o]) for o in range(k_outer)]), F.col("root") + 1)
-        osc = S.scores_from_leaves(fit2.leaves.where((F.col("root") < k_outer) & pick), ["root"])
-        osc = osc.withColumnRenamed("root", "outer")
+        outer_idx = list(range(n_search, n_search + k_outer))
+        # inner winner refit on each outer training part, scored on the outer fold
+        ofit = S.fitted_from(growth, leaves, gid_map, variants, roots, outer_idx,
+                             {n_search + o: best[o] for o in range(k_outer)}, feats)
+        osc = S.scores_from_leaves(ofit.leaves, ["root"]).withColumnRenamed("root", "outer")
         labels = spark.createDataFrame([(o, best[o], params[best[o]].label()) for o in range(k_outer)],
                                        "outer int, param_id int, params string")
         outer = osc.join(labels, "outer")
-        oof = S.Fitted(feats, {o: fit2.trees[(f"outer{o}", fb)] for o in range(k_outer)},
-                       fit2.leaves.where((F.col("root") < k_outer) & (F.col("param_id") == fb)), oroots)
-        test = S.Fitted(feats, {"test": fit2.trees[("test", fb)]},
-                        fit2.leaves.where(F.col("root") == k_outer), [troot])
+        # the final choice per outer fold (out-of-fold) and on train+val (test)
+        oof = S.fitted_from(growth, leaves, gid_map, variants, roots, outer_idx,
+                            {ri: fb for ri in outer_idx}, feats)
+        oof.trees = {o: oof.trees[f"outer{o}"] for o in range(k_outer)}
+        test = S.fitted_from(growth, leaves, gid_map, variants, roots, [len(roots) - 1],
+                             {len(roots) - 1: fb}, feats)
         return Nested(data, feats, outer, final, oof, test)
     return _memo(spark, sf, "nested", run)
 
