@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.sources.survey import ID, TARGET
+from canopy.sources.survey import TARGET
 
 # ---- fixed values: answer levels and their ordinal codes, in code order ----
 AGE_LEVELS = ["16-20", "20-25", "25-30", "30-Above"]
@@ -252,5 +252,3 @@ def dummy_names(df: DataFrame) -> list[str]:
     """Names of the nominal dummies of a preprocessed table."""
     return with_prefix(df, "Gender_", "Occupation_", "Work_Interest_", "Social_Weakness_")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["ID"]

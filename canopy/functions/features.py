@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from canopy.functions.encode import (
     AGE_GROUP_LABELS, NOMINAL_COLUMNS, ORDINAL_COLUMNS, ORDINAL_MAPS, bin_right_closed,
-    category_code, code_to_label, coerce_numeric, col_or, fit_levels, fit_medians, impute,
+    category_code, code_to_label, coerce_numeric, col_or, fit_levels, impute,
     one_hot, ordinal_code, ordinal_from_levels, row_sum, with_prefix,
 )
-from canopy.sources.survey import ID, TARGET
+from canopy.sources.survey import TARGET
 
 S, FR, M, D = "Growing_Stress", "Quarantine_Frustrations", "Mood_Swings", "Days_Indoors"
 H, W, A, C = "Mental_Health_History", "Weight_Change", "Age", "Changes_Habits"

@@ -90,7 +90,7 @@ def evaluate_roots(df: DataFrame, features: list[str], label: str, roots: list[T
     returns (growth, leaves with p/root index, gid map)."""
     pairs = pairs or [(ri, pi) for ri in range(len(roots)) for pi in range(len(params))]
     pairs = list(dict.fromkeys(pairs))  # a repeated pair would count its leaves twice
-    gkeys, specs, gid_of = {}, [], {}
+    gkeys: dict = {}
     vkeys: dict[tuple, int] = {}
     model_rows = []
     for ri, pi in pairs:
@@ -98,7 +98,6 @@ def evaluate_roots(df: DataFrame, features: list[str], label: str, roots: list[T
         gk = (ri, p.growth_key())
         if gk not in gkeys:
             gkeys[gk] = len(gkeys)
-            specs.append(gk)
         vk = p.variant_key()
         vkeys.setdefault(vk, len(vkeys))
         model_rows.append((gkeys[gk], vkeys[vk], pi, ri))
