@@ -125,3 +125,16 @@ def test_single_class_group_gives_null_auc(spark):
     assert MT.roc_auc(df, ["g"]).first()["roc_auc"] is None
     rep = {r["label"]: r for r in MT.class_report(df, ["g"]).collect()}
     assert rep["0"]["precision"] == 0.0 and rep["1"]["recall"] == 0.5
+
+
+def test_auc_equals_spark_ml_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rnd = random.Random(8)
+    ys = [rnd.randint(0, 1) for _ in range(500)]
+    ps = [round(rnd.random() * (0.4 + 0.6 * y), 2) for y in ys]
+    df = spark.createDataFrame([(0, y, p, int(p > 0.5)) for y, p in zip(ys, ps)], "g int, y int, prob double, pred int")
+    ours = MT.roc_auc(df, ["g"]).first()["roc_auc"]
+    ev = BinaryClassificationEvaluator(rawPredictionCol="prob", labelCol="yd", metricName="areaUnderROC")
+    theirs = ev.evaluate(df.withColumn("yd", F.col("y").cast("double")))
+    assert abs(ours - theirs) < 1e-6
