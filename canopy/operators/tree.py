@@ -237,7 +237,7 @@ def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- growth
-ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int"
+ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int, bal boolean"
 
 
 def level_job(assign: DataFrame, active: DataFrame, n_active: int,
@@ -251,12 +251,18 @@ def level_job(assign: DataFrame, active: DataFrame, n_active: int,
     j = hist.join(_small(active, n_active), "key")
     win = f"PARTITION BY gid, node, j ORDER BY v ASC NULLS LAST"
     c = j.selectExpr(
-        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "w0", "w1", "msl",
+        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "w0", "w1", "msl", "bal",
         f"sum(c0) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0",
         f"sum(c1) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l1",
         "sum(c0) OVER (PARTITION BY gid, node, j) AS tot0",
         "sum(c1) OVER (PARTITION BY gid, node, j) AS tot1",
         f"lead(v) OVER ({win}) AS v_next")
+    # 'balanced' weights are only known at the root: there the feature totals are the root's
+    # training class counts, so the root level computes them itself (no separate job)
+    c = c.selectExpr(
+        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "msl", "l0", "l1", "tot0", "tot1", "v_next",
+        "IF(bal, IF(tot0 > 0, (tot0 + tot1) / (2D * tot0), 1D), w0) AS w0",
+        "IF(bal, IF(tot1 > 0, (tot0 + tot1) / (2D * tot1), 1D), w1) AS w1")
     c = c.selectExpr(
         "*", "j > 0 AND v_next IS NOT NULL AND l0 + l1 >= msl AND (tot0 - l0) + (tot1 - l1) >= msl AS ok",
         "w0 * l0 AS a0", "w1 * l1 AS a1", "w0 * (tot0 - l0) AS b0", "w1 * (tot1 - l1) AS b1",
@@ -296,12 +302,9 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
     cells = make_cells(df, features, label, keep or [], bins)
     assign = cut_lineage(assign_roots(cells, roots))
 
-    # class counts of every root's training rows -> class weights per spec
-    root_counts = {r["key"]: (r["t0"], r["t1"]) for r in node_stats(assign).collect()}
-    weights = {}
-    for s in specs:
-        c0, c1 = root_counts.get(root_by_name[s.root].key, (0, 0))
-        weights[s.gid] = class_weights(s, c0, c1)
+    # class weights per spec; 'balanced' ones are filled in from the root level's counts
+    weights = {s.gid: (1.0, 1.0) if s.class_weight == "balanced" else class_weights(s, 0, 0)
+               for s in specs}
 
     spec_of = {s.gid: s for s in specs}
     active = {(s.gid, 1): root_by_name[s.root].key for s in specs}
@@ -309,11 +312,14 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
     depth, cached = 0, None
     while active:
         act = [(gid, node, key, crit_code[spec_of[gid].criterion], *weights[gid],
-                spec_of[gid].min_samples_leaf) for (gid, node), key in active.items()]
+                spec_of[gid].min_samples_leaf, depth == 0 and spec_of[gid].class_weight == "balanced")
+               for (gid, node), key in active.items()]
         result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), len(act), flags).collect()
         next_active, split_rows = {}, {}
         for r in result:
             s_ = spec_of[r["gid"]]
+            if depth == 0 and s_.class_weight == "balanced":
+                weights[r["gid"]] = class_weights(s_, r["t0"], r["t1"])
             w0, w1 = weights[r["gid"]]
             t0, t1 = r["t0"], r["t1"]
             W0, W1 = w0 * t0, w1 * t1
