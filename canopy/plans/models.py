@@ -126,10 +126,20 @@ def q_grid_search(spark, sf):
     return ST.holdout(spark, sf).search.summary
 
 
+METRIC_COLS = ("accuracy", "roc_auc", "average_precision")
+
+
+def _with_mean_row(df: DataFrame, key: str, extra: dict | None = None) -> DataFrame:
+    """The per-fold rows plus their mean under key -1."""
+    mean = df.agg(F.lit(-1).cast("int").alias(key), *[F.round(F.avg(c), 6).alias(c) for c in METRIC_COLS],
+                  *[F.lit(v).alias(k) for k, v in (extra or {}).items()])
+    return df.unionByName(mean.select(*df.columns))
+
+
 def q_best_cv_scores(spark, sf):
     h = ST.holdout(spark, sf)
     fs = h.search.fold_scores.where(F.col("param_id") == h.search.best_index)
-    return fs.select("fold", "accuracy", "roc_auc", "average_precision")
+    return _with_mean_row(fs.select(F.col("fold").cast("int").alias("fold"), *METRIC_COLS), "fold")
 
 
 def q_final_test_report(spark, sf):
@@ -157,7 +167,9 @@ def q_final_importances(spark, sf):
 
 # --------------------------------------------------------------------------- nested strategy
 def q_nested_cv(spark, sf):
-    return ST.nested(spark, sf).outer
+    outer = ST.nested(spark, sf).outer
+    outer = outer.select(F.col("outer").cast("int").alias("outer"), *METRIC_COLS, "param_id", "params")
+    return _with_mean_row(outer, "outer", {"param_id": None, "params": None})
 
 
 def q_oof_predictions(spark, sf):

@@ -47,7 +47,7 @@ def test_nested_invariants(spark, have_data):
     q = entry.queries()
     n = ST.nested(spark, SF0001)
     outer = q["nested_cv"](spark, SF0001).collect()
-    assert sorted(r["outer"] for r in outer) == [0, 1, 2, 3, 4]
+    assert sorted(r["outer"] for r in outer) == [-1, 0, 1, 2, 3, 4]
     oof = q["oof_predictions"](spark, SF0001)
     tv = n.data.where(F.col("split") == "train")
     assert oof.count() == tv.count() and oof.select("respondent_id").distinct().count() == tv.count()
