@@ -52,6 +52,22 @@ def two_stage_rank(df: DataFrame, partition: list[str], order: list[Column], buc
         "_bucket", "_inner", "_off")
 
 
+def two_stage_rank_by_key(df: DataFrame, partition: list[str], key: str,
+                          buckets: int = 4096) -> DataFrame:
+    """Exact rank by a numeric key: buckets are approximate-quantile ranges of the key
+    (balanced whatever the key's distribution), found by ``Bucketizer``'s binary search in
+    the JVM; buckets are monotone in the key, so the two-stage rank stays exact."""
+    from pyspark.ml.feature import Bucketizer
+
+    qs = [i / buckets for i in range(1, buckets)]
+    edges = df.agg(F.percentile_approx(F.col(key).cast("double"), qs, 10_000).alias("q")).first()["q"] or []
+    splits = [float("-inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
+    b = df.withColumn("_keyd", F.col(key).cast("double"))
+    b = Bucketizer(splits=splits, inputCol="_keyd", outputCol="_kb", handleInvalid="keep").transform(b)
+    out = two_stage_rank(b, partition, [F.col(key)], F.col("_kb"))
+    return out.drop("_keyd", "_kb")
+
+
 def hash_rank(df: DataFrame, id_col: str, label: str | None, seed: int = 42,
               digits: int = 4) -> DataFrame:
     """Rank by md5 order, per class when ``label`` is given (NULL label is its own class)."""
@@ -123,11 +139,7 @@ def contiguous_kfold(df: DataFrame, id_col: str, label: str, k: int = 5) -> Data
     order and fill folds in contiguous blocks.  Block sizes follow the allocation of
     scikit-learn's StratifiedKFold: fold i of class c gets the positions j = i (mod k) of
     the label-sorted vector that fall in class c's range [s_c, s_c + n_c)."""
-    stats = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).first()
-    lo, hi = stats["lo"], stats["hi"]
-    width = max(1, ((hi - lo) // 4096 + 1) if lo is not None else 1)
-    bucket = F.floor((F.col(id_col) - F.lit(lo or 0)) / F.lit(width))
-    r = two_stage_rank(df, [label], [F.col(id_col)], bucket)
+    r = two_stage_rank_by_key(df, [label], id_col)
     # class offsets s_c over sorted labels: (classes) rows
     cls = (r.select(label, N_CLASS).distinct()
            .withColumn("_s", F.coalesce(F.sum(N_CLASS).over(
