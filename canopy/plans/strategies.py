@@ -30,7 +30,8 @@ _MEMO: dict = {}
 
 
 def _memo(spark: SparkSession, sf: str, name: str, fn):
-    key = (id(spark), sf, name)
+    # keyed by the running application, so a new session never sees a stopped one's results
+    key = (spark.sparkContext.applicationId, id(spark), sf, name)
     if key not in _MEMO:
         _MEMO[key] = fn()
     return _MEMO[key]
