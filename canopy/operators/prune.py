@@ -14,11 +14,17 @@ Runs as ``applyInPandas`` grouped by growth: each group is one node table (at mo
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# The per-growth derivation runs in Python workers; ship this module's functions by value so
+# workers need no installed copy of the library (no files, no extra PYTHONPATH).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEAF_SCHEMA = ("gid int, vid int, node long, key long, depth int, t0 long, t1 long, e0 long, "
                "e1 long, prob double, pred int, n_leaves int")
 
