@@ -93,7 +93,9 @@ def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "pro
     sc = df.groupBy(*group, F.col(prob).alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
-    return _totals(sc, group)
+    # small (groups x distinct scores) and read by several branches of the curve plans:
+    # cached so the scored input is evaluated once
+    return _totals(sc.cache(), group)
 
 
 SCORE_BUCKETS = 4096  # first stage of the running sums: buckets of the score range [0, 1]
