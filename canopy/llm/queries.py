@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, packing, seekable
+from . import minhash, outliers, packing, seekable
 from .common import table
 
 
@@ -18,6 +18,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_robust_outliers": op1_robust_outliers,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_seekable_ids": op10_seekable_ids,
