@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, nbsvm, outliers, packing, seekable
+from . import minhash, nbsvm, outliers, packing, secrets, seekable
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
+    "op3_entropy_secrets": op3_entropy_secrets,
     "op5_nbsvm_quality": op5_nbsvm_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
