@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, nbsvm, outliers, packing, secrets, seekable
+from . import minhash, nbsvm, outliers, packing, pii, secrets, seekable
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "ids_crc32", "sequence_id", "offset")
 
 
+def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = seekable.write_files(table(spark, sf_dir, "documents"), word_tokenizer())
     return seekable.read_back(files)
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nbsvm_quality": op5_nbsvm_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_weak_supervision_pii": op8_weak_supervision_pii,
     "op10_seekable_ids": op10_seekable_ids,
 }
 
