@@ -12,8 +12,8 @@ import os
 
 import numpy as np
 
-#: The cache of one worker is emptied beyond so many chunks (about 100 MB); it only saves time.
-CACHE_CHUNKS = 500_000
+#: Chunks in one generation of a worker's cache (about 100 MB); the cache only saves time.
+CACHE_CHUNKS = 800_000
 _CODERS: dict[str, Coder] = {}
 
 
@@ -34,56 +34,77 @@ class Coder:
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # the byte-level letters of the Latin-1 range and its neighbours, read from the library
         self.shown = {i: byte_level.pre_tokenize_str(chr(i))[0][0] for i in range(0x80, 0x130)}
+        self.ends = {"": b""} | {x: _le(self.full.encode(x, add_special_tokens=False).ids) for x in ".,"}
+        #: two generations: what is met again moves from the old one to the new one
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [t.split() if t else [] for t in texts]
+        split = [_lower(t).split() if t else [] for t in texts]
         if len(self.cache) > CACHE_CHUNKS:
-            self.cache = {}
-        self._learn({w for ws in split for w in ws if w not in self.cache})
+            self.old, self.cache = self.cache, {}
+        chunks = set().union(*split)
+        self._learn([w for w in chunks if w not in self.cache])
         get = self.cache.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
-    def _learn(self, chunks: set[bytes]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         """Cache the ids of new chunks.
 
         A chunk of letters below U+0130 is one pre-token: lower-casing is per letter there, so the
         words-only tokenizer takes many at once. A full stop or comma behind a letter is a token of
         its own. Everything else goes to the whole tokenizer.
         """
-        parts: dict[bytes, tuple[str, str]] = {}
-        letters: set[str] = set()
-        other: list[bytes] = []
+        cache, old = self.cache, self.old
+        parts: list[tuple[bytes, bytes, str]] = []
+        letters: set[bytes] = set()
+        other: list[tuple[bytes, str]] = []
         for w in chunks:
-            s = w.decode("utf-8", "replace")
-            core, tail = (s[:-1], s[-1]) if len(s) > 1 and s[-1] in ".," else (s, "")
-            if core.isalpha() and max(core) < "İ":
-                parts[w] = (core := core.lower()), tail
-                letters.add(core)
+            if w in old:
+                cache[w] = old[w]
+            elif w.isalpha() and w.islower():
+                letters.add(w)
             else:
-                other.append(w)
-        known = self._letters(sorted(letters))
-        ends = {"": b""} | {x: _le(self.full.encode(x, add_special_tokens=False).ids) for x in ".,"}
-        for w, (core, tail) in parts.items():
-            self.cache[w] = known[core] + ends[tail]
+                tail = chr(w[-1]) if w[-1] in b".," and len(w) > 1 else ""
+                core = w[:-1] if tail else w
+                if not (core.isalpha() and core.islower()):
+                    s = core.decode("utf-8", "replace")
+                    if not s.isalpha() or max(s) >= "İ":
+                        other.append((w, w.decode("utf-8", "replace")))
+                        continue
+                    core = s.lower().encode()
+                if core in old:
+                    cache[core] = old[core]
+                elif core not in cache:
+                    letters.add(core)
+                if core != w:
+                    parts.append((w, core, tail))
+        self._letters([w for w in letters if w.isascii()])
+        self._letters([w for w in letters if not w.isascii()])
+        for w, b, tail in parts:
+            cache[w] = cache[b] + self.ends[tail]
         for i in range(0, len(other), 2000):
             some = other[i:i + 2000]
-            texts = [w.decode("utf-8", "replace") for w in some]
-            for w, e in zip(some, self.full.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.cache[w] = _le(e.ids)
+            for (w, _), e in zip(some, self.full.encode_batch_fast([s for _, s in some], add_special_tokens=False), strict=True):
+                cache[w] = _le(e.ids)
 
-    def _letters(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
+    def _letters(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 500):
             some = words[i:i + 500]
-            e = self.words.encode(" ".join(some).translate(self.shown), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            ends = np.searchsorted(np.array(e.word_ids), np.arange(len(some)), side="right")
+            line = b" ".join(some).decode()
+            e = self.words.encode(line if line.isascii() else line.translate(self.shown), add_special_tokens=False)
+            ids = _le(e.ids)
+            ends = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(some)), side="right")).tolist()
             at = 0
-            for w, to in zip(some, ends.tolist(), strict=True):
-                out[w] = ids[at:to].tobytes()
+            for w, to in zip(some, ends, strict=True):
+                self.cache[w] = ids[at:to]
                 at = to
-        return out
+
+
+def _lower(text: bytes) -> bytes:
+    """A-Z lower-cased, as the vocabulary does anyway, unless that could write a special token."""
+    low = text.lower()
+    return text if b"<|" in low else low
 
 
 def _le(ids: list[int]) -> bytes:
