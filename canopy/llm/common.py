@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.session import ensure_checkpoint_dir
@@ -61,6 +61,16 @@ def ship(spark: SparkSession) -> None:
     sc._canopy_shipped = True
 
 
+def aside(docs: DataFrame, *used: str) -> DataFrame:
+    """All columns under numbered names, and the `used` ones under their own: no name can clash."""
+    return docs.select(*(F.col(f"`{c}`").alias(f"_col{i}") for i, c in enumerate(docs.columns)), *used)
+
+
+def restored(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns that `aside` renamed, under their names; `changed` ones get a new value."""
+    return df.select(*(changed.get(c, F.col(f"_col{i}")).alias(c) for i, c in enumerate(columns)))
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
     """`rows` turns tuples of a partition into tuples of `schema`; Arrow batches in and out.
 
@@ -95,6 +105,31 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
     return df.mapInArrow(run, schema)
 
 
+def append(df: DataFrame, column: str, made: Callable[[list[bytes | None]], list[tuple]], schema: str,
+           keep: list[str]) -> DataFrame:
+    """The columns `keep`, as they are, and new ones that `made` computes from the texts of a slice."""
+    from pyspark.sql.types import StructType
+
+    ship(df.sparkSession)
+    new = StructType.fromDDL(schema)
+    text = "_text" + "_" * max(map(len, df.columns))
+    inner = df.select(*keep, raw_text(column).alias(text))
+    out_schema = StructType(df.select(*keep).schema.fields + new.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(new)
+        for b in batches:
+            for part in sliced(b):
+                rows = made(part.column(part.num_columns - 1).to_pylist())
+                added = _batch(rows, arrow)
+                yield pa.RecordBatch.from_arrays(part.columns[:-1] + added.columns,
+                                                 names=part.schema.names[:-1] + added.schema.names)
+
+    return inner.mapInArrow(run, out_schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(
@@ -111,6 +146,6 @@ def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, step)
 
 
-def raw_text(col: str = "text") -> F.Column:
+def raw_text(col: str = "text") -> Column:
     """The text as UTF-8 bytes, null as null."""
     return F.col(col).cast("binary")

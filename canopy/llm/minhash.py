@@ -222,6 +222,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The documents without those that duplicate another; all columns stay.
+
+    Rows that repeat a kept doc_id are one document: one of them stays.
+    """
+    found = written(near_duplicates(docs, percent), "near-duplicates")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    if not twice.isEmpty():
+        again = out.join(twice.select("doc_id"), "doc_id", "left_semi")
+        out = out.join(twice.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(
+            again.dropDuplicates(["doc_id"]).select(*docs.columns))
+    return out
+
+
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, n, text) of the nodes' representatives; rows of the same doc_id with another text go."""
     found = (docs.select("doc_id", raw_text().alias("text"))

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, raw_text
+from .common import append, aside, map_rows, raw_text, restored
 from .words import mix, ngram_hashes, word_hashes
 
 BITS = 18
@@ -135,23 +135,19 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
     return fit([np.frombuffer(bytes(r.x), np.int32) for r in got], np.array([r.y for r in got], dtype=np.int64))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted; with `keep`, these columns and score alone."""
+def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns `keep` and the score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB, whatever the corpus
+    return append(docs, "text", lambda texts: [(sent.value.score(features(t)),) for t in texts], "score double", keep)
 
-    def rows(it: Iterator[tuple]) -> Iterator[tuple]:
-        m = sent.value
-        for *key, text in it:
-            yield (*key, m.score(features(text)))
 
-    names = keep or ["doc_id"]
-    kinds = dict(docs.dtypes)
-    scored = map_rows(docs.select(*names, raw_text().alias("_text")), rows,
-                      ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", score double")
-    if keep:
-        return scored
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row."""
+    return score(docs, train(docs, labels), ["doc_id"]).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, train(docs, labels))
+def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents with a score of `least` or more; all columns stay."""
+    scored = score(aside(docs, "text"), model, [f"_col{i}" for i in range(len(docs.columns))])
+    return restored(scored.filter(F.col("score") >= least), docs.columns)

@@ -27,13 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, raw_text, ship, written
+from .common import append, aside, restored, ship, written
 from .words import ngram_hashes, word_hashes
 
 SYMBOLS = "#*$%&|<>"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 NAMES = ["x_length", "x_word", "x_symbols", "x_lines", "x_repeats"]
 P = len(NAMES)
 SCALE, PRIOR_WORDS, PRIOR_WORD_CHARS = 1024, 50, 5
@@ -93,17 +94,10 @@ def repeated_words(words: list[bytes], n: int = 5) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """Counts, base rule, and the transformed statistics as integers."""
-    cols = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-                       F.col("lang").isNull().alias("nl"), F.col("source").isNull().alias("ns"), raw_text().alias("text"))
-
-    def rows(it: Iterator[tuple]) -> Iterator[tuple]:
-        for *key, text in it:
-            yield (*key, *counts(text))
-
-    df = map_rows(cols, rows, "doc_id long, lang string, source string, nl boolean, ns boolean, n_words long, "
-                              "word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """Counts, base rule, and the transformed statistics as integers, beside the columns `keep`."""
+    df = append(docs, "text", lambda texts: [counts(t) for t in texts],
+                ", ".join(f"{c} long" for c in COUNTS), keep)
     n = F.col("n_words") + PRIOR_WORDS
     x = [F.log1p("n_words"), F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_WORD_CHARS) / n),
          F.sqrt(F.col("n_symbols") / n), F.sqrt(10 * F.col("n_dup_lines") / n), F.sqrt(F.col("n_repeat_words") / n)]
@@ -112,9 +106,11 @@ def measure(docs: DataFrame) -> DataFrame:
                      *(F.round(e * SCALE).cast("long").alias(name) for e, name in zip(x, NAMES, strict=True)))
 
 
-def grouped(stats: DataFrame) -> DataFrame:
+def grouped(stats: DataFrame, lang: Column, source: Column) -> DataFrame:
     """Adds `gid`: (language, source), or a pool of small groups, or null if even that is small."""
-    own, pool = ["lang", "source", "nl", "ns"], ["lang", "nl"]
+    own, pool = ["_lang", "_source", "_nl", "_ns"], ["_lang", "_nl"]
+    stats = stats.select("*", F.coalesce(lang, F.lit("")).alias("_lang"), F.coalesce(source, F.lit("")).alias("_source"),
+                         lang.isNull().alias("_nl"), source.isNull().alias("_ns"))
     sizes = stats.filter(~F.col("base_failed")).groupBy(*own).agg(F.count("*").alias("n"))
     small = sizes.filter(F.col("n") < MIN_ROWS)
     by_lang = small.groupBy(*pool).agg(F.sum("n").alias("n_lang"))
@@ -124,7 +120,7 @@ def grouped(stats: DataFrame) -> DataFrame:
            .when(F.col("n_all") >= MIN_ROWS, F.lit("all")))
     # `rest` is one row
     ids = sizes.join(by_lang, pool, "left").crossJoin(F.broadcast(rest)).select(*own, gid.alias("gid"))
-    return stats.join(ids, own, "left")
+    return stats.join(ids, own, "left").drop(*own)
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -179,7 +175,7 @@ def fit(rows: DataFrame) -> DataFrame:
     Starts from medians and median absolute deviations (of the integer statistics, whose range
     bounds the state of an exact percentile), then takes STEPS concentration steps.
     """
-    rows = rows.select("gid", *NAMES).filter("gid IS NOT NULL")
+    rows = written(rows.select("gid", *NAMES).filter("gid IS NOT NULL"), "mcd-rows")
     med = rows.groupBy("gid").agg(*(F.expr(f"percentile({c}, 0.5)").alias("m_" + c) for c in NAMES))
     mad = (rows.join(med, "gid").groupBy("gid")
            .agg(*(F.expr(f"percentile(abs({c} - m_{c}), 0.5)").alias("d_" + c) for c in NAMES)))
@@ -192,11 +188,19 @@ def fit(rows: DataFrame) -> DataFrame:
     return est
 
 
-def judge(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """One row per document: counts, base_failed, distance (null where no estimate applies), kept."""
-    rows = written(grouped(written(measure(docs), "quality-counts")), "quality-groups")
+def judge(docs: DataFrame, alpha: float = ALPHA, keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (doc_id), counts, base_failed, kept, and distance (null without an estimate)."""
+    keep = keep or ["doc_id"]
+    place = list(dict.fromkeys([*keep, "lang", "source"]))
+    # the texts are read and counted once; the table holds what is kept of a row besides
+    stats = written(measure(docs, place), "quality-counts")
+    rows = grouped(stats, F.col("lang"), F.col("source"))
     est = fit(rows.filter(~F.col("base_failed")))
     far = F.coalesce(F.col("distance") > chi2_quantile(1 - alpha, P), F.lit(False))
-    return (_with_distance(rows, est)
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                    (~F.col("base_failed") & ~far).alias("kept"), "distance"))
+    return _with_distance(rows, est).select(*keep, *COUNTS, "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "distance")
+
+
+def keep_good(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """The documents that are kept; all columns stay."""
+    named = [f"_col{i}" for i in range(len(docs.columns))]
+    return restored(judge(aside(docs, "text", "lang", "source"), alpha, named).filter("kept"), docs.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
-from .common import written
+from .common import aside, restored, written
 
 BASE = ["email", "ip", "card", "phone"]
 EXTRA = ["number", "local", "id", "mail"]
@@ -221,12 +221,14 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text_length: str | None = None) -> DataFrame:
-    """The documents with every found span masked; `text_length` names a column of the text's length."""
-    seen = judged(candidates(docs))
-    model = fit(patterns(seen.select("cands")))
-    found = decide(seen, model)
-    out = found.withColumn("_new", F.when(F.size("found") > 0, spans.masked("_t", F.col("found"))).otherwise(F.col("text")))
-    cols = [F.col("_new").alias(c) if c == "text" else
-            F.when(F.size("found") > 0, F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-            if c == text_length else F.col(c) for c in docs.columns]
-    return out.select(*cols)
+    """The documents with every found span masked; all columns stay. `text_length` names a column
+    that holds the text's length and follows it."""
+    seen = judged(candidates(aside(docs, "text")))
+    found = decide(seen, fit(patterns(seen.select("cands"))))
+    hit = F.size("found") > 0
+    found = found.withColumn("_new", F.when(hit, spans.masked("_t", F.col("found"))).otherwise(F.col("text")))
+    changed = {"text": F.col("_new")}
+    if text_length in docs.columns:
+        own = F.col(f"_col{docs.columns.index(text_length)}")
+        changed[text_length] = F.when(hit, F.length("_new").cast(docs.schema[text_length].dataType)).otherwise(own)
+    return restored(found, docs.columns, **changed)

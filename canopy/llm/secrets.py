@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
+from .common import aside
 
 KINDS = ["assign", "access", "hex", "entropy"]
 # The base patterns.
@@ -79,8 +80,9 @@ def _by_class(s: Column, value: int) -> Column:
 
 
 def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
-    """Adds `base` and `secrets` (all spans) to the documents, as arrays of spans."""
-    df = docs.withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
+    """Adds `base` and `secrets` (all spans) to the documents, as arrays of spans; columns of these
+    names are replaced."""
+    df = aside(docs, "text").withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
     df = (df.withColumn("_am", spans.matches("_t", ASSIGN))
           .withColumn("_ag", spans.matches("_t", ASSIGN, 2, only=F.size("_am") > 0))
           .withColumn("_cm", spans.matches("_t", ACCESS, only=F.contains(F.col("_t"), F.lit("AKIA"))))
@@ -100,7 +102,8 @@ def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
         y["x"]["kind"].alias("kind"), (y["x"]["start"] + y["r"]["first"]).alias("start"), (y["x"]["start"] + y["r"]["last"]).alias("end"),
         F.substr(y["x"]["match"], y["r"]["first"] + 1, y["r"]["last"] - y["r"]["first"]).alias("match"), F.lit(None).cast("string").alias("group")))
     df = df.withColumn("secrets", F.concat(F.col("base"), F.coalesce(hot, spans.none())))
-    return df.select(*docs.columns, "base", "secrets")
+    stay = [(f"_col{i}", c) for i, c in enumerate(docs.columns) if c not in ("base", "secrets")]
+    return df.select(*(F.col(a).alias(c) for a, c in stay), "base", "secrets")
 
 
 def _any(s: Column, patterns: tuple[str, ...]) -> Column:
