@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, nbsvm, outliers, packing, pii, secrets, seekable
+from . import chat, minhash, nbsvm, outliers, packing, pii, secrets, seekable
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op8_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = seekable.write_files(table(spark, sf_dir, "documents"), word_tokenizer())
     return seekable.read_back(files)
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_weak_supervision_pii": op8_weak_supervision_pii,
+    "op9_role_repair": op9_role_repair,
     "op10_seekable_ids": op10_seekable_ids,
 }
 
