@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, minhash, nbsvm, outliers, packing, pii, secrets, seekable
+from . import chat, crosspolytope, minhash, nbsvm, outliers, packing, pii, secrets, seekable
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return crosspolytope.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
+    "op2_cross_polytope": op2_cross_polytope,
     "op3_entropy_secrets": op3_entropy_secrets,
     "op5_nbsvm_quality": op5_nbsvm_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
