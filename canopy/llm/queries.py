@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, minhash, nbsvm, outliers, packing, pii, secrets, seekable
+from . import chat, crosspolytope, minhash, nbsvm, outliers, packing, pii, secrets, seekable, transducer
 from .common import table
 
 
@@ -18,6 +18,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents"))
 
@@ -31,6 +37,10 @@ def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.digest(table(spark, sf_dir, "documents"), piece_model())
+
+
 def op5_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_cross_polytope": op2_cross_polytope,
     "op3_entropy_secrets": op3_entropy_secrets,
+    "op4_sentencepiece_transducer": op4_sentencepiece_transducer,
     "op5_nbsvm_quality": op5_nbsvm_quality,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
