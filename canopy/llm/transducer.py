@@ -109,8 +109,11 @@ class Transducer:
             raise ValueError(f"{path}: runs of spaces have different scores")
         if any(SPACE in s.lstrip(SPACE) for s in self.id):
             raise ValueError(f"{path}: a piece has a space inside")
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.penalty = 10.0 - min(self.score)
+        self.pairs: dict[int, bool] = {}
+        #: two generations: what is met again moves from the old one to the new one
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     # weights
 
@@ -128,55 +131,61 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def weight(self, state: int, piece: int) -> float | None:
-        """The cost of a piece from a state; None where it is infinite."""
-        if self.kind != BPE:
-            return -self.score[piece]
-        ok = self.pairs.get((state, piece))
-        if ok is None:
-            if len(self.pairs) > 4 * CACHE_CHUNKS:
-                self.pairs.clear()
-            before = [self.text[state]] if state >= 0 else []
-            ok = self.pairs[state, piece] = self.merge("".join(before) + self.text[piece]) == [*before, self.text[piece]]
-        return 0.0 if ok else None
+    def legal(self, state: int, piece: int) -> bool:
+        """Whether a BPE model leaves two pieces as they are when their joined text is merged."""
+        if len(self.pairs) > 4 * CACHE_CHUNKS:
+            self.pairs.clear()
+        before = [self.text[state]] if state >= 0 else []
+        ok = self.merge("".join(before) + self.text[piece]) == [*before, self.text[piece]]
+        self.pairs[state * len(self.text) + piece] = ok
+        return ok
 
     # composition and shortest path
 
     def path(self, s: str) -> list[int]:
-        """The ids of the least-cost path through the lattice of a chunk."""
-        n = len(s)
-        best: list[dict[int, tuple[float, int, int, tuple[int, ...]]]] = [{} for _ in range(n + 1)]
-        best[0][START] = (0.0, -1, START, ())
+        """The ids of the least-cost path through the lattice of a chunk.
+
+        One weight state is alive at each position: a unigram model has one, and of a BPE model's
+        pieces that end at a position only one continues a legal path (there the first path found
+        is the only one, of cost 0).
+        """
+        n, bpe, pairs, size = len(s), self.kind == BPE, self.pairs, len(self.text)
+        cost: list[float | None] = [0.0] + [None] * n
+        state, back, via = [START] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            if not best[i]:
+            own = cost[i]
+            if own is None:
                 continue
-            arcs, node = [], self.tree
-            for j in range(i, n):
-                node = node.get(s[j])
+            node, at, lone = self.tree, state[i], True
+            for j in range(i + 1, n + 1):
+                node = node.get(s[j - 1])
                 if node is None:
                     break
-                if "" in node:
-                    arcs.append((j + 1, node[""]))
-            lone = not arcs or arcs[0][0] > i + 1
-            for state, (cost, *_) in best[i].items():
-                for j, piece in arcs:
-                    w = self.weight(state, piece)
-                    if w is not None:
-                        to = piece if self.kind == BPE else START
-                        if to not in best[j] or cost + w < best[j][to][0]:
-                            best[j][to] = (cost + w, i, state, (piece,))
-                if lone:  # no piece for this character: its bytes
-                    w = 0.0 if self.kind == BPE else 10.0 - min(self.score)
-                    if START not in best[i + 1] or cost + w < best[i + 1][START][0]:
-                        out = tuple(self.byte[b] for b in s[i].encode()) if self.byte else (self.unknown,)
-                        best[i + 1][START] = (cost + w, i, state, out)
-        state = min(best[n], key=lambda q: best[n][q][0])
-        found, i = [], n
+                piece = node.get("")
+                if piece is None:
+                    continue
+                if j == i + 1:
+                    lone = False
+                if not bpe:
+                    c = own - self.score[piece]
+                    if cost[j] is None or c < cost[j]:
+                        cost[j], back[j], via[j] = c, i, piece
+                elif cost[j] is None:
+                    ok = pairs.get(at * size + piece)
+                    if ok or ok is None and self.legal(at, piece):
+                        cost[j], state[j], back[j], via[j] = own, piece, i, piece
+            if lone:  # no piece for this character: its bytes
+                c = own if bpe else own + self.penalty
+                if cost[i + 1] is None or c < cost[i + 1]:
+                    cost[i + 1], state[i + 1], back[i + 1], via[i + 1] = c, START, i, -1
+        out, i = [], n
         while i:
-            _, back, before, out = best[i][state]
-            found.append(out)
-            i, state = back, before
-        return [x for out in reversed(found) for x in out]
+            if via[i] >= 0:
+                out.append(via[i])
+            else:
+                out += [self.byte[b] for b in reversed(s[i - 1].encode())] if self.byte else [self.unknown]
+            i = back[i]
+        return out[::-1]
 
     def spaces(self, n: int) -> list[int]:
         """A run of space symbols: its pieces have equal scores, so the leftmost pair merges first."""
@@ -192,7 +201,10 @@ class Transducer:
         found = self.cache.get(s)
         if found is None:
             if len(self.cache) > CACHE_CHUNKS:
-                self.cache = {}
+                self.old, self.cache = self.cache, {}
+            if s in self.old:
+                found = self.cache[s] = self.old[s]
+                return found
             rest = s.lstrip(SPACE)
             k = len(s) - len(rest)
             if k > 1 and self.kind == BPE:
