@@ -41,6 +41,8 @@ SCALE, PRIOR_WORDS, PRIOR_WORD_CHARS = 1024, 50, 5
 #: Least standard deviation allowed for each statistic.
 FLOOR = (0.5, 0.05, 0.1, 0.15, 0.15)
 H, STEPS, MIN_ROWS, ALPHA = 0.75, 6, 50, 1e-5
+#: Group tables of up to so many rows (of some 300 bytes) are broadcast.
+BROADCAST_GROUPS = 50_000
 
 
 def chi2_cdf(x: float, k: int) -> float:
@@ -106,6 +108,12 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
                      *(F.round(e * SCALE).cast("long").alias(name) for e, name in zip(x, NAMES, strict=True)))
 
 
+def sized(groups: DataFrame) -> DataFrame:
+    """A written table with a row per group: sent to all tasks if its rows are counted and few, else
+    joined as Spark sees fit. Sent, the rows of a large group need not meet in one task."""
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def grouped(stats: DataFrame, lang: Column, source: Column) -> DataFrame:
     """Adds `gid`: (language, source), or a pool of small groups, or null if even that is small."""
     own, pool = ["_lang", "_source", "_nl", "_ns"], ["_lang", "_nl"]
@@ -120,7 +128,7 @@ def grouped(stats: DataFrame, lang: Column, source: Column) -> DataFrame:
            .when(F.col("n_all") >= MIN_ROWS, F.lit("all")))
     # `rest` is one row
     ids = sizes.join(by_lang, pool, "left").crossJoin(F.broadcast(rest)).select(*own, gid.alias("gid"))
-    return stats.join(ids, own, "left").drop(*own)
+    return stats.join(sized(written(ids, "groups")), own, "left").drop(*own)
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -156,7 +164,7 @@ def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
     d = [f"(x_{i} / {SCALE}D - mean[{k}])" for k, i in enumerate(n[2:] for n in NAMES)]
     terms = [f"{1 if i == j else 2} * prec[{i * P + j}] * {d[i]} * {d[j]}" for i in range(P) for j in range(i, P)]
     # distances decide in steps of 2^-20, far above the error of the sum's last digits
-    return rows.join(est, "gid", "left").withColumn(
+    return rows.join(sized(est), "gid", "left").withColumn(
         "distance", F.expr(f"round(({' + '.join(terms)}) * 1048576) / 1048576")).drop("mean", "prec")
 
 
@@ -165,8 +173,8 @@ def _nearest(rows: DataFrame) -> DataFrame:
     the quantile's state holds at most so many values, whatever the group's size."""
     step = F.least(F.floor(F.col("distance") * 64), F.lit(1 << 16))
     rows = rows.withColumn("step", step)
-    cut = rows.groupBy("gid").agg(F.expr(f"percentile(step, {H})").alias("cut"))
-    return rows.join(cut, "gid").filter("step <= cut").drop("step", "cut", "distance")
+    cut = written(rows.groupBy("gid").agg(F.expr(f"percentile(step, {H})").alias("cut")).coalesce(8), "cuts")
+    return rows.join(sized(cut), "gid").filter("step <= cut").drop("step", "cut", "distance")
 
 
 def fit(rows: DataFrame) -> DataFrame:
@@ -176,15 +184,15 @@ def fit(rows: DataFrame) -> DataFrame:
     bounds the state of an exact percentile), then takes STEPS concentration steps.
     """
     rows = written(rows.select("gid", *NAMES).filter("gid IS NOT NULL"), "mcd-rows")
-    med = rows.groupBy("gid").agg(*(F.expr(f"percentile({c}, 0.5)").alias("m_" + c) for c in NAMES))
-    mad = (rows.join(med, "gid").groupBy("gid")
+    med = written(rows.groupBy("gid").agg(*(F.expr(f"percentile({c}, 0.5)").alias("m_" + c) for c in NAMES)).coalesce(8), "medians")
+    mad = (rows.join(sized(med), "gid").groupBy("gid")
            .agg(*(F.expr(f"percentile(abs({c} - m_{c}), 0.5)").alias("d_" + c) for c in NAMES)))
     diag = [f"1D / pow(greatest(1.4826D * d_{c} / {SCALE}, {f}D), 2)" for c, f in zip(NAMES, FLOOR, strict=True)]
     flat = ", ".join(diag[i] if i == j else "0D" for i in range(P) for j in range(P))
-    est = med.join(mad, "gid").select("gid", F.expr(f"array({', '.join(f'm_{c} / {SCALE}' for c in NAMES)})").alias("mean"),
-                                      F.expr(f"array({flat})").alias("prec"))
+    est = written(med.join(mad, "gid").select("gid", F.expr(f"array({', '.join(f'm_{c} / {SCALE}' for c in NAMES)})").alias("mean"),
+                                      F.expr(f"array({flat})").alias("prec")).coalesce(8), "mcd")
     for _ in range(STEPS):
-        est = written(_estimates(_sums(_nearest(_with_distance(rows, est)))), "mcd")
+        est = written(_estimates(_sums(_nearest(_with_distance(rows, est))).coalesce(8)), "mcd")
     return est
 
 
