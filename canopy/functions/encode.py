@@ -199,12 +199,6 @@ def col_or(df: DataFrame, name: str, default=0) -> Column:
     return F.col(name) if name in df.columns else F.lit(default)
 
 
-def encoded_first(df: DataFrame, encoded: list[str]) -> DataFrame:
-    """Encoded columns first, then the passthrough columns in table order."""
-    return df.select(*encoded, *[c for c in df.columns if c not in encoded])
-
-
-# --------------------------------------------------------------------------- whole preprocess
 def fit_preprocess(df: DataFrame, nominal: list[str] | None = None) -> dict:
     """Everything preprocessing fits, in ONE aggregation over the raw survey: medians of
     the mapped ordinal answers, sorted levels of the nominal answers and of the target,

@@ -275,6 +275,3 @@ def years(df: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFram
         "Age_Group", bin_right_closed("Age", AGE_YEAR_EDGES, AGE_YEAR_LABELS, outside="nan"))
     cats = NOMINAL_COLUMNS + ["Age_Group"]
     return one_hot(out, cats, drop_first=False, levels=levels)
-
-
-BUNDLES = {"base": base, "banded3": banded3, "banded4": banded4, "coded": coded, "years": years}

@@ -12,11 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from canopy.operators.split import null_safe_join
+
 INF = float("inf")
 
 
-def _r(c: Column | str, d: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, d)
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Every double column rounded: for a result that is shown, never inside a computation."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def with_overall(df: DataFrame, key: str = "fold", overall: int = -1) -> DataFrame:
@@ -42,7 +45,7 @@ def confusion_matrix(df: DataFrame, group: list[str], y: str = "y", pred: str =
 
 def accuracy(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
     return df.groupBy(*group).agg(
-        _r(F.avg((F.col(y) == F.col(pred)).cast("double"))).alias("accuracy"))
+        F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"))
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -82,8 +85,7 @@ def class_report_from_confusion(c: DataFrame, group: list[str]) -> DataFrame:
             _safe_div(f0 * s0 + f1 * s1, n), n),
     ).alias("rows"))
     out = rows.select(*group, F.inline("rows"))
-    return out.select(*group, "label", _r("precision").alias("precision"),
-                      _r("recall").alias("recall"), _r("f1_score").alias("f1_score"),
+    return out.select(*group, "label", "precision", "recall", "f1_score",
                       F.col("support").cast("long").alias("support"))
 
 
@@ -93,22 +95,20 @@ def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "pro
     sc = df.groupBy(*group, F.col(prob).alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
-    # small (groups x distinct scores) and read by several branches of the curve plans:
-    # cached so the scored input is evaluated once
-    return _totals(sc.cache(), group)
+    return _totals(sc, group)
 
 
-SCORE_BUCKETS = 4096  # first stage of the running sums: buckets of the score range [0, 1]
+SCORE_BUCKETS = 4096  # first stage of the running sums: buckets per unit of score
 
 
 def running_sums(sc: DataFrame, group: list[str], cols: list[str], descending: bool,
                  inclusive: bool = True, with_index: bool = False) -> DataFrame:
     """Running sums of ``cols`` over distinct scores per group, in two stages so that no
-    window holds more than one score bucket: sums per (group, bucket) -> prefix over at
-    most ``SCORE_BUCKETS`` buckets -> prefix inside each bucket + offset.  Equal to the
-    one-window result because the bucket is monotone in the score (scores in [0, 1]).
+    window holds more than one score bucket: sums per (group, bucket) -> prefix over the
+    buckets -> prefix inside each bucket + offset.  Equal to the one-window result because
+    the bucket is monotone in the score, whatever its range.  A NULL group is a group.
     ``_i`` (optional) is the 1-based position of the score in that order."""
-    b = F.floor(F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)) * (SCORE_BUCKETS - 1))
+    b = F.floor(F.col("score") * SCORE_BUCKETS)
     x = sc.withColumn("_b", (-b if descending else b).cast("long"))
     per = x.groupBy(*group, "_b").agg(*[F.sum(c).alias(f"_bs_{c}") for c in cols],
                                       F.count(F.lit(1)).alias("_bn"))
@@ -117,7 +117,7 @@ def running_sums(sc: DataFrame, group: list[str], cols: list[str], descending: b
     off = per.select(*group, "_b", *[F.coalesce(F.sum(f"_bs_{c}").over(prev), F.lit(0)).alias(f"_off_{c}")
                                      for c in cols],
                      F.coalesce(F.sum("_bn").over(prev), F.lit(0)).alias("_off_n"))
-    j = x.join(off, [*group, "_b"])  # offsets: groups x buckets rows, a small table
+    j = null_safe_join(x, off, [*group, "_b"])  # offsets: groups x buckets rows, a small table
     order = F.desc("score") if descending else F.asc("score")
     wi = Window.partitionBy(*group, "_b").orderBy(order)
     frame = wi.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -145,23 +145,24 @@ def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
         nb = c.select(*group, "_i", "tp", "fp")
         prv = nb.select(*group, (F.col("_i") + 1).alias("_i"), F.col("tp").alias("ptp"), F.col("fp").alias("pfp"))
         nxt = nb.select(*group, (F.col("_i") - 1).alias("_i"), F.col("tp").alias("ntp"), F.col("fp").alias("nfp"))
-        c = c.join(prv, [*group, "_i"], "left").join(nxt, [*group, "_i"], "left")
+        c = null_safe_join(null_safe_join(c, prv, [*group, "_i"], "left"), nxt, [*group, "_i"], "left")
         keep = (F.col("ptp").isNull() | F.col("ntp").isNull()
                 | (F.col("ntp") - 2 * F.col("tp") + F.col("ptp") != 0)
                 | (F.col("nfp") - 2 * F.col("fp") + F.col("pfp") != 0))
         c = c.where(keep)
     c = c.withColumn("_k", F.lit(1).cast("long"))
     c = running_sums(c, group, ["_k"], descending=True)  # point = kept points so far
-    pts = c.select(*group, F.col("cum__k").alias("point"), F.col("score").alias("threshold"),
-                   "tp", "fp", "tot_pos", "tot_neg")
-    start = c.where(F.col("_i") == 1).select(
-        *group, F.lit(0).cast("long").alias("point"), F.lit(INF).alias("threshold"),
-        F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), "tot_pos", "tot_neg")
-    allp = pts.unionByName(start)
-    return allp.select(
-        *group, F.col("point").cast("int").alias("point"), _r("threshold").alias("threshold"),
-        _r(F.when(F.col("tot_neg") > 0, F.col("fp") / F.col("tot_neg"))).alias("fpr"),
-        _r(F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos"))).alias("tpr"))
+    # the start point rides on the top score's row
+    top = F.struct(F.lit(0).cast("long").alias("point"), F.lit(INF).alias("threshold"),
+                   F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"))
+    own = F.struct(F.col("cum__k").alias("point"), F.col("score").alias("threshold"),
+                   F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"))
+    pts = c.select(*group, "tot_pos", "tot_neg",
+                   F.explode(F.when(F.col("_i") == 1, F.array(top, own)).otherwise(F.array(own))).alias("p"))
+    return pts.select(
+        *group, F.col("p.point").cast("int").alias("point"), F.col("p.threshold").alias("threshold"),
+        F.when(F.col("tot_neg") > 0, F.col("p.fp") / F.col("tot_neg")).alias("fpr"),
+        F.when(F.col("tot_pos") > 0, F.col("p.tp") / F.col("tot_pos")).alias("tpr"))
 
 
 def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
@@ -169,7 +170,7 @@ def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
     keys = group or ["_all"]
     x = sc if group else sc.withColumn("_all", F.lit(0))
     tot = x.groupBy(*keys).agg(F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
-    out = x.join(F.broadcast(tot) if not group else tot, keys)  # one row per group
+    out = null_safe_join(x, tot, keys)  # one row per group
     return out if group else out.drop("_all")
 
 
@@ -180,8 +181,8 @@ def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     agg = sc.groupBy(*group).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("s"),
         F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))
-    return agg.select(*group, _r(F.when((F.col("tot_pos") > 0) & (F.col("tot_neg") > 0),
-                                        F.col("s") / (F.col("tot_pos") * F.col("tot_neg")))).alias("roc_auc"))
+    return agg.select(*group, F.when((F.col("tot_pos") > 0) & (F.col("tot_neg") > 0),
+                                     F.col("s") / (F.col("tot_pos") * F.col("tot_neg"))).alias("roc_auc"))
 
 
 def roc_auc(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
@@ -196,7 +197,7 @@ def average_precision_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     term = (F.col("pos") / F.col("tot_pos")) * (F.col("tp") / (F.col("tp") + F.col("fp")))
     agg = c.groupBy(*group).agg(F.sum(F.when(F.col("tot_pos") > 0, term)).alias("ap"),
                                 F.first("tot_pos").alias("tot_pos"))
-    return agg.select(*group, _r(F.when(F.col("tot_pos") > 0, F.col("ap"))).alias("average_precision"))
+    return agg.select(*group, F.when(F.col("tot_pos") > 0, F.col("ap")).alias("average_precision"))
 
 
 def accuracy_from_counts(leaves: DataFrame, group: list[str], pred: str = "pred") -> DataFrame:
@@ -204,35 +205,24 @@ def accuracy_from_counts(leaves: DataFrame, group: list[str], pred: str = "pred"
     class-0 leaves."""
     ok = F.when(F.col(pred) == 1, F.col("pos")).otherwise(F.col("neg"))
     return leaves.groupBy(*group).agg(
-        _r(F.try_divide(F.sum(ok).cast("double"), F.sum(F.col("pos") + F.col("neg")))).alias("accuracy"))
+        F.try_divide(F.sum(ok).cast("double"), F.sum(F.col("pos") + F.col("neg"))).alias("accuracy"))
 
 
 def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
     """(group..., point, threshold, precision, recall) for every distinct threshold from
     the top down, then the closing point (recall 0, precision 1, threshold NULL)."""
     c = _cumulative_desc(score_counts(df, group, y, prob), group)
-    pts = c.select(*group, F.col("_i").alias("point"), _r("score").alias("threshold"),
-                   _r(F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                   _r(F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos")).otherwise(1.0)).alias("recall"))
-    end = c.where(F.col("_i") == 1).select(
-        *group, F.lit(0).cast("int").alias("point"), F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return pts.unionByName(end)
+    # the closing point rides on the top score's row
+    end = F.struct(F.lit(0).alias("point"), F.lit(None).cast("double").alias("threshold"),
+                   F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    own = F.struct(F.col("_i").alias("point"), F.col("score").alias("threshold"),
+                   (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                   F.when(F.col("tot_pos") > 0, F.col("tp") / F.col("tot_pos")).otherwise(1.0).alias("recall"))
+    return c.select(*group, F.explode(F.when(F.col("_i") == 1, F.array(own, end)).otherwise(F.array(own))).alias("p")) \
+        .select(*group, "p.*")
 
 
 def average_precision(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
     """Step-sum AP = sum over thresholds (top down) of (delta recall) * precision.
     Not the trapezoid area Spark's evaluator reports; NULL without positives."""
     return average_precision_from_counts(score_counts(df, group, y, prob).drop("tot_pos", "tot_neg"), group)
-
-
-def summary(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
-            pred: str = "pred") -> DataFrame:
-    """Accuracy, ROC-AUC and average precision per group in one table."""
-    return (accuracy(df, group, y, pred).join(roc_auc(df, group, y, prob), group)
-            .join(average_precision(df, group, y, prob), group))
-
-
-def mean_scores(per_fold: DataFrame, group: list[str], metrics: list[str]) -> DataFrame:
-    """Mean of fold scores."""
-    return per_fold.groupBy(*group).agg(*[_r(F.avg(m)).alias(f"mean_{m}") for m in metrics])

@@ -8,11 +8,19 @@ table, which is bounded by the number of distinct answers rather than by rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# the bootstrap's sampler runs in Python workers; ship this module's functions by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _long(df: DataFrame, cols: list[str], keys: list[str] | None = None,
           as_type: str = "string") -> DataFrame:
@@ -91,27 +99,23 @@ def group_means(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
             .withColumn("mean", F.round("mean", 6)))
 
 
-POISSON_EXACT_MAX = 30  # counts up to this draw Poisson(c) exactly; above, N(c, c) rounded
-
+def poisson_weights(cells: DataFrame, n_boot: int, seed: int) -> DataFrame:
+    """(target, column_name, value, n) -> one row per replicate with ``w``, a Poisson(n) draw: the
+    summed Poisson(1) weight of the cell's n rows.  One exact sampler for every n, seeded by the
+    cell, so reruns and recomputed tasks agree."""
+    names = cells.columns
 
-def _uniform(seed: int, *cols: Column) -> Column:
-    """Deterministic uniform in (0, 1) from a hash: reruns and recomputed tasks agree."""
-    h = F.xxhash64(F.lit(seed), *cols)
-    return (F.abs(h % F.lit(1 << 30)) + F.lit(0.5)) / F.lit(float(1 << 30))
+    def draw(frames):
+        for f in frames:
+            for r in f.itertuples(index=False):
+                key = repr((seed, str(r[0]), r[1], float(r[2]))).encode()
+                rng = np.random.default_rng(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big"))
+                yield pd.DataFrame({names[0]: r[0], names[1]: r[1], names[2]: r[2], "rep": np.arange(1, n_boot + 1),
+                                    "w": rng.poisson(r[3], n_boot)})
 
-
-def poisson_count(c: Column, u: Column, u2: Column) -> Column:
-    """A Poisson(c) draw: the summed Poisson(1) weight of c rows.  Exact inverse CDF for
-    small c (an ``aggregate`` over k), normal approximation (Box-Muller) above."""
-    exact = F.expr(
-        f"aggregate(sequence(0, {4 * POISSON_EXACT_MAX}), "
-        "named_struct('k', -1, 'p', exp(-cast(_pc AS double)), 'cdf', 0D), "
-        "(acc, i) -> IF(acc.cdf >= _pu, acc, named_struct('k', i, "
-        "'p', IF(i = 0, acc.p, acc.p * _pc / i), 'cdf', acc.cdf + IF(i = 0, acc.p, acc.p * _pc / i))), "
-        "acc -> IF(acc.k < 0, 0, acc.k))")
-    z = F.sqrt(-2.0 * F.log(u)) * F.cos(2.0 * 3.141592653589793 * u2)
-    approx = F.greatest(F.lit(0), F.round(c + F.sqrt(c.cast("double")) * z).cast("long"))
-    return F.when(c <= POISSON_EXACT_MAX, exact.cast("long")).otherwise(approx)
+    kinds = dict(cells.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names[:3]) + ", rep int, w long"
+    return cells.mapInPandas(draw, schema)
 
 
 def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: str | None = None,
@@ -125,12 +129,7 @@ def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: s
     many rows there are.  Interval = percentiles of the replicate means."""
     lo, hi = (100.0 - ci) / 200.0, 1.0 - (100.0 - ci) / 200.0
     vc = value_counts(df, target, cols)
-    reps = vc.select(target, "column_name", "value", "n",
-                     F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep"))
-    u = _uniform(seed, F.col(target).cast("string"), F.col("column_name"), F.col("value"), F.col("rep"))
-    u2 = _uniform(seed + 1, F.col(target).cast("string"), F.col("column_name"), F.col("value"), F.col("rep"))
-    reps = reps.withColumn("_pc", F.col("n")).withColumn("_pu", u)
-    reps = reps.withColumn("w", poisson_count(F.col("n"), u, u2)).drop("_pc", "_pu")
+    reps = poisson_weights(vc.select(target, "column_name", "value", "n"), n_boot, seed)
     boot = reps.groupBy(target, "column_name", "rep").agg(
         (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("boot_mean"))
     ci_df = boot.groupBy(target, "column_name").agg(
@@ -209,17 +208,6 @@ def density_grid(df: DataFrame, target: str, cols: list[str], gridsize: int = 10
 
 
 # --------------------------------------------------------------------------- G15, G16, T1
-def _nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
-def pearson(a: str, b: str) -> Column:
-    """Pearson correlation as covar_samp / (sd_a * sd_b): the same statistic as ``corr``
-    (stable co-moment aggregates) but NULL instead of an error for a constant column."""
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-
-
 def _centered_moments(df: DataFrame, pairs: list[tuple[str, str]]) -> tuple[DataFrame, dict]:
     """Two passes, both single aggregations: (1) per-column non-NULL count and mean;
     (2) sums of centered cross products per pair.  A pair of NULL-free columns needs one

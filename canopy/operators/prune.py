@@ -5,9 +5,8 @@ Greedy top-down growth makes a node's split independent of ``max_depth``,
 min_samples_leaf) serves every combination of those three (SURVEY section 4c):
   1. cut: a node stays internal only if it was split, its depth < max_depth, it has at
      least ``min_samples_split`` training rows, and its parent is internal;
-  2. prune: minimal cost-complexity pruning, repeatedly collapsing the internal node with
-     the smallest effective alpha (R(t) - R(T_t)) / (|leaves(T_t)| - 1), R = weighted
-     impurity share of the root weight, while that alpha <= ccp_alpha.
+  2. prune: minimal cost-complexity pruning at ccp_alpha, R = weighted impurity share of
+     the root weight, bottom up in one pass.
 Runs as ``applyInPandas`` grouped by growth: each group is one node table (at most
 2^(depth+1) rows), the work is spread over the cluster with the number of models.
 """
@@ -51,37 +50,27 @@ def cut(nodes: dict[int, dict], max_depth: int | None, min_samples_split: int) -
 
 
 def prune(nodes: dict[int, dict], internal: set[int], ccp_alpha: float) -> set[int]:
-    """Weakest-link pruning of the tree given by ``internal``; returns the new internal set."""
+    """The smallest subtree of least cost at ``ccp_alpha``; returns the new internal set.
+
+    Bottom up, a branch costs the lesser of R(t) + alpha (one leaf) and its children's sum,
+    and collapses when the former is not greater: the subtree that weakest-link pruning
+    reaches when it stops at alpha."""
     if ccp_alpha <= 0 or not internal:
         return internal
-    internal = set(internal)
     w_root = nodes[1]["W0"] + nodes[1]["W1"]
-    r = {i: (n["W0"] + n["W1"]) * n["impurity"] / w_root for i, n in nodes.items()}
-    while internal:
-        present = {1}
-        for i in sorted(internal):
-            present.update((2 * i, 2 * i + 1))
-        r_branch, leaves = {}, {}
-        for i in sorted(present, reverse=True):  # children before parents
-            if i in internal:
-                r_branch[i] = r_branch[2 * i] + r_branch[2 * i + 1]
-                leaves[i] = leaves[2 * i] + leaves[2 * i + 1]
-            else:
-                r_branch[i], leaves[i] = r[i], 1
-        best, best_alpha = None, float("inf")
-        for i in sorted(internal):
-            a = (r[i] - r_branch[i]) / (leaves[i] - 1)
-            if a < best_alpha:
-                best, best_alpha = i, a
-        if best_alpha > ccp_alpha:
-            break
-        stack = [best]
-        while stack:  # collapse the whole branch
-            k = stack.pop()
-            if k in internal:
-                internal.discard(k)
-                stack += [2 * k, 2 * k + 1]
-    return internal
+    cost: dict[int, float] = {}
+    split: set[int] = set()
+    for i in sorted(internal | {c for k in internal for c in (2 * k, 2 * k + 1)}, reverse=True):
+        n = nodes[i]
+        cost[i] = (n["W0"] + n["W1"]) * n["impurity"] / w_root + ccp_alpha
+        if i in internal and cost[i] > cost[2 * i] + cost[2 * i + 1]:
+            cost[i] = cost[2 * i] + cost[2 * i + 1]
+            split.add(i)
+    kept: set[int] = set()
+    for i in sorted(split):
+        if i == 1 or i // 2 in kept:
+            kept.add(i)
+    return kept
 
 
 def leaves_of(nodes: dict[int, dict], internal: set[int]) -> list[int]:

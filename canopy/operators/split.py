@@ -19,7 +19,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK, N_CLASS = "_rank", "_n_class"
-BROADCAST_ROWS = 2_000_000   # offset tables above this are joined with a shuffle
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which NULL keys meet: a NULL label or group is a value of its own."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def hash_key(id_col: str, seed: int = 42) -> Column:
@@ -32,22 +40,17 @@ def two_stage_rank(df: DataFrame, partition: list[str], order: list[Column], buc
     size, without a window whose partition is a whole class.  ``bucket`` must be monotone
     in ``order`` (a prefix of the leading sort key)."""
     b = df.withColumn("_bucket", bucket)
-    # (partition, bucket) counts: at most classes x buckets rows; cached because it is
-    # sized (to pick the join) and then read again for the offsets
-    counts = b.groupBy(*partition, "_bucket").agg(F.count(F.lit(1)).alias("_nb")).cache()
-    n_off = counts.count()
+    # (partition, bucket) counts: at most classes x buckets rows
+    counts = b.groupBy(*partition, "_bucket").agg(F.count(F.lit(1)).alias("_nb"))
     wp = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
     offsets = counts.select(
         *partition, "_bucket",
-        (F.sum("_nb").over(wp.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"),
+        F.coalesce(F.sum("_nb").over(wp.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
         F.sum("_nb").over(wp).alias(count_col))
-    offsets = offsets.fillna(0, subset=["_off"])
     inner = Window.partitionBy(*partition, "_bucket").orderBy(*order)
     ranked = b.withColumn("_inner", F.row_number().over(inner))
-    # offsets: (classes x buckets) rows; broadcast only under a checked row bound
-    offsets = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
-    out = ranked.join(offsets, [*partition, "_bucket"])
+    out = null_safe_join(ranked, offsets, [*partition, "_bucket"])
     return out.withColumn(rank_col, (F.col("_off") + F.col("_inner")).cast("long")).drop(
         "_bucket", "_inner", "_off")
 
@@ -83,32 +86,50 @@ def _frac(x: float) -> tuple[int, int]:
     return f.numerator, f.denominator
 
 
-def _first_share(rank: Column, n: Column, share: float) -> Column:
-    """rank <= ceil(n * share), in integer arithmetic (no float rounding at the edge)."""
+def allocate(sizes: DataFrame, label: str, size: str, share: float, name: str) -> DataFrame:
+    """Adds ``name``: how many rows of each class the first part takes.
+
+    The part holds ceil(share * total) rows over all classes, as the reference's splitter
+    does; the other part's rows are shared among the classes in proportion, rounded down,
+    and what is left goes one each to the largest remainders (ties: the smaller label,
+    NULL first).  ``sizes`` has one row per class."""
     num, den = _frac(share)
-    return (rank - 1) * den < n * num
+    w = Window.partitionBy()
+    total = F.sum(size).over(w)
+    t = sizes.withColumn("_tot", total)
+    t = t.withColumn("_rest", F.col("_tot") - F.floor((F.col("_tot") * num + den - 1) / den))
+    t = t.withColumn("_base", F.floor(F.col("_rest") * F.col(size) / F.col("_tot")))
+    t = t.withColumn("_rem", F.col("_rest") * F.col(size) - F.col("_base") * F.col("_tot"))
+    order = Window.orderBy(F.desc("_rem"), F.col(label).asc_nulls_first())
+    extra = (F.row_number().over(order) <= F.col("_rest") - F.sum("_base").over(w)).cast("long")
+    return t.withColumn(name, F.col(size) - F.col("_base") - extra).drop("_tot", "_rest", "_base", "_rem")
+
+
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def holdout_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
                   seed: int = 42) -> DataFrame:
-    """K1: stratified holdout; the first ceil(test_size * n_class) rows of each class in
+    """K1: stratified holdout of ceil(test_size * n) rows; of each class the first rows in
     md5 order are 'test', the rest 'train'."""
-    r = hash_rank(df, id_col, label, seed)
-    split = F.when(_first_share(F.col(RANK), F.col(N_CLASS), test_size), "test").otherwise("train")
-    return r.withColumn("split", split).drop(RANK, N_CLASS)
+    parts = allocate(class_sizes(df, label), label, "_n", test_size, "_test").select(label, "_test")
+    r = null_safe_join(hash_rank(df, id_col, label, seed), parts, [label])
+    split = F.when(F.col(RANK) <= F.col("_test"), "test").otherwise("train")
+    return r.withColumn("split", split).drop(RANK, N_CLASS, "_test")
 
 
 def three_way_split(df: DataFrame, id_col: str, label: str, test_size: float = 0.2,
                     val_size: float = 0.25, seed: int = 42) -> DataFrame:
-    """K2: test as in K1, then the first ceil(val_size * rest) of the rest are 'val'."""
-    r = hash_rank(df, id_col, label, seed)
-    num, den = _frac(test_size)
-    n_test = F.floor((F.col(N_CLASS) * num + den - 1) / den)
-    r2 = F.col(RANK) - n_test
-    split = (F.when(F.col(RANK) <= n_test, "test")
-             .when(_first_share(r2, F.col(N_CLASS) - n_test, val_size), "val")
+    """K2: test as in K1, then ceil(val_size * rest) of the rest are 'val', shared among the
+    classes in the same way."""
+    parts = allocate(class_sizes(df, label), label, "_n", test_size, "_test")
+    parts = allocate(parts.withColumn("_left", F.col("_n") - F.col("_test")), label, "_left", val_size, "_val")
+    r = null_safe_join(hash_rank(df, id_col, label, seed), parts.select(label, "_test", "_val"), [label])
+    split = (F.when(F.col(RANK) <= F.col("_test"), "test")
+             .when(F.col(RANK) <= F.col("_test") + F.col("_val"), "val")
              .otherwise("train"))
-    return r.withColumn("split", split).drop(RANK, N_CLASS)
+    return r.withColumn("split", split).drop(RANK, N_CLASS, "_test", "_val")
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -138,12 +159,13 @@ def contiguous_kfold(df: DataFrame, id_col: str, label: str, k: int = 5) -> Data
     """K5: stratified, unshuffled (``cv=5`` on a classifier): within each class rows keep id
     order and fill folds in contiguous blocks.  Block sizes follow the allocation of
     scikit-learn's StratifiedKFold: fold i of class c gets the positions j = i (mod k) of
-    the label-sorted vector that fall in class c's range [s_c, s_c + n_c)."""
+    the class-sorted vector that fall in class c's range [s_c, s_c + n_c); classes come in
+    the order of their first row (smallest id)."""
     r = two_stage_rank_by_key(df, [label], id_col)
-    # class offsets s_c over sorted labels: (classes) rows
-    cls = (r.select(label, N_CLASS).distinct()
+    # class offsets s_c: (classes) rows
+    cls = (df.groupBy(label).agg(F.count(F.lit(1)).alias(N_CLASS), F.min(id_col).alias("_first"))
            .withColumn("_s", F.coalesce(F.sum(N_CLASS).over(
-               Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+               Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     s, n = F.col("_s"), F.col(N_CLASS)
 
     def upto(i: int) -> Column:  # rows of class c in folds 0..i
@@ -157,7 +179,7 @@ def contiguous_kfold(df: DataFrame, id_col: str, label: str, k: int = 5) -> Data
     for i in reversed(range(k - 1)):
         fold = F.when(F.col(RANK) <= F.col(f"_c{i}"), F.lit(i)).otherwise(fold)
     cls = cls.select(label, *[upto(i).alias(f"_c{i}") for i in range(k - 1)], "_s")
-    out = r.join(F.broadcast(cls), [label], "left")  # one row per class
+    out = null_safe_join(r, cls, [label])  # one row per class
     return out.withColumn("fold", fold.cast("int")).drop(
         RANK, N_CLASS, "_s", *[f"_c{i}" for i in range(k - 1)])
 
@@ -166,8 +188,3 @@ def split_shares(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows and share per split value."""
     c = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
     return c.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
-
-
-def union_splits(df: DataFrame, splits: list[str], split_col: str = "split") -> DataFrame:
-    """Train + val as one frame (a filter; no physical union needed)."""
-    return df.where(F.col(split_col).isin(splits))

@@ -17,7 +17,7 @@ Data flow of ``grow``
    nodes of every spec, running sums per (spec, node, feature) -> gain of every candidate
    threshold -> best split per node.  Only node statistics and best splits (at most
    specs x 2^depth rows) reach the driver; the assignment table moves to the child keys
-   through a join with the (small, size-checked) split table and is checkpointed.
+   through a join with the (small) split table, planned by Spark and is checkpointed.
 Eval-role rows follow the same splits and never enter a histogram, so every node also
 knows the label counts of its evaluation rows: CV metrics of any derived tree come from
 these counts, without a scoring pass over the rows.
@@ -43,7 +43,6 @@ from pyspark.sql import types as T
 from canopy.session import cut_lineage
 
 IMPURITY_EPS = 2.220446049250313e-16  # machine epsilon: a node at or below this is pure
-BROADCAST_ROWS = 2_000_000            # split / node tables above this use a shuffle join
 
 
 def node_key(*parts) -> int:
@@ -95,10 +94,7 @@ def impurity_py(a: float, b: float, criterion: str) -> float:
 
 
 # --------------------------------------------------------------------------- inputs
-MAX_BINS = 256
-
-
-def fit_bins(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> dict[str, list[float]]:
+def fit_bins(df: DataFrame, features: list[str], max_bins: int) -> dict[str, list[float]]:
     """Bin edges for features with more than ``max_bins`` distinct values (approximate
     distinct count, then approximate quantiles, as Spark ML trees do).  Features at or under
     the bound keep exact values, so survey codes are never binned."""
@@ -179,11 +175,6 @@ NODE_SPEC_SCHEMA = T.StructType([
 ])
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a driver-built table only under a row bound; otherwise let Spark shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def impurity_sql(a: str, b: str) -> str:
     """Weighted gini (crit = 0) or entropy in bits (crit = 1) of class weights a, b."""
     p, q = f"({a} / ({a} + {b}))", f"({b} / ({a} + {b}))"
@@ -194,13 +185,13 @@ def impurity_sql(a: str, b: str) -> str:
 _W = "PARTITION BY gid, node, j ORDER BY v"
 
 
-def split_candidates(hist: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFrame:
+def split_candidates(hist: DataFrame, nodes: DataFrame) -> DataFrame:
     """Every valid threshold of every (spec, node, feature) with its gain.
 
     ``gain`` = W_node * imp_node - W_left * imp_left - W_right * imp_right (weighted, not
     yet divided by the root weight).  Window partitions hold the distinct values of one
     feature in one node, so they stay small whatever the row count."""
-    j = hist.join(_small(nodes, n_nodes), "key")
+    j = hist.join(nodes, "key")
     c = j.selectExpr(
         "gid", "node", "key", "j", "v", "crit", "w0", "w1", "msl", "tot0", "tot1", "parent_cost",
         f"sum(c0) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0",
@@ -219,19 +210,10 @@ def split_candidates(hist: DataFrame, nodes: DataFrame, n_nodes: int) -> DataFra
         "a0 + a1 + b0 + b1 AS w_node")
 
 
-def best_splits(cands: DataFrame) -> DataFrame:
-    """Best candidate per (spec, node): max gain (relative, 12 decimals so float noise does
-    not decide), then lowest feature index, then lowest threshold."""
-    best = F.expr("max_by(struct(j, threshold, gain), "
-                  "struct(round(gain / w_node, 12), -j, -threshold)) AS b")
-    return cands.groupBy("gid", "node").agg(best).selectExpr(
-        "gid", "node", "b.j AS j", "b.threshold AS threshold", "b.gain AS gain")
-
-
-def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
+def advance(assign: DataFrame, splits: DataFrame) -> DataFrame:
     """Move every row of a split key to its child key (one row per distinct split of the
     key); rows of keys no spec splits any further drop out."""
-    j = assign.join(_small(splits, n_splits), "key")
+    j = assign.join(splits, "key")
     return j.selectExpr("x", "y", "n", "role",
                         "IF(element_at(x, j + 1) <= threshold, lkey, rkey) AS key")
 
@@ -240,7 +222,7 @@ def advance(assign: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
 ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int, bal boolean"
 
 
-def level_job(assign: DataFrame, active: DataFrame, n_active: int,
+def level_job(assign: DataFrame, active: DataFrame,
               binned_flags: list[bool] | None = None) -> DataFrame:
     """ONE job per level, three exchanges: histogram aggregation, one window pass per
     (spec, node, feature) for running sums and node totals, one aggregation per
@@ -248,7 +230,7 @@ def level_job(assign: DataFrame, active: DataFrame, n_active: int,
     pseudo-feature) and its best split.  NULL feature values sort last: they go right,
     as in scoring."""
     hist = histogram(assign)
-    j = hist.join(_small(active, n_active), "key")
+    j = hist.join(active, "key")
     win = f"PARTITION BY gid, node, j ORDER BY v ASC NULLS LAST"
     c = j.selectExpr(
         "gid", "node", "key", "j", "v", "c0", "c1", "crit", "w0", "w1", "msl", "bal",
@@ -288,9 +270,12 @@ def level_job(assign: DataFrame, active: DataFrame, n_active: int,
 
 def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
          specs: list[GrowSpec], keep: list[str] | None = None,
-         checkpoint_every: int = 3, max_bins: int | None = MAX_BINS) -> Growth:
+         checkpoint_every: int = 3, max_bins: int | None = None) -> Growth:
     """Grow every spec to its ``max_depth`` (None: until no node can split).
 
+    Every threshold of every feature is tried.  ``max_bins`` is a caller's choice to bin wide
+    features at approximate quantiles instead; it changes results.
+
     The assignment table is cached per level and reliably checkpointed every
     ``checkpoint_every`` levels (lineage stays short; a lost executor recomputes at most
     that many joins)."""
@@ -314,7 +299,7 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
         act = [(gid, node, key, crit_code[spec_of[gid].criterion], *weights[gid],
                 spec_of[gid].min_samples_leaf, depth == 0 and spec_of[gid].class_weight == "balanced")
                for (gid, node), key in active.items()]
-        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), len(act), flags).collect()
+        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), flags).collect()
         next_active, split_rows = {}, {}
         for r in result:
             s_ = spec_of[r["gid"]]
@@ -345,7 +330,7 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
         spl = spark.createDataFrame(
             [(k, j, t, lk, rk) for (k, j, t), (lk, rk) in split_rows.items()],
             "key long, j int, threshold double, lkey long, rkey long")
-        nxt = advance(assign, spl, len(split_rows))
+        nxt = advance(assign, spl)
         depth += 1
         if depth % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
@@ -423,7 +408,7 @@ def root_splits(df: DataFrame, features: list[str], label: str, criterion: str =
         [(0, 1, root.key, 0 if criterion == "gini" else 1, w0, w1, min_samples_leaf,
           st["t0"], st["t1"], W * imp)], NODE_SPEC_SCHEMA)
     hist = histogram(assign).where("j > 0").selectExpr("key", "j - 1 AS j", "v", "c0", "c1")
-    c = split_candidates(hist, nodes, 1)
+    c = split_candidates(hist, nodes)
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("j") + 1)
     return c.select(
         names.alias("feature"), F.round("threshold", 6).alias("threshold"),

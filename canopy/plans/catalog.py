@@ -247,27 +247,27 @@ def q_confusion_matrix(spark, sf):
 
 
 def q_class_report(spark, sf):
-    return MT.class_report(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.class_report(scored(spark, sf), ["fold"]))
 
 
 def q_accuracy(spark, sf):
-    return MT.accuracy(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.accuracy(scored(spark, sf), ["fold"]))
 
 
 def q_roc_curve(spark, sf):
-    return MT.roc_curve(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.roc_curve(scored(spark, sf), ["fold"]))
 
 
 def q_roc_auc(spark, sf):
-    return MT.roc_auc(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.roc_auc(scored(spark, sf), ["fold"]))
 
 
 def q_pr_curve(spark, sf):
-    return MT.pr_curve(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.pr_curve(scored(spark, sf), ["fold"]))
 
 
 def q_average_precision(spark, sf):
-    return MT.average_precision(scored(spark, sf), ["fold"])
+    return MT.rounded(MT.average_precision(scored(spark, sf), ["fold"]))
 
 
 QUERIES: dict[str, Query] = {

@@ -1,21 +1,25 @@
 """Registered model queries (trees, search, reports) and SQL for the root-split tables.
 
-Tree growth, pruning and search are iterative, so most of these queries have no SQL
-oracle: they are checked by row counts here and by invariants and brute-force tests in
-``tests/``.  The root-split tables are plain aggregation + window and have SQL.
+The root-split tables are plain aggregation + window; growth, pruning and scoring of the
+baseline trees have SQL that unrolls the levels (``tree_oracle``).  Searches are checked by
+invariants and brute-force tests in ``tests/``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.functions import encode as E
+from canopy.operators import metrics as MT
 from canopy.operators import prune as PRN
 from canopy.operators import tree as TR
 from canopy.plans import oracle as O
 from canopy.plans import search as S
 from canopy.plans import strategies as ST
+from canopy.plans.tree_oracle import tree_oracle_sql
 from canopy.session import ensure_checkpoint_dir
 from canopy.sources import model_io as IO
 from canopy.sources.survey import ID, TARGET, load_survey
@@ -91,16 +95,14 @@ def q_tree_importances(spark, sf):
 def q_cv_scores(spark, sf):
     b = ST.baseline(spark, sf)
     fs = b.cv_scores
-    mean = fs.agg(F.lit(-1).alias("fold"), *[F.round(F.avg(c), 6).alias(c)
-                                             for c in ("accuracy", "roc_auc", "average_precision")])
-    return fs.select("fold", "accuracy", "roc_auc", "average_precision").unionByName(mean)
+    return _with_mean_row(fs.select(F.col("fold").cast("int").alias("fold"), *METRIC_COLS), "fold")
 
 
 def q_tree_predict(spark, sf):
     b = ST.baseline(spark, sf)
     test = b.data.where(F.col("split") == "test")
     out = S.predict_rows(test, b.fitted, which="holdout")
-    return out.select(ID, "split", F.col(TARGET).alias("y"), "prob", "pred")
+    return MT.rounded(out.select(ID, "split", F.col(TARGET).alias("y"), "prob", "pred"))
 
 
 def q_tree_pruned(spark, sf):
@@ -112,7 +114,7 @@ def q_tree_pruned(spark, sf):
 def q_model_roundtrip(spark, sf):
     """S6 + S7: save the holdout tree to shared storage, load it, score the test rows."""
     b = ST.baseline(spark, sf)
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/models/baseline-{abs(hash(sf))}"
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/models/baseline-{uuid.uuid4().hex}"
     IO.save_tree(spark, b.fitted.trees["holdout"], b.features, path)
     tree, feats = IO.load_tree(spark, path)
     test = b.data.where(F.col("split") == "test")
@@ -123,7 +125,7 @@ def q_model_roundtrip(spark, sf):
 
 # --------------------------------------------------------------------------- holdout strategy
 def q_grid_search(spark, sf):
-    return ST.holdout(spark, sf).search.summary
+    return MT.rounded(ST.holdout(spark, sf).search.summary)
 
 
 METRIC_COLS = ("accuracy", "roc_auc", "average_precision")
@@ -131,9 +133,9 @@ METRIC_COLS = ("accuracy", "roc_auc", "average_precision")
 
 def _with_mean_row(df: DataFrame, key: str, extra: dict | None = None) -> DataFrame:
     """The per-fold rows plus their mean under key -1."""
-    mean = df.agg(F.lit(-1).cast("int").alias(key), *[F.round(F.avg(c), 6).alias(c) for c in METRIC_COLS],
+    mean = df.agg(F.lit(-1).cast("int").alias(key), *[F.avg(c).alias(c) for c in METRIC_COLS],
                   *[F.lit(v).alias(k) for k, v in (extra or {}).items()])
-    return df.unionByName(mean.select(*df.columns))
+    return MT.rounded(df.unionByName(mean.select(*df.columns)))
 
 
 def q_best_cv_scores(spark, sf):
@@ -146,7 +148,7 @@ def q_final_test_report(spark, sf):
     h = ST.holdout(spark, sf)
     rep = S.report_from_leaves(h.fitted.leaves, ["root"])
     name = F.element_at(F.array(F.lit("val"), F.lit("test")), F.col("root") + 1)
-    return rep.withColumn("split", name).drop("root")
+    return MT.rounded(rep.withColumn("split", name).drop("root"))
 
 
 def q_final_train_report(spark, sf):
@@ -155,7 +157,7 @@ def q_final_train_report(spark, sf):
     h = ST.holdout(spark, sf)
     train = h.fitted.leaves.where(F.col("root") == 1).drop("e0", "e1").withColumnRenamed(
         "t0", "e0").withColumnRenamed("t1", "e1")
-    return S.report_from_leaves(train, ["root"]).withColumn("split", F.lit("train+val")).drop("root")
+    return MT.rounded(S.report_from_leaves(train, ["root"]).withColumn("split", F.lit("train+val")).drop("root"))
 
 
 def q_final_importances(spark, sf):
@@ -176,12 +178,12 @@ def q_oof_predictions(spark, sf):
     n = ST.nested(spark, sf)
     tv = n.data.where(F.col("split") == "train")
     out = S.predict_rows(tv, n.oof, by="outer", which={o: o for o in range(5)})
-    return out.select(ID, F.col("outer").alias("fold"), F.col(TARGET).alias("y"), "prob", "pred")
+    return MT.rounded(out.select(ID, F.col("outer").alias("fold"), F.col(TARGET).alias("y"), "prob", "pred"))
 
 
 def q_nested_test_report(spark, sf):
     n = ST.nested(spark, sf)
-    return S.report_from_leaves(n.test.leaves, ["root"]).drop("root")
+    return MT.rounded(S.report_from_leaves(n.test.leaves, ["root"]).drop("root"))
 
 
 # --------------------------------------------------------------------------- streaming
@@ -223,4 +225,5 @@ MODEL_QUERIES = {
 MODEL_ORACLE_SQL = {
     "root_split_gini": _sql_root_split("gini", False),
     "root_split_entropy": _sql_root_split("entropy", True),
+    **tree_oracle_sql(),
 }

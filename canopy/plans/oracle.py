@@ -241,15 +241,32 @@ _MD5 = "md5(concat('42:', CAST(respondent_id AS VARCHAR)))"
 CTE_RANKED = ("ranked AS (SELECT respondent_id, Coping_Struggles, "
               f"row_number() OVER (PARTITION BY Coping_Struggles ORDER BY {_MD5}, respondent_id) AS r, "
               "count(*) OVER (PARTITION BY Coping_Struggles) AS n FROM survey)")
-CTE_3WAY = ("three AS (SELECT respondent_id, Coping_Struggles, CASE WHEN r <= (n + 4) // 5 THEN 'test' "
-            "WHEN (r - (n + 4) // 5 - 1) * 4 < (n - (n + 4) // 5) * 1 THEN 'val' ELSE 'train' END AS split "
-            "FROM ranked)")
+
+
+def _share(prefix: str, source: str, size: str, num: int, den: int, out: str) -> str:
+    """Rows of each class in the first part: its total is fixed, then shared by largest remainder."""
+    return (
+        f"{prefix}1 AS (SELECT *, CAST(sum({size}) OVER () AS BIGINT) AS tot FROM {source}),\n"
+        f"{prefix}2 AS (SELECT *, tot - ((tot * {num} + {den} - 1) // {den}) AS rest FROM {prefix}1),\n"
+        f"{prefix}3 AS (SELECT *, (rest * {size}) // tot AS base, (rest * {size}) % tot AS rem FROM {prefix}2),\n"
+        f"{prefix}4 AS (SELECT * EXCLUDE (tot, rest, base, rem), {size} - base - (CASE WHEN row_number() OVER (ORDER BY rem DESC, "
+        f"Coping_Struggles NULLS FIRST) <= rest - CAST(sum(base) OVER () AS BIGINT) THEN 1 ELSE 0 END) AS {out} FROM {prefix}3)")
+
+
+CTE_PARTS = ("cls AS (SELECT Coping_Struggles, count(*) AS n FROM survey GROUP BY Coping_Struggles),\n"
+             + _share("pt", "cls", "n", 1, 5, "n_test") + ",\n"
+             "lft AS (SELECT *, n - n_test AS n_left FROM pt4),\n" + _share("pv", "lft", "n_left", 1, 4, "n_val"))
+CTE_2WAY = ("two AS (SELECT r.respondent_id, r.Coping_Struggles, CASE WHEN r.r <= p.n_test THEN 'test' ELSE 'train' END AS split "
+            "FROM ranked r JOIN pv4 p ON r.Coping_Struggles IS NOT DISTINCT FROM p.Coping_Struggles)")
+CTE_3WAY = ("three AS (SELECT r.respondent_id, r.Coping_Struggles, CASE WHEN r.r <= p.n_test THEN 'test' "
+            "WHEN r.r <= p.n_test + p.n_val THEN 'val' ELSE 'train' END AS split "
+            "FROM ranked r JOIN pv4 p ON r.Coping_Struggles IS NOT DISTINCT FROM p.Coping_Struggles)")
 
 
 def _sql_contiguous(k: int = 5) -> str:
-    cls = ("cls AS (SELECT Coping_Struggles, n, coalesce(sum(n) OVER (ORDER BY Coping_Struggles "
+    cls = ("cls AS (SELECT Coping_Struggles, n, coalesce(sum(n) OVER (ORDER BY first_id "
            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM "
-           "(SELECT Coping_Struggles, count(*) AS n FROM survey GROUP BY Coping_Struggles))")
+           "(SELECT Coping_Struggles, count(*) AS n, min(respondent_id) AS first_id FROM survey GROUP BY Coping_Struggles))")
     cum = []
     for i in range(k - 1):
         parts = [f"(floor((s + n - 1 - {f} + {k}) / {k}) - floor((s - 1 - {f} + {k}) / {k}))"
@@ -492,11 +509,9 @@ def oracle_sql() -> dict[str, str]:
         "features_banded4": _sql_banded4(),
         "features_coded": _sql_coded(),
         "features_years": _sql_years(),
-        "holdout_split": with_ctes(CTE_SURVEY, CTE_RANKED)
-        + "SELECT respondent_id, Coping_Struggles, CASE WHEN (r - 1) * 5 < n * 1 THEN 'test' ELSE 'train' END "
-          "AS split FROM ranked",
-        "three_way_split": with_ctes(CTE_SURVEY, CTE_RANKED, CTE_3WAY) + "SELECT * FROM three",
-        "split_shares": with_ctes(CTE_SURVEY, CTE_RANKED, CTE_3WAY)
+        "holdout_split": with_ctes(CTE_SURVEY, CTE_RANKED, CTE_PARTS, CTE_2WAY) + "SELECT * FROM two",
+        "three_way_split": with_ctes(CTE_SURVEY, CTE_RANKED, CTE_PARTS, CTE_3WAY) + "SELECT * FROM three",
+        "split_shares": with_ctes(CTE_SURVEY, CTE_RANKED, CTE_PARTS, CTE_3WAY)
         + "SELECT split, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM three GROUP BY split",
         "kfold": with_ctes(CTE_SURVEY)
         + f"SELECT respondent_id, CAST((row_number() OVER (ORDER BY {_MD5}, respondent_id) - 1) % 5 AS INTEGER) "

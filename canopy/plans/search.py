@@ -120,7 +120,7 @@ def evaluate_roots(df: DataFrame, features: list[str], label: str, roots: list[T
     leaves = PRN.derive(nodes_df, variants)
     mapping = spark.createDataFrame(model_rows, "gid int, vid int, param_id int, root int")
     # mapping: (pairs) rows, bounded by grid size x roots
-    leaves = leaves.join(F.broadcast(mapping), ["gid", "vid"])
+    leaves = leaves.join(mapping, ["gid", "vid"])
     return growth, leaves, {(r[2], r[3]): (r[0], r[1]) for r in model_rows}, variants
 
 
@@ -150,20 +150,17 @@ def grid_search(df: DataFrame, features: list[str], label: str, fold_col: str, f
 
 def summarize(spark, params: list[Params], fold_scores: DataFrame, scoring: str) -> SearchResult:
     fs = fold_scores.cache()
-    means = fs.groupBy("param_id").agg(F.round(F.avg("accuracy"), 6).alias("mean_accuracy"),
-                                F.round(F.avg("roc_auc"), 6).alias("mean_roc_auc"),
-                                F.round(F.avg("average_precision"), 6).alias("mean_average_precision"),
-                                F.round(F.stddev_pop(scoring), 6).alias("std_test_score"))
+    means = fs.groupBy("param_id").agg(F.avg("accuracy").alias("mean_accuracy"), F.avg("roc_auc").alias("mean_roc_auc"),
+                                       F.avg("average_precision").alias("mean_average_precision"),
+                                       F.stddev_pop(scoring).alias("std_test_score"))
     means = means.withColumn("mean_test_score", F.col(f"mean_{scoring}"))
-    raw = fs.groupBy("param_id").agg(F.avg(scoring).alias("_score"))  # unrounded, for ranking
-    means = means.join(raw, "param_id")
     labels = spark.createDataFrame([(i, p.label()) for i, p in enumerate(params)], "param_id int, params string")
     summary = means.join(labels, "param_id")
-    order = F.struct(F.coalesce(F.col("_score"), F.lit(float("-inf"))), -F.col("param_id"))
-    best_p = summary.agg(F.max_by("param_id", order).alias("best")).first()["best"]
+    # ranked on the scores as they are, to 12 digits: equal sums in another order must tie
+    score = F.round(F.coalesce("mean_test_score", F.lit(float("-inf"))), 12)
+    best_p = summary.agg(F.max_by("param_id", F.struct(score, -F.col("param_id"))).alias("best")).first()["best"]
     # the summary has one row per grid row (bounded by the grid), so a global rank is cheap
-    ranked = summary.withColumn(
-        "rank_test_score", F.rank().over(Window.orderBy(F.desc_nulls_last("_score")))).drop("_score")
+    ranked = summary.withColumn("rank_test_score", F.rank().over(Window.orderBy(F.desc(score))))
     return SearchResult(params, fs, ranked, params[best_p], best_p)
 
 
@@ -249,7 +246,7 @@ def predict_rows(df: DataFrame, fitted: Fitted, by: str | None = None,
         for val, name in which.items():
             prob = F.when(F.col(by) == val, TR.predict_expr(fitted.trees[name], feats, "prob")).otherwise(prob)
             pred = F.when(F.col(by) == val, TR.predict_expr(fitted.trees[name], feats, "pred")).otherwise(pred)
-    return df.withColumn("prob", F.round(prob, 6)).withColumn("pred", pred.cast("int"))
+    return df.withColumn("prob", prob).withColumn("pred", pred.cast("int"))
 
 
 def importances_table(tree: dict[int, dict], features: list[str], k: int | None = 10) -> pd.DataFrame:

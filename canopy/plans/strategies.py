@@ -37,6 +37,12 @@ def _memo(spark: SparkSession, sf: str, name: str, fn):
     return _MEMO[key]
 
 
+def release(spark: SparkSession) -> None:
+    """Forget memoised strategies and the frames they persist (after input files changed, say)."""
+    _MEMO.clear()
+    spark.catalog.clearCache()
+
+
 def model_input(df: DataFrame) -> DataFrame:
     """The feature table every growth and refit of a strategy reads: persisted once
     (memory, spilling to disk), as iterative Spark ML fits do with their input."""
@@ -172,7 +178,7 @@ def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int
         sc = S.scores_from_leaves(leaves.where(F.col("root") < n_search), ["param_id", "root"]).cache()
         inner = sc.where(F.col("root") < n_inner).withColumn("outer", (F.col("root") / k_inner).cast("int"))
         mean = inner.groupBy("outer", "param_id").agg(F.avg("roc_auc").alias("inner_auc"))
-        order = F.struct(F.coalesce(F.col("inner_auc"), F.lit(float("-inf"))), -F.col("param_id"))
+        order = F.struct(F.round(F.coalesce(F.col("inner_auc"), F.lit(float("-inf"))), 12), -F.col("param_id"))
         best = {r["outer"]: r["best"] for r in
                 mean.groupBy("outer").agg(F.max_by("param_id", order).alias("best")).collect()}
         fs = (sc.where(F.col("root") >= n_inner).withColumn("fold", F.col("root") - n_inner).drop("root"))

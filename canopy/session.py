@@ -33,7 +33,9 @@ def get_spark(app: str = "canopy", cpus: int | str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only set one when unset (tests)."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  Where it is unset, a local session
+    (driver and tasks on one machine: tests, the bench) gets a folder of its own; on a
+    cluster that is an error, since executors would not see it."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
@@ -41,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="canopy-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

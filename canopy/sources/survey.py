@@ -27,8 +27,10 @@ SURVEY_SCHEMA = T.StructType(
     + [T.StructField(c, T.StringType(), True) for c in SURVEY_COLUMNS]
 )
 
-# Tokens pandas' CSV reader turns into NaN by default (a subset that matters for text answers).
-NA_TOKENS = ["", "NA", "N/A", "n/a", "NaN", "nan", "null", "NULL", "None", "<NA>", "#N/A"]
+# The texts that the reference's CSV reader takes for missing by default, exactly
+# as they stand (no trimming).
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+             "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def _yes_maybe_no(mod3: Column) -> Column:
@@ -113,7 +115,7 @@ def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType | None
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            c = F.when(F.trim(c).isin(tokens), F.lit(None).cast("string")).otherwise(c)
+            c = F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 

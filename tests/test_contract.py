@@ -10,8 +10,6 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF0001
 
-FAST_MODEL = {"root_split_gini", "root_split_entropy"}
-
 
 def test_entry_runs(spark, have_data):
     df = entry.entry(spark)
