@@ -162,21 +162,29 @@ def _sql_features_base() -> str:
             + "SELECT " + ", ".join(_q(c) for c in keep) + ", " + _round(dbl) + " FROM fe")
 
 
+BANDS4 = {
+    "Indoor_0": _flag(f"{_D} = 0"), "Indoor_1": _flag(f"{_D} = 1"),
+    "Indoor_2_3": _flag(f"{_D} >= 2 AND {_D} <= 3"), "Indoor_4_plus": _flag(f"{_D} >= 4"),
+    "Mood_0_1": _flag(f"{_M} <= 1"), "Mood_2": _flag(f"{_M} = 2"),
+    "Mood_3": _flag(f"{_M} = 3"), "Mood_4_plus": _flag(f"{_M} >= 4"),
+    "Stress_0_1": _flag(f"{_S} <= 1"), "Stress_2": _flag(f"{_S} = 2"),
+    "Stress_3": _flag(f"{_S} = 3"), "Stress_4_plus": _flag(f"{_S} >= 4"),
+}
+AGE_FLAGS = {f"Age_Group_{k}": _flag(f"Age = {v}") for k, v in AGE_GROUPS.items()}
+
+
+def _as(cols: dict[str, str]) -> str:
+    return ", ".join(f"{v} AS {k}" for k, v in cols.items())
+
+
+CTE_B4 = f"band4 AS (SELECT {_as(AGE_FLAGS)}, pp.*, {_as(BANDS4)}, {_as(RATIO_A)} FROM pp)"
+B4_FEATS = [*AGE_FLAGS, *ORD, *PP_DUMMIES, *BANDS4, *RATIO_A]
+
+
 def _sql_banded4() -> str:
-    bands = {
-        "Indoor_0": _flag(f"{_D} = 0"), "Indoor_1": _flag(f"{_D} = 1"),
-        "Indoor_2_3": _flag(f"{_D} >= 2 AND {_D} <= 3"), "Indoor_4_plus": _flag(f"{_D} >= 4"),
-        "Mood_0_1": _flag(f"{_M} <= 1"), "Mood_2": _flag(f"{_M} = 2"),
-        "Mood_3": _flag(f"{_M} = 3"), "Mood_4_plus": _flag(f"{_M} >= 4"),
-        "Stress_0_1": _flag(f"{_S} <= 1"), "Stress_2": _flag(f"{_S} = 2"),
-        "Stress_3": _flag(f"{_S} = 3"), "Stress_4_plus": _flag(f"{_S} >= 4"),
-    }
-    ages = [f"{_flag(f'Age = {v}')} AS Age_Group_{k}" for k, v in AGE_GROUPS.items()]
     keep = [c for c in PP_COLS if c not in ORD]
-    return (with_ctes(*BASE_PREFIX) + "SELECT " + ", ".join(ages) + ", "
-            + ", ".join(keep) + ", " + _round(ORD) + ", "
-            + ", ".join(f"{v} AS {k}" for k, v in bands.items()) + ", "
-            + ", ".join(f"round({v}, 6) AS {k}" for k, v in RATIO_A.items()) + " FROM pp")
+    return (with_ctes(*BASE_PREFIX, CTE_B4) + "SELECT " + ", ".join([*AGE_FLAGS, *keep]) + ", " + _round(ORD) + ", "
+            + ", ".join(BANDS4) + ", " + _round(list(RATIO_A)) + " FROM band4")
 
 
 def _sql_banded3() -> str:
@@ -187,11 +195,9 @@ def _sql_banded3() -> str:
         bands[f"{name}_High"] = _flag(f"{col} >= 4")
     ratios = {k: RATIO_A[k] for k in ("Frustration_Stress_Ratio", "Mood_Days_Product",
                                       "Weight_Med_History_Ratio")}
-    ages = [f"{_flag(f'Age = {v}')} AS Age_Group_{k}" for k, v in AGE_GROUPS.items()]
     keep = [c for c in PP_COLS if c not in ORD]
-    return (with_ctes(*BASE_PREFIX) + "SELECT " + ", ".join(ages) + ", "
-            + ", ".join(keep) + ", " + _round(ORD) + ", "
-            + ", ".join(f"{v} AS {k}" for k, v in bands.items()) + ", "
+    return (with_ctes(*BASE_PREFIX) + "SELECT " + _as(AGE_FLAGS) + ", "
+            + ", ".join(keep) + ", " + _round(ORD) + ", " + _as(bands) + ", "
             + ", ".join(f"round({v}, 6) AS {k}" for k, v in ratios.items()) + " FROM pp")
 
 
@@ -218,7 +224,7 @@ def _sql_coded() -> str:
             + ", ".join(adv_sql) + " FROM cs")
 
 
-def _sql_years() -> str:
+def _years_ctes() -> list[str]:
     ys = ("ys AS (SELECT respondent_id, CASE WHEN Age IS NULL THEN NULL ELSE CAST(16 + respondent_id % 90 AS DOUBLE) END AS Age, "
           + ", ".join(f"{_case_code(c, ORDINAL_MAPS[c])} AS {c}" for c in ORD if c != "Age")
           + ", Gender, Occupation, Work_Interest, Social_Weakness, Coping_Struggles FROM survey)")
@@ -228,12 +234,20 @@ def _sql_years() -> str:
               "FROM ys y CROSS JOIN ymed m)")
     grp = ("CASE WHEN Age > 0 AND Age <= 25 THEN '0_25' WHEN Age > 25 AND Age <= 40 THEN '26_40' "
            "WHEN Age > 40 AND Age <= 100 THEN '41_plus' ELSE 'nan' END")
-    ages = [f"CAST(coalesce(({grp}) = '{v}', false) AS INTEGER) AS Age_Group_{v}"
-            for v in ("0_25", "26_40", "41_plus", "nan")]
-    return (with_ctes(CTE_SURVEY, ys, ymed, yimp) + "SELECT respondent_id, " + _round(ORD)
-            + f", {TARGET_CODE} AS Coping_Struggles, "
-            + ", ".join(f"round({v}, 6) AS {k}" for k, v in RATIO_B4.items()) + ", "
-            + ", ".join(_dummies(NOMINAL, False)) + ", " + ", ".join(ages) + " FROM yimp")
+    ages = [f"CAST(coalesce(({grp}) = '{v}', false) AS INTEGER) AS Age_Group_{v}" for v in AGE_BINS]
+    yr = ("yr AS (SELECT respondent_id, " + ", ".join(ORD) + f", {TARGET_CODE} AS Coping_Struggles, " + _as(RATIO_B4) + ", "
+          + ", ".join(_dummies(NOMINAL, False)) + ", " + ", ".join(ages) + " FROM yimp)")
+    return [CTE_SURVEY, ys, ymed, yimp, yr]
+
+
+AGE_BINS = ("0_25", "26_40", "41_plus", "nan")
+YEAR_FEATS = [*ORD, *RATIO_B4, *_dummy_names(NOMINAL, False), *(f"Age_Group_{v}" for v in AGE_BINS)]
+
+
+def _sql_years() -> str:
+    plain = [c for c in YEAR_FEATS if c not in ORD and c not in RATIO_B4]
+    return (with_ctes(*_years_ctes()) + "SELECT respondent_id, " + _round(ORD) + ", Coping_Struggles, "
+            + _round(list(RATIO_B4)) + ", " + ", ".join(_q(c) for c in plain) + " FROM yr")
 
 
 # ---------------------------------------------------------------- splits

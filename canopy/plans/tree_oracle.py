@@ -10,9 +10,12 @@ children's costs, and a node collapses when the former is not greater.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from canopy.plans import oracle as O
+from canopy.plans.search import GRID_HOLDOUT, GRID_NESTED, Params, expand_grid
 
 EPS = "2.220446049250313e-16"
 BASE_FEATS = [c for c in O.FE_COLS if c not in ("respondent_id", "Coping_Struggles")]
@@ -164,8 +167,173 @@ def _predict(cols: str) -> str:
             "CAST(CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS INTEGER) AS pred FROM placed p JOIN nodes n ON n.gid = p.gid AND n.node = p.node WHERE p.role = 1")
 
 
+# ---------------------------------------------------------------- searches
+def search(src: str, feats: list[str], roots: list[tuple[str, str]], params: list[Params]) -> list[str]:
+    """CTEs ending in ``leaf``: the leaves of every (root, grid row), each derived from the one growth
+    of its root and growth parameters by depth cut, split minimum and pruning."""
+    keys = list(dict.fromkeys(p.growth_key() for p in params))
+    variants = list(dict.fromkeys(p.variant_key() for p in params))
+    deepest = max(p.max_depth for p in params)
+    specs = []
+    for train, evaluate in roots:
+        for crit, cw, msl in keys:
+            w = json.loads(cw)
+            w = (float(w["0"]), float(w["1"])) if isinstance(w, dict) else w
+            specs.append(Spec(train, evaluate, crit, w, msl, deepest))
+    out = growth(src, feats, specs)
+    out.append("vr(vid, md, mss, alpha) AS (VALUES " + ", ".join(f"({i}, {d}, {m}, CAST({a!r} AS DOUBLE))" for i, (d, m, a) in enumerate(variants)) + ")")
+    out.append("pm(param_id, gi, vid, params) AS (VALUES " + ", ".join(
+        f"({i}, {keys.index(p.growth_key())}, {variants.index(p.variant_key())}, '{p.label()}')" for i, p in enumerate(params)) + ")")
+    out.append(
+        "tv AS MATERIALIZED (SELECT n.*, v.vid, v.alpha, (n.j IS NOT NULL AND n.depth < v.md AND n.t0 + n.t1 >= v.mss) AS inside, "
+        "(n.m0 + n.m1) * n.imp / (z.m0 + z.m1) AS risk FROM nodes n JOIN nodes z ON z.gid = n.gid AND z.node = 1 CROSS JOIN vr v)")
+    for d in range(deepest, -1, -1):
+        join = "" if d == deepest else (f" LEFT JOIN k{d + 1} x ON x.gid = r.gid AND x.vid = r.vid AND x.node = 2 * r.node AND r.inside"
+                                        f" LEFT JOIN k{d + 1} y ON y.gid = r.gid AND y.vid = r.vid AND y.node = 2 * r.node + 1 AND r.inside")
+        gone = "true" if d == deepest else "(NOT inside OR (r.alpha > 0 AND risk + r.alpha <= x.cost + y.cost))"
+        whole = "0" if d == deepest else "x.cost + y.cost"
+        out.append(f"k{d} AS MATERIALIZED (SELECT r.gid, r.vid, r.node, {gone} AS gone, CASE WHEN {gone} THEN risk + r.alpha ELSE {whole} END AS cost "
+                   f"FROM tv r{join} WHERE r.depth = {d})")
+    out.append("v0 AS (SELECT gid, vid, node, gone FROM k0)")
+    for d in range(1, deepest + 1):
+        out.append(f"v{d} AS (SELECT k.gid, k.vid, k.node, k.gone FROM k{d} k JOIN v{d - 1} p ON k.gid = p.gid AND k.vid = p.vid AND k.node // 2 = p.node AND NOT p.gone)")
+    out.append("kept AS MATERIALIZED (SELECT t.*, a.gone FROM tv t JOIN (" + " UNION ALL ".join(f"SELECT * FROM v{d}" for d in range(deepest + 1)) + ") a USING (gid, vid, node))")
+    out.append(f"leaf AS MATERIALIZED (SELECT k.gid // {len(keys)} AS root, m.param_id, m.params, k.gid, k.vid, node, depth, t0, t1, e0, e1, "
+               "CASE WHEN m0 + m1 > 0 THEN m1 / (m0 + m1) ELSE 0 END AS prob, CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS pred "
+               f"FROM kept k JOIN pm m ON m.vid = k.vid AND m.gi = k.gid % {len(keys)} WHERE gone)")
+    return out
+
+
+def _renamed(ctes: list[str], tail: str) -> list[str]:
+    """The score CTEs under names of their own."""
+    out = []
+    for c in ctes:
+        for n in ("acc", "sc", "run", "auc"):
+            c = re.sub(rf"\b{n}\b(?! AS accuracy)", f"{n}_{tail}", c)
+        out.append(c)
+    return out
+
+
+def _report(leaves: str, group: str, tail: str) -> list[str]:
+    """CTE ``rep_<tail>``: the class report of a leaf table's evaluation counts, with roc_auc and average_precision."""
+    p1, r1, p0, r0 = (O._sd(a, b) for a, b in (("tp", "(tp + fp)"), ("tp", "(tp + fn)"), ("tn", "(tn + fn)"), ("tn", "(tn + fp)")))
+    rows = [("'0'", "p0", "r0", "f0", "s0"), ("'1'", "p1", "r1", "f1", "s1"), ("'accuracy'", "NULL", "NULL", O._sd("(tp + tn)", "n"), "n"),
+            ("'macro avg'", "(p0 + p1) / 2", "(r0 + r1) / 2", "(f0 + f1) / 2", "n"),
+            ("'weighted avg'", *(O._sd(f"({x}0 * s0 + {x}1 * s1)", "n") for x in "prf"), "n")]
+    return [
+        *_renamed(_leaf_scores(leaves, group), tail),
+        f"cc_{tail} AS (SELECT {group}, CAST(sum(CASE WHEN pred = 0 THEN e0 ELSE 0 END) AS DOUBLE) AS tn, CAST(sum(CASE WHEN pred = 1 THEN e0 ELSE 0 END) AS DOUBLE) AS fp, "
+        f"CAST(sum(CASE WHEN pred = 0 THEN e1 ELSE 0 END) AS DOUBLE) AS fn, CAST(sum(CASE WHEN pred = 1 THEN e1 ELSE 0 END) AS DOUBLE) AS tp FROM {leaves} GROUP BY {group})",
+        f"cr_{tail} AS (SELECT *, {O._sd('2 * p0 * r0', '(p0 + r0)')} AS f0, {O._sd('2 * p1 * r1', '(p1 + r1)')} AS f1 FROM (SELECT *, {p0} AS p0, {r0} AS r0, {p1} AS p1, {r1} AS r1, "
+        f"tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n FROM cc_{tail}))",
+        f"rep_{tail} AS (SELECT r.*, a.roc_auc, a.average_precision FROM (" + " UNION ALL ".join(
+            f"SELECT {group}, {lb} AS label, {p} AS precision, {r} AS recall, {f} AS f1_score, {n} AS support FROM cr_{tail}" for lb, p, r, f, n in rows)
+        + f") r JOIN auc_{tail} a USING ({group}))"]
+
+
+REPORT_COLS = ("label, round(CAST(precision AS DOUBLE), 6) AS precision, round(CAST(recall AS DOUBLE), 6) AS recall, round(CAST(f1_score AS DOUBLE), 6) AS f1_score, "
+               "CAST(support AS BIGINT) AS support, round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision")
+SCORE_COLS = "round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision"
+_MEANS = ("mn AS MATERIALIZED (SELECT param_id, avg(accuracy) AS mean_accuracy, avg(roc_auc) AS mean_roc_auc, avg(average_precision) AS mean_average_precision, "
+          "stddev_pop(roc_auc) AS std_test_score FROM fs GROUP BY param_id)")
+_BEST = "best AS MATERIALIZED (SELECT param_id FROM mn ORDER BY round(mean_roc_auc, 12) DESC NULLS LAST, param_id LIMIT 1)"
+
+
+def _fold_scores(roots: str, group: str = "root, param_id") -> list[str]:
+    """CTE ``fs``: scores of the leaves of some roots per (root, grid row)."""
+    return [f"lf AS MATERIALIZED (SELECT *, root * 100000 + param_id AS rp FROM leaf WHERE {roots})", *_renamed(_leaf_scores("lf", "rp"), "f"),
+            "fs AS MATERIALIZED (SELECT rp // 100000 AS root, rp % 100000 AS param_id, accuracy, roc_auc, average_precision FROM acc_f JOIN auc_f USING (rp))"]
+
+
+# holdout strategy: 60/20/20, 5 shuffled folds on the training part, refits on train and train + val
+_HOLD_SRC = [*O.BASE_PREFIX, O.CTE_B4, O.CTE_RANKED, O.CTE_PARTS, O.CTE_3WAY,
+             f"tf AS (SELECT respondent_id, CAST((row_number() OVER (ORDER BY {O._MD5}, respondent_id) - 1) % 5 AS INTEGER) AS fold FROM three WHERE split = 'train'),\n"
+             "src AS MATERIALIZED (SELECT band4.*, band4.Coping_Struggles AS y, CASE t.split WHEN 'val' THEN 5 WHEN 'test' THEN 6 ELSE tf.fold END AS fold "
+             "FROM band4 JOIN three t USING (respondent_id) LEFT JOIN tf USING (respondent_id))"]
+_HOLD_ROOTS = [(f"fold <= 4 AND fold <> {f}", f"fold = {f}") for f in range(5)] + [("fold <= 4", "fold = 5"), ("fold <= 5", "fold = 6")]
+
+
+def _holdout(*more: str) -> str:
+    return O.with_ctes(*_HOLD_SRC, *search("src", O.B4_FEATS, _HOLD_ROOTS, expand_grid(GRID_HOLDOUT)),
+                       *_fold_scores("root < 5"), _MEANS, _BEST, *more)
+
+
+def _holdout_sql() -> dict[str, str]:
+    train = "tl AS (SELECT root, t0 AS e0, t1 AS e1, prob, pred FROM leaf WHERE root = 6 AND param_id = (SELECT param_id FROM best))"
+    dec = ("bt AS (SELECT * FROM kept WHERE gid = (SELECT max(gid) FROM leaf WHERE root = 6 AND param_id = (SELECT param_id FROM best)) "
+           "AND vid = (SELECT max(vid) FROM leaf WHERE root = 6 AND param_id = (SELECT param_id FROM best)))")
+    gain = ("dec AS (SELECT p.j, (p.m0 + p.m1) * p.imp - (l.m0 + l.m1) * l.imp - (r.m0 + r.m1) * r.imp AS d FROM bt p "
+            "JOIN bt l ON l.node = 2 * p.node JOIN bt r ON r.node = 2 * p.node + 1 WHERE NOT p.gone)")
+    names = f"nm AS (SELECT unnest(range({len(O.B4_FEATS)})) AS j)"
+    imp = f"im AS (SELECT {_name(O.B4_FEATS)} AS feature, coalesce(sum(d), 0) / (SELECT sum(d) FROM dec) AS importance FROM nm LEFT JOIN dec USING (j) GROUP BY j)"
+    return {
+        "grid_search": _holdout() + "SELECT m.param_id, round(mean_accuracy, 6) AS mean_accuracy, round(mean_roc_auc, 6) AS mean_roc_auc, "
+        "round(mean_average_precision, 6) AS mean_average_precision, round(std_test_score, 6) AS std_test_score, round(mean_roc_auc, 6) AS mean_test_score, p.params, "
+        "CAST(rank() OVER (ORDER BY round(mean_roc_auc, 12) DESC NULLS LAST) AS INTEGER) AS rank_test_score FROM mn m JOIN pm p USING (param_id)",
+        "best_cv_scores": _holdout("bf AS (SELECT root AS fold, accuracy, roc_auc, average_precision FROM fs WHERE param_id = (SELECT param_id FROM best))")
+        + f"SELECT CAST(fold AS INTEGER) AS fold, {SCORE_COLS} FROM (SELECT * FROM bf UNION ALL SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision) FROM bf)",
+        "final_test_report": _holdout("el AS (SELECT * FROM leaf WHERE root >= 5 AND param_id = (SELECT param_id FROM best))", *_report("el", "root", "t"))
+        + f"SELECT CASE root WHEN 5 THEN 'val' ELSE 'test' END AS split, {REPORT_COLS} FROM rep_t",
+        "final_train_report": _holdout(train, *_report("tl", "root", "t")) + f"SELECT 'train+val' AS split, {REPORT_COLS} FROM rep_t",
+        "final_importances": _holdout(dec, gain, names, imp)
+        + "SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS BIGINT) AS rank, feature, round(importance, 6) AS importance FROM im QUALIFY rank <= 10",
+    }
+
+
+# nested strategy: 80/20, outer 5 x inner 3, then unshuffled 5-fold on the training part
+def _nested_src() -> list[str]:
+    md5 = O._MD5
+    inner = "".join(f", CASE WHEN o.ofold <> {o} THEN CAST((row_number() OVER (PARTITION BY o.Coping_Struggles, o.ofold <> {o} ORDER BY o.h, o.respondent_id) - 1) % 3 AS INTEGER) ELSE -1 END AS inner_{o}"
+                    for o in range(5))
+    size = lambda f: f"(floor((s + n - 1 - {f} + 5) / 5) - floor((s - 1 - {f} + 5) / 5))"
+    upto = ", ".join("(" + " + ".join(size(f) for f in range(i + 1)) + f") AS c{i}" for i in range(4))
+    return [
+        *O._years_ctes(), O.CTE_RANKED, O.CTE_PARTS, O.CTE_2WAY,
+        f"ot AS (SELECT respondent_id, Coping_Struggles, {md5} AS h, CAST((row_number() OVER (PARTITION BY Coping_Struggles ORDER BY {md5}, respondent_id) - 1) % 5 AS INTEGER) AS ofold FROM two WHERE split = 'train')",
+        "inn AS (SELECT o.*" + inner + " FROM ot o)",
+        "cl AS (SELECT Coping_Struggles, n, coalesce(sum(n) OVER (ORDER BY first_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s "
+        "FROM (SELECT Coping_Struggles, count(*) AS n, min(respondent_id) AS first_id FROM ot GROUP BY Coping_Struggles))",
+        f"cl2 AS (SELECT Coping_Struggles, {upto} FROM cl)",
+        "cf AS (SELECT respondent_id, CASE WHEN r <= c0 THEN 0 WHEN r <= c1 THEN 1 WHEN r <= c2 THEN 2 WHEN r <= c3 THEN 3 ELSE 4 END AS cfold FROM "
+        "(SELECT respondent_id, Coping_Struggles, row_number() OVER (PARTITION BY Coping_Struggles ORDER BY respondent_id) AS r FROM ot) JOIN cl2 USING (Coping_Struggles))",
+        "src AS MATERIALIZED (SELECT yr.*, yr.Coping_Struggles AS y, two.split, coalesce(inn.ofold, -1) AS ofold, "
+        + ", ".join(f"coalesce(inner_{o}, -1) AS inner_{o}" for o in range(5)) + ", coalesce(cf.cfold, -1) AS cfold FROM yr JOIN two USING (respondent_id) "
+        "LEFT JOIN inn USING (respondent_id) LEFT JOIN cf USING (respondent_id))"]
+
+
+_NEST_ROOTS = ([(f"split = 'train' AND ofold <> {o} AND inner_{o} <> {i}", f"split = 'train' AND ofold <> {o} AND inner_{o} = {i}")
+                for o in range(5) for i in range(3)]
+               + [(f"split = 'train' AND cfold <> {f}", f"split = 'train' AND cfold = {f}") for f in range(5)]
+               + [(f"split = 'train' AND ofold <> {o}", f"split = 'train' AND ofold = {o}") for o in range(5)]
+               + [("split = 'train'", "split = 'test'")])
+
+
+def _nested_sql() -> dict[str, str]:
+    params = expand_grid(GRID_NESTED)
+    grown = [*_nested_src(), *search("src", O.YEAR_FEATS, _NEST_ROOTS, params)]
+    inner = ["win AS MATERIALIZED (SELECT ofold, param_id FROM (SELECT root // 3 AS ofold, param_id, avg(roc_auc) AS a FROM fs GROUP BY ALL) "
+             "QUALIFY row_number() OVER (PARTITION BY ofold ORDER BY round(a, 12) DESC NULLS LAST, param_id) = 1)",
+             "ol AS (SELECT l.*, w.ofold FROM leaf l JOIN win w ON l.root = 20 + w.ofold AND l.param_id = w.param_id)",
+             *_renamed(_leaf_scores("ol", "ofold"), "o"),
+             "nr AS (SELECT ofold, accuracy, roc_auc, average_precision, w.param_id, p.params FROM acc_o JOIN auc_o USING (ofold) JOIN win w USING (ofold) JOIN pm p ON p.param_id = w.param_id)"]
+    final = [*_fold_scores("root BETWEEN 15 AND 19"), _MEANS, _BEST]
+    placed = (f"pl AS (SELECT p.rid, p.gid // {len({p.growth_key() for p in params})} AS root, p.y, l.prob, l.pred FROM placed p JOIN leaf l ON l.gid = p.gid "
+              "AND l.param_id = (SELECT param_id FROM best) AND l.depth <= floor(log2(p.node)) AND (p.node >> CAST(floor(log2(p.node)) - l.depth AS INTEGER)) = l.node WHERE p.role = 1)")
+    return {
+        "nested_cv": O.with_ctes(*grown, *_fold_scores("root < 15"), *inner)
+        + f'SELECT CAST(ofold AS INTEGER) AS "outer", {SCORE_COLS}, param_id, params FROM (SELECT * FROM nr UNION ALL '
+          "SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision), NULL, NULL FROM nr)",
+        "oof_predictions": O.with_ctes(*grown, *final, placed)
+        + "SELECT rid AS respondent_id, CAST(root - 20 AS INTEGER) AS fold, CAST(y AS INTEGER) AS y, round(prob, 6) AS prob, CAST(pred AS INTEGER) AS pred FROM pl WHERE root BETWEEN 20 AND 24",
+        "nested_test_report": O.with_ctes(*grown, *final, "el AS (SELECT * FROM leaf WHERE root = 25 AND param_id = (SELECT param_id FROM best))", *_report("el", "root", "t"))
+        + f"SELECT {REPORT_COLS} FROM rep_t",
+    }
+
+
 def tree_oracle_sql() -> dict[str, str]:
     return {
+        **_holdout_sql(),
+        **_nested_sql(),
         "tree_nodes": _base(_ALL) + _node_select(BASE_FEATS, "nodes", "(j IS NULL)"),
         "tree_importances": _importances(),
         "cv_scores": _cv_scores(),
