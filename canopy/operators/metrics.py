@@ -91,11 +91,10 @@ def class_report_from_confusion(c: DataFrame, group: list[str]) -> DataFrame:
 
 # --------------------------------------------------------------------------- E4-E7
 def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
-    """(group..., score, pos, neg, tot_pos, tot_neg): counts per distinct score with group totals."""
-    sc = df.groupBy(*group, F.col(prob).alias("score")).agg(
+    """(group..., score, pos, neg): label counts per distinct score."""
+    return df.groupBy(*group, F.col(prob).alias("score")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"),
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
-    return _totals(sc, group)
 
 
 SCORE_BUCKETS = 4096  # first stage of the running sums: buckets per unit of score
@@ -136,11 +135,15 @@ def _cumulative_desc(sc: DataFrame, group: list[str]) -> DataFrame:
 
 def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
               drop_intermediate: bool = True) -> DataFrame:
+    return roc_curve_from_counts(score_counts(df, group, y, prob), group, drop_intermediate)
+
+
+def roc_curve_from_counts(sc: DataFrame, group: list[str], drop_intermediate: bool = True) -> DataFrame:
     """(group..., point, threshold, fpr, tpr) from the top score down, starting at
     (threshold=+inf, 0, 0); collinear intermediate points dropped like scikit-learn.
     Neighbours come from an equi-join on the point index and point numbers from a
     two-stage prefix count, so no window spans a whole group."""
-    c = _cumulative_desc(score_counts(df, group, y, prob), group)
+    c = _cumulative_desc(_totals(sc, group), group)
     if drop_intermediate:
         nb = c.select(*group, "_i", "tp", "fp")
         prv = nb.select(*group, (F.col("_i") + 1).alias("_i"), F.col("tp").alias("ptp"), F.col("fp").alias("pfp"))
@@ -188,7 +191,7 @@ def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
 def roc_auc(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
     """E5: AUC with ties counting half: sum_s pos_s * (neg below s + neg_s / 2) / (P N);
     NULL when a group has one class only."""
-    return roc_auc_from_counts(score_counts(df, group, y, prob).drop("tot_pos", "tot_neg"), group)
+    return roc_auc_from_counts(score_counts(df, group, y, prob), group)
 
 
 def average_precision_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
@@ -209,9 +212,13 @@ def accuracy_from_counts(leaves: DataFrame, group: list[str], pred: str = "pred"
 
 
 def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
+    return pr_curve_from_counts(score_counts(df, group, y, prob), group)
+
+
+def pr_curve_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     """(group..., point, threshold, precision, recall) for every distinct threshold from
     the top down, then the closing point (recall 0, precision 1, threshold NULL)."""
-    c = _cumulative_desc(score_counts(df, group, y, prob), group)
+    c = _cumulative_desc(_totals(sc, group), group)
     # the closing point rides on the top score's row
     end = F.struct(F.lit(0).alias("point"), F.lit(None).cast("double").alias("threshold"),
                    F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
@@ -225,4 +232,4 @@ def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob")
 def average_precision(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -> DataFrame:
     """Step-sum AP = sum over thresholds (top down) of (delta recall) * precision.
     Not the trapezoid area Spark's evaluator reports; NULL without positives."""
-    return average_precision_from_counts(score_counts(df, group, y, prob).drop("tot_pos", "tot_neg"), group)
+    return average_precision_from_counts(score_counts(df, group, y, prob), group)

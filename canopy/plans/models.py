@@ -186,6 +186,46 @@ def q_nested_test_report(spark, sf):
     return MT.rounded(S.report_from_leaves(n.test.leaves, ["root"]).drop("root"))
 
 
+# --------------------------------------------------------------------------- fitted models
+def _model_leaves(spark, sf) -> DataFrame:
+    """(strategy, split, prob, pred, e0, e1): evaluation counts of the fitted trees' leaves; the
+    out-of-fold rows of the nested strategy are pooled over its five trees."""
+    b, h, n = ST.baseline(spark, sf), ST.holdout(spark, sf), ST.nested(spark, sf)
+    cols = ["prob", "pred", "e0", "e1"]
+    hold = [r.name for r in b.fitted.roots].index("holdout")
+    parts = [("baseline", "test", b.fitted.leaves.where(F.col("root") == hold)),
+             ("holdout", "val", h.fitted.leaves.where("root = 0")), ("holdout", "test", h.fitted.leaves.where("root = 1")),
+             ("nested", "oof", n.oof.leaves), ("nested", "test", n.test.leaves)]
+    out = None
+    for strategy, split, leaves in parts:
+        p = leaves.select(F.lit(strategy).alias("strategy"), F.lit(split).alias("split"), *cols)
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+MODEL_KEYS = ["strategy", "split"]
+
+
+def _model_counts(spark, sf) -> DataFrame:
+    return _model_leaves(spark, sf).groupBy(*MODEL_KEYS, F.col("prob").alias("score")).agg(
+        F.sum("e1").alias("pos"), F.sum("e0").alias("neg"))
+
+
+def q_model_roc_curve(spark, sf):
+    return MT.rounded(MT.roc_curve_from_counts(_model_counts(spark, sf), MODEL_KEYS))
+
+
+def q_model_pr_curve(spark, sf):
+    return MT.rounded(MT.pr_curve_from_counts(_model_counts(spark, sf), MODEL_KEYS))
+
+
+def q_model_confusion(spark, sf):
+    count = lambda c, p: F.sum(F.when(F.col("pred") == p, F.col(c)).otherwise(0)).cast("long")
+    c = _model_leaves(spark, sf).groupBy(*MODEL_KEYS).agg(
+        count("e0", 0).alias("tn"), count("e0", 1).alias("fp"), count("e1", 0).alias("fn"), count("e1", 1).alias("tp"))
+    return c.selectExpr(*MODEL_KEYS, "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) as (y, pred, n)")
+
+
 # --------------------------------------------------------------------------- streaming
 def q_stream_scores(spark, sf):
     """Batch-fit the encoder and a depth-5 tree, then score the order stream with them
@@ -220,6 +260,9 @@ MODEL_QUERIES = {
     "nested_cv": q_nested_cv,
     "oof_predictions": q_oof_predictions,
     "nested_test_report": q_nested_test_report,
+    "model_roc_curve": q_model_roc_curve,
+    "model_pr_curve": q_model_pr_curve,
+    "model_confusion": q_model_confusion,
     "stream_scores": q_stream_scores,
 }
 MODEL_ORACLE_SQL = {

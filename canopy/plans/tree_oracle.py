@@ -330,8 +330,61 @@ def _nested_sql() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- curves of the fitted models
+def _model_leaves() -> str:
+    """CTE ``ml``: evaluation counts per leaf of each strategy's fitted trees."""
+    prob = "CASE WHEN m0 + m1 > 0 THEN m1 / (m0 + m1) ELSE 0 END AS prob, CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS pred"
+    base = _base(_HOLD) + f"SELECT 'baseline' AS strategy, 'test' AS split, {prob}, e0, e1 FROM nodes WHERE j IS NULL"
+    hold = _holdout() + ("SELECT 'holdout', CASE root WHEN 5 THEN 'val' ELSE 'test' END, prob, pred, e0, e1 FROM leaf "
+                         "WHERE root >= 5 AND param_id = (SELECT param_id FROM best)")
+    nest = O.with_ctes(*_nested_src(), *search("src", O.YEAR_FEATS, _NEST_ROOTS[15:], expand_grid(GRID_NESTED)),
+                       *_fold_scores("root < 5"), _MEANS, _BEST) + (
+        "SELECT 'nested', CASE WHEN root < 10 THEN 'oof' ELSE 'test' END, prob, pred, e0, e1 FROM leaf WHERE root >= 5 AND param_id = (SELECT param_id FROM best)")
+    return "ml AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (base, hold, nest)) + ")"
+
+
+def _curves() -> list[str]:
+    k = "strategy, split"
+    w = f"PARTITION BY {k}"
+    return [_model_leaves(), f"cnt AS (SELECT {k}, prob AS score, sum(e1) AS pos, sum(e0) AS neg FROM ml GROUP BY ALL)",
+            f"cum AS (SELECT *, CAST(sum(pos) OVER ({w}) AS DOUBLE) AS P, CAST(sum(neg) OVER ({w}) AS DOUBLE) AS N, "
+            f"CAST(sum(pos) OVER ({w} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS tp, CAST(sum(neg) OVER ({w} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS fp, "
+            f"row_number() OVER ({w} ORDER BY score DESC) AS i FROM cnt)"]
+
+
+def _curve_sql() -> dict[str, str]:
+    roc = [*_curves(), "flt AS (SELECT * FROM (SELECT *, lag(tp) OVER o AS ptp, lead(tp) OVER o AS ntp, lag(fp) OVER o AS pfp, lead(fp) OVER o AS nfp FROM cum "
+           "WINDOW o AS (PARTITION BY strategy, split ORDER BY i)) WHERE ptp IS NULL OR ntp IS NULL OR ntp - 2 * tp + ptp <> 0 OR nfp - 2 * fp + pfp <> 0)",
+           "pts AS (SELECT strategy, split, score AS threshold, tp, fp, P, N, i FROM flt UNION ALL "
+           "SELECT strategy, split, CAST('infinity' AS DOUBLE), 0, 0, P, N, 0 FROM cum WHERE i = 1)"]
+    return {
+        "model_roc_curve": O.with_ctes(*roc) + "SELECT strategy, split, CAST(row_number() OVER (PARTITION BY strategy, split ORDER BY i) - 1 AS INTEGER) AS point, "
+        "round(threshold, 6) AS threshold, round(CASE WHEN N > 0 THEN fp / N END, 6) AS fpr, round(CASE WHEN P > 0 THEN tp / P END, 6) AS tpr FROM pts",
+        "model_pr_curve": O.with_ctes(*_curves()) + "SELECT strategy, split, CAST(i AS INTEGER) AS point, round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, "
+        "round(CASE WHEN P > 0 THEN tp / P ELSE 1 END, 6) AS recall FROM cum UNION ALL SELECT strategy, split, 0, NULL, 1.0, 0.0 FROM cum WHERE i = 1",
+        "model_confusion": O.with_ctes(_model_leaves()) + "SELECT strategy, split, y, pred, CAST(sum(n) AS BIGINT) AS n FROM ("
+        "SELECT strategy, split, 0 AS y, p.pred, CASE WHEN p.pred = ml.pred THEN e0 ELSE 0 END AS n FROM ml, (VALUES (0), (1)) p(pred) UNION ALL "
+        "SELECT strategy, split, 1, p.pred, CASE WHEN p.pred = ml.pred THEN e1 ELSE 0 END FROM ml, (VALUES (0), (1)) p(pred)) GROUP BY ALL",
+    }
+
+
+def _stream_scores() -> str:
+    src = "src AS MATERIALIZED (SELECT band4.*, Coping_Struggles AS y FROM band4)"
+    return (O.with_ctes(*O.BASE_PREFIX, O.CTE_B4, src, *growth("src", O.B4_FEATS, [Spec("true", depth=5)]))
+            + "SELECT p.rid AS respondent_id, CAST(p.y AS INTEGER) AS y, round(CASE WHEN m0 + m1 > 0 THEN m1 / (m0 + m1) ELSE 0 END, 6) AS prob, "
+              "CAST(CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS INTEGER) AS pred FROM placed p JOIN nodes n ON n.gid = p.gid AND n.node = p.node")
+
+
+def _dtype_report() -> str:
+    return ("SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, CASE column_type WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type "
+            "FROM (DESCRIBE " + O.with_ctes(*O.BASE_PREFIX) + "SELECT " + ", ".join(O._q(c) for c in O.PP_COLS) + " FROM pp)")
+
+
 def tree_oracle_sql() -> dict[str, str]:
     return {
+        **_curve_sql(),
+        "stream_scores": _stream_scores(),
+        "dtype_report": _dtype_report(),
         **_holdout_sql(),
         **_nested_sql(),
         "tree_nodes": _base(_ALL) + _node_select(BASE_FEATS, "nodes", "(j IS NULL)"),
