@@ -30,11 +30,18 @@ def work_dir(spark: SparkSession, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/canopy-{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    path = work_dir(df.sparkSession, what)
+def written(df: DataFrame, what: str, narrow: bool = False) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: cuts lineage, survives lost executors.
+
+    `narrow` tables, of a few numbers a row, are written by an eighth of the shuffle's tasks: without
+    adaptive coalescing they would be many tiny files.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, what)
+    if narrow:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -31,36 +31,37 @@ from pyspark.sql import functions as F
 from .common import map_rows, raw_text, written
 from .words import mix, shingles
 
-BINS, ROWS = 128, 4
+#: BINS bins estimate similarities; the first BANDS * ROWS of them make the bands. A pair at 0.75 is
+#: missed by all bands with probability (1 - 0.75 ** 4) ** 32, or 5e-6.
+BINS, BANDS, ROWS = 512, 32, 4
+_VALUE, _ROUND = np.uint64(2**45 - 1), np.uint64(45)
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _EMPTY = np.uint64(2**64 - 1)
-#: Equal bins from which a pair is verified: 0.75 * 128 less 4.9 standard deviations.
-LEAST_EQUAL = 72
+#: Equal bins from which a pair is verified: 0.75 * 512 less 4.5 standard deviations.
+LEAST_EQUAL = 340
 QUERY_BLOCK, TARGET_BLOCK = 256, 1024
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """BINS values of a non-empty set of hashes; (round, value) packed as round << 48 | value."""
+    """BINS values of a non-empty set of hashes; (round, value) packed as round << 45 | value."""
     out = np.full(BINS, _EMPTY)
-    step, i = max(1, min(BINS, 1024 // len(s))), 0
+    # several rounds at once for small sets; rounds after the last needed one change nothing
+    step, i = max(1, min(BINS, 4096 // len(s))), 0
     while i < BINS and (out == _EMPTY).any():
         rounds = np.arange(i, min(BINS, i + step))
         x = mix(s[None, :] ^ _SEEDS[rounds][:, None])
-        own = rounds.astype(np.uint64)[:, None] << np.uint64(48) | (x >> np.uint64(9) & np.uint64(2**48 - 1))
-        key = np.sort(((x >> np.uint64(57)) << np.uint64(56) | own).ravel())
-        bins = (key >> np.uint64(56)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
-        np.minimum.at(out, bins[first], key[first] & np.uint64(2**56 - 1))
+        own = rounds.astype(np.uint64)[:, None] << _ROUND | (x & _VALUE)
+        np.minimum.at(out, (x >> np.uint64(55)).astype(np.int64).ravel(), own.ravel())
         i += step
     for b in np.flatnonzero(out == _EMPTY).tolist():
         x = mix(s ^ _SEEDS[BINS + b])
-        out[b] = np.uint64(BINS + b) << np.uint64(48) | (x >> np.uint64(9) & np.uint64(2**48 - 1)).min()
+        out[b] = np.uint64(BINS + b) << _ROUND | (x & _VALUE).min()
     return out
 
 
 def bands(sk: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band of ROWS bins."""
-    parts = mix(sk ^ _SEEDS[:BINS]).reshape(-1, ROWS)
+    parts = mix(sk[:BANDS * ROWS] ^ _SEEDS[:BANDS * ROWS]).reshape(-1, ROWS)
     acc = np.arange(1, len(parts) + 1, dtype=np.uint64)
     for j in range(ROWS):
         acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) ^ parts[:, j])
@@ -79,7 +80,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             s = shingles(text)
             if len(s):
                 sk = sketch(s)
-                low = (sk & np.uint64(0xFFFF)).astype("<u2").tobytes()
+                low = (sk & np.uint64(0xFF)).astype("u1").tobytes()  # chance equality adds under 0.2 %
                 yield doc_id, len(s), content_key(text), bands(sk).tolist(), low
             else:
                 yield doc_id, 0, None, None, None
@@ -120,25 +121,26 @@ def components(edges: DataFrame) -> DataFrame:
     nodes are pre-aggregated by Spark's partial aggregates; tables in the shared folder cut lineage.
     """
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                   "edges")
+                   "edges", narrow=True)
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                     .select("node", F.least("node", "m").alias("comp")), "labels")
+                     .select("node", F.least("node", "m").alias("comp")), "labels", narrow=True)
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "comp"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near")))
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
         nxt = written(labels.join(near, "node").join(up, "comp")
-                      .select("node", F.least("comp", "near", "up").alias("comp"), F.col("comp").alias("old")), "labels")
+                      .select("node", F.least("comp", "near", "up").alias("comp"), F.col("comp").alias("old")), "labels", narrow=True)
         if nxt.filter("comp <> old").isEmpty():
             return nxt.select("node", "comp")
         labels = nxt.select("node", "comp")
 
 
-def mixed_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) in a common bucket but different components whose sketches agree enough.
+def mixed_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) in a common bucket but different components whose sketches agree enough.
 
     `members` (band, node, comp). Within a bucket, nodes outside its largest component are compared
-    with all others, in blocks of bounded size, inside one task each.
+    with all others, in blocks of bounded size, inside one task each. A pair is reported in the first
+    band that its nodes share, so once.
     """
     sizes = members.groupBy("band", "comp").agg(F.count("*").alias("n"))
     mixed = (sizes.groupBy("band").agg(F.sum("n").alias("m"), F.count("*").alias("k"),
@@ -154,33 +156,30 @@ def mixed_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
     as_query = rows_.filter("is_q").withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tn").cast("int") - 1))) \
         .withColumn("qb", (F.col("h") % F.col("qn")).cast("int")).withColumn("role", F.lit(0))
     cols = ["band", "qb", "tb", "role", "node", "comp", "main"]
-    blocks = as_target.select(*cols).union(as_query.select(*cols)).join(sketches.select("node", "sketch"), "node")
+    blocks = as_target.select(*cols).union(as_query.select(*cols)).join(nodes.select("node", "bands", "sketch"), "node")
 
     def rows(it: Iterator[tuple]) -> Iterator[tuple]:
-        seen: set[tuple[int, int]] = set()
-        for _, group in itertools.groupby(it, key=lambda r: r[:3]):
+        for (band, _, _), group in itertools.groupby(it, key=lambda r: r[:3]):
             g = list(group)
             q, t = [r for r in g if r[3] == 0], [r for r in g if r[3] == 1]
             if not q or not t:
                 continue
             main = g[0][6]
             tn, tc = np.array([r[4] for r in t]), np.array([r[5] for r in t])
-            ts = np.frombuffer(b"".join(r[7] for r in t), "<u2").reshape(len(t), BINS)
+            tb = np.array([r[7] for r in t])
+            ts = np.frombuffer(b"".join(r[8] for r in t), "u1").reshape(len(t), BINS)
             for r in q:
-                # a pair of two nodes outside the main component is met twice: take it once
-                ask = (tc != r[5]) & ((tc == main) | (tn < r[4]))
-                if ask.any():
-                    equal = (ts[ask] == np.frombuffer(r[7], "<u2")).sum(axis=1)
+                # two nodes outside the main component meet twice: take the pair once
+                ask = np.flatnonzero((tc != r[5]) & ((tc == main) | (tn < r[4])))
+                if len(ask):
+                    own = np.array(r[7])
+                    ask = ask[(tb[ask] == own).argmax(axis=1) == int((own == band).argmax())]
+                    equal = (ts[ask] == np.frombuffer(r[8], "u1")).sum(axis=1)
                     for n in tn[ask][equal >= LEAST_EQUAL].tolist():
-                        p = (r[4], n) if r[4] > n else (n, r[4])
-                        if p not in seen:
-                            if len(seen) > 200_000:
-                                seen.clear()
-                            seen.add(p)
-                            yield p
+                        yield (r[4], n) if r[4] > n else (n, r[4])
 
-    dealt = blocks.select(*cols, "sketch").repartition("band", "qb", "tb").sortWithinPartitions("band", "qb", "tb")
-    return map_rows(dealt, rows, "a long, b long").distinct()
+    dealt = blocks.select(*cols, "bands", "sketch").repartition("band", "qb", "tb").sortWithinPartitions("band", "qb", "tb")
+    return map_rows(dealt, rows, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -191,13 +190,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
                                              F.min_by(F.struct("bands", "sketch", "n_shingles"), "doc_id").alias("s"))
                     .select(F.monotonically_increasing_id().alias("node"), "key", "rep", "s.*"), "nodes")
     keys = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = written(keys.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
-                      .filter("n > 1").select("band", "leader"), "buckets")
-    members = written(keys.join(buckets, "band"), "members")
-    stars = (members.filter("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
+    # shared buckets only; a node's weight is the number of nodes it shares buckets with
+    sizes = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    members = written(keys.join(sizes, "band"), "members")
+    weights = members.groupBy("node").agg(F.sum("n").alias("w"))
+    # the leader of a bucket is its node with most company: the middle of a cloud of near copies
+    leaders = (members.join(weights, "node").groupBy("band").agg(F.max(F.struct("w", "node")).alias("top"))
+               .select("band", F.col("top.node").alias("leader")))
+    stars = (members.join(leaders, "band").filter("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared"))
              .groupBy("node").agg(F.max(F.struct("shared", "leader")).alias("best"))
              .select(F.col("node").alias("a"), F.col("best.leader").alias("b")))
-    stars = written(stars, "stars")
+    stars = written(stars, "stars", narrow=True)
     needed = members.select("node").distinct().join(nodes.select("node", "key", F.col("rep").alias("doc_id"), "n_shingles"), "node")
     texts = written(_texts(docs, needed), "texts")
     links = written(verify(stars, texts, percent), "links")

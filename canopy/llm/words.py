@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Entries of a worker's word-hash cache; beyond, it starts anew. It only saves time.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 _ROLL = [np.uint64((_GOLD * (2 * i + 1)) % 2**64 | 1) for i in range(1, 9)]
 
