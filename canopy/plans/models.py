@@ -186,6 +186,27 @@ def q_nested_test_report(spark, sf):
     return MT.rounded(S.report_from_leaves(n.test.leaves, ["root"]).drop("root"))
 
 
+# --------------------------------------------------------------------------- further searches
+def q_search_base(spark, sf):
+    return MT.rounded(ST.tuned_base(spark, sf).summary)
+
+
+def _stratified(name: str):
+    def outer(spark, sf):
+        t = ST.stratified_nested(spark, sf, name).outer
+        t = t.select(F.col("outer").cast("int").alias("outer"), *METRIC_COLS, F.col("param_id").cast("int").alias("param_id"), "params")
+        return _with_mean_row(t, "outer", {"param_id": None, "params": None})
+
+    def report(spark, sf):
+        oof = ST.stratified_nested(spark, sf, name).oof.withColumn("split", F.lit("oof"))
+        return MT.rounded(S.report_from_leaves(oof, ["split"]))
+
+    def final(spark, sf):
+        return MT.rounded(ST.stratified_nested(spark, sf, name).final.summary)
+
+    return {f"nested_{name}": outer, f"oof_report_{name}": report, f"search_{name}": final}
+
+
 # --------------------------------------------------------------------------- fitted models
 def _model_leaves(spark, sf) -> DataFrame:
     """(strategy, split, prob, pred, e0, e1): evaluation counts of the fitted trees' leaves; the
@@ -260,6 +281,9 @@ MODEL_QUERIES = {
     "nested_cv": q_nested_cv,
     "oof_predictions": q_oof_predictions,
     "nested_test_report": q_nested_test_report,
+    "search_base": q_search_base,
+    **_stratified("banded4"),
+    **_stratified("coded"),
     "model_roc_curve": q_model_roc_curve,
     "model_pr_curve": q_model_pr_curve,
     "model_confusion": q_model_confusion,

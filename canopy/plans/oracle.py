@@ -201,27 +201,25 @@ def _sql_banded3() -> str:
             + ", ".join(f"round({v}, 6) AS {k}" for k, v in ratios.items()) + " FROM pp")
 
 
+_ALPHA = {c: sorted(ORDINAL_MAPS[c]) for c in ORD}
+CTE_CS = ("cs AS (SELECT respondent_id, " + ", ".join(f"{_case_code(c, _ALPHA[c], 'INTEGER', '-1')} AS {c}" for c in ORD)
+          + f", {TARGET_CODE} AS Coping_Struggles, " + ", ".join(_dummies(NOMINAL, False)) + " FROM survey)")
+CODED_BIN_SQL = {
+    name: "CAST(CASE " + " ".join(f"WHEN {src} > {edges[i]} AND {src} <= {edges[i + 1]} THEN {i}" for i in range(len(labels)))
+    + " END AS INTEGER)" for name, (src, edges, labels) in CODED_BINS.items()}
+CODED_HOT = {f"{d}_{v}": _flag(f"{d} = {v}") for d in CODED_DUMMIES for v in (0, 1)}
+CODED_REST = [c for c in _dummy_names(NOMINAL, False) if c not in CODED_DUMMIES]
+CODED_RATIO = {k: RATIO_A[k] for k in ("Frustration_Stress_Ratio", "Frustration_Stress_Diff",
+                                       "Mood_Days_Product", "Weight_Med_History_Ratio", "Weight_x_History")}
+CTE_CODED = (f"coded AS (SELECT {_as(CODED_BIN_SQL)}, {_as(CODED_HOT)}, respondent_id, " + ", ".join(ORD) + ", Coping_Struggles, "
+             + ", ".join(CODED_REST) + f", {_as(CODED_RATIO)} FROM cs)")
+CODED_FEATS = [*CODED_BIN_SQL, *CODED_HOT, *ORD, *CODED_REST, *CODED_RATIO]
+
+
 def _sql_coded() -> str:
-    alpha = {c: sorted(ORDINAL_MAPS[c]) for c in ORD}
-    codes = [f"{_case_code(c, alpha[c], 'INTEGER', '-1')} AS {c}" for c in ORD]
-    cs = ("cs AS (SELECT respondent_id, " + ", ".join(codes) + f", {TARGET_CODE} AS Coping_Struggles, "
-          + ", ".join(_dummies(NOMINAL, False)) + " FROM survey)")
-    bins = []
-    for name, (src, edges, labels) in CODED_BINS.items():
-        whens = " ".join(f"WHEN {src} > {edges[i]} AND {src} <= {edges[i + 1]} THEN {i}"
-                         for i in range(len(labels)))
-        bins.append(f"CAST(CASE {whens} END AS INTEGER) AS {name}")
-    onehot = [f"{_flag(f'{d} = {v}')} AS {_q(d + '_' + str(v))}" for d in CODED_DUMMIES for v in (0, 1)]
-    rest = [c for c in _dummy_names(NOMINAL, False) if c not in CODED_DUMMIES]
-    adv = {k: RATIO_A[k] for k in ("Frustration_Stress_Ratio", "Frustration_Stress_Diff",
-                                   "Mood_Days_Product", "Weight_Med_History_Ratio", "Weight_x_History")}
-    adv_sql = []
-    for k, v in adv.items():
-        adv_sql.append(f"round({v}, 6) AS {k}" if k in ("Frustration_Stress_Ratio", "Weight_Med_History_Ratio")
-                       else f"CAST({v} AS INTEGER) AS {k}")
-    return (with_ctes(CTE_SURVEY, cs) + "SELECT " + ", ".join(bins) + ", " + ", ".join(onehot)
-            + ", respondent_id, " + ", ".join(ORD) + ", Coping_Struggles, " + ", ".join(rest) + ", "
-            + ", ".join(adv_sql) + " FROM cs")
+    shown = {k: f"round({k}, 6)" if k in ("Frustration_Stress_Ratio", "Weight_Med_History_Ratio") else f"CAST({k} AS INTEGER)" for k in CODED_RATIO}
+    plain = [*CODED_BIN_SQL, *CODED_HOT, "respondent_id", *ORD, "Coping_Struggles", *CODED_REST]
+    return with_ctes(CTE_SURVEY, CTE_CS, CTE_CODED) + "SELECT " + ", ".join(plain) + f", {_as(shown)} FROM coded"
 
 
 def _years_ctes() -> list[str]:

@@ -41,6 +41,29 @@ GRID_NESTED = {
     "criterion": ["gini", "entropy"],
     "class_weight": [None, "balanced"],
 }
+GRID_BASE = {
+    "max_depth": [5, 10, 15],
+    "min_samples_leaf": [10, 30, 50],
+    "criterion": ["gini", "entropy"],
+    "ccp_alpha": [0.0, 0.001, 0.01],
+    "class_weight": ["balanced"],
+}
+GRID_SMALL = {
+    "max_depth": [3, 5],
+    "min_samples_leaf": [5, 10],
+    "min_samples_split": [10, 20],
+    "criterion": ["gini", "entropy"],
+    "ccp_alpha": [1e-3, 5e-3, 1e-2],
+    "class_weight": ["balanced"],
+}
+GRID_CODED = {
+    "max_depth": [3, 5, 7],
+    "min_samples_leaf": [2, 5, 10],
+    "min_samples_split": [5, 10, 20],
+    "criterion": ["gini", "entropy"],
+    "ccp_alpha": [1e-4, 5e-4, 1e-3],
+    "class_weight": ["balanced"],
+}
 BASELINE = {"max_depth": 10, "min_samples_leaf": 30}
 
 

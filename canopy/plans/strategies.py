@@ -202,6 +202,59 @@ def nested(spark: SparkSession, sf: str, grid: dict | None = None, k_outer: int
     return _memo(spark, sf, "nested", run)
 
 
+# --------------------------------------------------------------------------- tuned base tree
+def tuned_base(spark: SparkSession, sf: str) -> S.SearchResult:
+    """Grid search by accuracy on the base bundle of all rows, five shuffled folds."""
+    def run():
+        fe = FE.base(encoded_survey(spark, sf)[0])
+        data = model_input(SP.kfold(fe, ID, 5))
+        return S.grid_search(data, feature_names(data), TARGET, "fold", list(range(5)), S.GRID_BASE,
+                             scoring="accuracy", keep=["fold"])
+    return _memo(spark, sf, "tuned_base", run)
+
+
+# --------------------------------------------------------------------------- stratified nested
+@dataclass
+class StratifiedNested:
+    outer: DataFrame          # per outer fold: the inner winner and its outer scores
+    oof: DataFrame            # leaves of the winners, evaluation counts on their outer folds
+    final: S.SearchResult     # the same grid searched on all rows
+
+
+def stratified_nested(spark: SparkSession, sf: str, name: str, k: int = 5) -> StratifiedNested:
+    """All rows, stratified shuffled 5 x 5: every outer fold is predicted by the winner of the
+    search inside its training part.  The final search uses the outer folds, whose growths are
+    also the refits of the winners, so one growth loop serves all."""
+    def frame() -> tuple[DataFrame, dict, str]:
+        if name == "banded4":
+            pp, fitted = encoded_survey(spark, sf)
+            return FE.banded4(pp, age_levels=fitted["age_groups"]), S.GRID_SMALL, "accuracy"
+        return FE.coded(FE.preprocess_coded(load_survey(spark, sf)), on_unknown="null"), S.GRID_CODED, "roc_auc"
+
+    def run():
+        fe, grid, scoring = frame()
+        d = SP.stratified_kfold(fe, ID, TARGET, k, keep_rank=True).withColumnRenamed("fold", "outer")
+        d = d.withColumns({f"inner_{o}": SP.inner_fold(F.col(SP.RANK), F.lit(o), k, k) for o in range(k)})
+        data = model_input(d.drop(SP.RANK, SP.N_CLASS))
+        feats, params = feature_names(data), S.expand_grid(grid)
+        roots = [TR.Root(f"o{o}i{i}", f"outer <> {o} AND inner_{o} <> {i}", f"outer <> {o} AND inner_{o} = {i}")
+                 for o in range(k) for i in range(k)]
+        roots += [TR.Root(f"outer{o}", f"outer <> {o}", f"outer = {o}") for o in range(k)]
+        _g, leaves, _m, _v = S.evaluate_roots(data, feats, TARGET, roots, params,
+                                              keep=["outer"] + [f"inner_{o}" for o in range(k)])
+        leaves = leaves.cache()
+        sc = S.scores_from_leaves(leaves, ["param_id", "root"]).cache()
+        inner = sc.where(F.col("root") < k * k).withColumn("outer", (F.col("root") / k).cast("int"))
+        mean = inner.groupBy("outer", "param_id").agg(F.avg(scoring).alias("s"))
+        order = F.struct(F.round(F.coalesce("s", F.lit(float("-inf"))), 12), -F.col("param_id"))
+        best = {r["outer"]: r["best"] for r in mean.groupBy("outer").agg(F.max_by("param_id", order).alias("best")).collect()}
+        won = spark.createDataFrame([(k * k + o, o, p, params[p].label()) for o, p in best.items()],
+                                    "root int, outer int, param_id int, params string")
+        final = S.summarize(spark, params, sc.where(F.col("root") >= k * k).withColumn("fold", F.col("root") - k * k).drop("root"), scoring)
+        return StratifiedNested(sc.join(won, ["root", "param_id"]), leaves.join(won.select("root", "param_id"), ["root", "param_id"]), final)
+    return _memo(spark, sf, f"stratified_{name}", run)
+
+
 def node_frame(spark: SparkSession, tree: dict[int, dict], features: list[str]) -> DataFrame:
     rows = []
     for i in sorted(tree):

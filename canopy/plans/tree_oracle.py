@@ -15,7 +15,7 @@ import re
 from dataclasses import dataclass
 
 from canopy.plans import oracle as O
-from canopy.plans.search import GRID_HOLDOUT, GRID_NESTED, Params, expand_grid
+from canopy.plans.search import GRID_BASE, GRID_CODED, GRID_HOLDOUT, GRID_NESTED, GRID_SMALL, Params, expand_grid
 
 EPS = "2.220446049250313e-16"
 BASE_FEATS = [c for c in O.FE_COLS if c not in ("respondent_id", "Coping_Struggles")]
@@ -234,9 +234,18 @@ def _report(leaves: str, group: str, tail: str) -> list[str]:
 REPORT_COLS = ("label, round(CAST(precision AS DOUBLE), 6) AS precision, round(CAST(recall AS DOUBLE), 6) AS recall, round(CAST(f1_score AS DOUBLE), 6) AS f1_score, "
                "CAST(support AS BIGINT) AS support, round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision")
 SCORE_COLS = "round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc, round(average_precision, 6) AS average_precision"
-_MEANS = ("mn AS MATERIALIZED (SELECT param_id, avg(accuracy) AS mean_accuracy, avg(roc_auc) AS mean_roc_auc, avg(average_precision) AS mean_average_precision, "
-          "stddev_pop(roc_auc) AS std_test_score FROM fs GROUP BY param_id)")
-_BEST = "best AS MATERIALIZED (SELECT param_id FROM mn ORDER BY round(mean_roc_auc, 12) DESC NULLS LAST, param_id LIMIT 1)"
+
+
+def _means(scoring: str = "roc_auc") -> str:
+    return ("mn AS MATERIALIZED (SELECT param_id, avg(accuracy) AS mean_accuracy, avg(roc_auc) AS mean_roc_auc, avg(average_precision) AS mean_average_precision, "
+            f"stddev_pop({scoring}) AS std_test_score, avg({scoring}) AS mean_test_score FROM fs GROUP BY param_id)")
+
+
+_MEANS = _means()
+_BEST = "best AS MATERIALIZED (SELECT param_id FROM mn ORDER BY round(mean_test_score, 12) DESC NULLS LAST, param_id LIMIT 1)"
+_SUMMARY = ("SELECT m.param_id, round(mean_accuracy, 6) AS mean_accuracy, round(mean_roc_auc, 6) AS mean_roc_auc, "
+            "round(mean_average_precision, 6) AS mean_average_precision, round(std_test_score, 6) AS std_test_score, round(mean_test_score, 6) AS mean_test_score, p.params, "
+            "CAST(rank() OVER (ORDER BY round(mean_test_score, 12) DESC NULLS LAST) AS INTEGER) AS rank_test_score FROM mn m JOIN pm p USING (param_id)")
 
 
 def _fold_scores(roots: str, group: str = "root, param_id") -> list[str]:
@@ -267,9 +276,7 @@ def _holdout_sql() -> dict[str, str]:
     names = f"nm AS (SELECT unnest(range({len(O.B4_FEATS)})) AS j)"
     imp = f"im AS (SELECT {_name(O.B4_FEATS)} AS feature, coalesce(sum(d), 0) / (SELECT sum(d) FROM dec) AS importance FROM nm LEFT JOIN dec USING (j) GROUP BY j)"
     return {
-        "grid_search": _holdout() + "SELECT m.param_id, round(mean_accuracy, 6) AS mean_accuracy, round(mean_roc_auc, 6) AS mean_roc_auc, "
-        "round(mean_average_precision, 6) AS mean_average_precision, round(std_test_score, 6) AS std_test_score, round(mean_roc_auc, 6) AS mean_test_score, p.params, "
-        "CAST(rank() OVER (ORDER BY round(mean_roc_auc, 12) DESC NULLS LAST) AS INTEGER) AS rank_test_score FROM mn m JOIN pm p USING (param_id)",
+        "grid_search": _holdout() + _SUMMARY,
         "best_cv_scores": _holdout("bf AS (SELECT root AS fold, accuracy, roc_auc, average_precision FROM fs WHERE param_id = (SELECT param_id FROM best))")
         + f"SELECT CAST(fold AS INTEGER) AS fold, {SCORE_COLS} FROM (SELECT * FROM bf UNION ALL SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision) FROM bf)",
         "final_test_report": _holdout("el AS (SELECT * FROM leaf WHERE root >= 5 AND param_id = (SELECT param_id FROM best))", *_report("el", "root", "t"))
@@ -330,6 +337,37 @@ def _nested_sql() -> dict[str, str]:
     }
 
 
+# further searches
+def _search_base() -> str:
+    roots = [(f"fold <> {f}", f"fold = {f}") for f in range(5)]
+    return O.with_ctes(*_BASE, *search("src", BASE_FEATS, roots, expand_grid(GRID_BASE)), *_fold_scores("true"), _means("accuracy")) + _SUMMARY
+
+
+def _stratified(name: str, prefix: list[str], table: str, feats: list[str], grid: dict, scoring: str) -> dict[str, str]:
+    """All rows, 5 x 5 stratified: inner winners on their outer folds, pooled, and the final search."""
+    inner = "".join(f", CASE WHEN o.ofold <> {o} THEN CAST((row_number() OVER (PARTITION BY o.Coping_Struggles, o.ofold <> {o} ORDER BY o.h, o.respondent_id) - 1) % 5 AS INTEGER) ELSE -1 END AS inner_{o}"
+                    for o in range(5))
+    src = [f"ot AS (SELECT respondent_id, Coping_Struggles, {O._MD5} AS h, CAST((row_number() OVER (PARTITION BY Coping_Struggles ORDER BY {O._MD5}, respondent_id) - 1) % 5 AS INTEGER) AS ofold FROM survey)",
+           f"inn AS (SELECT o.*{inner} FROM ot o)",
+           f"src AS MATERIALIZED (SELECT t.*, t.Coping_Struggles AS y, ofold, {', '.join(f'inner_{o}' for o in range(5))} FROM {table} t JOIN inn USING (respondent_id))"]
+    roots = [(f"ofold <> {o} AND inner_{o} <> {i}", f"ofold <> {o} AND inner_{o} = {i}") for o in range(5) for i in range(5)]
+    roots += [(f"ofold <> {o}", f"ofold = {o}") for o in range(5)]
+    params = expand_grid(grid)
+    grown = [*prefix, *src, *search("src", feats, roots, params)]
+    win = (f"win AS MATERIALIZED (SELECT ofold, param_id FROM (SELECT root // 5 AS ofold, param_id, avg({scoring}) AS a FROM fs GROUP BY ALL) "
+           "QUALIFY row_number() OVER (PARTITION BY ofold ORDER BY round(a, 12) DESC NULLS LAST, param_id) = 1)")
+    ol = "ol AS (SELECT l.*, w.ofold, 'oof' AS split FROM leaf l JOIN win w ON l.root = 25 + w.ofold AND l.param_id = w.param_id)"
+    nr = "nr AS (SELECT ofold, accuracy, roc_auc, average_precision, w.param_id, p.params FROM acc_o JOIN auc_o USING (ofold) JOIN win w USING (ofold) JOIN pm p ON p.param_id = w.param_id)"
+    last = search("src", feats, roots[25:], params)
+    return {
+        f"nested_{name}": O.with_ctes(*grown, *_fold_scores("root < 25"), win, ol, *_renamed(_leaf_scores("ol", "ofold"), "o"), nr)
+        + f'SELECT CAST(ofold AS INTEGER) AS "outer", {SCORE_COLS}, param_id, params FROM (SELECT * FROM nr UNION ALL '
+          "SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision), NULL, NULL FROM nr)",
+        f"oof_report_{name}": O.with_ctes(*grown, *_fold_scores("root < 25"), win, ol, *_report("ol", "split", "t")) + f"SELECT split, {REPORT_COLS} FROM rep_t",
+        f"search_{name}": O.with_ctes(*prefix, *src, *last, *_fold_scores("true"), _means(scoring)) + _SUMMARY,
+    }
+
+
 # ---------------------------------------------------------------- curves of the fitted models
 def _model_leaves() -> str:
     """CTE ``ml``: evaluation counts per leaf of each strategy's fitted trees."""
@@ -383,6 +421,9 @@ def _dtype_report() -> str:
 def tree_oracle_sql() -> dict[str, str]:
     return {
         **_curve_sql(),
+        "search_base": _search_base(),
+        **_stratified("banded4", [*O.BASE_PREFIX, O.CTE_B4], "band4", O.B4_FEATS, GRID_SMALL, "accuracy"),
+        **_stratified("coded", [O.CTE_SURVEY, O.CTE_CS, O.CTE_CODED], "coded", O.CODED_FEATS, GRID_CODED, "roc_auc"),
         "stream_scores": _stream_scores(),
         "dtype_report": _dtype_report(),
         **_holdout_sql(),
