@@ -45,3 +45,26 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path, have_data):
     assert streamed.count() == batch.count()
     diff = streamed.select("respondent_id", "prob").exceptAll(batch_scores)
     assert diff.count() == 0
+
+
+def test_na_tokens_are_exact(spark, tmp_path):
+    from canopy.sources import survey as SV
+
+    p = tmp_path / "s.csv"
+    p.write_text("k,v\n1,NA\n2, NA \n3,-1.#IND\n4,nothing\n5,\n6,#N/A N/A\n7,none\n8,None\n")
+    got = {r["k"]: r["v"] for r in SV.read_survey_csv(spark, str(p)).collect()}
+    assert [got[str(k)] for k in range(1, 9)] == [None, " NA ", None, "nothing", None, None, "none", None]
+
+
+def test_bootstrap_interval_is_near_the_closed_form(spark):
+    """A grouped mean's interval is about mean +- 1.96 standard errors, for few and for many rows."""
+    import math
+
+    from canopy.operators import profile as P
+
+    for n in (40, 20_000):
+        rows = [(1, float(i % 4 == 0)) for i in range(n)]
+        r = P.group_means_bootstrap(spark.createDataFrame(rows, "t int, v double"), "t", ["v"], n_boot=2000).first()
+        se = math.sqrt(0.25 * 0.75 / n)
+        assert abs(r["mean"] - 0.25) < 1e-9
+        assert abs(r["ci_low"] - (0.25 - 1.96 * se)) < 0.25 * se and abs(r["ci_high"] - (0.25 + 1.96 * se)) < 0.25 * se

@@ -1,7 +1,9 @@
 """Splits against a one-window brute force; metrics against pairwise brute force."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,15 +50,60 @@ def test_folds_disjoint_cover_and_balanced(spark):
         assert max(per.values()) - min(per.values()) <= 1
 
 
-def test_holdout_share_per_class(spark):
-    df, rows = _frame(spark)
-    h = SP.holdout_split(df, "rid", "label", 0.2).groupBy("label", "split").count().collect()
-    n = {}
-    for r in rows:
-        n[r[1]] = n.get(r[1], 0) + 1
-    for r in h:
-        if r["split"] == "test":
-            assert r["count"] == -(-n[r["label"]] // 5)  # ceil(n/5)
+def _largest_remainder(sizes, share):
+    """{class: rows of the first part}: fixed total, floors for the rest, then largest remainders."""
+    total = sum(sizes.values())
+    rest = total - math.ceil(total * share)
+    base = {c: rest * n // total for c, n in sizes.items()}
+    left = rest - sum(base.values())
+    order = sorted(sizes, key=lambda c: (-(rest * sizes[c] % total), c is not None, c))
+    return {c: sizes[c] - base[c] - (order.index(c) < left) for c in sizes}
+
+
+@pytest.mark.parametrize("n", [400, 401, 403, 57])
+def test_holdout_totals_and_shares(spark, n):
+    rnd = random.Random(n)
+    rows = [(i * 7 + 3, rnd.choice(["Yes", "No", "No", "Maybe", None])) for i in range(n)]
+    df = spark.createDataFrame(rows, "rid long, label string")
+    sizes = Counter(r[1] for r in rows)
+    test = _largest_remainder(sizes, 0.2)
+    got = SP.holdout_split(df, "rid", "label", 0.2).collect()
+    assert len(got) == n and sum(r["split"] == "test" for r in got) == math.ceil(n / 5)
+    assert Counter(r["label"] for r in got if r["split"] == "test") == {c: k for c, k in test.items() if k}
+    three = SP.three_way_split(df, "rid", "label", 0.2, 0.25).collect()
+    left = {c: sizes[c] - test[c] for c in sizes}
+    val = _largest_remainder(left, 0.25)
+    assert Counter(r["label"] for r in three if r["split"] == "val") == {c: k for c, k in val.items() if k}
+    assert {r["rid"] for r in three if r["split"] == "test"} == {r["rid"] for r in got if r["split"] == "test"}
+
+
+def test_null_label_is_a_class(spark):
+    rows = [(i, None if i % 5 == 0 else "Yes" if i % 3 else "No") for i in range(100)]
+    df = spark.createDataFrame(rows, "rid long, label string")
+    for out in (SP.holdout_split(df, "rid", "label"), SP.three_way_split(df, "rid", "label"), SP.kfold(df, "rid"),
+                SP.stratified_kfold(df, "rid", "label"), SP.contiguous_kfold(df, "rid", "label")):
+        assert out.count() == 100 and out.where("rid % 5 = 0").count() == 20
+
+
+def test_null_group_is_a_group(spark):
+    rows = [(g, int(p > 0.4), p, int(p > 0.5)) for g in (None, 1) for p in (0.1, 0.3, 0.45, 0.6, 0.9)]
+    df = spark.createDataFrame(rows, "g int, y int, prob double, pred int")
+    for out in (MT.roc_auc(df, ["g"]), MT.average_precision(df, ["g"]), MT.accuracy(df, ["g"])):
+        assert {r["g"] for r in out.collect()} == {None, 1}
+    for out in (MT.roc_curve(df, ["g"]), MT.pr_curve(df, ["g"])):
+        by = {}
+        for r in out.collect():
+            by.setdefault(r["g"], []).append(tuple(r)[1:])
+        assert sorted(map(str, by[None])) == sorted(map(str, by[1]))
+
+
+def test_scores_outside_the_unit_range(spark):
+    rnd = random.Random(4)
+    ys = [rnd.randint(0, 1) for _ in range(300)]
+    ps = [rnd.gauss(2.0 * y, 50.0) for y in ys]
+    df = spark.createDataFrame([(0, y, p, 0) for y, p in zip(ys, ps)], "g int, y int, prob double, pred int")
+    assert abs(MT.roc_auc(df, ["g"]).first()["roc_auc"] - _brute_auc(ys, ps)) < 1e-12
+    assert abs(MT.average_precision(df, ["g"]).first()["average_precision"] - _brute_ap(ys, ps)) < 1e-12
 
 
 def test_inner_fold_closed_form_equals_reranking(spark):
@@ -73,9 +120,10 @@ def test_inner_fold_closed_form_equals_reranking(spark):
 def test_contiguous_fold_sizes_follow_allocation(spark):
     df, rows = _frame(spark, n=103)
     got = SP.contiguous_kfold(df, "rid", "label", 5).collect()
-    labels = sorted(r[1] for r in rows)
-    alloc = [[sum(1 for x in labels[i::5] if x == c) for c in ("No", "Yes")] for i in range(5)]
-    for ci, c in enumerate(("No", "Yes")):
+    classes = list(dict.fromkeys(r[1] for r in sorted(rows)))  # in the order of their first row
+    labels = sorted((r[1] for r in rows), key=classes.index)
+    alloc = [[sum(1 for x in labels[i::5] if x == c) for c in classes] for i in range(5)]
+    for ci, c in enumerate(classes):
         ids = sorted(r["rid"] for r in got if r["label"] == c)
         fold_of = {r["rid"]: r["fold"] for r in got}
         expect = [f for f in range(5) for _ in range(alloc[f][ci])]

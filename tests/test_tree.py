@@ -5,13 +5,21 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from canopy.operators import prune as PRN
 from canopy.operators import tree as TR
 from canopy.sources import model_io as IO
 
 
 def imp(a, b, crit):
-    return TR.impurity_py(a, b, crit)
+    """Weighted gini or entropy in bits, written out."""
+    if a + b <= 0:
+        return 0.0
+    p, q = a / (a + b), b / (a + b)
+    if crit == "gini":
+        return 1 - p * p - q * q
+    return -sum(x * math.log2(x) for x in (p, q) if x > 0)
 
 
 def brute_cart(X, y, crit="gini", w=(1.0, 1.0), msl=1, max_depth=None, node=1, depth=0, out=None):
@@ -176,3 +184,22 @@ def test_high_cardinality_feature_is_binned_and_scores_consistently(spark):
     got = {r["leaf"]: r["count"] for r in leaf}
     want = {i: n["t0"] + n["t1"] for i, n in tree.items() if n["is_leaf"]}
     assert got == want
+
+
+def test_wide_feature_is_exact_by_default(spark):
+    """1,000 distinct values: growth with default arguments equals the brute-force tree, and its
+    root split is the best of ``root_splits``."""
+    rnd = random.Random(33)
+    rows = [(i, float(v), float(rnd.randint(0, 2)), 0.0, int((v % 397 > 200) != (rnd.random() < 0.2)))
+            for i, v in enumerate(rnd.sample(range(5000), 1000))]
+    df = spark.createDataFrame(rows, "rid long, a double, b double, c double, y int")
+    g = TR.grow(df, ["a", "b", "c"], "y", [TR.Root("all", "true")], [TR.GrowSpec(0, "all", "gini", None, 5, 3)])
+    tree = TR.tree_of(g.nodes, 0)
+
+    want = brute_cart([r[1:4] for r in rows], [r[4] for r in rows], msl=5, max_depth=3)
+    assert set(tree) == set(want)
+    for i, n in want.items():
+        assert (tree[i]["t0"], tree[i]["t1"], tree[i]["feature"]) == (n["t0"], n["t1"], n["feature"])
+        assert n["threshold"] is None or tree[i]["threshold"] == n["threshold"]
+    top = TR.root_splits(df, ["a", "b", "c"], "y", min_samples_leaf=5).orderBy(F.desc("gain"), "feature", "threshold").first()
+    assert top["feature"] == "abc"[tree[1]["feature"]] and top["threshold"] == tree[1]["threshold"]
