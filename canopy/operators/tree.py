@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 
 from canopy.session import cut_lineage
 
+MAX_LEVELS = 61                      # node i has children 2i and 2i + 1, in 64-bit integers
 IMPURITY_EPS = 2.220446049250313e-16  # machine epsilon: a node at or below this is pure
 
 
@@ -327,6 +328,8 @@ def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
             split_rows[(r["key"], int(r["j"]), thr)] = (lkey, rkey)
         if not split_rows:
             break
+        if depth >= MAX_LEVELS:
+            raise ValueError(f"a tree is deeper than {MAX_LEVELS} levels: node ids are 64-bit heap numbers")
         spl = spark.createDataFrame(
             [(k, j, t, lk, rk) for (k, j, t), (lk, rk) in split_rows.items()],
             "key long, j int, threshold double, lkey long, rkey long")

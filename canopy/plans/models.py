@@ -191,20 +191,31 @@ def q_search_base(spark, sf):
     return MT.rounded(ST.tuned_base(spark, sf).summary)
 
 
-def _stratified(name: str):
+def _nested_all(name: str):
     def outer(spark, sf):
-        t = ST.stratified_nested(spark, sf, name).outer
+        t = ST.nested_all_rows(spark, sf, name).outer
         t = t.select(F.col("outer").cast("int").alias("outer"), *METRIC_COLS, F.col("param_id").cast("int").alias("param_id"), "params")
         return _with_mean_row(t, "outer", {"param_id": None, "params": None})
 
     def report(spark, sf):
-        oof = ST.stratified_nested(spark, sf, name).oof.withColumn("split", F.lit("oof"))
+        oof = ST.nested_all_rows(spark, sf, name).oof.withColumn("split", F.lit("oof"))
         return MT.rounded(S.report_from_leaves(oof, ["split"]))
 
     def final(spark, sf):
-        return MT.rounded(ST.stratified_nested(spark, sf, name).final.summary)
+        return MT.rounded(ST.nested_all_rows(spark, sf, name).final.summary)
 
-    return {f"nested_{name}": outer, f"oof_report_{name}": report, f"search_{name}": final}
+    return {f"nested_{name}": outer, f"oof_report_{name}": report, f"search_{name if name != 'base' else 'base_nested'}": final}
+
+
+def _tuned(name: str):
+    def search(spark, sf):
+        return MT.rounded(ST.tuned_holdout(spark, sf, name).search.summary)
+
+    def report(spark, sf):
+        rep = S.report_from_leaves(ST.tuned_holdout(spark, sf, name).leaves, ["root"])
+        return MT.rounded(rep.withColumn("split", F.when(F.col("root") == 0, "val").otherwise("test")).drop("root"))
+
+    return {f"search_{name}": search, f"report_{name}": report}
 
 
 # --------------------------------------------------------------------------- fitted models
@@ -282,8 +293,10 @@ MODEL_QUERIES = {
     "oof_predictions": q_oof_predictions,
     "nested_test_report": q_nested_test_report,
     "search_base": q_search_base,
-    **_stratified("banded4"),
-    **_stratified("coded"),
+    **_nested_all("banded4"),
+    **_nested_all("coded"),
+    **_nested_all("base"),
+    **{k: v for n in ST.TUNED for k, v in _tuned(n).items()},
     "model_roc_curve": q_model_roc_curve,
     "model_pr_curve": q_model_pr_curve,
     "model_confusion": q_model_confusion,

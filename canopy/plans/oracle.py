@@ -187,18 +187,17 @@ def _sql_banded4() -> str:
             + ", ".join(BANDS4) + ", " + _round(list(RATIO_A)) + " FROM band4")
 
 
+BANDS3 = {f"{name}_{part}": _flag(f"{col} {cond.format(col)}") for name, col in (("Indoor", _D), ("Mood", _M), ("Stress", _S))
+          for part, cond in (("Low", "<= 1"), ("Med", ">= 2 AND {} <= 3"), ("High", ">= 4"))}
+RATIO_3 = {k: RATIO_A[k] for k in ("Frustration_Stress_Ratio", "Mood_Days_Product", "Weight_Med_History_Ratio")}
+CTE_B3 = f"band3 AS (SELECT {_as(AGE_FLAGS)}, pp.*, {_as(BANDS3)}, {_as(RATIO_3)} FROM pp)"
+B3_FEATS = [*AGE_FLAGS, *ORD, *PP_DUMMIES, *BANDS3, *RATIO_3]
+
+
 def _sql_banded3() -> str:
-    bands = {}
-    for name, col in (("Indoor", _D), ("Mood", _M), ("Stress", _S)):
-        bands[f"{name}_Low"] = _flag(f"{col} <= 1")
-        bands[f"{name}_Med"] = _flag(f"{col} >= 2 AND {col} <= 3")
-        bands[f"{name}_High"] = _flag(f"{col} >= 4")
-    ratios = {k: RATIO_A[k] for k in ("Frustration_Stress_Ratio", "Mood_Days_Product",
-                                      "Weight_Med_History_Ratio")}
     keep = [c for c in PP_COLS if c not in ORD]
-    return (with_ctes(*BASE_PREFIX) + "SELECT " + _as(AGE_FLAGS) + ", "
-            + ", ".join(keep) + ", " + _round(ORD) + ", " + _as(bands) + ", "
-            + ", ".join(f"round({v}, 6) AS {k}" for k, v in ratios.items()) + " FROM pp")
+    return (with_ctes(*BASE_PREFIX, CTE_B3) + "SELECT " + ", ".join([*AGE_FLAGS, *keep]) + ", " + _round(ORD) + ", "
+            + ", ".join(BANDS3) + ", " + _round(list(RATIO_3)) + " FROM band3")
 
 
 _ALPHA = {c: sorted(ORDINAL_MAPS[c]) for c in ORD}

@@ -64,6 +64,23 @@ GRID_CODED = {
     "ccp_alpha": [1e-4, 5e-4, 1e-3],
     "class_weight": ["balanced"],
 }
+GRID_BASE_WIDE = {
+    "max_depth": [5, 10, 15, None],
+    "min_samples_leaf": [5, 10, 20, 50],
+    "min_samples_split": [10, 20, 50, 100],
+    "criterion": ["gini", "entropy"],
+    "ccp_alpha": [0.0, 1e-4, 5e-4, 1e-3, 5e-3, 1e-2],
+    "class_weight": ["balanced"],
+}
+GRID_DEEP = {
+    "max_depth": [None, 3, 5, 8],
+    "min_samples_leaf": [1, 2, 5, 10],
+    "min_samples_split": [2, 5, 10, 20],
+    "criterion": ["gini", "entropy"],
+    "ccp_alpha": [0.0, 1e-5, 1e-4, 5e-4, 1e-3],
+    "class_weight": ["balanced"],
+}
+GRID_NESTED_BASE = {**GRID_BASE_WIDE, "ccp_alpha": [0.0, 0.001, 0.01]}
 BASELINE = {"max_depth": 10, "min_samples_leaf": 30}
 
 

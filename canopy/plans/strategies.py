@@ -213,19 +213,57 @@ def tuned_base(spark: SparkSession, sf: str) -> S.SearchResult:
     return _memo(spark, sf, "tuned_base", run)
 
 
-# --------------------------------------------------------------------------- stratified nested
 @dataclass
-class StratifiedNested:
+class TunedHoldout:
+    search: S.SearchResult
+    leaves: DataFrame         # the winner's leaves: root 0 evaluated on val, 1 on test
+
+
+#: name -> (features, grid, scoring): 60/20/20, five shuffled folds on the training part.
+TUNED = {
+    "base_wide": ("base", S.GRID_BASE_WIDE, "accuracy"),
+    "base_deep": ("base", S.GRID_DEEP, "accuracy"),
+    "banded3": ("banded3", S.GRID_DEEP, "roc_auc"),
+}
+
+
+def tuned_holdout(spark: SparkSession, sf: str, name: str) -> TunedHoldout:
+    """Search on the training part, refit on it (val) and on train + val (test), in one growth loop."""
+    def run():
+        bundle, grid, scoring = TUNED[name]
+        pp, fitted = encoded_survey(spark, sf)
+        fe = FE.base(pp) if bundle == "base" else FE.banded3(pp, age_levels=fitted["age_groups"])
+        fe = SP.three_way_split(fe, ID, TARGET, 0.2, 0.25)
+        train = SP.kfold(fe.where(F.col("split") == "train"), ID, 5)
+        rest = fe.where(F.col("split") != "train").withColumn("fold", F.when(F.col("split") == "val", 5).otherwise(6).cast("int"))
+        data = model_input(train.unionByName(rest))
+        feats, params = feature_names(data), S.expand_grid(grid)
+        roots = [TR.Root(f"cv{f}", f"(fold <= 4) AND fold <> {f}", f"(fold <= 4) AND fold = {f}") for f in range(5)]
+        roots += [TR.Root("val", "fold <= 4", "fold = 5"), TR.Root("test", "fold <= 5", "fold = 6")]
+        _g, leaves, _m, _v = S.evaluate_roots(data, feats, TARGET, roots, params, keep=["fold"])
+        leaves = leaves.cache()
+        fs = S.scores_from_leaves(leaves.where(F.col("root") < 5), ["param_id", "root"]).withColumnRenamed("root", "fold")
+        res = S.summarize(spark, params, fs, scoring)
+        best = leaves.where((F.col("root") >= 5) & (F.col("param_id") == res.best_index)).withColumn("root", F.col("root") - 5)
+        return TunedHoldout(res, best)
+    return _memo(spark, sf, f"tuned_{name}", run)
+
+
+# --------------------------------------------------------------------------- nested on all rows
+@dataclass
+class AllRowsNested:
     outer: DataFrame          # per outer fold: the inner winner and its outer scores
     oof: DataFrame            # leaves of the winners, evaluation counts on their outer folds
     final: S.SearchResult     # the same grid searched on all rows
 
 
-def stratified_nested(spark: SparkSession, sf: str, name: str, k: int = 5) -> StratifiedNested:
-    """All rows, stratified shuffled 5 x 5: every outer fold is predicted by the winner of the
+def nested_all_rows(spark: SparkSession, sf: str, name: str, k: int = 5) -> AllRowsNested:
+    """All rows, shuffled 5 x 5 (stratified but for ``base``): every outer fold is predicted by the winner of the
     search inside its training part.  The final search uses the outer folds, whose growths are
     also the refits of the winners, so one growth loop serves all."""
     def frame() -> tuple[DataFrame, dict, str]:
+        if name == "base":
+            return FE.base(encoded_survey(spark, sf)[0]), S.GRID_NESTED_BASE, "accuracy"
         if name == "banded4":
             pp, fitted = encoded_survey(spark, sf)
             return FE.banded4(pp, age_levels=fitted["age_groups"]), S.GRID_SMALL, "accuracy"
@@ -233,7 +271,8 @@ def stratified_nested(spark: SparkSession, sf: str, name: str, k: int = 5) -> St
 
     def run():
         fe, grid, scoring = frame()
-        d = SP.stratified_kfold(fe, ID, TARGET, k, keep_rank=True).withColumnRenamed("fold", "outer")
+        d = SP.hash_rank(fe, ID, None if name == "base" else TARGET)
+        d = d.withColumn("outer", ((F.col(SP.RANK) - 1) % k).cast("int"))
         d = d.withColumns({f"inner_{o}": SP.inner_fold(F.col(SP.RANK), F.lit(o), k, k) for o in range(k)})
         data = model_input(d.drop(SP.RANK, SP.N_CLASS))
         feats, params = feature_names(data), S.expand_grid(grid)
@@ -251,8 +290,8 @@ def stratified_nested(spark: SparkSession, sf: str, name: str, k: int = 5) -> St
         won = spark.createDataFrame([(k * k + o, o, p, params[p].label()) for o, p in best.items()],
                                     "root int, outer int, param_id int, params string")
         final = S.summarize(spark, params, sc.where(F.col("root") >= k * k).withColumn("fold", F.col("root") - k * k).drop("root"), scoring)
-        return StratifiedNested(sc.join(won, ["root", "param_id"]), leaves.join(won.select("root", "param_id"), ["root", "param_id"]), final)
-    return _memo(spark, sf, f"stratified_{name}", run)
+        return AllRowsNested(sc.join(won, ["root", "param_id"]), leaves.join(won.select("root", "param_id"), ["root", "param_id"]), final)
+    return _memo(spark, sf, f"nested_{name}", run)
 
 
 def node_frame(spark: SparkSession, tree: dict[int, dict], features: list[str]) -> DataFrame:

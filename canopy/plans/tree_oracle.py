@@ -15,9 +15,22 @@ import re
 from dataclasses import dataclass
 
 from canopy.plans import oracle as O
-from canopy.plans.search import GRID_BASE, GRID_CODED, GRID_HOLDOUT, GRID_NESTED, GRID_SMALL, Params, expand_grid
+from canopy.plans.search import (
+    GRID_BASE,
+    GRID_BASE_WIDE,
+    GRID_CODED,
+    GRID_DEEP,
+    GRID_HOLDOUT,
+    GRID_NESTED,
+    GRID_NESTED_BASE,
+    GRID_SMALL,
+    Params,
+    expand_grid,
+)
 
 EPS = "2.220446049250313e-16"
+#: Levels unrolled for trees without a depth limit (at sf0.01 they end after 23).
+UNROLLED = 36
 BASE_FEATS = [c for c in O.FE_COLS if c not in ("respondent_id", "Coping_Struggles")]
 
 
@@ -173,7 +186,7 @@ def search(src: str, feats: list[str], roots: list[tuple[str, str]], params: lis
     of its root and growth parameters by depth cut, split minimum and pruning."""
     keys = list(dict.fromkeys(p.growth_key() for p in params))
     variants = list(dict.fromkeys(p.variant_key() for p in params))
-    deepest = max(p.max_depth for p in params)
+    deepest = max(p.max_depth or UNROLLED for p in params)
     specs = []
     for train, evaluate in roots:
         for crit, cw, msl in keys:
@@ -181,7 +194,7 @@ def search(src: str, feats: list[str], roots: list[tuple[str, str]], params: lis
             w = (float(w["0"]), float(w["1"])) if isinstance(w, dict) else w
             specs.append(Spec(train, evaluate, crit, w, msl, deepest))
     out = growth(src, feats, specs)
-    out.append("vr(vid, md, mss, alpha) AS (VALUES " + ", ".join(f"({i}, {d}, {m}, CAST({a!r} AS DOUBLE))" for i, (d, m, a) in enumerate(variants)) + ")")
+    out.append("vr(vid, md, mss, alpha) AS (VALUES " + ", ".join(f"({i}, {d or UNROLLED}, {m}, CAST({a!r} AS DOUBLE))" for i, (d, m, a) in enumerate(variants)) + ")")
     out.append("pm(param_id, gi, vid, params) AS (VALUES " + ", ".join(
         f"({i}, {keys.index(p.growth_key())}, {variants.index(p.variant_key())}, '{p.label()}')" for i, p in enumerate(params)) + ")")
     out.append(
@@ -343,11 +356,26 @@ def _search_base() -> str:
     return O.with_ctes(*_BASE, *search("src", BASE_FEATS, roots, expand_grid(GRID_BASE)), *_fold_scores("true"), _means("accuracy")) + _SUMMARY
 
 
-def _stratified(name: str, prefix: list[str], table: str, feats: list[str], grid: dict, scoring: str) -> dict[str, str]:
-    """All rows, 5 x 5 stratified: inner winners on their outer folds, pooled, and the final search."""
-    inner = "".join(f", CASE WHEN o.ofold <> {o} THEN CAST((row_number() OVER (PARTITION BY o.Coping_Struggles, o.ofold <> {o} ORDER BY o.h, o.respondent_id) - 1) % 5 AS INTEGER) ELSE -1 END AS inner_{o}"
+def _tuned(name: str, prefix: list[str], table: str, feats: list[str], grid: dict, scoring: str) -> dict[str, str]:
+    """The holdout strategy's split with another bundle, grid and score: the search, and the winner on val and test."""
+    src = (f"tf AS (SELECT respondent_id, CAST((row_number() OVER (ORDER BY {O._MD5}, respondent_id) - 1) % 5 AS INTEGER) AS fold FROM three WHERE split = 'train'),\n"
+           f"src AS MATERIALIZED (SELECT b.*, b.Coping_Struggles AS y, CASE t.split WHEN 'val' THEN 5 WHEN 'test' THEN 6 ELSE tf.fold END AS fold "
+           f"FROM {table} b JOIN three t USING (respondent_id) LEFT JOIN tf USING (respondent_id))")
+    head = [*prefix, O.CTE_RANKED, O.CTE_PARTS, O.CTE_3WAY, src, *search("src", feats, _HOLD_ROOTS, expand_grid(grid)),
+            *_fold_scores("root < 5"), _means(scoring), _BEST]
+    return {
+        f"search_{name}": O.with_ctes(*head) + _SUMMARY,
+        f"report_{name}": O.with_ctes(*head, "el AS (SELECT * FROM leaf WHERE root >= 5 AND param_id = (SELECT param_id FROM best))", *_report("el", "root", "t"))
+        + f"SELECT CASE root WHEN 5 THEN 'val' ELSE 'test' END AS split, {REPORT_COLS} FROM rep_t",
+    }
+
+
+def _nested_all(name: str, prefix: list[str], table: str, feats: list[str], grid: dict, scoring: str, classes: bool = True) -> dict[str, str]:
+    """All rows, 5 x 5 (stratified with `classes`): inner winners on their outer folds, pooled, and the final search."""
+    part, by = ("o.Coping_Struggles, ", "PARTITION BY Coping_Struggles ") if classes else ("", "")
+    inner = "".join(f", CASE WHEN o.ofold <> {o} THEN CAST((row_number() OVER (PARTITION BY {part}o.ofold <> {o} ORDER BY o.h, o.respondent_id) - 1) % 5 AS INTEGER) ELSE -1 END AS inner_{o}"
                     for o in range(5))
-    src = [f"ot AS (SELECT respondent_id, Coping_Struggles, {O._MD5} AS h, CAST((row_number() OVER (PARTITION BY Coping_Struggles ORDER BY {O._MD5}, respondent_id) - 1) % 5 AS INTEGER) AS ofold FROM survey)",
+    src = [f"ot AS (SELECT respondent_id, Coping_Struggles, {O._MD5} AS h, CAST((row_number() OVER ({by}ORDER BY {O._MD5}, respondent_id) - 1) % 5 AS INTEGER) AS ofold FROM survey)",
            f"inn AS (SELECT o.*{inner} FROM ot o)",
            f"src AS MATERIALIZED (SELECT t.*, t.Coping_Struggles AS y, ofold, {', '.join(f'inner_{o}' for o in range(5))} FROM {table} t JOIN inn USING (respondent_id))"]
     roots = [(f"ofold <> {o} AND inner_{o} <> {i}", f"ofold <> {o} AND inner_{o} = {i}") for o in range(5) for i in range(5)]
@@ -364,7 +392,7 @@ def _stratified(name: str, prefix: list[str], table: str, feats: list[str], grid
         + f'SELECT CAST(ofold AS INTEGER) AS "outer", {SCORE_COLS}, param_id, params FROM (SELECT * FROM nr UNION ALL '
           "SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision), NULL, NULL FROM nr)",
         f"oof_report_{name}": O.with_ctes(*grown, *_fold_scores("root < 25"), win, ol, *_report("ol", "split", "t")) + f"SELECT split, {REPORT_COLS} FROM rep_t",
-        f"search_{name}": O.with_ctes(*prefix, *src, *last, *_fold_scores("true"), _means(scoring)) + _SUMMARY,
+        f"search_{name if name != 'base' else 'base_nested'}": O.with_ctes(*prefix, *src, *last, *_fold_scores("true"), _means(scoring)) + _SUMMARY,
     }
 
 
@@ -422,8 +450,12 @@ def tree_oracle_sql() -> dict[str, str]:
     return {
         **_curve_sql(),
         "search_base": _search_base(),
-        **_stratified("banded4", [*O.BASE_PREFIX, O.CTE_B4], "band4", O.B4_FEATS, GRID_SMALL, "accuracy"),
-        **_stratified("coded", [O.CTE_SURVEY, O.CTE_CS, O.CTE_CODED], "coded", O.CODED_FEATS, GRID_CODED, "roc_auc"),
+        **_nested_all("banded4", [*O.BASE_PREFIX, O.CTE_B4], "band4", O.B4_FEATS, GRID_SMALL, "accuracy"),
+        **_nested_all("coded", [O.CTE_SURVEY, O.CTE_CS, O.CTE_CODED], "coded", O.CODED_FEATS, GRID_CODED, "roc_auc"),
+        **_nested_all("base", [*O.BASE_PREFIX, O.CTE_THR, O.CTE_FE], "fe", BASE_FEATS, GRID_NESTED_BASE, "accuracy", classes=False),
+        **_tuned("base_wide", [*O.BASE_PREFIX, O.CTE_THR, O.CTE_FE], "fe", BASE_FEATS, GRID_BASE_WIDE, "accuracy"),
+        **_tuned("base_deep", [*O.BASE_PREFIX, O.CTE_THR, O.CTE_FE], "fe", BASE_FEATS, GRID_DEEP, "accuracy"),
+        **_tuned("banded3", [*O.BASE_PREFIX, O.CTE_B3], "band3", O.B3_FEATS, GRID_DEEP, "roc_auc"),
         "stream_scores": _stream_scores(),
         "dtype_report": _dtype_report(),
         **_holdout_sql(),
