@@ -19,6 +19,7 @@ from canopy.session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 #: Work on texts in pieces of about so many bytes, so that a batch of long texts stays small.
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +45,22 @@ def written(df: DataFrame, what: str, narrow: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, sent to all tasks if it has at most so many rows; else joined as Spark plans it."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI of the shared folder (file, hdfs, s3 ...); for tasks too."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the executors once per application, as --py-files would."""
+    """Give the package to the executors once per application, as --py-files would, and bound the
+    Arrow batches of texts: BATCH_ROWS rows unless the session has a number of its own."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if getattr(sc, "_canopy_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
@@ -114,13 +123,15 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
 
 def append(df: DataFrame, column: str, made: Callable[[list[bytes | None]], list[tuple]], schema: str,
            keep: list[str]) -> DataFrame:
-    """The columns `keep`, as they are, and new ones that `made` computes from the texts of a slice."""
+    """The columns `keep`, as they are, and new ones that `made` computes from a text (or binary) column.
+
+    The text crosses to Python once, also if it is kept."""
     from pyspark.sql.types import StructType
 
     ship(df.sparkSession)
     new = StructType.fromDDL(schema)
-    text = "_text" + "_" * max(map(len, df.columns))
-    inner = df.select(*keep, raw_text(column).alias(text))
+    at = keep.index(column) if column in keep else len(keep)
+    inner = df.select(*keep) if column in keep else df.select(*keep, raw_text(column).alias("_text"))
     out_schema = StructType(df.select(*keep).schema.fields + new.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +140,9 @@ def append(df: DataFrame, column: str, made: Callable[[list[bytes | None]], list
         arrow = to_arrow_schema(new)
         for b in batches:
             for part in sliced(b):
-                rows = made(part.column(part.num_columns - 1).to_pylist())
-                added = _batch(rows, arrow)
-                yield pa.RecordBatch.from_arrays(part.columns[:-1] + added.columns,
-                                                 names=part.schema.names[:-1] + added.schema.names)
+                added = _batch(made(part.column(at).cast(pa.binary()).to_pylist()), arrow)
+                yield pa.RecordBatch.from_arrays(part.columns[:len(keep)] + added.columns,
+                                                 names=part.schema.names[:len(keep)] + added.schema.names)
 
     return inner.mapInArrow(run, out_schema)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, raw_text, written
+from .common import counted, map_rows, raw_text, written
 from .words import mix, shingles
 
 #: BINS bins estimate similarities; the first BANDS * ROWS of them make the bands. A pair at 0.75 is
@@ -40,6 +40,9 @@ _EMPTY = np.uint64(2**64 - 1)
 #: Equal bins from which a pair is verified: 0.75 * 512 less 4.5 standard deviations.
 LEAST_EQUAL = 340
 QUERY_BLOCK, TARGET_BLOCK = 256, 1024
+#: Id tables of up to so many rows (of some 50 bytes) are sent to the texts; beyond, the texts are
+#: shuffled to them.
+SENT_ROWS = 300_000
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -201,7 +204,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
              .groupBy("node").agg(F.max(F.struct("shared", "leader")).alias("best"))
              .select(F.col("node").alias("a"), F.col("best.leader").alias("b")))
     stars = written(stars, "stars", narrow=True)
-    needed = members.select("node").distinct().join(nodes.select("node", "key", F.col("rep").alias("doc_id"), "n_shingles"), "node")
+    needed = written(members.select("node").distinct().join(
+        nodes.select("node", "key", F.col("rep").alias("doc_id"), "n_shingles"), "node"), "needed", narrow=True)
     texts = written(_texts(docs, needed), "texts")
     links = written(verify(stars, texts, percent), "links")
     comp = components(links)
@@ -231,8 +235,8 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
     Rows that repeat a kept doc_id are one document: one of them stays.
     """
     found = written(near_duplicates(docs, percent), "near-duplicates")
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = written(found.filter("NOT kept").select("doc_id").distinct(), "gone", narrow=True)
+    out = docs.join(counted(gone, SENT_ROWS), "doc_id", "left_anti").select(*docs.columns)
     twice = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
     if not twice.isEmpty():
         again = out.join(twice.select("doc_id"), "doc_id", "left_semi")
@@ -244,7 +248,7 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, n, text) of the nodes' representatives; rows of the same doc_id with another text go."""
     found = (docs.select("doc_id", raw_text().alias("text"))
-             .join(needed.select("doc_id", "node", "key", F.col("n_shingles").alias("n")), "doc_id")
+             .join(counted(needed.select("doc_id", "node", "key", F.col("n_shingles").alias("n")), SENT_ROWS), "doc_id")
              .dropDuplicates(["doc_id", "node", "text"]))
 
     def rows(it: Iterator[tuple]) -> Iterator[tuple]:

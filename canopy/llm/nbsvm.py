@@ -32,7 +32,7 @@ from .words import mix, ngram_hashes, word_hashes
 
 BITS = 18
 BUCKETS = 1 << BITS
-SAMPLE, EPOCHS, COST, SMOOTHING = 12_000, 12, 1.0, 1.0
+SAMPLE, EPOCHS, COST, SMOOTHING = 8_000, 12, 1.0, 1.0
 #: Words to a shape: letter case, digits and other signs, runs taken together.
 _SHAPE = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b
@@ -44,7 +44,7 @@ def shape(word: bytes) -> bytes:
     """'Thon.' is 'Aa.': classes of characters, each run as one."""
     s = _SHAPES.get(word)
     if s is None:
-        if len(_SHAPES) > 500_000:
+        if len(_SHAPES) > 100_000:
             _SHAPES.clear()
         t = word.translate(_SHAPE)
         s = _SHAPES[word] = b"\0" + bytes(c for i, c in enumerate(t) if not i or c != t[i - 1])[:16]
@@ -90,20 +90,20 @@ def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
     ratio = np.log(count[1] / count[1].sum()) - np.log(count[0] / count[0].sum())
     sign = np.where(y == 1, 1.0, -1.0)
     cap = COST * len(y) / (2 * np.where(y == 1, (y == 1).sum(), (y == 0).sum()))
-    values = [ratio[x] / math.sqrt(max(1, len(x))) for x in rows]
-    square = np.array([float(v @ v) + 1.0 for v in values])
+    value = lambda x: ratio[x] / math.sqrt(max(1, len(x)))
+    square = np.array([float(np.square(value(x)).sum()) + 1.0 for x in rows])
     w, b, alpha = np.zeros(BUCKETS), 0.0, np.zeros(len(y))
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(y)).tolist():
-            x, v = rows[i], values[i]
+            x, v = rows[i], value(rows[i])
             grad = sign[i] * (float(w[x] @ v) + b) - 1.0
             new = min(max(alpha[i] - grad / square[i], 0.0), cap[i])
             if step := (new - alpha[i]) * sign[i]:
                 w[x] += step * v
                 b += step
                 alpha[i] = new
-    margins = np.array([float(w[x] @ v) + b for x, v in zip(rows, values, strict=True)])
+    margins = np.array([float(w[x] @ value(x)) + b for x in rows])
     return Model((w * ratio).astype(np.float32), b, _logistic_scale(margins, sign, cap))
 
 
@@ -130,15 +130,16 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
 
     # the sample is at most `sample` rows of 12 bytes; a doc_id found in several rows trains once
     texts = docs.select("doc_id", raw_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
-    got = sorted(map_rows(texts, rows, "doc_id long, y int, x binary").groupBy("doc_id", "y").agg(F.min("x").alias("x"))
-                 .collect(), key=lambda r: r.doc_id)
-    return fit([np.frombuffer(bytes(r.x), np.int32) for r in got], np.array([r.y for r in got], dtype=np.int64))
+    got = (map_rows(texts, rows, "doc_id long, y int, x binary").groupBy("doc_id", "y").agg(F.min("x").alias("x"))
+           .toArrow().sort_by("doc_id"))
+    # views of the Arrow buffers, a few kilobytes a row
+    return fit([np.frombuffer(x.as_buffer(), np.int32) for x in got["x"]], got["y"].to_numpy().astype(np.int64))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` and the score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB, whatever the corpus
-    return append(docs, "text", lambda texts: [(sent.value.score(features(t)),) for t in texts], "score double", keep)
+    return append(docs, text, lambda texts: [(sent.value.score(features(t)),) for t in texts], "score double", keep)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -149,5 +150,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The documents with a score of `least` or more; all columns stay."""
-    scored = score(aside(docs, "text"), model, [f"_col{i}" for i in range(len(docs.columns))])
+    named = [f"_col{i}" for i in range(len(docs.columns))]
+    scored = score(aside(docs), model, named, named[docs.columns.index("text")])
     return restored(scored.filter(F.col("score") >= least), docs.columns)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import append, aside, restored, ship, written
+from .common import append, aside, counted, restored, ship, written
 from .words import ngram_hashes, word_hashes
 
 SYMBOLS = "#*$%&|<>"
@@ -41,7 +41,8 @@ SCALE, PRIOR_WORDS, PRIOR_WORD_CHARS = 1024, 50, 5
 #: Least standard deviation allowed for each statistic.
 FLOOR = (0.5, 0.05, 0.1, 0.15, 0.15)
 H, STEPS, MIN_ROWS, ALPHA = 0.75, 6, 50, 1e-5
-#: Group tables of up to so many rows (of some 300 bytes) are broadcast.
+#: Group tables of up to so many rows (of some 300 bytes) are broadcast: the rows of a large group
+#: then need not meet in one task.
 BROADCAST_GROUPS = 50_000
 
 
@@ -96,9 +97,9 @@ def repeated_words(words: list[bytes], n: int = 5) -> int:
     return int((np.cumsum(edge) > 0).sum())
 
 
-def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
+def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Counts, base rule, and the transformed statistics as integers, beside the columns `keep`."""
-    df = append(docs, "text", lambda texts: [counts(t) for t in texts],
+    df = append(docs, text, lambda texts: [counts(t) for t in texts],
                 ", ".join(f"{c} long" for c in COUNTS), keep)
     n = F.col("n_words") + PRIOR_WORDS
     x = [F.log1p("n_words"), F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_WORD_CHARS) / n),
@@ -108,12 +109,6 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
                      *(F.round(e * SCALE).cast("long").alias(name) for e, name in zip(x, NAMES, strict=True)))
 
 
-def sized(groups: DataFrame) -> DataFrame:
-    """A written table with a row per group: sent to all tasks if its rows are counted and few, else
-    joined as Spark sees fit. Sent, the rows of a large group need not meet in one task."""
-    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
-
-
 def grouped(stats: DataFrame, lang: Column, source: Column) -> DataFrame:
     """Adds `gid`: (language, source), or a pool of small groups, or null if even that is small."""
     own, pool = ["_lang", "_source", "_nl", "_ns"], ["_lang", "_nl"]
@@ -128,7 +123,7 @@ def grouped(stats: DataFrame, lang: Column, source: Column) -> DataFrame:
            .when(F.col("n_all") >= MIN_ROWS, F.lit("all")))
     # `rest` is one row
     ids = sizes.join(by_lang, pool, "left").crossJoin(F.broadcast(rest)).select(*own, gid.alias("gid"))
-    return stats.join(sized(written(ids, "groups")), own, "left").drop(*own)
+    return stats.join(counted(written(ids, "groups"), BROADCAST_GROUPS), own, "left").drop(*own)
 
 
 def _sums(rows: DataFrame) -> DataFrame:
@@ -164,7 +159,7 @@ def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
     d = [f"(x_{i} / {SCALE}D - mean[{k}])" for k, i in enumerate(n[2:] for n in NAMES)]
     terms = [f"{1 if i == j else 2} * prec[{i * P + j}] * {d[i]} * {d[j]}" for i in range(P) for j in range(i, P)]
     # distances decide in steps of 2^-20, far above the error of the sum's last digits
-    return rows.join(sized(est), "gid", "left").withColumn(
+    return rows.join(counted(est, BROADCAST_GROUPS), "gid", "left").withColumn(
         "distance", F.expr(f"round(({' + '.join(terms)}) * 1048576) / 1048576")).drop("mean", "prec")
 
 
@@ -174,7 +169,7 @@ def _nearest(rows: DataFrame) -> DataFrame:
     step = F.least(F.floor(F.col("distance") * 64), F.lit(1 << 16))
     rows = rows.withColumn("step", step)
     cut = written(rows.groupBy("gid").agg(F.expr(f"percentile(step, {H})").alias("cut")).coalesce(8), "cuts")
-    return rows.join(sized(cut), "gid").filter("step <= cut").drop("step", "cut", "distance")
+    return rows.join(counted(cut, BROADCAST_GROUPS), "gid").filter("step <= cut").drop("step", "cut", "distance")
 
 
 def fit(rows: DataFrame) -> DataFrame:
@@ -185,7 +180,7 @@ def fit(rows: DataFrame) -> DataFrame:
     """
     rows = written(rows.select("gid", *NAMES).filter("gid IS NOT NULL"), "mcd-rows")
     med = written(rows.groupBy("gid").agg(*(F.expr(f"percentile({c}, 0.5)").alias("m_" + c) for c in NAMES)).coalesce(8), "medians")
-    mad = (rows.join(sized(med), "gid").groupBy("gid")
+    mad = (rows.join(counted(med, BROADCAST_GROUPS), "gid").groupBy("gid")
            .agg(*(F.expr(f"percentile(abs({c} - m_{c}), 0.5)").alias("d_" + c) for c in NAMES)))
     diag = [f"1D / pow(greatest(1.4826D * d_{c} / {SCALE}, {f}D), 2)" for c, f in zip(NAMES, FLOOR, strict=True)]
     flat = ", ".join(diag[i] if i == j else "0D" for i in range(P) for j in range(P))
@@ -196,12 +191,12 @@ def fit(rows: DataFrame) -> DataFrame:
     return est
 
 
-def judge(docs: DataFrame, alpha: float = ALPHA, keep: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, alpha: float = ALPHA, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """The columns `keep` (doc_id), counts, base_failed, kept, and distance (null without an estimate)."""
     keep = keep or ["doc_id"]
     place = list(dict.fromkeys([*keep, "lang", "source"]))
     # the texts are read and counted once; the table holds what is kept of a row besides
-    stats = written(measure(docs, place), "quality-counts")
+    stats = written(measure(docs, place, text), "quality-counts")
     rows = grouped(stats, F.col("lang"), F.col("source"))
     est = fit(rows.filter(~F.col("base_failed")))
     far = F.coalesce(F.col("distance") > chi2_quantile(1 - alpha, P), F.lit(False))
@@ -211,4 +206,5 @@ def judge(docs: DataFrame, alpha: float = ALPHA, keep: list[str] | None = None)
 def keep_good(docs: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """The documents that are kept; all columns stay."""
     named = [f"_col{i}" for i in range(len(docs.columns))]
-    return restored(judge(aside(docs, "text", "lang", "source"), alpha, named).filter("kept"), docs.columns)
+    text = named[docs.columns.index("text")]
+    return restored(judge(aside(docs, "lang", "source"), alpha, named, text).filter("kept"), docs.columns)

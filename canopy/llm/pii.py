@@ -162,44 +162,77 @@ def patterns(cands: DataFrame) -> DataFrame:
     return written(rows.groupBy(*LABELERS, *FEATURES).agg(F.count("*").alias("n")), "vote-patterns")
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _total(rows: Column, term) -> Column:
+    return F.aggregate(rows, F.lit(0.0), lambda acc, r: acc + term(r))
+
+
+def _label(theta: Column, votes: Column) -> Column:
+    """The probability of a vote pattern. theta: the prior, then for labeler k, vote v and class y the
+    share at 2 + 6 k + 2 (v + 1) + y."""
+    logit = F.log(F.element_at(theta, 1) / (1 - F.element_at(theta, 1)))
+    for k in range(len(LABELERS)):
+        at = 6 * k + 2 * (F.element_at(votes, k + 1) + 1)
+        logit = logit + F.log(F.element_at(theta, at + 3) / F.element_at(theta, at + 2))
+    return _sigmoid(logit)
+
+
 def fit(table: DataFrame) -> Model | None:
-    """EM over the vote patterns, then the classifier on the probabilities they get."""
-    votes = table.groupBy(*LABELERS).agg(F.sum("n").alias("n")).cache()
-    try:
-        total = votes.agg(F.sum("n")).first()[0]
-        if not total:
-            return None
-        # start: the labelers' majority
-        label = _sigmoid(sum((F.col(x) for x in LABELERS), F.lit(0)).cast("double"))
-        for _ in range(EM_STEPS):
-            rows = votes.withColumn("p", label)
-            sums = rows.agg(F.sum(F.col("n") * F.col("p")).alias("one"), *(
-                F.sum(F.when(F.col(x) == v, F.col("n") * (F.col("p") if y else 1 - F.col("p"))).otherwise(0.0)).alias(f"{x}_{v + 1}_{y}")
-                for x in LABELERS for v in (-1, 0, 1) for y in (0, 1))).first()
-            one = sums["one"]
-            mass = {1: one, 0: total - one}
-            model = Model((one + 1) / (total + 2), {
-                (x, v, y): (sums[f"{x}_{v + 1}_{y}"] + 1) / (mass[y] + 3)
-                for x in LABELERS for v in (-1, 0, 1) for y in (0, 1)}, {})
-            label = model.label()
-    finally:
-        votes.unpersist()
-    rows = table.withColumn("p", label).groupBy(*FEATURES).agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("p")) / F.sum("n")).alias("p")).cache()
-    try:
-        size = rows.agg(*(F.sum(F.col("n") * F.col(f)).alias(f) for f in FEATURES)).first()
-        active = 8  # features of a span that are 1: its kind and at most seven more
-        weights = dict.fromkeys(FEATURES, 0.0)
-        for _ in range(FIT_STEPS):
-            z = sum((F.col(f) * w for f, w in weights.items()), F.lit(0.0))
-            grad = rows.withColumn("g", F.col("n") * (_sigmoid(z) - F.col("p"))).agg(
-                *(F.sum(F.col("g") * F.col(f)).alias(f) for f in FEATURES)).first()
-            # a step of an upper bound of the curvature: the loss falls at each
-            weights = {f: w - (grad[f] + RIDGE * w) / (active * size[f] / 4 + RIDGE) for f, w in weights.items()}
-        model.weights = weights
-    finally:
-        rows.unpersist()
-    return model
+    """EM over the vote patterns, then the classifier on the probabilities they get.
+
+    The table's rows, a few hundred combinations, are one array; each step is an expression over it,
+    so both fits are one query, and what it returns is the model.
+    """
+    both = table.select("n", F.array(*LABELERS).alias("v"), F.array(*FEATURES).alias("f"))
+    row = both.agg(F.collect_list(F.struct(F.col("n").cast("double").alias("n"), "v", "f")).alias("rows")).filter(F.size("rows") > 0)
+    votes = F.col("votes")
+    row = row.withColumn("votes", F.transform(F.array_distinct(F.transform("rows", lambda r: r["v"])), lambda v: F.struct(
+        v.alias("v"), _total(F.filter("rows", lambda r: r["v"] == v), lambda r: r["n"]).alias("n"))))
+
+    def shares(rows: Column) -> Column:
+        """The M step: rows (n, v, p) to the prior and the vote shares, each smoothed by one count."""
+        one, total = _total(rows, lambda r: r["n"] * r["p"]), _total(rows, lambda r: r["n"])
+        out = [(one + 1) / (total + 2)]
+        for k in range(len(LABELERS)):
+            for v in (-1, 0, 1):
+                for y in (0, 1):
+                    hit = _total(rows, lambda r, k=k, v=v, y=y: F.when(
+                        F.element_at(r["v"], k + 1) == v, r["n"] * (r["p"] if y else 1 - r["p"])).otherwise(0.0))
+                    out.append((hit + 1) / ((one if y else total - one) + 3))
+        return F.array(*out)
+
+    def labelled(p) -> Column:
+        return F.transform(votes, lambda r: F.struct(r["n"].alias("n"), r["v"].alias("v"), p(r).alias("p")))
+
+    # start: the labelers' majority
+    majority = lambda r: _sigmoid(F.aggregate(r["v"], F.lit(0), lambda a, v: a + v).cast("double"))
+    step = lambda theta: _let(labelled(lambda r: _label(theta, r["v"])), shares)
+    row = row.withColumn("theta", F.aggregate(F.sequence(F.lit(2), F.lit(EM_STEPS)), _let(labelled(majority), shares), lambda t, _: step(t)))
+    # distinct features with the mean probability of their votes
+    row = row.withColumn("soft", F.transform("rows", lambda r: F.struct(
+        r["n"].alias("n"), r["f"].alias("f"), _label(F.col("theta"), r["v"]).alias("p"))))
+    size = F.array(*(_total(F.col("soft"), lambda r, j=j: r["n"] * F.element_at(r["f"], j + 1)) for j in range(len(FEATURES))))
+    row = row.withColumn("size", size)
+    active = 8  # features of a span that are 1: its kind and at most seven more
+
+    def descend(w: Column) -> Column:
+        """One step of an upper bound of the curvature: the loss falls at each."""
+        z = lambda r: F.aggregate(F.arrays_zip(r["f"].alias("f"), w.alias("w")), F.lit(0.0), lambda a, x: a + x["f"] * x["w"])
+        off = F.transform(F.col("soft"), lambda r: F.struct((r["n"] * (_sigmoid(z(r)) - r["p"])).alias("g"), r["f"].alias("f")))
+        return _let(off, lambda rows: F.transform(w, lambda x, j: x - (
+            _total(rows, lambda r: r["g"] * F.element_at(r["f"], j + 1)) + RIDGE * x)
+            / (active * F.element_at(F.col("size"), j + 1) / 4 + RIDGE)))
+
+    row = row.withColumn("w", F.aggregate(F.sequence(F.lit(1), F.lit(FIT_STEPS)), F.array_repeat(F.lit(0.0), len(FEATURES)), lambda w, _: descend(w)))
+    found = row.select("theta", "w").first()
+    if found is None:
+        return None
+    votes_of = {(x, v, y): found.theta[1 + 6 * k + 2 * (v + 1) + y] for k, x in enumerate(LABELERS) for v in (-1, 0, 1) for y in (0, 1)}
+    return Model(found.theta[0], votes_of, dict(zip(FEATURES, found.w, strict=True)))
 
 
 def decide(df: DataFrame, model: Model | None) -> DataFrame:
