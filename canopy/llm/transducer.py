@@ -13,7 +13,8 @@ A model file is compiled once per worker into three machines:
 Encoding composes them with the text lazily: lattice states are (position, weight state), and the
 shortest path in the tropical semiring (min, +) is found position by position. Decoding is the
 inverse transduction. No piece has the space symbol behind another character, so the lattice falls
-apart at spaces, and the paths of such chunks are kept in a bounded cache.
+apart at spaces and wherever no piece holds two neighbouring characters; the paths of such chunks
+are kept in a bounded cache.
 
 Runs of spaces have pieces of equal score, which merge from the left; their paths are written
 directly. Models with a character map other than identity are refused. A space symbol in a text is
@@ -40,8 +41,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CHARSMAP, DUMMY_PREFIX, EXTRA_SPACES = 2, 3, 4
 UNIGRAM, BPE = 1, 2
 #: Chunks (and pairs of pieces) in a worker's caches; beyond, they start anew. They only save time.
-CACHE_CHUNKS = 400_000
-START = -1
+CACHE_CHUNKS = 300_000
+START = -1  # the weight state before the first piece, and behind a character written as bytes
 _MODELS: dict[str, Transducer] = {}
 
 
@@ -103,12 +104,17 @@ class Transducer:
                     for c in s:
                         node = node.setdefault(c, {})
                     node[""] = i
-        self.of_id = {i: b for b, i in self.byte.items()}
+        of_id = {i: b for b, i in self.byte.items()}
+        self.is_byte = np.array([i in of_id for i in range(len(self.text))])
+        #: what each id stands for in a decoded text
+        self.shown = [bytes([of_id[i]]) if i in of_id else " ⁇ ".encode() if i == self.unknown
+                      else x.replace(SPACE, " ").encode() for i, x in enumerate(self.text)]
         runs = {self.score[i] for s, i in self.id.items() if set(s) == {SPACE} and len(s) > 1}
         if self.kind == BPE and len(runs) > 1:
             raise ValueError(f"{path}: runs of spaces have different scores")
         if any(SPACE in s.lstrip(SPACE) for s in self.id):
             raise ValueError(f"{path}: a piece has a space inside")
+        self.joins = {x[i:i + 2] for x in self.id for i in range(len(x) - 1)}
         self.penalty = 10.0 - min(self.score)
         self.pairs: dict[int, bool] = {}
         #: two generations: what is met again moves from the old one to the new one
@@ -143,49 +149,71 @@ class Transducer:
     # composition and shortest path
 
     def path(self, s: str) -> list[int]:
-        """The ids of the least-cost path through the lattice of a chunk.
+        """The ids of the least-cost path through the lattice of a chunk."""
+        return self.legal_path(s) if self.kind == BPE else self.cheapest_path(s)
+
+    def arcs(self, s: str, i: int) -> list[tuple[int, int]]:
+        """(end, piece) of the pieces that start at i, shortest first; -1 stands for a character's bytes."""
+        out, node = [], self.tree
+        for j in range(i, len(s)):
+            node = node.get(s[j])
+            if node is None:
+                break
+            piece = node.get("")
+            if piece is not None:
+                out.append((j + 1, piece))
+        if not out or out[0][0] > i + 1:
+            out.insert(0, (i + 1, -1))
+        return out
+
+    def legal_path(self, s: str) -> list[int]:
+        """BPE: finite paths cost 0 and only one reaches the end, so the lattice is searched in
+        depth, longest arcs first, and no (position, last piece) that failed is entered again."""
+        n, pairs, size = len(s), self.pairs, len(self.text)
+        trail, failed = [(0, START, self.arcs(s, 0))], set()
+        while trail[-1][0] < n:
+            i, at, open_ = trail[-1]
+            while open_:
+                j, piece = open_.pop()
+                if (j, piece) in failed:
+                    continue
+                at_key = START if at < 0 else at
+                ok = piece < 0 or pairs.get(at_key * size + piece)
+                if ok or ok is None and self.legal(at_key, piece):
+                    trail.append((j, piece, self.arcs(s, j) if j < n else []))
+                    break
+            else:
+                failed.add((i, at))
+                trail.pop()
+        return self.written(s, [(j, piece) for j, piece, _ in trail[1:]])
 
-        One weight state is alive at each position: a unigram model has one, and of a BPE model's
-        pieces that end at a position only one continues a legal path (there the first path found
-        is the only one, of cost 0).
-        """
-        n, bpe, pairs, size = len(s), self.kind == BPE, self.pairs, len(self.text)
+    def cheapest_path(self, s: str) -> list[int]:
+        """Unigram: one weight state, so the least cost to each position, in order."""
+        n = len(s)
         cost: list[float | None] = [0.0] + [None] * n
-        state, back, via = [START] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        back: list[tuple[int, int]] = [(0, 0)] * (n + 1)
         for i in range(n):
-            own = cost[i]
-            if own is None:
+            if cost[i] is None:
                 continue
-            node, at, lone = self.tree, state[i], True
-            for j in range(i + 1, n + 1):
-                node = node.get(s[j - 1])
-                if node is None:
-                    break
-                piece = node.get("")
-                if piece is None:
-                    continue
-                if j == i + 1:
-                    lone = False
-                if not bpe:
-                    c = own - self.score[piece]
-                    if cost[j] is None or c < cost[j]:
-                        cost[j], back[j], via[j] = c, i, piece
-                elif cost[j] is None:
-                    ok = pairs.get(at * size + piece)
-                    if ok or ok is None and self.legal(at, piece):
-                        cost[j], state[j], back[j], via[j] = own, piece, i, piece
-            if lone:  # no piece for this character: its bytes
-                c = own if bpe else own + self.penalty
-                if cost[i + 1] is None or c < cost[i + 1]:
-                    cost[i + 1], state[i + 1], back[i + 1], via[i + 1] = c, START, i, -1
-        out, i = [], n
+            for j, piece in self.arcs(s, i):
+                c = cost[i] + (self.penalty if piece < 0 else -self.score[piece])
+                if cost[j] is None or c < cost[j]:
+                    cost[j], back[j] = c, (i, piece)
+        found, i = [], n
         while i:
-            if via[i] >= 0:
-                out.append(via[i])
+            found.append((i, back[i][1]))
+            i = back[i][0]
+        return self.written(s, found[::-1])
+
+    def written(self, s: str, path: list[tuple[int, int]]) -> list[int]:
+        """The ids that a path of (end, piece) writes."""
+        out = []
+        for j, piece in path:
+            if piece >= 0:
+                out.append(piece)
             else:
-                out += [self.byte[b] for b in reversed(s[i - 1].encode())] if self.byte else [self.unknown]
-            i = back[i]
-        return out[::-1]
+                out += [self.byte[b] for b in s[j - 1].encode()] if self.byte else [self.unknown]
+        return out
 
     def spaces(self, n: int) -> list[int]:
         """A run of space symbols: its pieces have equal scores, so the leftmost pair merges first."""
@@ -208,12 +236,17 @@ class Transducer:
             rest = s.lstrip(SPACE)
             k = len(s) - len(rest)
             if k > 1 and self.kind == BPE:
-                ids = self.path(SPACE + rest)
+                ids = np.frombuffer(self.chunk(SPACE + rest), "<u4").tolist()
                 own = ids[0] == self.id.get(SPACE)
-                ids = self.spaces(k if own else k - 1) + ids[1 if own else 0:]
+                found = _le(self.spaces(k if own else k - 1) + ids[1 if own else 0:])
             else:
-                ids = self.path(s)
-            found = self.cache[s] = np.array(ids, dtype="<u4").tobytes()
+                # no piece holds these two characters side by side: the lattice falls apart here
+                cuts = None if rest.isalpha() else [i for i in range(1, len(s)) if s[i - 1:i + 1] not in self.joins]
+                if cuts:
+                    found = b"".join(map(self.chunk, (s[i:j] for i, j in zip([0, *cuts], [*cuts, len(s)], strict=True))))
+                else:
+                    found = _le(self.path(s))
+            self.cache[s] = found
         return found
 
     def normalise(self, text: str) -> str:
@@ -245,18 +278,15 @@ class Transducer:
 
     def decode(self, ids: bytes) -> str:
         """The text that a sequence of ids stands for."""
-        out = bytearray()
-        for i in np.frombuffer(ids, "<u4").tolist():
-            if i in self.of_id:
-                out.append(self.of_id[i])
-            elif i == self.unknown:
-                out += " ⁇ ".encode()
-            else:
-                out += self.text[i].encode()
-        s = out.decode("utf-8", "replace").replace(SPACE, " ")
+        out = b"".join(map(self.shown.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        s = out.decode("utf-8", "replace")
         return s[1:] if self.dummy and s[:1] == " " else s
 
 
+def _le(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
+
+
 def transducer(path: str) -> Transducer:
     if path not in _MODELS:
         _MODELS[path] = Transducer(path)
@@ -279,12 +309,11 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
 
     def made(texts: list[bytes | None]) -> list[tuple]:
         t, out = transducer(model), []
-        lone = np.array(sorted(t.of_id))
         for raw in texts:
             s = (raw or b"").decode("utf-8", "replace")
             ids = t.encode(s)
             n = np.frombuffer(ids, "<u4")
-            out.append((len(n), int(np.isin(n, lone).sum()), zlib.crc32(ids), t.decode(ids) == s))
+            out.append((len(n), int(t.is_byte[n].sum()), zlib.crc32(ids), t.decode(ids) == s))
         return out
 
     return append(docs, "text", made, "n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean", ["doc_id"])
