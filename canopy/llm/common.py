@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import sys
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -87,8 +88,17 @@ def restored(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
     return df.select(*(changed.get(c, F.col(f"_col{i}")).alias(c) for i, c in enumerate(columns)))
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
-    """`rows` turns tuples of a partition into tuples of `schema`; Arrow batches in and out.
+def _tidy(uses: tuple[str, ...]) -> None:
+    """In a worker: empty the caches that operators before this one have left."""
+    for name in ("words", "nbsvm", "tokens", "transducer"):
+        module = sys.modules.get(f"canopy.llm.{name}")
+        if module is not None and name not in uses:
+            module.drop_caches()
+
+
+def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str,
+             uses: tuple[str, ...] = ()) -> DataFrame:
+    """`uses` names the modules whose worker caches the function fills. `rows` turns tuples of a partition into tuples of `schema`; Arrow batches in and out.
 
     Batches are cut so that each slice holds about SLICE_BYTES of the last column (the text).
     """
@@ -100,6 +110,7 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        _tidy(uses)
         arrow = to_arrow_schema(out_schema)
 
         def tuples() -> Iterator[tuple]:
@@ -122,7 +133,7 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]],
 
 
 def append(df: DataFrame, column: str, made: Callable[[list[bytes | None]], list[tuple]], schema: str,
-           keep: list[str]) -> DataFrame:
+           keep: list[str], uses: tuple[str, ...] = ()) -> DataFrame:
     """The columns `keep`, as they are, and new ones that `made` computes from a text (or binary) column.
 
     The text crosses to Python once, also if it is kept."""
@@ -137,6 +148,7 @@ def append(df: DataFrame, column: str, made: Callable[[list[bytes | None]], list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        _tidy(uses)
         arrow = to_arrow_schema(new)
         for b in batches:
             for part in sliced(b):

@@ -89,7 +89,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield doc_id, 0, None, None, None
 
     return map_rows(docs.select("doc_id", raw_text().alias("text")), rows,
-                    "doc_id long, n_shingles long, key binary, bands array<long>, sketch binary")
+                    "doc_id long, n_shingles long, key binary, bands array<long>, sketch binary", ("words",))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = 75) -> bool:
@@ -114,7 +114,7 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int = 75) -> DataFrame:
             if similar(shingles(ta), own, percent):
                 yield a, b
 
-    return map_rows(p.select("a", "b", "tb", "ta"), rows, "a long, b long")
+    return map_rows(p.select("a", "b", "tb", "ta"), rows, "a long, b long", ("words",))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -256,4 +256,4 @@ def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
             if text is not None and content_key(text) == key:
                 yield node, n, text
 
-    return map_rows(found.select("node", "n", "key", "text"), rows, "node long, n long, text binary")
+    return map_rows(found.select("node", "n", "key", "text"), rows, "node long, n long, text binary", ("words",))

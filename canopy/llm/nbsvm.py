@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import append, aside, map_rows, raw_text, restored
 from .words import mix, ngram_hashes, word_hashes
 
+USES = ("words", "nbsvm")
 BITS = 18
 BUCKETS = 1 << BITS
 SAMPLE, EPOCHS, COST, SMOOTHING = 8_000, 12, 1.0, 1.0
@@ -40,6 +41,10 @@ _SHAPE = bytes(
 _SHAPES: dict[bytes, bytes] = {}
 
 
+def drop_caches() -> None:
+    _SHAPES.clear()
+
+
 def shape(word: bytes) -> bytes:
     """'Thon.' is 'Aa.': classes of characters, each run as one."""
     s = _SHAPES.get(word)
@@ -130,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
 
     # the sample is at most `sample` rows of 12 bytes; a doc_id found in several rows trains once
     texts = docs.select("doc_id", raw_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
-    got = (map_rows(texts, rows, "doc_id long, y int, x binary").groupBy("doc_id", "y").agg(F.min("x").alias("x"))
+    got = (map_rows(texts, rows, "doc_id long, y int, x binary", USES).groupBy("doc_id", "y").agg(F.min("x").alias("x"))
            .toArrow().sort_by("doc_id"))
     # views of the Arrow buffers, a few kilobytes a row
     return fit([np.frombuffer(x.as_buffer(), np.int32) for x in got["x"]], got["y"].to_numpy().astype(np.int64))
@@ -139,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` and the score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB, whatever the corpus
-    return append(docs, text, lambda texts: [(sent.value.score(features(t)),) for t in texts], "score double", keep)
+    return append(docs, text, lambda texts: [(sent.value.score(features(t)),) for t in texts], "score double", keep, USES)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

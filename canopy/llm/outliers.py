@@ -100,7 +100,7 @@ def repeated_words(words: list[bytes], n: int = 5) -> int:
 def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Counts, base rule, and the transformed statistics as integers, beside the columns `keep`."""
     df = append(docs, text, lambda texts: [counts(t) for t in texts],
-                ", ".join(f"{c} long" for c in COUNTS), keep)
+                ", ".join(f"{c} long" for c in COUNTS), keep, ("words",))
     n = F.col("n_words") + PRIOR_WORDS
     x = [F.log1p("n_words"), F.log((F.col("word_chars") + PRIOR_WORDS * PRIOR_WORD_CHARS) / n),
          F.sqrt(F.col("n_symbols") / n), F.sqrt(10 * F.col("n_dup_lines") / n), F.sqrt(F.col("n_repeat_words") / n)]

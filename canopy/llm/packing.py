@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, w
                     yield (doc_id, k, at // 4, len(own) // 4, zlib.crc32(own), *((own,) if with_ids else ()))
 
     return map_rows(docs.select("doc_id", raw_text().alias("text")), rows,
-                    PIECES + ", ids binary" * with_ids)
+                    PIECES + ", ids binary" * with_ids, ("tokens",))
 
 
 def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:

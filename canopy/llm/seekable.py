@@ -114,7 +114,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str |
     ranged = (docs.select("doc_id", raw_text().alias("text"), F.xxhash64("text").alias("h"))
               .repartitionByRange(F.col("doc_id").asc_nulls_first(), "h")
               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "h", "text").select("doc_id", "text"))
-    return written(map_rows(ranged, rows, "part int, path string, n_docs long, n_ids long"), "frame-files")
+    return written(map_rows(ranged, rows, "part int, path string, n_docs long, n_ids long", ("tokens",)), "frame-files")
 
 
 def _groups(it: Iterable[tuple]) -> Iterator[list[tuple]]:

@@ -111,6 +111,11 @@ def _le(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
+def drop_caches() -> None:
+    for c in _CODERS.values():
+        c.cache, c.old = {}, {}
+
+
 def coder(path: str) -> Coder:
     """The worker's coder of a vocabulary file."""
     if path not in _CODERS:

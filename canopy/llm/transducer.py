@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 
 from .common import append
 
+USES = ("transducer",)
 SPACE = "▁"
 # Fixed values of the public model format: field numbers and piece types.
 PIECES, TRAINER, NORMALIZER, MODEL_TYPE = 1, 2, 3, 3
@@ -287,6 +288,12 @@ def _le(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
+def drop_caches() -> None:
+    for t in _MODELS.values():
+        t.cache, t.old = {}, {}
+        t.pairs.clear()
+
+
 def transducer(path: str) -> Transducer:
     if path not in _MODELS:
         _MODELS[path] = Transducer(path)
@@ -296,12 +303,12 @@ def transducer(path: str) -> Transducer:
 def encode(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
     """The columns `keep` and `ids`, the text's ids as little-endian unsigned 32-bit bytes."""
     return append(docs, "text", lambda texts: [(transducer(model).encode((t or b"").decode("utf-8", "replace")),) for t in texts],
-                  "ids binary", keep)
+                  "ids binary", keep, USES)
 
 
 def decode(ids: DataFrame, model: str, keep: list[str]) -> DataFrame:
     """The columns `keep` and `decoded`, the text of `ids`."""
-    return append(ids, "ids", lambda rows: [(transducer(model).decode(r or b""),) for r in rows], "decoded string", keep)
+    return append(ids, "ids", lambda rows: [(transducer(model).decode(r or b""),) for r in rows], "decoded string", keep, USES)
 
 
 def digest(docs: DataFrame, model: str) -> DataFrame:
@@ -316,4 +323,4 @@ def digest(docs: DataFrame, model: str) -> DataFrame:
             out.append((len(n), int(t.is_byte[n].sum()), zlib.crc32(ids), t.decode(ids) == s))
         return out
 
-    return append(docs, "text", made, "n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean", ["doc_id"])
+    return append(docs, "text", made, "n_tokens long, n_byte_tokens long, ids_crc32 long, round_trip boolean", ["doc_id"], USES)

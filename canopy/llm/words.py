@@ -22,6 +22,10 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def drop_caches() -> None:
+    _HASHES.clear()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
 
