@@ -16,6 +16,7 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -73,34 +74,43 @@ def prune(nodes: dict[int, dict], internal: set[int], ccp_alpha: float) -> set[i
     return kept
 
 
-def leaves_of(nodes: dict[int, dict], internal: set[int]) -> list[int]:
-    out = []
-    for i in sorted(nodes):
-        parent_ok = i == 1 or (i // 2) in internal
-        if parent_ok and i not in internal:
-            out.append(i)
-    return out
-
-
 def derive_group(pdf: pd.DataFrame, variants: list[Variant]) -> pd.DataFrame:
-    nodes = {int(r.node): r._asdict() for r in pdf.itertuples(index=False)}
+    """The leaves of every variant of one growth: ``cut`` and ``prune`` on arrays, level by level."""
+    pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
+    node, depth = pdf["node"].to_numpy(np.int64), pdf["depth"].to_numpy(np.int64)
+    left = np.searchsorted(node, 2 * node)
+    left = np.where(left < len(node), left, 0)
+    split = ~pdf["is_leaf"].to_numpy(bool) & (node[left] == 2 * node)
+    right = left + 1  # node 2 i + 1 follows 2 i
+    rows = (pdf["t0"] + pdf["t1"]).to_numpy(np.int64)
+    weight = (pdf["W0"] + pdf["W1"]).to_numpy(float)
+    risk = weight * pdf["impurity"].to_numpy(float) / weight[0]
+    levels = [np.flatnonzero(split & (depth == d)) for d in range(int(depth.max()) + 1)]
+    prob = np.divide(pdf["W1"].to_numpy(float), weight, out=np.zeros(len(node)), where=weight > 0)
+    base = pdf[["gid", "node", "key", "depth", "t0", "t1", "e0", "e1"]].assign(
+        prob=prob, pred=(pdf["W1"] > pdf["W0"]).astype(int))
     out = []
-    gid = int(pdf["gid"].iloc[0])
-    cuts: dict[tuple, set[int]] = {}
     for v in variants:
-        ck = (v.max_depth, v.min_samples_split)
-        if ck not in cuts:
-            cuts[ck] = cut(nodes, v.max_depth, v.min_samples_split)
-        internal = prune(nodes, cuts[ck], v.ccp_alpha)
-        lv = leaves_of(nodes, internal)
-        for i in lv:
-            n = nodes[i]
-            w = n["W0"] + n["W1"]
-            out.append((gid, v.vid, i, int(n["key"]), int(n["depth"]), int(n["t0"]), int(n["t1"]),
-                        int(n["e0"]), int(n["e1"]), (n["W1"] / w) if w > 0 else 0.0,
-                        int(n["W1"] > n["W0"]), len(lv)))
-    return pd.DataFrame(out, columns=["gid", "vid", "node", "key", "depth", "t0", "t1", "e0", "e1",
-                                      "prob", "pred", "n_leaves"])
+        keep = split & (rows >= v.min_samples_split)
+        if v.max_depth is not None:
+            keep &= depth < v.max_depth
+        if v.ccp_alpha > 0:
+            cost = risk + v.ccp_alpha
+            inside, keep = keep, np.zeros(len(node), bool)
+            for ids in reversed(levels):
+                ids = ids[inside[ids]]
+                both = cost[left[ids]] + cost[right[ids]]
+                better = cost[ids] > both
+                cost[ids[better]] = both[better]
+                keep[ids[better]] = True
+        present = np.zeros(len(node), bool)
+        present[0] = True
+        for ids in levels:
+            ids = ids[keep[ids] & present[ids]]
+            present[left[ids]] = present[right[ids]] = True
+        own = base[present & ~keep]
+        out.append(own.assign(vid=v.vid, n_leaves=len(own)))
+    return pd.concat(out)[["gid", "vid", "node", "key", "depth", "t0", "t1", "e0", "e1", "prob", "pred", "n_leaves"]]
 
 
 def derive(nodes: DataFrame, variants: list[Variant]) -> DataFrame:

@@ -203,3 +203,18 @@ def test_wide_feature_is_exact_by_default(spark):
         assert n["threshold"] is None or tree[i]["threshold"] == n["threshold"]
     top = TR.root_splits(df, ["a", "b", "c"], "y", min_samples_leaf=5).orderBy(F.desc("gain"), "feature", "threshold").first()
     assert top["feature"] == "abc"[tree[1]["feature"]] and top["threshold"] == tree[1]["threshold"]
+
+
+def test_derive_on_arrays_equals_the_single_tree(spark):
+    rows = fixture(500, seed=11)
+    df = spark.createDataFrame(rows, "rid long, a double, b double, c double, y int")
+    g = TR.grow(df, ["a", "b", "c"], "y", [TR.Root("all", "true")], [TR.GrowSpec(0, "all", "gini", None, 1, None)])
+    tree = TR.tree_of(g.nodes, 0)
+    variants = [PRN.Variant(i, d, m, a) for i, (d, m, a) in enumerate(
+        (d, m, a) for d in (None, 1, 3, 6) for m in (2, 30, 200) for a in (0.0, 1e-4, 1e-3, 1e-2, 0.2))]
+    got = PRN.derive_group(g.nodes.assign(threshold=-1.0), variants)
+    for v in variants:
+        want = {i for i, n in PRN.derived_tree(tree, v).items() if n["is_leaf"]}
+        own = got[got.vid == v.vid]
+        assert set(own.node) == want and set(own.n_leaves) == {len(want)}
+        assert sum(own.t0 + own.t1) == len(rows)
