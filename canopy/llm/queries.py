@@ -81,4 +81,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_seekable_ids": op10_seekable_ids,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Exact links by shared shingles and a transitive closure; the other queries fit models, use a
+#: tokenizer or report positions of matches, which SQL cannot express (tests hold them to brute force).
+ORACLE_SQL: dict[str, str] = {
+    "op6_minhash_near_dedup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+shingle AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other)
+SELECT r.doc_id, s.n AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id, s.n
+""",
+}
