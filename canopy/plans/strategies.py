@@ -213,6 +213,15 @@ def tuned_base(spark: SparkSession, sf: str) -> S.SearchResult:
     return _memo(spark, sf, "tuned_base", run)
 
 
+def _only(small: DataFrame, *large: DataFrame) -> DataFrame:
+    """Keeps the winners' leaves and lets the frames they come from go."""
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small.count()
+    for f in large:
+        f.unpersist()
+    return small
+
+
 @dataclass
 class TunedHoldout:
     search: S.SearchResult
@@ -245,7 +254,7 @@ def tuned_holdout(spark: SparkSession, sf: str, name: str) -> TunedHoldout:
         fs = S.scores_from_leaves(leaves.where(F.col("root") < 5), ["param_id", "root"]).withColumnRenamed("root", "fold")
         res = S.summarize(spark, params, fs, scoring)
         best = leaves.where((F.col("root") >= 5) & (F.col("param_id") == res.best_index)).withColumn("root", F.col("root") - 5)
-        return TunedHoldout(res, best)
+        return TunedHoldout(res, _only(best, leaves, data))
     return _memo(spark, sf, f"tuned_{name}", run)
 
 
@@ -290,7 +299,8 @@ def nested_all_rows(spark: SparkSession, sf: str, name: str, k: int = 5) -> AllR
         won = spark.createDataFrame([(k * k + o, o, p, params[p].label()) for o, p in best.items()],
                                     "root int, outer int, param_id int, params string")
         final = S.summarize(spark, params, sc.where(F.col("root") >= k * k).withColumn("fold", F.col("root") - k * k).drop("root"), scoring)
-        return AllRowsNested(sc.join(won, ["root", "param_id"]), leaves.join(won.select("root", "param_id"), ["root", "param_id"]), final)
+        oof = _only(leaves.join(won.select("root", "param_id"), ["root", "param_id"]), leaves, data)
+        return AllRowsNested(sc.join(won, ["root", "param_id"]), oof, final)
     return _memo(spark, sf, f"nested_{name}", run)
 
 

@@ -17,7 +17,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[*]").appName("canopy-tests")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
