@@ -35,6 +35,16 @@ def test_labels_of_held_out_rows_do_not_matter(spark, sf):
     assert (N.train(moved, labels).weights == a.weights).all()
 
 
+def test_twelve_thousand_labels_are_fitted(spark, monkeypatch):
+    """Where more training labels exist, the fit gets 12,000 of them."""
+    docs = spark.range(19_000).selectExpr("id AS doc_id", "concat('word', id % 7) AS text", "cast(id % 2 AS int) AS quality")
+    assert docs.filter(~N.held_out()).count() > 12_000
+    seen = []
+    monkeypatch.setattr(N, "fit", lambda rows, y: seen.append((len(rows), len(y))))
+    N.train(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+    assert seen == [(12_000, 12_000)]
+
+
 def test_dual_coordinate_descent_is_optimal():
     """The primal objective meets the dual one: no duality gap."""
     rng = np.random.default_rng(0)
