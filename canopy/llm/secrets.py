@@ -33,7 +33,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
 CLASSES = {"hex": (r"^[0-9a-fA-F]+$", 16, 2.75), "upper": (r"^[A-Z0-9]+$", 20, 3.4), "mixed": (r"", 20, 3.7)}
 #: Candidates that one of these matches are no secrets.
 ALLOW = (
-    r"^[A-Za-z]+$", r"^[0-9_=+/-]+$", r"^[A-Za-z]+([-_/=+]+[A-Za-z]*)+[0-9]{0,4}$", r"^(.)\1+$",
+    r"^[A-Za-z]+$", r"^[0-9_=+/-]+$", r"^[A-Za-z]++(?:[-_/=+]++[A-Za-z]*+)++[0-9]{0,4}$", r"^(.)\1+$",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)(example|placeholder|changeme|dummy|sample|your[_-]?(key|token|secret))",
 )
