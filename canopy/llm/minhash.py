@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import counted, map_rows, raw_text, written
+from .common import append, aside, counted, map_rows, raw_text, restored, written
 from .words import mix, shingles
 
 #: BINS bins estimate similarities; the first BANDS * ROWS of them make the bands. A pair at 0.75 is
@@ -187,6 +187,13 @@ def mixed_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
+    return _found(docs, percent).select("doc_id", "n_shingles", "component_id",
+                                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _found(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, key, component_id, stays) of every row; `stays` is true for the rows of
+    one (doc_id, key) of each component, and for those that are linked with nothing."""
     sig = written(signatures(docs), "signatures")
     known = sig.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     nodes = written(known.groupBy("key").agg(F.min("doc_id").alias("rep"),
@@ -218,42 +225,67 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         if not second.isEmpty():
             comp = components(links.union(second))
     named = nodes.select("node", "key", "rep").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    least = named.groupBy("comp").agg(F.min(F.struct("rep", "node")).alias("top"))
     # only nodes of several need the second join; most are alone
-    of_key = named.join(least, "comp").select("key", "component_id")
+    of_key = named.join(least, "comp").select("key", F.col("top.rep").alias("component_id"), (F.col("node") == F.col("top.node")).alias("first"))
     out = sig.select("doc_id", "n_shingles", "key").join(of_key, "key", "left")
     return out.select(
-        "doc_id", "n_shingles",
+        "doc_id", "n_shingles", "key",
         F.when(F.col("doc_id").isNull(), F.lit(None).cast("long"))
-        .otherwise(F.coalesce("component_id", "doc_id")).alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.coalesce(F.col("first") & (F.col("doc_id") == F.col("component_id")), F.lit(True)).alias("stays"))
 
 
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The documents without those that duplicate another; all columns stay.
 
-    Rows that repeat a kept doc_id are one document: one of them stays.
+    A document is a doc_id with its words: of rows that repeat both one stays, and texts that share
+    a doc_id are judged one by one.
     """
-    found = written(near_duplicates(docs, percent), "near-duplicates")
-    gone = written(found.filter("NOT kept").select("doc_id").distinct(), "gone", narrow=True)
-    out = docs.join(counted(gone, SENT_ROWS), "doc_id", "left_anti").select(*docs.columns)
-    twice = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    found = written(_found(docs, percent), "near-duplicates").filter("doc_id IS NOT NULL")
+    ids = written(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("stays").alias("stays"))
+                  .filter("n > 1 OR NOT stays").select("doc_id", "n"), "ids", narrow=True)
+    out = docs.join(counted(ids.select("doc_id"), SENT_ROWS), "doc_id", "left_anti").select(*docs.columns)
+    twice = ids.filter("n > 1").select("doc_id")
     if not twice.isEmpty():
-        again = out.join(twice.select("doc_id"), "doc_id", "left_semi")
-        out = out.join(twice.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(
-            again.dropDuplicates(["doc_id"]).select(*docs.columns))
+        twice = counted(twice, SENT_ROWS)
+        named = [f"_col{i}" for i in range(len(docs.columns))]
+        own = named[docs.columns.index("doc_id")]
+        pairs = (found.filter("stays").join(twice, "doc_id", "left_semi")
+                 .select(F.col("doc_id").alias(own), F.coalesce("key", F.lit(b"")).alias("key")).distinct())
+        again = append(aside(docs.join(twice, "doc_id", "left_semi").select(*docs.columns)), named[docs.columns.index("text")],
+                       lambda texts: [(content_key(t) if t and t.split() else b"",) for t in texts], "key binary", named, ("words",))
+        again = again.join(pairs, [own, "key"], "left_semi").dropDuplicates([own, "key"])
+        out = out.unionByName(restored(again, docs.columns))
     return out
 
 
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, n, text) of the nodes' representatives; rows of the same doc_id with another text go."""
-    found = (docs.select("doc_id", raw_text().alias("text"))
-             .join(counted(needed.select("doc_id", "node", "key", F.col("n_shingles").alias("n")), SENT_ROWS), "doc_id")
-             .dropDuplicates(["doc_id", "node", "text"]))
+    own = docs.select("doc_id", raw_text().alias("text"))
+    nodes = needed.select("doc_id", "node", "key", F.col("n_shingles").alias("n"))
+    several = written(nodes.groupBy("doc_id").agg(F.count("*").alias("nodes")).filter("nodes > 1").select("doc_id"), "several", narrow=True)
+    some = not several.isEmpty()
+    single = nodes.join(several, "doc_id", "left_anti") if some else nodes
+    found = own.join(counted(single, SENT_ROWS), "doc_id").dropDuplicates(["doc_id", "node", "text"])
 
     def rows(it: Iterator[tuple]) -> Iterator[tuple]:
         for node, n, key, text in it:
             if text is not None and content_key(text) == key:
                 yield node, n, text
 
-    return map_rows(found.select("node", "n", "key", "text"), rows, "node long, n long, text binary", ("words",))
+    out = map_rows(found.select("node", "n", "key", "text"), rows, "node long, n long, text binary", ("words",))
+    if not some:
+        return out
+
+    def keyed(it: Iterator[tuple]) -> Iterator[tuple]:
+        for doc_id, text in it:
+            if text is not None:
+                yield doc_id, content_key(text), text
+
+    # ids of several nodes: the key comes first, so that each text meets its own node alone
+    several = counted(several, SENT_ROWS)
+    texts = map_rows(own.join(several, "doc_id", "left_semi").select("doc_id", "text"), keyed,
+                     "doc_id long, key binary, text binary", ("words",))
+    met = texts.join(nodes.join(several, "doc_id", "left_semi"), ["doc_id", "key"]).dropDuplicates(["node", "text"])
+    return out.unionByName(met.select("node", "n", "text"))

@@ -106,3 +106,22 @@ def test_odd_rows(odd_docs, empty_docs):
     assert out.columns == odd_docs.columns
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
     assert M.near_duplicates(empty_docs).count() == 0
+
+
+def test_texts_that_share_a_doc_id(spark):
+    """Each text of a doc_id is judged by itself: only copies go, and of each one stays."""
+    rnd = random.Random(8)
+    text = lambda: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(60))
+    t1, t2, u1, u2, v = (text() for _ in range(5))
+    near = [(x, x + " more") for x in (text() for _ in range(30))]
+    docs = [(1, t1), (5, t1), (5, t2), (6, u1), (6, u2), (6, u2), (7, u1), (8, None), (8, v), (8, ""), (None, t1)]
+    docs += [(100, t) for pair in near for t in pair] + [(101, near[0][0]), (101, v)]
+    got = M.keep_one(spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", M.F.lit("clash")))
+    assert got.columns == ["doc_id", "text", "key"]
+    rows = [(r.doc_id, r.text) for r in got.collect()]
+    want = [(1, t1), (5, t2), (6, u1), (6, u2), (8, v), (None, t1)]
+    assert sorted(r for r in rows if r[1] and r[0] != 100 and r[0] is not None) == want[:-1] and (None, t1) in rows
+    assert sum(r[0] == 8 and not r[1] for r in rows) == 1
+    hundred = [t for i, t in rows if i == 100]
+    assert len(hundred) == 30 and all(sum(t in pair for t in hundred) == 1 for pair in near)
+    assert len(rows) == len(want) + 31
