@@ -37,8 +37,9 @@ BINS, BANDS, ROWS = 512, 32, 4
 _VALUE, _ROUND = np.uint64(2**45 - 1), np.uint64(45)
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _EMPTY = np.uint64(2**64 - 1)
-#: Equal bins from which a pair is verified: 0.75 * 512 less 4.5 standard deviations.
-LEAST_EQUAL = 340
+#: Equal bins from which a pair is verified: 0.75 * 512 less 4.9 standard deviations. A
+#: pair at 0.75 falls below with probability 9e-7.
+LEAST_EQUAL = 336
 QUERY_BLOCK, TARGET_BLOCK = 256, 1024
 #: Id tables of up to so many rows (of some 50 bytes) are sent to the texts; beyond, the texts are
 #: shuffled to them.

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import defaultdict
 
@@ -125,3 +126,9 @@ def test_texts_that_share_a_doc_id(spark):
     hundred = [t for i, t in rows if i == 100]
     assert len(hundred) == 30 and all(sum(t in pair for t in hundred) == 1 for pair in near)
     assert len(rows) == len(want) + 31
+
+
+def test_sketch_cut_is_no_looser_than_with_128_bins():
+    """A pair at 0.75 is refused by its sketch no more often than by 72 of 128 bins."""
+    below = lambda n, k: sum(math.comb(n, i) * 0.75**i * 0.25**(n - i) for i in range(k))
+    assert below(M.BINS, M.LEAST_EQUAL) <= below(128, 72)
