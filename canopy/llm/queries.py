@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crosspolytope, minhash, nbsvm, outliers, packing, pii, secrets, seekable, transducer
+from . import (audit, chat, crosspolytope, fim, licenses, minhash, nbsvm, outliers, packing, pii, secrets, seekable,
+               transducer)
 from .common import table
+from .oracle_sql import AUDIT, FILL_IN_MIDDLE, LICENSES
 
 
 def word_tokenizer() -> str:
@@ -68,6 +70,18 @@ def op10_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seekable.read_back(files)
 
 
+def op11_license_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_cross_polytope": op2_cross_polytope,
@@ -79,11 +93,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision_pii": op8_weak_supervision_pii,
     "op9_role_repair": op9_role_repair,
     "op10_seekable_ids": op10_seekable_ids,
+    "op11_license_blocks": op11_license_blocks,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-#: Exact links by shared shingles and a transitive closure; the other queries fit models, use a
-#: tokenizer or report positions of matches, which SQL cannot express (tests hold them to brute force).
+#: Enumerations, and for op6 exact links by shared shingles and a transitive closure; the other queries fit models,
+#: use a tokenizer or report positions of matches, which SQL cannot express (tests hold them to brute force).
 ORACLE_SQL: dict[str, str] = {
+    "op11_license_blocks": LICENSES,
+    "op12_filter_audit": AUDIT,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
     "op6_minhash_near_dedup": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
