@@ -7,26 +7,40 @@ min_samples_leaf) serves every combination of those three (SURVEY section 4c):
      least ``min_samples_split`` training rows, and its parent is internal;
   2. prune: minimal cost-complexity pruning at ccp_alpha, R = weighted impurity share of
      the root weight, bottom up in one pass.
-Runs as ``applyInPandas`` grouped by growth: each group is one node table (at most
-2^(depth+1) rows), the work is spread over the cluster with the number of models.
+Both are done block by block.  Growth cuts a tree into blocks of ``tree.BAND`` levels, of at most
+2^BAND nodes each, whatever the tree's size.  Bottom up, a block needs the costs of the blocks
+below it, and gives its own root's: one ``applyInPandas`` job per band of levels, a task holding one
+block at a time.  Top down, a block needs to know in which variants its root is there.  A tree of at
+most BAND levels is one block and one job.
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from canopy.operators.tree import BAND
+from canopy.session import ensure_checkpoint_dir
 
 # The per-growth derivation runs in Python workers; ship this module's functions by value so
 # workers need no installed copy of the library (no files, no extra PYTHONPATH).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF_SCHEMA = ("gid int, vid int, node long, key long, depth int, t0 long, t1 long, e0 long, "
-               "e1 long, prob double, pred int, n_leaves int")
+               "e1 long, prob double, pred int")
+#: Rows of a block: its nodes (kind 0), the roots of the blocks below with their costs (1), and the
+#: variants in which its own root is there (2).
+_BLOCK = ("gid int, block long, kind int, key long, lkey long, rkey long, node long, depth int, t0 long, t1 long, "
+          "e0 long, e1 long, W0 double, W1 double, w_root double, impurity double, is_leaf boolean, costs binary, there binary")
+_COSTS = "gid int, block long, key long, costs binary"
+_DOWN = "gid int, block long, kind int, key long, vid int, node long, depth int, t0 long, t1 long, e0 long, e1 long, prob double, pred int, there binary"
 
 
 @dataclass(frozen=True)
@@ -75,7 +89,7 @@ def prune(nodes: dict[int, dict], internal: set[int], ccp_alpha: float) -> set[i
 
 
 def derive_group(pdf: pd.DataFrame, variants: list[Variant]) -> pd.DataFrame:
-    """The leaves of every variant of one growth: ``cut`` and ``prune`` on arrays, level by level."""
+    """The leaves of every variant of one whole tree: ``cut`` and ``prune`` on arrays, level by level."""
     pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
     node, depth = pdf["node"].to_numpy(np.int64), pdf["depth"].to_numpy(np.int64)
     left = np.searchsorted(node, 2 * node)
@@ -113,9 +127,113 @@ def derive_group(pdf: pd.DataFrame, variants: list[Variant]) -> pd.DataFrame:
     return pd.concat(out)[["gid", "vid", "node", "key", "depth", "t0", "t1", "e0", "e1", "prob", "pred", "n_leaves"]]
 
 
-def derive(nodes: DataFrame, variants: list[Variant]) -> DataFrame:
-    """(gid, vid, leaf...) for every growth x variant, one pandas group per growth."""
-    return nodes.groupBy("gid").applyInPandas(lambda pdf: derive_group(pdf, variants), LEAF_SCHEMA)
+class Block:
+    """One block's nodes and the costs of every variant, as arrays (node x variant)."""
+
+    def __init__(self, pdf: pd.DataFrame, variants: list[Variant]):
+        own = pdf[pdf["kind"] == 0].sort_values("depth", kind="stable")
+        below = pdf[pdf["kind"] == 1]
+        n, m = len(own), len(below)
+        self.own, self.n = own, n
+        self.keys = np.concatenate([own["key"].to_numpy(np.int64), below["key"].to_numpy(np.int64)])
+        place = {k: i for i, k in enumerate(self.keys.tolist())}
+        split = ~own["is_leaf"].to_numpy(bool)
+        self.left, self.right = (np.array([place[k] if s else 0 for k, s in zip(own[c], split, strict=True)], np.int64)
+                                 for c in ("lkey", "rkey"))
+        depth = own["depth"].to_numpy(np.int64)
+        self.levels = [np.flatnonzero(split & (depth == d)) for d in np.unique(depth)]
+        weight = (own["W0"] + own["W1"]).to_numpy(float)
+        self.prob = np.divide(own["W1"].to_numpy(float), weight, out=np.zeros(n), where=weight > 0)
+        alpha = np.array([v.ccp_alpha for v in variants])
+        deepest = np.array([np.iinfo(np.int64).max if v.max_depth is None else v.max_depth for v in variants])
+        least = np.array([v.min_samples_split for v in variants])
+        rows = (own["t0"] + own["t1"]).to_numpy(np.int64)
+        keep = split[:, None] & (rows[:, None] >= least) & (depth[:, None] < deepest)
+        self.cost = np.zeros((n + m, len(variants)))
+        self.cost[:n] = (weight * own["impurity"].to_numpy(float) / own["w_root"].to_numpy(float))[:, None] + alpha
+        for i, c in enumerate(below["costs"]):
+            self.cost[n + i] = np.frombuffer(c)
+        for ids in reversed(self.levels):  # bottom up: a branch that costs no less than a leaf collapses
+            both = self.cost[self.left[ids]] + self.cost[self.right[ids]]
+            better = keep[ids] & (self.cost[ids] > both)
+            self.cost[ids] = np.where(better, both, self.cost[ids])
+            keep[ids] = np.where(alpha > 0, better, keep[ids])
+        self.keep = keep
+
+    def present(self, root: np.ndarray) -> np.ndarray:
+        """Which nodes, and roots of blocks below, are in the tree of each variant."""
+        out = np.zeros((len(self.keys), root.size), bool)
+        out[0] = root
+        for ids in self.levels:
+            out[self.left[ids]] = out[self.right[ids]] = self.keep[ids] & out[ids]
+        return out
+
+
+def _up(pdf: pd.DataFrame, variants: list[Variant]) -> pd.DataFrame:
+    """The costs of a block's root, for the block above."""
+    b = Block(pdf, variants)
+    top = pdf[(pdf["kind"] == 0) & (pdf["key"] == pdf["block"])]
+    return pd.DataFrame({"gid": top["gid"], "block": top["block"], "key": top["key"], "costs": [b.cost[0].tobytes()]})
+
+
+def _down(pdf: pd.DataFrame, variants: list[Variant]) -> pd.DataFrame:
+    """The leaves in a block of every variant's tree, and the variants that reach the blocks below."""
+    b = Block(pdf, variants)
+    known = pdf.loc[pdf["kind"] == 2, "there"]
+    root = np.frombuffer(known.iloc[0], np.uint8).astype(bool) if len(known) else np.ones(len(variants), bool)
+    present = b.present(root)
+    at, v = np.nonzero(present[:b.n] & ~b.keep)
+    own = b.own.iloc[at]
+    leaves = own[["gid", "block", "key", "node", "depth", "t0", "t1", "e0", "e1"]].assign(
+        kind=0, vid=np.array([x.vid for x in variants])[v], prob=b.prob[at], pred=(own["W1"] > own["W0"]).astype(int), there=None)
+    gid, block = pdf["gid"].iloc[0], pdf["block"].iloc[0]
+    on = [(k, p.astype(np.uint8).tobytes()) for k, p in zip(b.keys[b.n:].tolist(), present[b.n:], strict=True) if p.any()]
+    if on:
+        on = pd.DataFrame(on, columns=["key", "there"]).assign(
+            gid=gid, block=block, kind=1, **{c: 0 for c in ("vid", "node", "depth", "t0", "t1", "e0", "e1", "prob", "pred")})
+        leaves = pd.concat([leaves, on]) if len(leaves) else on
+    return leaves[[c.split()[0] for c in _DOWN.split(", ")]]
+
+
+def derive(nodes: DataFrame, variants: list[Variant], depth: int) -> DataFrame:
+    """(gid, vid, leaf...) of every growth x variant; ``depth`` is that of the deepest node."""
+    spark = nodes.sparkSession
+    home = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canopy-derived-{uuid.uuid4().hex}"
+    names = [c.split()[0] for c in _BLOCK.split(", ")]
+    types = dict(c.split() for c in _BLOCK.split(", "))
+
+    def rows(df: DataFrame, kind: int, **columns: str) -> DataFrame:
+        # no nulls among the numbers: pandas would make them floating point
+        held = {**{c: c for c in df.columns}, "kind": str(kind), **columns}
+        empty = {"binary": "NULL", "boolean": "true", "double": "0D", "int": "0", "long": "0L"}
+        return df.selectExpr(*(f"coalesce(cast({held.get(c, 'NULL')} AS {types[c]}), {empty[types[c]]}) AS {c}" for c in names))
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{home}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{home}/{name}")
+
+    def band(i: int) -> DataFrame:
+        return nodes.where(f"depth >= {i * BAND} AND depth < {(i + 1) * BAND}")
+
+    last = depth // BAND
+    blocks = {last: rows(band(last), 0)}
+    for i in range(last, 0, -1):
+        costs = blocks[i].groupBy("gid", "block").applyInPandas(lambda pdf: _up(pdf, variants), _COSTS)
+        tops = band(i).where("key = block").select("gid", "key", F.col("above").alias("_above"))
+        costs = kept(costs.join(tops, ["gid", "key"]), f"costs-{i}")
+        blocks[i - 1] = rows(band(i - 1), 0).unionByName(rows(costs, 1, block="_above"))
+    out, there = None, None
+    for i in range(last + 1):
+        inside = blocks[i] if there is None else blocks[i].unionByName(rows(there, 2, block="key")).join(
+            there.selectExpr("gid", "key AS block"), ["gid", "block"], "left_semi")
+        found = inside.groupBy("gid", "block").applyInPandas(lambda pdf: _down(pdf, variants), _DOWN)
+        if last:
+            found = kept(found, f"found-{i}")
+            there = found.where("kind = 1")
+        leaves = found.where("kind = 0").select(*(c.split()[0] for c in LEAF_SCHEMA.split(", "))).withColumn(
+            "node", F.expr("nullif(node, 0L)"))
+        out = leaves if out is None else out.unionByName(leaves)
+    return out
 
 
 def derived_tree(nodes: dict[int, dict], variant: Variant) -> dict[int, dict]:

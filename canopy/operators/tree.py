@@ -13,11 +13,13 @@ Data flow of ``grow``
    share the key, so they share the histogram: the assignment table holds one row per
    (cell, distinct path), not per (cell, model).
 4. Per level: ONE histogram job (posexplode of the features, partial aggregation to
-   (key, feature, value) class counts), ONE small join of the histogram with the active
-   nodes of every spec, running sums per (spec, node, feature) -> gain of every candidate
-   threshold -> best split per node.  Only node statistics and best splits (at most
-   specs x 2^depth rows) reach the driver; the assignment table moves to the child keys
-   through a join with the (small) split table, planned by Spark and is checkpointed.
+   (key, feature, value) class counts), ONE join of the histogram with the active nodes of
+   every spec, running sums per (spec, node, feature) -> gain of every candidate threshold
+   -> best split per node.  Leaf rule, class weights, impurity and child keys are column
+   expressions of the same job, which writes the level's nodes to shared storage.  The
+   assignment table moves to the child keys through a join with that level's splits, and the
+   next level's active nodes are read from it: no node reaches the driver, which only asks
+   whether the level has a split.  Depth is not limited by node numbers.
 Eval-role rows follow the same splits and never enter a histogram, so every node also
 knows the label counts of its evaluation rows: CV metrics of any derived tree come from
 these counts, without a scoring pass over the rows.
@@ -33,17 +35,22 @@ from __future__ import annotations
 
 import hashlib
 import math
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from canopy.session import cut_lineage
+from canopy.session import cut_lineage, ensure_checkpoint_dir
 
-MAX_LEVELS = 61                      # node i has children 2i and 2i + 1, in 64-bit integers
 IMPURITY_EPS = 2.220446049250313e-16  # machine epsilon: a node at or below this is pure
+#: Levels of a block: nodes are grouped below every BAND-th level, so that work on a tree goes
+#: block by block (``prune``), each of at most 2^BAND nodes, however deep the tree is.
+BAND = 12
+#: Trees of up to so many nodes may be collected, to become one column expression.
+MAX_TREE_NODES = 1 << 16
 
 
 def node_key(*parts) -> int:
@@ -76,11 +83,45 @@ class GrowSpec:
 
 @dataclass
 class Growth:
+    """``table`` holds one row per (gid, node): NODE_SCHEMA, on shared storage."""
     features: list[str]
     specs: dict[int, GrowSpec]
     roots: dict[str, Root]
-    nodes: pd.DataFrame                   # one row per (gid, node)
-    weights: dict[int, tuple[float, float]] = field(default_factory=dict)
+    table: DataFrame
+    depth: int                            # of the deepest node
+
+    @property
+    def nodes(self) -> pd.DataFrame:
+        """The node table on the driver; for few and small trees."""
+        return (self.table.where("depth <= 61").drop("parent", "above", "lkey", "rkey").toPandas().sort_values(["gid", "node"], kind="stable")
+                .reset_index(drop=True))
+
+    def trees(self, depth_of: dict[int, int | None]) -> dict[int, dict[int, dict]]:
+        """Node dicts of some growths, each down to its depth, in one pass.  A growth without a depth
+        limit must be small: larger trees stay tables (``score_by_table``, ``prune.derive``)."""
+        wanted = F.lit(False)
+        for gid, depth in depth_of.items():
+            wanted = wanted | ((F.col("gid") == gid) & (F.lit(True) if depth is None else F.col("depth") <= depth))
+        limit = sum(MAX_TREE_NODES if d is None else min(MAX_TREE_NODES, 2 ** (d + 1)) for d in depth_of.values())
+        rows = self.table.where(wanted).limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"a tree of more than {MAX_TREE_NODES} nodes: score it with score_by_table")
+        by_gid: dict[int, dict[int, dict]] = {gid: {} for gid in depth_of}
+        for r in rows:
+            by_gid[r["gid"]][r["key"]] = r.asDict()
+        return {gid: numbered(nodes) for gid, nodes in by_gid.items()}
+
+
+def numbered(by_key: dict[int, dict]) -> dict[int, dict]:
+    """Nodes by heap number (children of i: 2i and 2i + 1) from nodes by key."""
+    top = [n for n in by_key.values() if n["parent"] is None]
+    out, open_ = {}, [(1, n) for n in top]
+    while open_:
+        i, n = open_.pop()
+        out[i] = {**n, "node": i}
+        if not n["is_leaf"] and n["lkey"] in by_key:
+            open_ += [(2 * i, by_key[n["lkey"]]), (2 * i + 1, by_key[n["rkey"]])]
+    return dict(sorted(out.items()))
 
 
 # --------------------------------------------------------------------------- impurity
@@ -220,36 +261,43 @@ def advance(assign: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- growth
-ACTIVE_SCHEMA = "gid int, node long, key long, crit int, w0 double, w1 double, msl int, bal boolean"
+SPEC_SCHEMA = "gid int, crit int, msl int, max_depth int"
+ACTIVE_SCHEMA = ("gid int, key long, depth int, node long, parent long, block long, above long, cw0 double, cw1 double, w_root double")
+#: ``parent``, ``lkey`` and ``rkey`` are keys; ``block`` is the key of the node's ancestor (or itself) at the
+#: last level that BAND divides, ``above`` the block of its parent; ``node`` is the heap number, null below level 61.
+NODE_SCHEMA = ("gid int, key long, node long, parent long, block long, above long, depth int, t0 long, t1 long, "
+               "e0 long, e1 long, cw0 double, cw1 double, w_root double, W0 double, W1 double, impurity double, "
+               "feature int, threshold double, gain double, is_leaf boolean, lkey long, rkey long")
 
 
 def level_job(assign: DataFrame, active: DataFrame,
               binned_flags: list[bool] | None = None) -> DataFrame:
-    """ONE job per level, three exchanges: histogram aggregation, one window pass per
-    (spec, node, feature) for running sums and node totals, one aggregation per
+    """The nodes of a level (NODE_SCHEMA).  ONE job, three exchanges: histogram aggregation, one
+    window pass per (spec, node, feature) for running sums and node totals, one aggregation per
     (spec, node) returning its statistics (train / eval label counts from the role
     pseudo-feature) and its best split.  NULL feature values sort last: they go right,
     as in scoring."""
-    hist = histogram(assign)
-    j = hist.join(active, "key")
-    win = f"PARTITION BY gid, node, j ORDER BY v ASC NULLS LAST"
+    # the depth is a column, so that every level runs the same compiled code
+    own = ["gid", "key", "depth", "node", "parent", "block", "above", "cw0", "cw1", "w_root", "crit", "msl", "max_depth"]
+    j = histogram(assign).join(active, "key")
+    win = "PARTITION BY gid, key, j ORDER BY v ASC NULLS LAST"
     c = j.selectExpr(
-        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "w0", "w1", "msl", "bal",
+        *own, "j", "v", "c0", "c1",
         f"sum(c0) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0",
         f"sum(c1) OVER ({win} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l1",
-        "sum(c0) OVER (PARTITION BY gid, node, j) AS tot0",
-        "sum(c1) OVER (PARTITION BY gid, node, j) AS tot1",
+        "sum(c0) OVER (PARTITION BY gid, key, j) AS tot0",
+        "sum(c1) OVER (PARTITION BY gid, key, j) AS tot1",
         f"lead(v) OVER ({win}) AS v_next")
-    # 'balanced' weights are only known at the root: there the feature totals are the root's
-    # training class counts, so the root level computes them itself (no separate job)
+    # 'balanced' weights (null at the root) follow from the root's training class counts, which
+    # are the totals of any of its features
     c = c.selectExpr(
-        "gid", "node", "key", "j", "v", "c0", "c1", "crit", "msl", "l0", "l1", "tot0", "tot1", "v_next",
-        "IF(bal, IF(tot0 > 0, (tot0 + tot1) / (2D * tot0), 1D), w0) AS w0",
-        "IF(bal, IF(tot1 > 0, (tot0 + tot1) / (2D * tot1), 1D), w1) AS w1")
+        *own, "j", "v", "c0", "c1", "l0", "l1", "tot0", "tot1", "v_next",
+        "coalesce(cw0, IF(tot0 > 0, (tot0 + tot1) / (2D * tot0), 1D)) AS u0",
+        "coalesce(cw1, IF(tot1 > 0, (tot0 + tot1) / (2D * tot1), 1D)) AS u1")
     c = c.selectExpr(
         "*", "j > 0 AND v_next IS NOT NULL AND l0 + l1 >= msl AND (tot0 - l0) + (tot1 - l1) >= msl AS ok",
-        "w0 * l0 AS a0", "w1 * l1 AS a1", "w0 * (tot0 - l0) AS b0", "w1 * (tot1 - l1) AS b1",
-        "w0 * tot0 AS n0", "w1 * tot1 AS n1")
+        "u0 * l0 AS a0", "u1 * l1 AS a1", "u0 * (tot0 - l0) AS b0", "u1 * (tot1 - l1) AS b1",
+        "u0 * tot0 AS n0", "u1 * tot1 AS n1")
     c = c.selectExpr("*", f"{impurity_sql('a0', 'a1')} AS il", f"{impurity_sql('b0', 'b1')} AS ir",
                      f"{impurity_sql('n0', 'n1')} AS inode")
     # binned features split at the left bin edge, so raw values score like their bins
@@ -261,94 +309,110 @@ def level_job(assign: DataFrame, active: DataFrame,
         "(n0 + n1) * inode - (a0 + a1) * il - (b0 + b1) * ir AS gain")
     best = ("max_by(struct(j - 1 AS j, thr AS threshold, gain), "
             "IF(ok, struct(round(gain / (n0 + n1), 12), -j, -thr), NULL)) AS b")
-    out = c.groupBy("gid", "node", "key").agg(
+    out = c.groupBy(*own).agg(
         F.expr("sum(IF(j = 0 AND v = 0, c0, 0L)) AS t0"), F.expr("sum(IF(j = 0 AND v = 0, c1, 0L)) AS t1"),
         F.expr("sum(IF(j = 0 AND v = 1, c0, 0L)) AS e0"), F.expr("sum(IF(j = 0 AND v = 1, c1, 0L)) AS e1"),
         F.expr(best))
-    return out.selectExpr("gid", "node", "key", "t0", "t1", "e0", "e1", "b.j AS j",
-                          "b.threshold AS threshold", "b.gain AS gain")
+    out = out.withColumns({
+        "cw0": F.expr("coalesce(cw0, IF(t0 > 0, (t0 + t1) / (2D * t0), 1D))"),
+        "cw1": F.expr("coalesce(cw1, IF(t1 > 0, (t0 + t1) / (2D * t1), 1D))")})
+    out = out.selectExpr("*", "cw0 * t0 AS sum0", "cw1 * t1 AS sum1")
+    out = out.selectExpr("*", f"{impurity_sql('sum0', 'sum1')} AS impurity")
+    out = out.selectExpr(
+        "*", "coalesce(depth >= max_depth, false) OR t0 + t1 < 2 OR t0 + t1 < 2 * msl "
+             f"OR impurity <= {IMPURITY_EPS!r}D OR b IS NULL AS is_leaf")
+    split = {"feature": ("cast(b.j AS int)", "-1"), "threshold": ("b.threshold", "double('NaN')"), "gain": ("b.gain", "0D"),
+             "lkey": ("xxhash64(key, b.j, b.threshold, 'L')", "NULL"), "rkey": ("xxhash64(key, b.j, b.threshold, 'R')", "NULL")}
+    return out.selectExpr(
+        "gid", "key", "node", "parent", "block", "above", "depth", "t0", "t1", "e0", "e1", "cw0", "cw1",
+        "coalesce(w_root, sum0 + sum1) AS w_root", "sum0 AS W0", "sum1 AS W1", "impurity",
+        *(f"IF(is_leaf, {leaf}, {inner}) AS {c}" for c, (inner, leaf) in split.items() if c in ("feature", "threshold", "gain")),
+        "is_leaf", *(f"IF(is_leaf, {leaf}, {inner}) AS {c}" for c, (inner, leaf) in split.items() if c in ("lkey", "rkey")))
+
+
+def children(nodes: DataFrame, depth: int) -> DataFrame:
+    """The active nodes (ACTIVE_SCHEMA) of level ``depth`` from the nodes of the level above."""
+    number = "IF(node < 2305843009213693952L, 2 * node{}, NULL)"  # null below level 61
+    both = (f"explode(array(struct(lkey AS key, {number.format('')} AS node), "
+            f"struct(rkey AS key, {number.format(' + 1')} AS node))) AS c")
+    out = nodes.where("NOT is_leaf").selectExpr(
+        "gid", "depth + 1 AS depth", "key AS parent", "block AS above", "cw0", "cw1", "w_root", both)
+    return out.selectExpr("gid", "c.key AS key", "depth", "c.node AS node", "parent",
+                          ("c.key" if depth % BAND == 0 else "above") + " AS block", "above", "cw0", "cw1", "w_root")
 
 
 def grow(df: DataFrame, features: list[str], label: str, roots: list[Root],
          specs: list[GrowSpec], keep: list[str] | None = None,
-         checkpoint_every: int = 3, max_bins: int | None = None) -> Growth:
+         max_bins: int | None = None) -> Growth:
     """Grow every spec to its ``max_depth`` (None: until no node can split).
 
     Every threshold of every feature is tried.  ``max_bins`` is a caller's choice to bin wide
     features at approximate quantiles instead; it changes results.
 
-    The assignment table is cached per level and reliably checkpointed every
-    ``checkpoint_every`` levels (lineage stays short; a lost executor recomputes at most
-    that many joins)."""
+    Both tables of a level, its nodes and the assignment that its splits lead to, are Parquet
+    files under the checkpoint folder: lineage is cut at every level, a lost executor costs
+    the running job's tasks, and repeated feature vectors take little room there."""
     spark = df.sparkSession
     root_by_name = {r.name: r for r in roots}
     crit_code = {"gini": 0, "entropy": 1}
     bins = fit_bins(df, features, max_bins) if max_bins else {}
     flags = [c in bins for c in features]
     cells = make_cells(df, features, label, keep or [], bins)
-    assign = cut_lineage(assign_roots(cells, roots))
-
-    # class weights per spec; 'balanced' ones are filled in from the root level's counts
-    weights = {s.gid: (1.0, 1.0) if s.class_weight == "balanced" else class_weights(s, 0, 0)
-               for s in specs}
-
-    spec_of = {s.gid: s for s in specs}
-    active = {(s.gid, 1): root_by_name[s.root].key for s in specs}
-    rows: list[dict] = []
-    depth, cached = 0, None
-    while active:
-        act = [(gid, node, key, crit_code[spec_of[gid].criterion], *weights[gid],
-                spec_of[gid].min_samples_leaf, depth == 0 and spec_of[gid].class_weight == "balanced")
-               for (gid, node), key in active.items()]
-        result = level_job(assign, spark.createDataFrame(act, ACTIVE_SCHEMA), flags).collect()
-        next_active, split_rows = {}, {}
-        for r in result:
-            s_ = spec_of[r["gid"]]
-            if depth == 0 and s_.class_weight == "balanced":
-                weights[r["gid"]] = class_weights(s_, r["t0"], r["t1"])
-            w0, w1 = weights[r["gid"]]
-            t0, t1 = r["t0"], r["t1"]
-            W0, W1 = w0 * t0, w1 * t1
-            imp = impurity_py(W0, W1, s_.criterion)
-            n = t0 + t1
-            leaf = ((s_.max_depth is not None and depth >= s_.max_depth) or n < 2
-                    or n < 2 * s_.min_samples_leaf or imp <= IMPURITY_EPS or r["j"] is None)
-            row = dict(gid=r["gid"], node=r["node"], depth=depth, key=r["key"], t0=t0, t1=t1,
-                       e0=r["e0"], e1=r["e1"], W0=W0, W1=W1, impurity=imp,
-                       feature=-1, threshold=float("nan"), gain=0.0, is_leaf=True)
-            rows.append(row)
-            if leaf:
-                continue
-            thr = float(r["threshold"])
-            lkey = node_key(r["key"], r["j"], thr, "L")
-            rkey = node_key(r["key"], r["j"], thr, "R")
-            row.update(feature=int(r["j"]), threshold=thr, gain=float(r["gain"]), is_leaf=False)
-            next_active[(r["gid"], 2 * r["node"])] = lkey
-            next_active[(r["gid"], 2 * r["node"] + 1)] = rkey
-            split_rows[(r["key"], int(r["j"]), thr)] = (lkey, rkey)
-        if not split_rows:
+    home = f"{ensure_checkpoint_dir(spark).rstrip('/')}/canopy-nodes-{uuid.uuid4().hex}"
+
+    def written(table: DataFrame, name: str) -> DataFrame:
+        table.write.parquet(f"{home}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{home}/{name}")
+
+    assign = written(assign_roots(cells, roots), "rows-0")
+    # one row per growth of the caller's grid: safe to send to every task
+    rules = F.broadcast(spark.createDataFrame(
+        [(s.gid, crit_code[s.criterion], s.min_samples_leaf, s.max_depth) for s in specs], SPEC_SCHEMA))
+    first = []
+    for s in specs:
+        key = root_by_name[s.root].key
+        w = (None, None) if s.class_weight == "balanced" else class_weights(s, 0, 0)
+        first.append((s.gid, key, 0, 1, None, key, None, *w, None))
+    active = spark.createDataFrame(first, ACTIVE_SCHEMA)
+    depth = 0
+    while True:
+        found = written(level_job(assign, active.join(rules, "gid"), flags), f"level-{depth}")
+        splits = found.where("NOT is_leaf")
+        if splits.isEmpty():
             break
-        if depth >= MAX_LEVELS:
-            raise ValueError(f"a tree is deeper than {MAX_LEVELS} levels: node ids are 64-bit heap numbers")
-        spl = spark.createDataFrame(
-            [(k, j, t, lk, rk) for (k, j, t), (lk, rk) in split_rows.items()],
-            "key long, j int, threshold double, lkey long, rkey long")
-        nxt = advance(assign, spl)
+        # growths that choose the same split of the same node share its children
+        splits = splits.selectExpr("key", "feature AS j", "threshold", "lkey", "rkey").distinct()
         depth += 1
-        if depth % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        else:
-            nxt = nxt.cache()
-        if cached is not None:
-            cached.unpersist()
-        cached = nxt if depth % checkpoint_every else None
-        assign = nxt
-        active = next_active
-    if cached is not None:
-        cached.unpersist()
-    nodes = pd.DataFrame(rows).sort_values(["gid", "node"]).reset_index(drop=True)
-    return Growth(features=list(features), specs=spec_of, roots=root_by_name, nodes=nodes,
-                  weights=weights)
+        assign = written(advance(assign, splits), f"rows-{depth}")
+        active = children(found, depth)
+    table = spark.read.schema(NODE_SCHEMA).parquet(*(f"{home}/level-{d}" for d in range(depth + 1)))
+    return Growth(features=list(features), specs={s.gid: s for s in specs}, roots=root_by_name, table=table, depth=depth)
+
+
+# --------------------------------------------------------------------------- scoring by table
+def score_by_table(df: DataFrame, features: list[str], growth: Growth, gid: int, leaves: DataFrame) -> DataFrame:
+    """``prob`` and ``pred`` beside the rows of ``df``, for a tree of any size: rows go down the node
+    table level by level, as in growth, until they reach one of ``leaves`` (key, prob, pred: the
+    leaves of one derived tree).  Rows are joined, not collected; a row that is done leaves the loop."""
+    inner = growth.table.where(F.col("gid") == gid).join(leaves.select("key"), "key", "left_anti")
+    start = growth.roots[growth.specs[gid].root].key
+    x = F.array(*(F.col(f"`{c}`").cast("double") for c in features))
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), x.alias("x"), F.lit(start).alias("key"))
+    ends = leaves.select("key", "prob", "pred")
+    done = None
+    for depth in range(growth.depth + 1):
+        here = rows.join(ends, "key")
+        done = here if done is None else done.unionByName(here)
+        if depth == growth.depth:
+            break
+        split = inner.where((F.col("depth") == depth) & ~F.col("is_leaf"))
+        rows = rows.join(split.selectExpr("key", "feature AS j", "threshold", "lkey", "rkey"), "key").selectExpr(
+            "row", "x", "IF(element_at(x, j + 1) <= threshold, lkey, rkey) AS key")
+        if depth % 3 == 2:
+            rows = cut_lineage(rows)
+            if rows.isEmpty():
+                break
+    return done.selectExpr("row.*", "prob", "pred")
 
 
 # --------------------------------------------------------------------------- single trees

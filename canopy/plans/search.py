@@ -154,10 +154,8 @@ def evaluate_roots(df: DataFrame, features: list[str], label: str, roots: list[T
                                       depth_of[gid]))
     growth = TR.grow(df, features, label, roots, grow_specs, keep=keep)
     spark = df.sparkSession
-    nodes_df = spark.createDataFrame(growth.nodes.drop(columns=["threshold"]).assign(
-        threshold=growth.nodes["threshold"].fillna(-1.0)))
     variants = [PRN.Variant(v, *vk) for vk, v in vkeys.items()]
-    leaves = PRN.derive(nodes_df, variants)
+    leaves = PRN.derive(growth.table, variants, growth.depth)
     mapping = spark.createDataFrame(model_rows, "gid int, vid int, param_id int, root int")
     # mapping: (pairs) rows, bounded by grid size x roots
     leaves = leaves.join(mapping, ["gid", "vid"])
@@ -222,12 +220,11 @@ def refit(df: DataFrame, features: list[str], label: str, roots: list[TR.Root],
     root name alone when a root has one pair."""
     pairs = pairs or [(i, i) for i in range(len(roots))]
     growth, leaves, gid_map, variants = evaluate_roots(df, features, label, roots, params, pairs, keep)
-    vmap = {v.vid: v for v in variants}
+    fetched = fetch(growth, gid_map, variants, [(pi, ri) for ri, pi in pairs])
     trees: dict = {}
     per_root: dict[str, int] = {}
     for ri, pi in pairs:
-        gid, vid = gid_map[(pi, ri)]
-        t = PRN.derived_tree(TR.tree_of(growth.nodes, gid), vmap[vid])
+        t = fetched[(pi, ri)]
         trees[(roots[ri].name, pi)] = t
         per_root[roots[ri].name] = per_root.get(roots[ri].name, 0) + 1
         if per_root[roots[ri].name] == 1:
@@ -237,16 +234,27 @@ def refit(df: DataFrame, features: list[str], label: str, roots: list[TR.Root],
     return Fitted(features, trees, leaves, roots)
 
 
+def fetch(growth, gid_map: dict, variants: list, models: list[tuple[int, int]]) -> dict[tuple[int, int], dict]:
+    """Node dicts of some (param, root) models, collected together; for trees of bounded size."""
+    vmap = {v.vid: v for v in variants}
+    deepest: dict[int, int | None] = {}
+    for m in models:
+        gid, vid = gid_map[m]
+        d, cur = vmap[vid].max_depth, deepest.get(gid, 0)
+        deepest[gid] = None if d is None or cur is None else max(cur, d)
+    trees = growth.trees(deepest)
+    return {m: PRN.derived_tree(trees[gid_map[m][0]], vmap[gid_map[m][1]]) for m in models}
+
+
 def fitted_from(growth, leaves: DataFrame, gid_map: dict, variants: list, roots: list[TR.Root],
                 root_idx: list[int], param_of: dict[int, int], features: list[str]) -> Fitted:
     """Pick already-grown trees out of a shared evaluation: root ``root_idx[i]`` with
     parameter row ``param_of[root_idx[i]]``; leaves are renumbered to roots 0..n-1."""
-    vmap = {v.vid: v for v in variants}
+    fetched = fetch(growth, gid_map, variants, [(param_of[ri], ri) for ri in root_idx])
     trees, conds = {}, []
-    for new, ri in enumerate(root_idx):
+    for ri in root_idx:
         pi = param_of[ri]
-        gid, vid = gid_map[(pi, ri)]
-        trees[roots[ri].name] = PRN.derived_tree(TR.tree_of(growth.nodes, gid), vmap[vid])
+        trees[roots[ri].name] = fetched[(pi, ri)]
         trees[(roots[ri].name, pi)] = trees[roots[ri].name]
         conds.append((F.col("root") == ri) & (F.col("param_id") == pi))
     cond = conds[0]

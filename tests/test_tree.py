@@ -218,3 +218,84 @@ def test_derive_on_arrays_equals_the_single_tree(spark):
         own = got[got.vid == v.vid]
         assert set(own.node) == want and set(own.n_leaves) == {len(want)}
         assert sum(own.t0 + own.t1) == len(rows)
+
+
+def whole_leaves(g, variant):
+    """Leaves of a derived tree by recursion over the collected node table."""
+    nodes = {r["key"]: r.asDict() for r in g.table.collect()}
+    top = next(n for n in nodes.values() if n["parent"] is None)
+
+    def cost(key):
+        n = nodes[key]
+        own = (n["W0"] + n["W1"]) * n["impurity"] / n["w_root"] + variant.ccp_alpha
+        if (n["is_leaf"] or n["t0"] + n["t1"] < variant.min_samples_split
+                or variant.max_depth is not None and n["depth"] >= variant.max_depth):
+            return own, [key]
+        (a, left), (b, right) = cost(n["lkey"]), cost(n["rkey"])
+        if variant.ccp_alpha > 0 and own <= a + b:
+            return own, [key]
+        return a + b, left + right
+
+    return set(cost(top["key"])[1])
+
+
+def one_partition(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.shuffle.partitions", before))
+
+
+def test_trees_beyond_61_levels(spark, request):
+    """A chain that peels one value off per level: no depth limit, deep pruning block by block, scoring by table."""
+    rows = [(float(i), i % 2) for i in range(74)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    one_partition(spark, request)
+    g = TR.grow(df, ["x"], "y", [TR.Root("all", "true")], [TR.GrowSpec(0, "all")])
+    assert g.depth > 70
+    variants = [PRN.Variant(i, d, m, a) for i, (d, m, a) in enumerate(
+        (d, m, a) for d in (None, 5, 30, 69) for m in (2, 20) for a in (0.0, 0.002, 0.01, 0.014, 0.5))]
+    got = {}
+    for r in PRN.derive(g.table, variants, g.depth).collect():
+        got.setdefault(r["vid"], set()).add(r["key"])
+    for v in variants:
+        assert got[v.vid] == whole_leaves(g, v)
+    assert len(got[0]) > 70
+    leaves = PRN.derive(g.table, variants[:1], g.depth)
+    scored = TR.score_by_table(df, ["x"], g, 0, leaves).collect()
+    assert sorted((r["x"], r["pred"]) for r in scored) == rows
+    assert g.table.where("depth > 61 AND node IS NULL").count() == g.table.where("depth > 61").count() > 0
+
+
+def test_blocks_equal_the_single_tree(spark, monkeypatch):
+    """Blocks of three levels: growth, pruning and the winners' leaves do not depend on the cut."""
+    rows = fixture(500, seed=11)
+    df = spark.createDataFrame(rows, "rid long, a double, b double, c double, y int")
+    monkeypatch.setattr(TR, "BAND", 3)
+    monkeypatch.setattr(PRN, "BAND", 3)
+    specs = [TR.GrowSpec(0, "all", "gini", None, 1, None), TR.GrowSpec(1, "all", "entropy", "balanced", 2, 7)]
+    g = TR.grow(df, ["a", "b", "c"], "y", [TR.Root("all", "true")], specs)
+    assert g.depth >= 6
+    variants = [PRN.Variant(i, d, m, a) for i, (d, m, a) in enumerate(
+        (d, m, a) for d in (None, 1, 3, 6) for m in (2, 30, 200) for a in (0.0, 1e-4, 1e-3, 1e-2, 0.2))]
+    leaves = PRN.derive(g.table, variants, g.depth).cache()
+    got = leaves.toPandas()
+    for s in specs:
+        own = PRN.derive_group(g.nodes[g.nodes.gid == s.gid].assign(threshold=-1.0), variants)
+        want = {(r.vid, r.key, r.node, r.t0, r.t1, round(r.prob, 12), r.pred) for r in own.itertuples()}
+        mine = got[got.gid == s.gid]
+        assert {(r.vid, r.key, r.node, r.t0, r.t1, round(r.prob, 12), r.pred) for r in mine.itertuples()} == want
+    tree = g.trees({0: None})[0]
+    for v in (0, 22):
+        by_expr = df.select("rid", TR.predict_expr(PRN.derived_tree(tree, variants[v]), ["a", "b", "c"]).alias("prob"))
+        by_table = TR.score_by_table(df, ["a", "b", "c"], g, 0, leaves.where(f"gid = 0 AND vid = {v}"))
+        assert sorted(map(tuple, by_expr.collect())) == sorted((r["rid"], r["prob"]) for r in by_table.collect())
+
+
+def test_collected_trees_are_bounded(spark, monkeypatch):
+    rows = fixture(200, seed=3)
+    df = spark.createDataFrame(rows, "rid long, a double, b double, c double, y int")
+    g = TR.grow(df, ["a", "b", "c"], "y", [TR.Root("all", "true")], [TR.GrowSpec(0, "all")])
+    assert len(g.trees({0: 2})[0]) <= 7
+    monkeypatch.setattr(TR, "MAX_TREE_NODES", 5)
+    with pytest.raises(ValueError, match="score_by_table"):
+        g.trees({0: None})
