@@ -4,8 +4,7 @@ A table's two hashes rotate a vector with fast Hadamard pseudo-rotations (three
 signs and a Walsh-Hadamard transform) and take the nearest signed axis each; the pair is the
 bucket. Every vector is indexed in TABLES tables. A query probes, per table, the buckets whose two
 axes lie nearest (largest sum of coordinates); all vectors found are ranked by exact cosine. The
-number of probes is PROBES, or more on small inputs, where it grows until LEAST_CANDIDATES may be
-expected.
+number of probes is the same at every size.
 
 Work is dealt by (dimension, table, first axis), further cut in blocks of members and of queries, so
 a bucket that holds a large share of all vectors is never in one task, and no bucket has a cap.
@@ -30,7 +29,7 @@ from pyspark.sql.window import Window
 
 from .common import map_rows, written
 
-TABLES, PROBES, LEAST_CANDIDATES, SEED = 16, 192, 2500, 11
+TABLES, PROBES, SEED = 16, 320, 11
 MEMBER_BLOCK, QUERY_BLOCK = 4096, 256
 
 
@@ -67,6 +66,16 @@ def unpack(vectors: list[bytes], double: bool) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), "<f8" if double else "<f4").reshape(len(vectors), -1).astype(np.float64)
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1: exact, and no norm overflows."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])
+
+
+def unit(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
+    return v / np.sqrt((v * v).sum(axis=1))[:, None]
+
+
 def classes(vectors: DataFrame, ids_kept: int) -> DataFrame:
     """(cls, ids, dim, vec): each distinct vector with its smallest ids; cls is the smallest."""
     per = Window.partitionBy("h", "vec").orderBy("vec_id")
@@ -75,8 +84,7 @@ def classes(vectors: DataFrame, ids_kept: int) -> DataFrame:
         .select("cls", "ids", "h", F.size("vec").alias("dim"), "vec")
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TABLES, n_probes: int = PROBES,
-           least: int = LEAST_CANDIDATES) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TABLES, n_probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found to each row of `queries` among `vectors`.
 
     Both have vec_id and embedding; a query's own vec_id is no candidate.
@@ -84,7 +92,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TAB
     double = "array<double>" in dict(vectors.dtypes)["embedding"]
     base = written(_valid(vectors).distinct(), "vectors")
     cls = written(classes(base, k + 1), "classes")
-    n = cls.count()
     # each distinct query vector is searched once; `asked` keeps who asked
     asked = _valid(queries).distinct().withColumnRenamed("vec_id", "query_id")
     q = written(asked.groupBy("h", "vec").agg(F.min("query_id").alias("qcls")).select("qcls", "h", F.size("vec").alias("dim"), "vec"), "query-vectors")
@@ -95,7 +102,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TAB
     def members(it: Iterator[tuple]) -> Iterator[tuple]:
         for rows in _chunks(it):
             v = np.array([r[3] for r in rows], dtype=np.float64)
-            u = v / np.sqrt((v * v).sum(axis=1))[:, None]
+            u = unit(v)
             raw = [x.tobytes() for x in v.astype("<f8" if double else "<f4")]
             for t in range(tables):
                 a, b = signed_axes(u, t, 0).argmax(axis=1).tolist(), signed_axes(u, t, 1).argmax(axis=1).tolist()
@@ -105,14 +112,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TAB
     def asks(it: Iterator[tuple]) -> Iterator[tuple]:
         for rows in _chunks(it):
             v = np.array([r[2] for r in rows], dtype=np.float64)
-            u = v / np.sqrt((v * v).sum(axis=1))[:, None]
+            u = unit(v)
             raw = [x.tobytes() for x in v.astype("<f8" if double else "<f4")]
             m = dims(v.shape[1])
-            count = max(n_probes, -(-least * m * m // max(1, n * tables)))
             for t in range(tables):
                 first, second = signed_axes(u, t, 0), signed_axes(u, t, 1)
                 for r, x, f, s in zip(rows, raw, first, second, strict=True):
-                    found = np.sort(probes(f, s, count))
+                    found = np.sort(probes(f, s, n_probes))
                     axes, at = np.unique(found // m, return_index=True)
                     for i, own in zip(axes.tolist(), np.split(found % m, at[1:]), strict=True):
                         yield r[1], t, i, r[0], own.astype("<u4").tobytes(), x
@@ -139,10 +145,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TAB
         if len(m) and len(asks):
             m = m.sort_values(["b", "cls"], kind="stable")
             second, ids, all_ids = m["b"].to_numpy(), m["cls"].to_numpy(), m["ids"].tolist()
-            v = unpack(m["x"].tolist(), double)
+            v = scaled(unpack(m["x"].tolist(), double))
             norm = np.sqrt((v * v).sum(axis=1))
             lo, hi = (np.searchsorted(second, np.arange(second.max() + 2), side=s) for s in ("left", "right"))
-            for qcls, bs, x in zip(asks["qcls"].tolist(), asks["bs"].tolist(), unpack(asks["x"].tolist(), double), strict=True):
+            for qcls, bs, x in zip(asks["qcls"].tolist(), asks["bs"].tolist(), scaled(unpack(asks["x"].tolist(), double)), strict=True):
                 bs = np.frombuffer(bs, "<u4")
                 bs = bs[bs <= second[-1]]
                 sel = np.concatenate([np.arange(lo[b], hi[b]) for b in bs.tolist() if hi[b] > lo[b]] or [np.zeros(0, np.int64)])
@@ -191,6 +197,5 @@ def _valid(vectors: DataFrame) -> DataFrame:
     """(vec_id, vec, h) of the rows that take part."""
     v = F.col("embedding")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    square = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return (vectors.filter(F.col("vec_id").isNotNull() & v.isNotNull()).filter(F.size(v) > 0).filter(~bad)
-            .filter((square > 0) & (square < float("inf"))).select("vec_id", v.alias("vec"), F.xxhash64(v).alias("h")))
+            .filter(F.exists(v, lambda x: x != 0)).select("vec_id", v.alias("vec"), F.xxhash64(v).alias("h")))

@@ -78,3 +78,22 @@ def test_odd_vectors(spark):
     assert not any(q == 150 for q, *_ in got)
     none = df.filter("false")
     assert C.search(none, none).count() == 0
+
+
+def test_recall_with_production_probes(spark):
+    """2,000 vectors of noise: the parameters of the query, none of which depends on the size."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(2000, 64)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in C.search(df, df.filter("vec_id % 50 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute([(i, np.array(v, np.float32)) for i, v in rows], [(i, np.array(v, np.float32)) for i, v in rows if i % 50 == 0])
+    assert sum(len(got[q] & {i for _, i in near}) for q, near in want.items()) >= 0.95 * 5 * len(want)
+
+
+def test_very_long_and_short_vectors(spark):
+    rows = [(0, [1e200, 2e200]), (1, [1e-200, 2.1e-200]), (2, [5e-324, 0.0]), (3, [1e308, -1e308]), (4, [3.0, 6.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, round(r.score, 3)) for r in sorted(C.search(df, df.filter("vec_id = 0")).collect(), key=lambda r: r["rank"])]
+    assert got == [(4, 1.0), (1, 1.0), (2, 0.447), (3, -0.316)]
