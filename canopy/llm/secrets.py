@@ -6,8 +6,9 @@ ids) and `hex` (runs of 16 or more). The method adds `entropy` spans: candidate
 sum of c * log2(c) are updated by the one character that enters and the one that leaves, so a step
 costs the alphabet's size and not the window's. The run's character class (hex digits, upper-case
 and digits, or mixed) sets window and threshold; the span reaches from the first window over the
-threshold to the last. Candidates that meet a base span, or that an allow-list pattern covers
-(words, numbers, paths, UUIDs, placeholders), add nothing.
+threshold to the last. Base spans, and path segments that hold a placeholder word, are cut out of a
+run, and each piece of 20 or more characters between them is a candidate of its own. Candidates that
+an allow-list pattern covers (words, numbers, paths, UUIDs) add nothing.
 
 Null text is empty. Rows are judged one by one: repeated rows give equal rows, an empty table none.
 Only doc_id and text are read.
@@ -35,8 +36,10 @@ CLASSES = {"hex": (r"^[0-9a-fA-F]+$", 16, 2.75), "upper": (r"^[A-Z0-9]+$", 20, 3
 ALLOW = (
     r"^[A-Za-z]+$", r"^[0-9_=+/-]+$", r"^[A-Za-z]++(?:[-_/=+]++[A-Za-z]*+)++[0-9]{0,4}$", r"^(.)\1+$",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"(?i)(example|placeholder|changeme|dummy|sample|your[_-]?(key|token|secret))",
 )
+#: Words of placeholders; the path segment around one is no secret, what lies beside it may be.
+PLACEHOLDER = r"(?i)(?:example|placeholder|changeme|dummy|sample|your[_-]?(?:key|token|secret))"
+LEAST = 20
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 
 
@@ -79,7 +82,24 @@ def _by_class(s: Column, value: int) -> Column:
     return out
 
 
-def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def pieces(run: Column, cuts: Column) -> Column:
+    """The parts of a span that no span of `cuts` covers, if they are LEAST characters or longer."""
+    at = F.struct(run["start"].alias("at"), spans.none().alias("out"))
+
+    def part(begin: Column, end: Column) -> Column:
+        text = F.substr(run["match"], begin - run["start"] + 1, end - begin)
+        span = F.struct(run["kind"].alias("kind"), begin.alias("start"), end.alias("end"), text.alias("match"), run["group"].alias("group"))
+        return F.when(end - begin >= LEAST, F.array(span)).otherwise(spans.none())
+
+    def step(acc: Column, cut: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], cut["end"]).alias("at"), F.concat(acc["out"], part(acc["at"], cut["start"])).alias("out"))
+
+    inside = F.array_sort(F.transform(F.filter(cuts, lambda c: spans.overlaps(run, c)),
+                                      lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
+    return F.aggregate(inside, at, step, lambda acc: F.concat(acc["out"], part(acc["at"], run["end"])))
+
+
+def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW, placeholder: str = PLACEHOLDER) -> DataFrame:
     """Adds `base` and `secrets` (all spans) to the documents, as arrays of spans; columns of these
     names are replaced."""
     df = aside(docs, "text").withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
@@ -92,9 +112,13 @@ def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     df = (df.withColumn("_as", F.filter(spans.place("assign", "_am", "_ag2", "_ag"), lambda x: F.length(x["group"]) >= 12))
           .withColumn("_cs", spans.place("access", "_cm", "_cg2")).withColumn("_hs", spans.place("hex", "_hm", "_hg2"))
           .withColumn("base", spans.merged(["_as", "_cs", "_hs"])))
-    free = F.filter(spans.place("entropy", "_em", "_eg2"), lambda x: ~F.exists(F.col("base"), lambda b: spans.overlaps(x, b))
-                    & ~_any(x["match"], allow))
-    df = df.withColumn("_free", free)
+    # the whole segment around a placeholder word; tries start at a segment's head only
+    segment = rf"(?<![A-Za-z0-9+_=-])[A-Za-z0-9+_=-]*{placeholder}[A-Za-z0-9+_=-]*+"
+    df = df.withColumn("_pm", spans.matches("_t", segment, only=(F.size("_em") > 0) & F.col("_t").rlike(placeholder)))
+    df = df.withColumn("_pg", spans.gaps("_t", segment, "_pm"))
+    df = df.withColumn("_cuts", F.concat("base", spans.place("placeholder", "_pm", "_pg")))
+    runs = F.flatten(F.transform(spans.place("entropy", "_em", "_eg2"), lambda x: pieces(x, F.col("_cuts"))))
+    df = df.withColumn("_free", F.when(F.size("_em") > 0, F.filter(runs, lambda x: ~_any(x["match"], allow))).otherwise(spans.none()))
     ranged = F.transform(F.col("_free"), lambda x: F.struct(x.alias("x"), hot_range(
         x["match"], _by_class(x["match"], 1), _by_class(x["match"], 2)).alias("r")))
     df = df.withColumn("_ranged", F.when(F.size("_free") > 0, ranged))
