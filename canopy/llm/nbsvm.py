@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +47,16 @@ def drop_caches() -> None:
 
 
 def shape(word: bytes) -> bytes:
-    """'Thon.' is 'Aa.': classes of characters, each run as one."""
+    """'Thon.' is 'Aa.': classes of characters, each run as one; a long shape is its hash."""
     s = _SHAPES.get(word)
     if s is None:
         if len(_SHAPES) > 100_000:
             _SHAPES.clear()
         t = word.translate(_SHAPE)
-        s = _SHAPES[word] = b"\0" + bytes(c for i, c in enumerate(t) if not i or c != t[i - 1])[:16]
+        s = b"\0" + bytes(c for i, c in enumerate(t) if not i or c != t[i - 1])
+        s = s if len(s) <= 17 else b"\1" + xxhash.xxh3_128_digest(s)
+        if len(word) <= 64:
+            _SHAPES[word] = s
     return s
 
 

@@ -87,3 +87,10 @@ def test_odd_rows(spark, odd_docs, empty_docs):
     kept = N.keep_good(odd_docs, N.train(odd_docs, none))
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
     assert N.classify(empty_docs, labels).count() == 0
+
+
+def test_whole_shapes():
+    """Words that differ behind their sixteenth run differ in shape."""
+    assert N.shape(b"a1" * 20 + b"!?") != N.shape(b"a1" * 50) != N.shape(b"a1" * 51)
+    assert N.shape(b"Thon.") == N.shape(b"Xy.") == b"\0Aa."
+    assert max(len(N.shape(b"a1" * n)) for n in (1, 8, 9, 50_000)) <= 17
