@@ -111,7 +111,7 @@ def _blocks(rows: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def repair(conversations: DataFrame) -> DataFrame:
-    """conv_id, turn, position (from 0 in its conversation's order; gaps possible), role_in, role_out,
+    """conv_id, turn, position (from 0 in its conversation's order), role_in, role_out,
     action, inserted (empty turns around it), cost, segment."""
     spark = conversations.sparkSession
     ship(spark)
@@ -149,7 +149,7 @@ def repair(conversations: DataFrame) -> DataFrame:
                 for role, a in zip(roles, after, strict=True):
                     state = choose(state, role, a)[3]
                 states.append(state)
-            yield conv, block, states, list(g[0][4])
+            yield conv, block, states, list(g[0][4]), len(g)
 
     def entries(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -157,30 +157,31 @@ def repair(conversations: DataFrame) -> DataFrame:
         for x in pdf["exits"]:
             out.append(state)
             state = int(x[state])
-        return pdf[["conv_id", "block", "togo"]].assign(entry=out, last=[False] * (len(pdf) - 1) + [True])
+        return pdf[["conv_id", "block", "togo"]].assign(entry=out, last=[False] * (len(pdf) - 1) + [True],
+                                                       before=pdf["n"].cumsum() - pdf["n"])
 
     per_block = map_rows(_blocks(cut, ["role"]), products, "conv_id long, block int, m array<long>")
     togo = written(per_block.groupBy("conv_id").applyInPandas(ends, "conv_id long, block int, togo array<long>"), "togo")
     same = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.block") == F.col(f"{b}.block"))
     with_end = cut.alias("r").join(togo.alias("t"), same("r", "t")).select("r.*", "t.togo")
-    out_states = map_rows(_blocks(with_end, ["role", "togo"]), exits, "conv_id long, block int, exits array<int>, togo array<long>")
+    out_states = map_rows(_blocks(with_end, ["role", "togo"]), exits, "conv_id long, block int, exits array<int>, togo array<long>, n long")
     known = written(out_states.groupBy("conv_id").applyInPandas(
-        entries, "conv_id long, block int, togo array<long>, entry int, last boolean"), "entries")
+        entries, "conv_id long, block int, togo array<long>, entry int, last boolean, before long"), "entries")
 
     def segments(it: Iterator[tuple]) -> Iterator[tuple]:
         for (conv, _), group in itertools.groupby(it, key=lambda r: r[:2]):
             g = list(group)
-            entry, end, last = (g[0][5], list(g[0][6]), g[0][7]) if g[0][5] is not None else (START, AT_END, True)
+            entry, end, last, start = (g[0][5], list(g[0][6]), *g[0][7:9]) if g[0][5] is not None else (START, AT_END, True, 0)
             steps = list(walk([_known(r[4]) for r in g], entry, end))
-            for k, ((_, _, rid, turn, role, *_, text), (cost, action, before, x)) in enumerate(zip(g, steps, strict=True)):
+            for k, ((_, _, _, turn, role, *_, text), (cost, action, before, x)) in enumerate(zip(g, steps, strict=True)):
                 head = "".join(opening(e) + "\n" for e in before)
                 body = ("\n" + (text or "") if action == "merge" else opening(x) + (text or ""))
                 tail = ENDS[x] if last and k == len(g) - 1 else ()
-                yield (conv, turn, rid, role, ROLES[x - 1], action, len(before) + len(tail), cost + INSERT * len(tail),
+                yield (conv, turn, start + k, role, ROLES[x - 1], action, len(before) + len(tail), cost + INSERT * len(tail),
                        head + body + "\n" + "".join(opening(e) + "\n" for e in tail))
 
     full = (rows.alias("r").join(known.alias("t"), same("r", "t"), "left")
-            .select("r.*", "t.entry", "t.togo", "t.last"))
-    return map_rows(_blocks(full, ["turn", "role", "entry", "togo", "last", "text"]), segments,
+            .select("r.*", "t.entry", "t.togo", "t.last", "t.before"))
+    return map_rows(_blocks(full, ["turn", "role", "entry", "togo", "last", "before", "text"]), segments,
                     "conv_id long, turn long, position long, role_in string, role_out string, action string, "
                     "inserted int, cost int, segment string")

@@ -126,3 +126,24 @@ def test_odd_rows(spark):
 def test_matrices(role):
     m = C.matrix(role)
     assert all(min(c for c, _, _, to in C.options(s, role) if to == t) == m[s, t] for s in range(4) for t in range(4) if m[s, t] < C.FAR)
+
+
+def test_positions_do_not_depend_on_partitions(spark):
+    """Every conversation counts from 0, whether it lies in one block or is cut in many."""
+    rows = [(c, t, ["user", "assistant"][t % 2], f"text {t}") for c in (1, 2, 3) for t in range(40 if c == 2 else 5)] + [(4, 1, "user", "same")] * 9
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("4", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            got = C.repair(df).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        by_conv = {}
+        for r in got:
+            by_conv.setdefault(r.conv_id, []).append((r.position, r.turn))
+        for c, own in by_conv.items():
+            assert [p for p, _ in sorted(own)] == list(range(len(own))), c
+            assert [t for _, t in sorted(own)] == sorted(t for _, t in own)
+        seen.append(sorted(map(tuple, got)))
+    assert seen[0] == seen[1]
