@@ -93,7 +93,7 @@ def _vote(yes: Column, no: Column) -> Column:
 def judged(df: DataFrame) -> DataFrame:
     """Adds `cands`: per candidate its kind, place, whether base, the votes and the features."""
 
-    def one(s: Column, base: bool) -> Column:
+    def one(s: Column, base: Column) -> Column:
         m, kind, d = s["match"], s["kind"], spans.digits(s["match"])
         n = F.length(d)
         is_ = lambda *k: kind.isin(*k)
@@ -124,12 +124,12 @@ def judged(df: DataFrame) -> DataFrame:
         feats = {**{f"f_{k}": kind == k for k in KINDS}, "f_long": n >= 13, "f_parts": m.rlike(r"[0-9][ .()-]+[0-9]"),
                  "f_same": same, "f_zero": d.rlike("^0"), "f_space": left.rlike(r"^\s?$"), "f_edge": touch(left) | touch(right),
                  "f_one": F.lit(True)}
-        return F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"),
+        return F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"), base.alias("base"),
                         *(v.cast("int").alias(k) for k, v in votes.items()), *(v.cast("int").alias(k) for k, v in feats.items()))
 
-    both = F.concat(F.transform("base", lambda s: one(s, True)), F.transform("more", lambda s: one(s, False)))
-    empty = F.transform(spans.none(), lambda s: one(s, True))
-    return df.withColumn("cands", F.when(F.size("base") + F.size("more") > 0, both).otherwise(empty))
+    base = F.transform("base", lambda s: F.struct(s.alias("s"), F.lit(True).alias("base")))
+    more = F.transform("more", lambda s: F.struct(s.alias("s"), F.lit(False).alias("base")))
+    return df.withColumn("cands", F.transform(F.concat(base, more), lambda x: one(x["s"], x["base"])))
 
 
 @dataclass
@@ -256,8 +256,10 @@ def digest(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text_length: str | None = None) -> DataFrame:
     """The documents with every found span masked; all columns stay. `text_length` names a column
     that holds the text's length and follows it."""
-    seen = judged(candidates(aside(docs, "text")))
-    found = decide(seen, fit(patterns(seen.select("cands"))))
+    # the texts are scanned once; what is read again are the rows with their few candidates
+    seen = judged(candidates(aside(docs, "text").drop(f"_col{docs.columns.index('text')}"))).drop("_t", "base", "more")
+    seen = written(seen, "pii-scanned")
+    found = decide(seen, fit(patterns(seen.select("cands")))).withColumn("_t", F.coalesce("text", F.lit("")))
     hit = F.size("found") > 0
     found = found.withColumn("_new", F.when(hit, spans.masked("_t", F.col("found"))).otherwise(F.col("text")))
     changed = {"text": F.col("_new")}
