@@ -36,7 +36,7 @@ CHECKSUM_FLAG = 0x80
 class FrameWriter:
     """Writes frames to a stream; close() appends the ids and the seek table."""
 
-    def __init__(self, stream, level: int = 3):
+    def __init__(self, stream, level: int = 1):
         self.stream, self.zip = stream, zstandard.ZstdCompressor(level=level)
         self.ids: list[int | None] = []
         self.seek: list[tuple[int, int, int]] = []
@@ -136,6 +136,13 @@ def starts(files: DataFrame) -> DataFrame:
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
+def dealt(files: DataFrame, *columns: str) -> DataFrame:
+    """The files, spread over as many tasks as Spark's parallelism: a stated number, which adaptive
+    execution does not merge into one task although the table itself is tiny."""
+    n = max(1, files.sparkSession.sparkContext.defaultParallelism)
+    return files.select(*columns).repartition(4 * n, "path")
+
+
 def read_back(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the files."""
 
@@ -149,7 +156,7 @@ def read_back(files: DataFrame) -> DataFrame:
                     yield doc_id, start, len(raw) // 4, zlib.crc32(raw)
                     start += len(raw) // 4
 
-    todo = starts(files).repartition("path").select("path", "start")
+    todo = dealt(starts(files), "path", "start")
     return map_rows(todo, rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -177,7 +184,7 @@ def read_documents(files: DataFrame, wanted: DataFrame) -> DataFrame:
                 r = FrameReader(f, f.size())
             yield doc_id, np.frombuffer(r.frame(k), "<u4").astype(np.int64).tolist()
 
-    index = map_rows(files.select("path"), listed, "path string, k int, doc_id long")
+    index = map_rows(dealt(files, "path"), listed, "path string, k int, doc_id long")
     hits = index.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     return map_rows(hits.select("path", "k", "doc_id").repartition("path").sortWithinPartitions("path", "k"),
                     frames, "doc_id long, ids array<long>")
