@@ -12,8 +12,8 @@ import os
 
 import numpy as np
 
-#: Chunks in one generation of a worker's cache (about 100 MB); the cache only saves time.
-CACHE_CHUNKS = 800_000
+#: Chunks in one generation of a worker's cache (about 60 MB); the cache only saves time.
+CACHE_CHUNKS = 500_000
 _CODERS: dict[str, Coder] = {}
 
 
