@@ -1,8 +1,7 @@
 """Registered model queries (trees, search, reports) and SQL for the root-split tables.
 
 The root-split tables are plain aggregation + window; growth, pruning and scoring of the
-baseline trees have SQL that unrolls the levels (``tree_oracle``).  Searches are checked by
-invariants and brute-force tests in ``tests/``.
+baseline trees have SQL that unrolls the levels (``tree_oracle``), searches included.
 """
 
 from __future__ import annotations

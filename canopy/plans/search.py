@@ -4,7 +4,7 @@ A grid of P parameter rows over K folds is not P*K tree fits here:
   * one *growth* per (fold root, criterion, class weight, min_samples_leaf), grown once to
     the grid's largest depth (``tree.grow`` shares node paths between growths);
   * every (max_depth, min_samples_split, ccp_alpha) is derived from its growth on the
-    node table (``prune.derive``, one pandas group per growth);
+    node table (``prune.derive``, block by block);
   * fold scores come from the evaluation-row label counts of the derived leaves, so no
     scoring pass over the rows is needed; only refits that report per-row output score
     rows, with the tree as one column expression.
