@@ -31,6 +31,8 @@ from .tokens import coder
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
+#: Chunks in a generation of the writing workers' caches (about 100 MB); a smaller one only takes longer.
+CACHE_CHUNKS = 800_000
 
 
 class FrameWriter:
@@ -98,7 +100,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str |
     def rows(it: Iterator[tuple]) -> Iterator[tuple]:
         from pyspark import TaskContext
 
-        part, code, out, n_ids = TaskContext.get().partitionId(), coder(tokenizer), None, 0
+        part, code, out, n_ids = TaskContext.get().partitionId(), coder(tokenizer, CACHE_CHUNKS), None, 0
         uri = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
         for group in _groups(it):
             if out is None:

@@ -21,6 +21,7 @@ class Coder:
     """ids(texts) gives the ids of each text as bytes."""
 
     def __init__(self, path: str):
+        self.chunks = CACHE_CHUNKS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -41,7 +42,7 @@ class Coder:
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         split = [_lower(t).split() if t else [] for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
+        if len(self.cache) > self.chunks:
             self.old, self.cache = self.cache, {}
         chunks = set().union(*split)
         self._learn([w for w in chunks if w not in self.cache])
@@ -116,8 +117,9 @@ def drop_caches() -> None:
         c.cache, c.old = {}, {}
 
 
-def coder(path: str) -> Coder:
-    """The worker's coder of a vocabulary file."""
+def coder(path: str, chunks: int = CACHE_CHUNKS) -> Coder:
+    """The worker's coder of a vocabulary file; `chunks` bounds a generation of its cache."""
     if path not in _CODERS:
         _CODERS[path] = Coder(path)
+    _CODERS[path].chunks = chunks
     return _CODERS[path]
