@@ -37,15 +37,19 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
-def tercile_level(x: Column, q33: float | None, q66: float | None) -> Column:
-    """<=q33 -> 0, <=q66 -> 1, else 2; constant 0 when q33 is not below q66."""
+def tercile_level(x: Column, q33: float | Column | None, q66: float | Column | None) -> Column:
+    """<=q33 -> 0, <=q66 -> 1, else 2; constant 0 when q33 is not below q66.  The terciles
+    are numbers, or columns where rows carry thresholds of their own (see ``plans.infold``)."""
+    if isinstance(q33, Column):
+        return (F.when(~F.coalesce(q66 - q33 > THRESHOLD_EPS, F.lit(False)), 0).when(x <= q33 + THRESHOLD_EPS, 0)
+                .when(x <= q66 + THRESHOLD_EPS, 1).when(x.isNotNull(), 2)).cast("int")
     if q33 is None or q66 is None or not q66 - q33 > THRESHOLD_EPS:
         return F.lit(0)
     return (F.when(x <= F.lit(q33 + THRESHOLD_EPS), 0).when(x <= F.lit(q66 + THRESHOLD_EPS), 1)
             .when(x.isNotNull(), 2)).cast("int")
 
 
-def above(x: Column, threshold: float | None) -> Column:
+def above(x: Column, threshold: float | Column | None) -> Column:
     """Strictly above the threshold (beyond float noise); 0 when undefined."""
     if threshold is None:
         return F.lit(0)
@@ -60,20 +64,23 @@ def _base_inputs() -> dict[str, Column]:
     }
 
 
-def fit_base(df: DataFrame) -> dict[str, float | None]:
-    """Medians and terciles of the base bundle in one aggregation (exact, linear)."""
+def base_quantiles(n: Column | int = 1) -> list[Column]:
+    """The aggregates ``fit_base`` needs; ``n`` is the count of a row that stands for several."""
     x = _base_inputs()
     tot, frac = x["Total_Stress_Frustration"], x["Frac_Frustration"]
     qs = F.array(F.lit(0.33), F.lit(0.66))
-    row = df.agg(
-        F.percentile(tot, 0.5).alias("med_total"),
-        F.percentile(frac, 0.5).alias("med_frac"),
-        F.percentile(tot, qs).alias("terc_total"),
-        F.percentile(frac, qs).alias("terc_frac"),
-        F.percentile(_c(M), qs).alias("terc_mood"),
-        F.percentile(_c(S), qs).alias("terc_stress"),
-    ).first()
-
+    return [
+        F.percentile(tot, 0.5, n).alias("med_total"),
+        F.percentile(frac, 0.5, n).alias("med_frac"),
+        F.percentile(tot, qs, n).alias("terc_total"),
+        F.percentile(frac, qs, n).alias("terc_frac"),
+        F.percentile(_c(M), qs, n).alias("terc_mood"),
+        F.percentile(_c(S), qs, n).alias("terc_stress"),
+    ]
+
+
+def base_thresholds(row) -> dict[str, float | None]:
+    """Thresholds by name from a row of ``base_quantiles``."""
     def r(v):
         return None if v is None else float(v)
 
@@ -84,6 +91,11 @@ def fit_base(df: DataFrame) -> dict[str, float | None]:
     return out
 
 
+def fit_base(df: DataFrame) -> dict[str, float | None]:
+    """Medians and terciles of the base bundle in one aggregation (exact, linear)."""
+    return base_thresholds(df.agg(*base_quantiles()).first())
+
+
 def base(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
     """The reference's ``engineer_features`` (P25 upper block)."""
     t = thresholds or fit_base(df)

@@ -52,15 +52,20 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def class_report(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
+def class_report(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred",
+                 labels: list[int] | None = None) -> DataFrame:
     """Per class precision / recall / f1 / support, then accuracy, macro and weighted
     averages; undefined ratios are 0.  Columns: group..., label, precision, recall,
-    f1_score, support."""
-    return class_report_from_confusion(confusion_counts(df, group, y, pred), group)
+    f1_score, support.  With one label in ``labels`` the report is about it alone: its row, and
+    the micro (in place of accuracy), macro and weighted averages over that one label."""
+    return class_report_from_confusion(confusion_counts(df, group, y, pred), group, labels)
 
 
-def class_report_from_confusion(c: DataFrame, group: list[str]) -> DataFrame:
+def class_report_from_confusion(c: DataFrame, group: list[str], labels: list[int] | None = None) -> DataFrame:
     """E3 on a (group..., tn, fp, fn, tp) table."""
+    chosen = {0, 1} if labels is None else set(labels)
+    if not chosen or not chosen <= {0, 1}:
+        raise ValueError(f"labels must be some of 0 and 1, not {labels}")
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     p1, r1 = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
     p0, r0 = _safe_div(tn, tn + fn), _safe_div(tn, tn + fp)
@@ -76,6 +81,10 @@ def class_report_from_confusion(c: DataFrame, group: list[str]) -> DataFrame:
                         s.cast("long").alias("support"))
 
     none = F.lit(None).cast("double")
+    if len(chosen) == 1:
+        of = {0: (p0, r0, f0, s0), 1: (p1, r1, f1, s1)}[min(chosen)]
+        names = [str(min(chosen)), "micro avg", "macro avg", "weighted avg"]
+        return c.select(*group, F.inline(F.array(*[row(name, *of) for name in names])))
     rows = c.select(*group, F.array(
         row("0", p0, r0, f0, s0),
         row("1", p1, r1, f1, s1),

@@ -427,16 +427,17 @@ def leaf_prob(n: dict) -> float:
 
 def predict_expr(tree: dict[int, dict], features: list[str], what: str = "prob") -> Column:
     """A fitted tree as ONE column expression (nested CASE), usable in any select, in SQL
-    and on streams; a NULL feature goes right.  ``what``: prob | pred | node."""
+    and on streams; a NULL feature goes right.  ``what``: prob | pred | node | leaf (a struct of
+    prob and pred: one walk for both)."""
     def build(i: int) -> Column:
         n = tree[i]
         if n["is_leaf"] or (2 * i) not in tree:
             if what == "node":
                 return F.lit(i).cast("long")
-            p = leaf_prob(n)
-            if what == "pred":
-                return F.lit(1 if n["W1"] > n["W0"] else 0)
-            return F.lit(p)
+            p, pred = F.lit(leaf_prob(n)), F.lit(1 if n["W1"] > n["W0"] else 0)
+            if what == "leaf":
+                return F.struct(p.alias("prob"), pred.alias("pred"))
+            return pred if what == "pred" else p
         cond = F.col(features[int(n["feature"])]).cast("double") <= F.lit(float(n["threshold"]))
         return F.when(cond, build(2 * i)).otherwise(build(2 * i + 1))
     return build(1)

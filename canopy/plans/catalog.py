@@ -250,6 +250,10 @@ def q_class_report(spark, sf):
     return MT.rounded(MT.class_report(scored(spark, sf), ["fold"]))
 
 
+def q_class_report_subset(spark, sf):
+    return MT.rounded(MT.class_report(scored(spark, sf), ["fold"], labels=[1]))
+
+
 def q_accuracy(spark, sf):
     return MT.rounded(MT.accuracy(scored(spark, sf), ["fold"]))
 
@@ -310,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "contiguous_kfold": q_contiguous_kfold,
     "confusion_matrix": q_confusion_matrix,
     "class_report": q_class_report,
+    "class_report_subset": q_class_report_subset,
     "accuracy": q_accuracy,
     "roc_curve": q_roc_curve,
     "roc_auc": q_roc_auc,

@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 from canopy.functions import encode as E
 from canopy.operators import metrics as MT
 from canopy.operators import prune as PRN
+from canopy.operators import split as SP
 from canopy.operators import tree as TR
+from canopy.plans import infold as INF
 from canopy.plans import oracle as O
 from canopy.plans import search as S
 from canopy.plans import strategies as ST
+from canopy.plans import survey_model as SM
 from canopy.plans.tree_oracle import tree_oracle_sql
 from canopy.session import ensure_checkpoint_dir
 from canopy.sources import model_io as IO
-from canopy.sources.survey import ID, TARGET, load_survey
+from canopy.sources import sinks as SK
+from canopy.sources.survey import ID, SURVEY_SCHEMA, TARGET, load_survey, read_survey_csv
 
 
 def _pp(spark, sf):
@@ -257,6 +261,48 @@ def q_model_confusion(spark, sf):
     return c.selectExpr(*MODEL_KEYS, "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) as (y, pred, n)")
 
 
+# --------------------------------------------------------------------------- features fitted in the fold
+def q_search_base_infold(spark, sf):
+    return MT.rounded(INF.in_fold(spark, sf).search.summary)
+
+
+def q_cv_untuned_infold(spark, sf):
+    fs = S.scores_from_leaves(INF.in_fold(spark, sf).untuned, ["root"])
+    return _with_mean_row(fs.select(F.col("root").cast("int").alias("fold"), *METRIC_COLS), "fold")
+
+
+def q_oof_report_untuned(spark, sf):
+    leaves = INF.in_fold(spark, sf).untuned.withColumn("split", F.lit("oof"))
+    return MT.rounded(S.report_from_leaves(leaves, ["split"]))
+
+
+# --------------------------------------------------------------------------- saved model
+def _scored_raw(spark, sf) -> DataFrame:
+    """Raw test answers, read from CSV and scored by a model that was fitted on the training part,
+    saved and loaded."""
+    def run():
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/survey-{uuid.uuid4().hex}"
+        parts = SP.holdout_split(load_survey(spark, sf), ID, TARGET, 0.2)
+        train = parts.where(F.col("split") == "train").drop("split")
+        SK.write_csv(parts.where(F.col("split") == "test").drop("split"), f"{base}/answers")
+        SM.fit(train, S.Params(**S.BASELINE)).save(spark, f"{base}/model")
+        return base
+    base = ST._memo(spark, sf, "saved_model", run)
+    raw = read_survey_csv(spark, f"{base}/answers", SURVEY_SCHEMA)
+    return SM.load(spark, f"{base}/model").score(raw)
+
+
+def q_score_saved_model(spark, sf):
+    return MT.rounded(_scored_raw(spark, sf).select(ID, F.col(TARGET).alias("y"), "prob", "pred"))
+
+
+def q_saved_model_report(spark, sf):
+    """Class report, ROC-AUC and average precision of the saved model on the raw test answers."""
+    n = lambda y: F.sum((F.col(TARGET) == y).cast("long"))
+    leaves = _scored_raw(spark, sf).groupBy(F.lit("test").alias("split"), "prob", "pred").agg(n(0).alias("e0"), n(1).alias("e1"))
+    return MT.rounded(S.report_from_leaves(leaves, ["split"]))
+
+
 # --------------------------------------------------------------------------- streaming
 def q_stream_scores(spark, sf):
     """Batch-fit the encoder and a depth-5 tree, then score the order stream with them
@@ -296,6 +342,11 @@ MODEL_QUERIES = {
     **_nested_all("coded"),
     **_nested_all("base"),
     **{k: v for n in ST.TUNED for k, v in _tuned(n).items()},
+    "search_base_infold": q_search_base_infold,
+    "cv_untuned_infold": q_cv_untuned_infold,
+    "oof_report_untuned": q_oof_report_untuned,
+    "score_saved_model": q_score_saved_model,
+    "saved_model_report": q_saved_model_report,
     "model_roc_curve": q_model_roc_curve,
     "model_pr_curve": q_model_pr_curve,
     "model_confusion": q_model_confusion,

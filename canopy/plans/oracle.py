@@ -338,6 +338,14 @@ def _sql_class_report() -> str:
               "CAST(support AS BIGINT) AS support FROM (" + " UNION ALL ".join(rows) + ")")
 
 
+def _sql_class_report_subset() -> str:
+    p, r = _sd("tp", "(tp + fp)"), _sd("tp", "(tp + fn)")
+    return (with_ctes(*METRIC_PREFIX, CTE_CC, f"cr AS (SELECT fold, {p} AS p, {r} AS r, tp + fn AS s FROM cc)")
+            + f"SELECT fold, label, round(CAST(p AS DOUBLE), 6) AS precision, round(CAST(r AS DOUBLE), 6) AS recall, "
+              f"round(CAST({_sd('2 * p * r', '(p + r)')} AS DOUBLE), 6) AS f1_score, CAST(s AS BIGINT) AS support "
+              "FROM cr, (VALUES ('1'), ('micro avg'), ('macro avg'), ('weighted avg')) l(label)")
+
+
 def _sql_roc_curve() -> str:
     flt = ("flt AS (SELECT * FROM (SELECT *, lag(tp) OVER o AS ptp, lead(tp) OVER o AS ntp, lag(fp) OVER o AS pfp, "
            "lead(fp) OVER o AS nfp FROM cum WINDOW o AS (PARTITION BY fold ORDER BY i)) "
@@ -534,6 +542,7 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT fold, 0 AS y, 0 AS pred, tn AS n FROM cc UNION ALL SELECT fold, 0, 1, fp FROM cc "
           "UNION ALL SELECT fold, 1, 0, fn FROM cc UNION ALL SELECT fold, 1, 1, tp FROM cc",
         "class_report": _sql_class_report(),
+        "class_report_subset": _sql_class_report_subset(),
         "accuracy": with_ctes(*METRIC_PREFIX)
         + "SELECT fold, round(avg(CAST(y = pred AS DOUBLE)), 6) AS accuracy FROM sc GROUP BY fold",
         "roc_curve": _sql_roc_curve(),

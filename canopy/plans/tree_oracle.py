@@ -211,7 +211,10 @@ def search(src: str, feats: list[str], roots: list[tuple[str, str]], params: lis
     for d in range(1, deepest + 1):
         out.append(f"v{d} AS (SELECT k.gid, k.vid, k.node, k.gone FROM k{d} k JOIN v{d - 1} p ON k.gid = p.gid AND k.vid = p.vid AND k.node // 2 = p.node AND NOT p.gone)")
     out.append("kept AS MATERIALIZED (SELECT t.*, a.gone FROM tv t JOIN (" + " UNION ALL ".join(f"SELECT * FROM v{d}" for d in range(deepest + 1)) + ") a USING (gid, vid, node))")
-    out.append(f"leaf AS MATERIALIZED (SELECT k.gid // {len(keys)} AS root, m.param_id, m.params, k.gid, k.vid, node, depth, t0, t1, e0, e1, "
+    level = "depth"
+    if any(p.max_depth is None for p in params):  # a tree that goes on below the last level must not pass
+        level = f"CASE WHEN depth = {UNROLLED} AND t0 + t1 >= 2 AND imp > {EPS} THEN CAST(error('deeper than the levels unrolled') AS INTEGER) ELSE depth END AS depth"
+    out.append(f"leaf AS MATERIALIZED (SELECT k.gid // {len(keys)} AS root, m.param_id, m.params, k.gid, k.vid, node, {level}, t0, t1, e0, e1, "
                "CASE WHEN m0 + m1 > 0 THEN m1 / (m0 + m1) ELSE 0 END AS prob, CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS pred "
                f"FROM kept k JOIN pm m ON m.vid = k.vid AND m.gi = k.gid % {len(keys)} WHERE gone)")
     return out
@@ -337,14 +340,18 @@ def _nested_sql() -> dict[str, str]:
              *_renamed(_leaf_scores("ol", "ofold"), "o"),
              "nr AS (SELECT ofold, accuracy, roc_auc, average_precision, w.param_id, p.params FROM acc_o JOIN auc_o USING (ofold) JOIN win w USING (ofold) JOIN pm p ON p.param_id = w.param_id)"]
     final = [*_fold_scores("root BETWEEN 15 AND 19"), _MEANS, _BEST]
-    placed = (f"pl AS (SELECT p.rid, p.gid // {len({p.growth_key() for p in params})} AS root, p.y, l.prob, l.pred FROM placed p JOIN leaf l ON l.gid = p.gid "
-              "AND l.param_id = (SELECT param_id FROM best) AND l.depth <= floor(log2(p.node)) AND (p.node >> CAST(floor(log2(p.node)) - l.depth AS INTEGER)) = l.node WHERE p.role = 1)")
+    # the best row's leaves of the five outer growths, and the ancestors of the rows placed in them
+    n_keys, deepest = len({p.growth_key() for p in params}), max(p.max_depth for p in params)
+    placed = ["bl AS MATERIALIZED (SELECT gid, node, prob, pred FROM leaf WHERE root BETWEEN 20 AND 24 AND param_id = (SELECT param_id FROM best))",
+              f"up AS MATERIALIZED (SELECT rid, gid, y, node >> s AS node FROM placed, range({deepest + 1}) u(s) "
+              "WHERE role = 1 AND gid IN (SELECT gid FROM bl) AND (node >> s) >= 1)",
+              f"pl AS (SELECT rid, gid // {n_keys} AS root, y, prob, pred FROM up JOIN bl USING (gid, node))"]
     return {
         "nested_cv": O.with_ctes(*grown, *_fold_scores("root < 15"), *inner)
         + f'SELECT CAST(ofold AS INTEGER) AS "outer", {SCORE_COLS}, param_id, params FROM (SELECT * FROM nr UNION ALL '
           "SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision), NULL, NULL FROM nr)",
-        "oof_predictions": O.with_ctes(*grown, *final, placed)
-        + "SELECT rid AS respondent_id, CAST(root - 20 AS INTEGER) AS fold, CAST(y AS INTEGER) AS y, round(prob, 6) AS prob, CAST(pred AS INTEGER) AS pred FROM pl WHERE root BETWEEN 20 AND 24",
+        "oof_predictions": O.with_ctes(*grown, *final, *placed)
+        + "SELECT rid AS respondent_id, CAST(root - 20 AS INTEGER) AS fold, CAST(y AS INTEGER) AS y, round(prob, 6) AS prob, CAST(pred AS INTEGER) AS pred FROM pl",
         "nested_test_report": O.with_ctes(*grown, *final, "el AS (SELECT * FROM leaf WHERE root = 25 AND param_id = (SELECT param_id FROM best))", *_report("el", "root", "t"))
         + f"SELECT {REPORT_COLS} FROM rep_t",
     }
@@ -441,6 +448,51 @@ def _stream_scores() -> str:
               "CAST(CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS INTEGER) AS pred FROM placed p JOIN nodes n ON n.gid = p.gid AND n.node = p.node")
 
 
+# ---------------------------------------------------------------- features fitted on training rows
+def _fitted_on(tail: object, parts: str, train: str) -> list[str]:
+    """CTEs ``med``, ``imp``, ``pp``, ``thr``, ``fe`` with a tail: fitted on the rows of ``parts`` that meet ``train``."""
+    rows = f" JOIN {parts} USING (respondent_id) WHERE {train}"
+    named = lambda cte: re.sub(r"^(\w+) AS", rf"\g<1>{tail} AS", cte)
+    return [named(O.CTE_MED).replace("FROM mapped", f"FROM mapped{rows}"),
+            named(O.CTE_IMP).replace("CROSS JOIN med", f"CROSS JOIN med{tail} AS med"),
+            named(O.CTE_PP).replace("FROM imp", f"FROM imp{tail}"),
+            named(O.CTE_THR).replace("FROM pp", f"FROM pp{tail}{rows}"),
+            named(O.CTE_FE).replace("FROM pp CROSS JOIN thr", f"FROM pp{tail} AS pp CROSS JOIN thr{tail} AS thr")]
+
+
+def _infold() -> dict[str, str]:
+    """Every row once per fold, under an id of its own, with that fold's medians and thresholds."""
+    head = [O.CTE_SURVEY, O.CTE_MAPPED, _KFOLD]
+    for f in range(5):
+        head += _fitted_on(f, "kf", f"fold <> {f}")
+    each = " UNION ALL ".join(f"SELECT e.* REPLACE (e.respondent_id * 8 + {f} AS respondent_id), e.Coping_Struggles AS y, kf.fold, {f} AS fit_fold "
+                              f"FROM fe{f} e JOIN kf ON kf.respondent_id = e.respondent_id" for f in range(5))
+    head.append(f"src AS MATERIALIZED ({each})")
+    roots = [(f"fit_fold = {f} AND fold <> {f}", f"fit_fold = {f} AND fold = {f}") for f in range(5)]
+    tuned = [*head, *search("src", BASE_FEATS, roots, expand_grid(GRID_BASE)), *_fold_scores("true"), _means("accuracy")]
+    plain = [*head, *search("src", BASE_FEATS, roots, [Params(class_weight="balanced")])]
+    return {
+        "search_base_infold": O.with_ctes(*tuned) + _SUMMARY,
+        "cv_untuned_infold": O.with_ctes(*plain, *_fold_scores("true")) + f"SELECT CAST(root AS INTEGER) AS fold, {SCORE_COLS} FROM "
+        "(SELECT root, accuracy, roc_auc, average_precision FROM fs UNION ALL SELECT -1, avg(accuracy), avg(roc_auc), avg(average_precision) FROM fs)",
+        "oof_report_untuned": O.with_ctes(*plain, "ol AS (SELECT *, 'oof' AS split FROM leaf)", *_report("ol", "split", "t")) + f"SELECT split, {REPORT_COLS} FROM rep_t",
+    }
+
+
+def _saved_model() -> dict[str, str]:
+    """Medians, thresholds and tree from the training part alone, scored on the test part."""
+    head = [O.CTE_SURVEY, O.CTE_MAPPED, O.CTE_RANKED, O.CTE_PARTS, O.CTE_2WAY, *_fitted_on("_t", "two", "split = 'train'"),
+            "src AS MATERIALIZED (SELECT e.*, e.Coping_Struggles AS y, two.split FROM fe_t e JOIN two ON two.respondent_id = e.respondent_id)",
+            *growth("src", BASE_FEATS, [_HOLD]),
+            "tl AS (SELECT 'test' AS split, node, CASE WHEN m0 + m1 > 0 THEN m1 / (m0 + m1) ELSE 0 END AS prob, CASE WHEN m1 > m0 THEN 1 ELSE 0 END AS pred, e0, e1 "
+            "FROM nodes WHERE j IS NULL)"]
+    return {
+        "score_saved_model": O.with_ctes(*head) + "SELECT p.rid AS respondent_id, CAST(p.y AS INTEGER) AS y, round(prob, 6) AS prob, CAST(pred AS INTEGER) AS pred "
+        "FROM placed p JOIN tl USING (node) WHERE p.role = 1",
+        "saved_model_report": O.with_ctes(*head, *_report("tl", "split", "t")) + f"SELECT split, {REPORT_COLS} FROM rep_t",
+    }
+
+
 def _dtype_report() -> str:
     return ("SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, CASE column_type WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type "
             "FROM (DESCRIBE " + O.with_ctes(*O.BASE_PREFIX) + "SELECT " + ", ".join(O._q(c) for c in O.PP_COLS) + " FROM pp)")
@@ -449,6 +501,8 @@ def _dtype_report() -> str:
 def tree_oracle_sql() -> dict[str, str]:
     return {
         **_curve_sql(),
+        **_infold(),
+        **_saved_model(),
         "search_base": _search_base(),
         **_nested_all("banded4", [*O.BASE_PREFIX, O.CTE_B4], "band4", O.B4_FEATS, GRID_SMALL, "accuracy"),
         **_nested_all("coded", [O.CTE_SURVEY, O.CTE_CS, O.CTE_CODED], "coded", O.CODED_FEATS, GRID_CODED, "roc_auc"),

@@ -106,10 +106,19 @@ def load_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_survey_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                     na_tokens: list[str] | None = None) -> DataFrame:
-    """CSV with header (S1).  A declared schema avoids an inference pass over the data;
-    pandas-style NA tokens become NULL so NULL is the only missing marker."""
+    """CSV with header (S1).  A declared schema avoids an inference pass over the data and meets the
+    file's columns by name, in any order (the header line alone is read first; undeclared columns are
+    left out, a missing one is an error); pandas-style NA tokens become NULL so NULL is the only
+    missing marker.  A missing path is Spark's own path-not-found error (S2)."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    df = reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    df = reader.csv(path)
+    if schema is not None:
+        missing = [f.name for f in schema.fields if f.name not in df.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        by_name = {f.name: f for f in schema.fields}
+        found = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in df.columns])
+        df = reader.schema(found).csv(path).select(*by_name)
     tokens = NA_TOKENS if na_tokens is None else na_tokens
     out = []
     for f in df.schema.fields:
