@@ -1,9 +1,8 @@
 """Encoders as column expressions.
 
-Every fitted encoder follows the Spark ML shape: ``fit_*`` runs ONE distributed
-aggregation and returns a few scalars or level lists (bounded by the number of columns
-and levels, never by rows); the transform is a plain column expression that stays inside
-whole-stage codegen.
+Every fitted encoder follows the Spark ML shape: ``fit_*`` scans the table once and returns
+a few scalars or level lists (bounded by the number of columns and levels, never by rows);
+the transform is a plain column expression that stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canopy.operators import quantiles as Q
+from canopy.session import stored
 from canopy.sources.survey import TARGET
 
 # ---- fixed values: answer levels and their ordinal codes, in code order ----
@@ -88,12 +89,8 @@ def null_report(df: DataFrame, cols: list[str] | None = None, stage: str | None
 
 # --------------------------------------------------------------------------- P14, G6
 def fit_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact medians (linear interpolation, NULLs skipped) in one aggregation.
-
-    ``percentile`` keeps a value -> count map per partition, so its state is bounded by
-    the number of distinct answers (codes), not by rows."""
-    row = df.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in cols]).first()
-    return {c: (None if row[c] is None else float(row[c])) for c in cols}
+    """Exact medians (linear interpolation, NULLs skipped) of columns of any width; one scan."""
+    return {c: q[0] for c, q in Q.fit_quantiles(df, {c: F.col(c) for c in cols}, [0.5]).items()}
 
 
 def impute(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
@@ -200,22 +197,26 @@ def col_or(df: DataFrame, name: str, default=0) -> Column:
 
 
 def fit_preprocess(df: DataFrame, nominal: list[str] | None = None) -> dict:
-    """Everything preprocessing fits, in ONE aggregation over the raw survey: medians of
+    """Everything preprocessing fits, from ONE count of answers over the raw survey: medians of
     the mapped ordinal answers, sorted levels of the nominal answers and of the target,
-    and the distinct mapped Age codes (for the Age_Group dummies).  ``collect_set`` state
-    is bounded by the number of levels, ``percentile`` state by distinct answers."""
+    and the distinct mapped Age codes (for the Age_Group dummies).  Rows become answers with
+    their counts first; only levels come to the driver."""
     nominal = NOMINAL_COLUMNS if nominal is None else nominal
-    mapped = {c: ordinal_code(c, ORDINAL_MAPS[c]) for c in ORDINAL_COLUMNS}
-    row = df.agg(
-        *[F.percentile(v, 0.5).alias(f"med__{c}") for c, v in mapped.items()],
-        *[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"lv__{c}") for c in nominal + [TARGET]],
-        F.array_sort(F.collect_set(mapped["Age"])).alias("age_codes"),
-    ).first()
-    medians = {c: (None if row[f"med__{c}"] is None else float(row[f"med__{c}"])) for c in ORDINAL_COLUMNS}
-    age = set(row["age_codes"] or [])
+    labels = [*nominal, TARGET]
+    answers = df.select(*[ordinal_code(c, ORDINAL_MAPS[c]).cast("string").alias(c) for c in ORDINAL_COLUMNS],
+                        *[F.col(c).cast("string").alias(c) for c in labels])
+    answers = answers.unpivot([], [*ORDINAL_COLUMNS, *labels], Q.NAME, Q.VALUE).where(F.col(Q.VALUE).isNotNull())
+    answers = stored(answers.groupBy(Q.NAME, Q.VALUE).agg(F.count(F.lit(1)).alias(Q.COUNT)), "answers")
+    codes = answers.where(F.col(Q.NAME).isin(ORDINAL_COLUMNS)).withColumn(Q.VALUE, F.col(Q.VALUE).cast("double"))
+    got = {r[Q.NAME]: r["q"][0] for r in Q.quantiles(Q.in_ranges(codes, [Q.NAME]), [Q.NAME], [0.5]).collect()}
+    medians = {c: got.get(c) for c in ORDINAL_COLUMNS}
+    levels: dict[str, list[str]] = {c: [] for c in ["Age", *labels]}
+    for r in answers.where(F.col(Q.NAME).isin(["Age", *labels])).collect():
+        levels[r[Q.NAME]].append(r[Q.VALUE])
+    age = {float(a) for a in levels.pop("Age")}
     if medians["Age"] is not None:
         age.add(medians["Age"])
-    return {"medians": medians, "levels": {c: list(row[f"lv__{c}"] or []) for c in nominal + [TARGET]},
+    return {"medians": medians, "levels": {c: sorted(v) for c, v in levels.items()},
             "age_groups": sorted(AGE_GROUP_LABELS[int(a)] for a in age
                                  if float(a).is_integer() and int(a) in AGE_GROUP_LABELS)}
 

@@ -2,7 +2,7 @@
 
 All formulas are plain column arithmetic (whole-stage codegen).  The only data-dependent
 parts are a few thresholds (medians, terciles) and dummy levels; ``fit_*`` computes all of
-them in ONE aggregation and returns a small dict, ``apply`` uses them as literals.  Passing
+them from ONE count of values and returns a small dict, ``apply`` uses them as literals.  Passing
 the thresholds fitted on training rows gives fit/transform semantics; refitting on each
 frame (the default) reproduces the reference, whose feature step is stateless.
 """
@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from canopy.functions.encode import (
     AGE_GROUP_LABELS, NOMINAL_COLUMNS, ORDINAL_COLUMNS, ORDINAL_MAPS, bin_right_closed,
-    category_code, code_to_label, coerce_numeric, col_or, fit_levels, impute,
+    category_code, code_to_label, coerce_numeric, col_or, fit_levels, fit_medians, impute,
     one_hot, ordinal_code, ordinal_from_levels, row_sum, with_prefix,
 )
+from canopy.operators import quantiles as Q
 from canopy.sources.survey import TARGET
 
 S, FR, M, D = "Growing_Stress", "Quarantine_Frustrations", "Mood_Swings", "Days_Indoors"
@@ -64,36 +65,31 @@ def _base_inputs() -> dict[str, Column]:
     }
 
 
-def base_quantiles(n: Column | int = 1) -> list[Column]:
-    """The aggregates ``fit_base`` needs; ``n`` is the count of a row that stands for several."""
+#: Lower tercile, median, upper tercile.
+BASE_PROBS = [0.33, 0.5, 0.66]
+
+
+def base_fits(df: DataFrame, key: str | None = None, weight: Column | None = None) -> dict:
+    """What ``base_thresholds`` reads, per value of ``key`` where given; ``weight`` is the count of a
+    row that stands for several."""
     x = _base_inputs()
-    tot, frac = x["Total_Stress_Frustration"], x["Frac_Frustration"]
-    qs = F.array(F.lit(0.33), F.lit(0.66))
-    return [
-        F.percentile(tot, 0.5, n).alias("med_total"),
-        F.percentile(frac, 0.5, n).alias("med_frac"),
-        F.percentile(tot, qs, n).alias("terc_total"),
-        F.percentile(frac, qs, n).alias("terc_frac"),
-        F.percentile(_c(M), qs, n).alias("terc_mood"),
-        F.percentile(_c(S), qs, n).alias("terc_stress"),
-    ]
-
-
-def base_thresholds(row) -> dict[str, float | None]:
-    """Thresholds by name from a row of ``base_quantiles``."""
-    def r(v):
-        return None if v is None else float(v)
-
-    out = {"med_total": r(row["med_total"]), "med_frac": r(row["med_frac"])}
-    for k in ("terc_total", "terc_frac", "terc_mood", "terc_stress"):
-        v = row[k] or [None, None]
-        out[k + "_33"], out[k + "_66"] = r(v[0]), r(v[1])
+    return Q.fit_quantiles(df, {"total": x["Total_Stress_Frustration"], "frac": x["Frac_Frustration"],
+                                "mood": _c(M), "stress": _c(S)}, BASE_PROBS, key, weight)
+
+
+def base_thresholds(fits: dict | None) -> dict[str, float | None]:
+    """Thresholds by name; all NULL where nothing was fitted."""
+    none = [None] * len(BASE_PROBS)
+    q = {name: (fits or {}).get(name, none) for name in ("total", "frac", "mood", "stress")}
+    out = {"med_total": q["total"][1], "med_frac": q["frac"][1]}
+    for name, (q33, _, q66) in q.items():
+        out[f"terc_{name}_33"], out[f"terc_{name}_66"] = q33, q66
     return out
 
 
 def fit_base(df: DataFrame) -> dict[str, float | None]:
-    """Medians and terciles of the base bundle in one aggregation (exact, linear)."""
-    return base_thresholds(df.agg(*base_quantiles()).first())
+    """Medians and terciles of the base bundle (exact, linear); one scan."""
+    return base_thresholds(base_fits(df))
 
 
 def base(df: DataFrame, thresholds: dict | None = None) -> DataFrame:
@@ -266,7 +262,7 @@ def preprocess_years(df: DataFrame, fit_on: DataFrame | None = None) -> DataFram
     """B4 input stage on a survey whose Age is text years (``survey_with_age_years``):
     the other ordinal answers become their numeric codes, every ordinal column is coerced
     to double (bad text -> NULL) and median-imputed; the target becomes its 0/1 code.
-    Medians and target levels are fitted in ONE aggregation."""
+    Medians and target levels are fitted in one scan each; a continuous Age is no heavier."""
     def numeric(frame: DataFrame) -> DataFrame:
         cols = {c: ordinal_code(c, ORDINAL_MAPS[c]) for c in ORDINAL_COLUMNS if c != "Age"}
         cols["Age"] = coerce_numeric("Age")
@@ -274,10 +270,8 @@ def preprocess_years(df: DataFrame, fit_on: DataFrame | None = None) -> DataFram
 
     out = numeric(df)
     src = out if fit_on is None else numeric(fit_on)
-    row = src.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in ORDINAL_COLUMNS],
-                  F.array_sort(F.collect_set(F.col(TARGET))).alias("_levels")).first()
-    out = impute(out, {c: (None if row[c] is None else float(row[c])) for c in ORDINAL_COLUMNS})
-    return out.withColumn(TARGET, category_code(TARGET, list(row["_levels"] or [])))
+    out = impute(out, fit_medians(src, ORDINAL_COLUMNS))
+    return out.withColumn(TARGET, category_code(TARGET, fit_levels(src, [TARGET])[TARGET]))
 
 
 def years(df: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFrame:

@@ -9,10 +9,10 @@ Input: a scored table with group keys (e.g. model, fold), ``y`` (0/1), ``prob``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.operators.split import null_safe_join
+from canopy.operators import quantiles as Q
 
 INF = float("inf")
 
@@ -106,40 +106,12 @@ def score_counts(df: DataFrame, group: list[str], y: str = "y", prob: str = "pro
         F.sum((F.col(y) == 0).cast("long")).alias("neg"))
 
 
-SCORE_BUCKETS = 4096  # first stage of the running sums: buckets per unit of score
-
-
-def running_sums(sc: DataFrame, group: list[str], cols: list[str], descending: bool,
-                 inclusive: bool = True, with_index: bool = False) -> DataFrame:
-    """Running sums of ``cols`` over distinct scores per group, in two stages so that no
-    window holds more than one score bucket: sums per (group, bucket) -> prefix over the
-    buckets -> prefix inside each bucket + offset.  Equal to the one-window result because
-    the bucket is monotone in the score, whatever its range.  A NULL group is a group.
-    ``_i`` (optional) is the 1-based position of the score in that order."""
-    b = F.floor(F.col("score") * SCORE_BUCKETS)
-    x = sc.withColumn("_b", (-b if descending else b).cast("long"))
-    per = x.groupBy(*group, "_b").agg(*[F.sum(c).alias(f"_bs_{c}") for c in cols],
-                                      F.count(F.lit(1)).alias("_bn"))
-    wg = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_b")
-    prev = wg.rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select(*group, "_b", *[F.coalesce(F.sum(f"_bs_{c}").over(prev), F.lit(0)).alias(f"_off_{c}")
-                                     for c in cols],
-                     F.coalesce(F.sum("_bn").over(prev), F.lit(0)).alias("_off_n"))
-    j = null_safe_join(x, off, [*group, "_b"])  # offsets: groups x buckets rows, a small table
-    order = F.desc("score") if descending else F.asc("score")
-    wi = Window.partitionBy(*group, "_b").orderBy(order)
-    frame = wi.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    for c in cols:
-        name = f"cum_{c}" if inclusive else f"below_{c}"
-        j = j.withColumn(name, F.coalesce(F.sum(c).over(frame), F.lit(0)) + F.col(f"_off_{c}"))
-    if with_index:
-        j = j.withColumn("_i", (F.row_number().over(wi) + F.col("_off_n")).cast("int"))
-    return j.drop("_b", "_off_n", *[f"_off_{c}" for c in cols])
-
-
-def _cumulative_desc(sc: DataFrame, group: list[str]) -> DataFrame:
-    out = running_sums(sc, group, ["pos", "neg"], descending=True, with_index=True)
-    return out.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
+def _cumulative_desc(sc: DataFrame, group: list[str], following: bool = False) -> DataFrame:
+    """Per distinct score from the top down: ``tp``, ``fp``, the group's totals ``tot_pos``, ``tot_neg``
+    and the position ``_i``.  Scores are cut into ranges that hold equally many, however they crowd."""
+    ranged = Q.in_ranges(sc, group, "score", descending=True)
+    out = Q.running_sums(ranged, group, "score", ["pos", "neg"], descending=True, following=following)
+    return out.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
 
 
 def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
@@ -149,21 +121,14 @@ def roc_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob",
 
 def roc_curve_from_counts(sc: DataFrame, group: list[str], drop_intermediate: bool = True) -> DataFrame:
     """(group..., point, threshold, fpr, tpr) from the top score down, starting at
-    (threshold=+inf, 0, 0); collinear intermediate points dropped like scikit-learn.
-    Neighbours come from an equi-join on the point index and point numbers from a
-    two-stage prefix count, so no window spans a whole group."""
-    c = _cumulative_desc(_totals(sc, group), group)
-    if drop_intermediate:
-        nb = c.select(*group, "_i", "tp", "fp")
-        prv = nb.select(*group, (F.col("_i") + 1).alias("_i"), F.col("tp").alias("ptp"), F.col("fp").alias("pfp"))
-        nxt = nb.select(*group, (F.col("_i") - 1).alias("_i"), F.col("tp").alias("ntp"), F.col("fp").alias("nfp"))
-        c = null_safe_join(null_safe_join(c, prv, [*group, "_i"], "left"), nxt, [*group, "_i"], "left")
-        keep = (F.col("ptp").isNull() | F.col("ntp").isNull()
-                | (F.col("ntp") - 2 * F.col("tp") + F.col("ptp") != 0)
-                | (F.col("nfp") - 2 * F.col("fp") + F.col("pfp") != 0))
-        c = c.where(keep)
-    c = c.withColumn("_k", F.lit(1).cast("long"))
-    c = running_sums(c, group, ["_k"], descending=True)  # point = kept points so far
+    (threshold=+inf, 0, 0); collinear intermediate points dropped like scikit-learn: a point goes if
+    the step to it and the step from it add the same counts.  Steps and point numbers come from the
+    ranges of one exchange, so no window spans a whole group and no point looks for its neighbours."""
+    c = _cumulative_desc(sc, group, following=True)
+    keep = (F.col("_i") == 1) | F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+    c = c.where(keep) if drop_intermediate else c
+    c = c.drop("_i").withColumn("_k", F.lit(1).cast("long"))
+    c = Q.running_sums(c, group, "score", ["_k"], descending=True)  # point = kept points so far
     # the start point rides on the top score's row
     top = F.struct(F.lit(0).cast("long").alias("point"), F.lit(INF).alias("threshold"),
                    F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"))
@@ -177,22 +142,12 @@ def roc_curve_from_counts(sc: DataFrame, group: list[str], drop_intermediate: bo
         F.when(F.col("tot_pos") > 0, F.col("p.tp") / F.col("tot_pos")).alias("tpr"))
 
 
-def _totals(sc: DataFrame, group: list[str]) -> DataFrame:
-    """Group totals joined back (a groupBy, not a window over every distinct score)."""
-    keys = group or ["_all"]
-    x = sc if group else sc.withColumn("_all", F.lit(0))
-    tot = x.groupBy(*keys).agg(F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
-    out = null_safe_join(x, tot, keys)  # one row per group
-    return out if group else out.drop("_all")
-
-
 def roc_auc_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     """E5 on a (group..., score, pos, neg) table, e.g. label counts per tree leaf."""
-    sc = running_sums(_totals(sc, group), group, ["neg"], descending=False, inclusive=False)
-    sc = sc.withColumnRenamed("below_neg", "neg_below")
-    agg = sc.groupBy(*group).agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("s"),
-        F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))
+    c = _cumulative_desc(sc, group)
+    below = F.col("tot_neg") - F.col("fp")
+    agg = c.groupBy(*group).agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("s"),
+                                F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))
     return agg.select(*group, F.when((F.col("tot_pos") > 0) & (F.col("tot_neg") > 0),
                                      F.col("s") / (F.col("tot_pos") * F.col("tot_neg"))).alias("roc_auc"))
 
@@ -205,7 +160,7 @@ def roc_auc(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob") -
 
 def average_precision_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     """E7 on a (group..., score, pos, neg) table."""
-    c = _cumulative_desc(_totals(sc, group), group)
+    c = _cumulative_desc(sc, group)
     term = (F.col("pos") / F.col("tot_pos")) * (F.col("tp") / (F.col("tp") + F.col("fp")))
     agg = c.groupBy(*group).agg(F.sum(F.when(F.col("tot_pos") > 0, term)).alias("ap"),
                                 F.first("tot_pos").alias("tot_pos"))
@@ -227,7 +182,7 @@ def pr_curve(df: DataFrame, group: list[str], y: str = "y", prob: str = "prob")
 def pr_curve_from_counts(sc: DataFrame, group: list[str]) -> DataFrame:
     """(group..., point, threshold, precision, recall) for every distinct threshold from
     the top down, then the closing point (recall 0, precision 1, threshold NULL)."""
-    c = _cumulative_desc(_totals(sc, group), group)
+    c = _cumulative_desc(sc, group)
     # the closing point rides on the top score's row
     end = F.struct(F.lit(0).alias("point"), F.lit(None).cast("double").alias("threshold"),
                    F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))

@@ -8,18 +8,12 @@ table, which is bounded by the number of distinct answers rather than by rows.
 
 from __future__ import annotations
 
-import hashlib
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# the bootstrap's sampler runs in Python workers; ship this module's functions by value
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from canopy.operators import quantiles as Q
 
 
 def _long(df: DataFrame, cols: list[str], keys: list[str] | None = None,
@@ -99,23 +93,40 @@ def group_means(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
             .withColumn("mean", F.round("mean", 6)))
 
 
-def poisson_weights(cells: DataFrame, n_boot: int, seed: int) -> DataFrame:
-    """(target, column_name, value, n) -> one row per replicate with ``w``, a Poisson(n) draw: the
-    summed Poisson(1) weight of the cell's n rows.  One exact sampler for every n, seeded by the
-    cell, so reruns and recomputed tasks agree."""
-    names = cells.columns
+#: From this mean on a Poisson draw comes from a normal one.
+POISSON_NORMAL = 500
 
-    def draw(frames):
-        for f in frames:
-            for r in f.itertuples(index=False):
-                key = repr((seed, str(r[0]), r[1], float(r[2]))).encode()
-                rng = np.random.default_rng(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big"))
-                yield pd.DataFrame({names[0]: r[0], names[1]: r[1], names[2]: r[2], "rep": np.arange(1, n_boot + 1),
-                                    "w": rng.poisson(r[3], n_boot)})
 
-    kinds = dict(cells.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in names[:3]) + ", rep int, w long"
-    return cells.mapInPandas(draw, schema)
+def poisson_weights(cells: DataFrame, n_boot: int, seed: int) -> DataFrame:
+    """(target, column_name, value, n) -> one row per replicate with ``w``, a Poisson(n) draw: the
+    summed Poisson(1) weight of the cell's n rows.
+
+    The draw is a function of md5('seed:target:column_name:value:replicate') alone, so reruns, lost
+    tasks and other engines agree.  Two uniforms u1, u2 are its hex digits 1-13 and 14-26.
+    n < POISSON_NORMAL: the smallest k whose distribution function is not below u1; the function is an
+    array made once per cell (some 800 entries at most).  Beyond: z = sqrt(-2 ln u1) cos(2 pi u2) is
+    normal, and k is the Cornish-Fisher quantile n + sqrt(n) z + (z^2 - 1) / 6 + (z - z^3) / (72 sqrt(n)),
+    which is within 0.01 of the exact one before it is rounded."""
+    keys = cells.columns[:3]
+    n = F.col("n").cast("double")
+    first = F.exp(-n)
+    steps = F.sequence(F.lit(1), (n + 12 * F.sqrt(n) + 30).cast("int"))
+    grown = F.aggregate(
+        steps, F.struct(first.alias("p"), F.array(first).alias("cdf")),
+        lambda a, k: F.struct((a["p"] * n / k).alias("p"),
+                              F.array_append(a["cdf"], F.element_at(a["cdf"], -1) + a["p"] * n / k).alias("cdf")))
+    small = F.col("n") < POISSON_NORMAL
+    reps = cells.withColumn("_cdf", F.when(small, grown["cdf"])).withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(n_boot))))
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in (*keys, "rep")])
+    reps = reps.withColumn("_h", F.md5(text))
+    reps = reps.select("*", *[((F.conv(F.substring("_h", at, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)).alias(u)
+                              for at, u in ((1, "_u1"), (14, "_u2"))])
+    reps = reps.withColumn("_z", F.sqrt(-2.0 * F.log("_u1")) * F.cos(2.0 * math.pi * F.col("_u2")))
+    z, root = F.col("_z"), F.sqrt(n)
+    normal = n + root * z + (z * z - 1.0) / 6.0 + (z - z * z * z) / (72.0 * root)
+    drawn = F.when(small, F.size(F.filter("_cdf", lambda x: x < F.col("_u1"))).cast("long")) \
+        .otherwise(F.greatest(F.ceil(normal - 0.5), F.lit(0)).cast("long"))
+    return reps.select(*keys, "rep", drawn.alias("w"))
 
 
 def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: str | None = None,
@@ -126,12 +137,13 @@ def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: s
     its rows collapse to (value, count) cells; in replicate b a cell of c rows weighs
     Poisson(c) (the sum of c independent Poisson(1) row weights).  Work is
     targets x columns x distinct values x replicates, after one value-count scan, however
-    many rows there are.  Interval = percentiles of the replicate means."""
+    many rows there are.  Interval = percentiles of the replicate means; a replicate in which
+    every cell of a bar draws 0 has no mean."""
     lo, hi = (100.0 - ci) / 200.0, 1.0 - (100.0 - ci) / 200.0
     vc = value_counts(df, target, cols)
     reps = poisson_weights(vc.select(target, "column_name", "value", "n"), n_boot, seed)
     boot = reps.groupBy(target, "column_name", "rep").agg(
-        (F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("boot_mean"))
+        F.try_divide(F.sum(F.col("w") * F.col("value")), F.sum("w")).alias("boot_mean"))
     ci_df = boot.groupBy(target, "column_name").agg(
         F.percentile("boot_mean", F.array(F.lit(lo), F.lit(hi))).alias("q"))
     means = group_means(df, target, cols)
@@ -144,21 +156,18 @@ def group_means_bootstrap(df: DataFrame, target: str, cols: list[str], id_col: s
 def value_counts(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """(target, column_name, value double, n): the per-value table every distribution
     statistic below reads; one scan, partial aggregation before the shuffle."""
-    return (_long(df.where(F.col(target).isNotNull()), cols, [target], "double")
-            .groupBy(target, "column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    return Q.value_counts(df.where(F.col(target).isNotNull()), {c: F.col(c) for c in cols}, [target])
 
 
 def box_stats(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
     """Quartiles (linear), whiskers at the last datum within 1.5 IQR, outlier count."""
-    vc = value_counts(df, target, cols)
-    q = vc.groupBy(target, "column_name").agg(
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"),
-        F.sum("n").alias("n"))
-    q = q.select(target, "column_name", "n", F.col("q")[0].alias("q1"),
+    keys = [target, "column_name"]
+    vc = Q.in_ranges(value_counts(df, target, cols), keys)
+    q = Q.quantiles(vc, keys, [0.25, 0.5, 0.75])
+    q = q.select(*keys, F.col("n_total").alias("n"), F.col("q")[0].alias("q1"),
                  F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    # both sides hold (targets x columns [x distinct values]) rows: a size bounded by the schema
-    j = vc.join(F.broadcast(q.select(target, "column_name", "q1", "q3", "iqr")), [target, "column_name"])
+    j = vc.join(q.select(*keys, "q1", "q3", "iqr"), keys)
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     w = j.groupBy(target, "column_name").agg(
@@ -180,13 +189,14 @@ def density_grid(df: DataFrame, target: str, cols: list[str], gridsize: int = 10
 
     The kernel sum runs over the per-value count table: grid points x distinct values per
     group, never pairs of rows."""
-    vc = value_counts(df, target, cols)
     keys = [target, "column_name"]
+    ranged = Q.in_ranges(value_counts(df, target, cols), keys)
+    vc = ranged.drop(Q.RANGE)
     st = vc.groupBy(*keys).agg(
         F.sum("n").alias("n_obs"), F.sum(F.col("n") * F.col("value")).alias("s1"),
         F.sum(F.col("n") * F.col("value") * F.col("value")).alias("s2"),
-        F.min("value").alias("vmin"), F.max("value").alias("vmax"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"))
+        F.min("value").alias("vmin"), F.max("value").alias("vmax"))
+    st = st.join(Q.quantiles(ranged, keys, [0.25, 0.5, 0.75]).select(*keys, "q"), keys)
     var = (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n_obs")) / (F.col("n_obs") - 1)
     st = st.withColumn("bw", F.when(var > 1e-12, F.sqrt(var) * F.pow(F.col("n_obs"), -0.2)))
     st = st.withColumn("lo", F.col("vmin") - cut * F.col("bw")).withColumn(

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from canopy.functions import encode as E
 from canopy.functions import features as FE
+from canopy.operators import quantiles as Q
 from canopy.operators import split as SP
 from canopy.operators import tree as TR
 from canopy.plans import search as S
@@ -51,16 +52,16 @@ def in_training_parts(cells: DataFrame, k: int) -> DataFrame:
 
 def fit_folds(folded: DataFrame, k: int) -> tuple[list[dict], list[dict]]:
     """Medians of the ordinal answers and thresholds of the base bundle, per fold.  Two grouped
-    jobs over cells; k rows of each come to the driver.  A fold that no training row is left for
+    quantile fits over cells; a row per fold and fitted column comes to the driver.  A fold that no training row is left for
     has NULL medians and thresholds."""
     cols = E.ORDINAL_COLUMNS
     codes = folded.select("fold", *[E.ordinal_code(c, E.ORDINAL_MAPS[c]).cast("double").alias(c) for c in cols])
     cells = in_training_parts(codes.groupBy("fold", *cols).agg(F.count(F.lit(1)).alias("n")), k)
-    rows = {r[FIT]: r for r in cells.groupBy(FIT).agg(*[F.percentile(F.col(c), 0.5, F.col("n")).alias(c) for c in cols]).collect()}
-    medians = [{c: rows[f][c] if f in rows else None for c in cols} for f in range(k)]
-    rows = {r[FIT]: r for r in E.impute(cells, of_fold(medians)).groupBy(FIT).agg(*FE.base_quantiles(F.col("n"))).collect()}
-    empty = dict.fromkeys(("med_total", "med_frac", "terc_total", "terc_frac", "terc_mood", "terc_stress"))
-    return medians, [FE.base_thresholds(rows.get(f, empty)) for f in range(k)]
+    n = F.col("n")
+    got = Q.fit_quantiles(cells, {c: F.col(c) for c in cols}, [0.5], FIT, n)
+    medians = [{c: got[f][c][0] if f in got else None for c in cols} for f in range(k)]
+    fits = FE.base_fits(E.impute(cells, of_fold(medians)), FIT, n)
+    return medians, [FE.base_thresholds(fits.get(f)) for f in range(k)]
 
 
 def infold_frame(survey: DataFrame, k: int = 5) -> DataFrame:

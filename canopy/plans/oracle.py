@@ -411,6 +411,31 @@ def _sql_group_means(src_cte: list[str], src: str, target: str, cols: list[str])
             + _unpivot(src, [target], cols) + f" WHERE {target} IS NOT NULL GROUP BY {target}, column_name")
 
 
+def _sql_bootstrap(cols: list[str], n_boot: int = 1000, seed: int = 42) -> str:
+    cells = ("cells AS (SELECT Coping_Struggles, column_name, value, CAST(count(*) AS DOUBLE) AS n FROM "
+             + _unpivot("pp", ["Coping_Struggles"], cols) + " WHERE Coping_Struggles IS NOT NULL GROUP BY ALL)")
+    hashed = (f"hashed AS (SELECT *, md5(concat('{seed}:', Coping_Struggles, ':', column_name, ':', value, ':', rep)) AS h "
+              f"FROM cells CROSS JOIN (SELECT unnest(range(1, {n_boot + 1})) AS rep))")
+    u = ("u AS (SELECT *, (CAST('0x' || substr(h, 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u1, "
+         "(CAST('0x' || substr(h, 14, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u2 FROM hashed)")
+    pmf = ("pmf AS (SELECT Coping_Struggles, column_name, value, k, exp(k * ln(n) - n - lgamma(k + 1)) AS p FROM (SELECT *, "
+           "unnest(range(0, CAST(floor(n + 12 * sqrt(n) + 30) AS BIGINT) + 1)) AS k FROM cells WHERE n < 500))")
+    cdf = ("cdf AS (SELECT *, sum(p) OVER (PARTITION BY Coping_Struggles, column_name, value ORDER BY k) AS c FROM pmf)")
+    small = ("small AS (SELECT u.Coping_Struggles, u.column_name, u.value, rep, count(*) FILTER (WHERE c < u1) AS w FROM u "
+             "JOIN cdf USING (Coping_Struggles, column_name, value) WHERE n < 500 GROUP BY ALL)")
+    large = ("large AS (SELECT Coping_Struggles, column_name, value, rep, CAST(greatest(ceil(n + sqrt(n) * z + (z * z - 1) / 6 "
+             "+ (z - z * z * z) / (72 * sqrt(n)) - 0.5), 0) AS BIGINT) AS w FROM (SELECT *, "
+             "sqrt(-2 * ln(u1)) * cos(2 * pi() * u2) AS z FROM u WHERE n >= 500))")
+    boot = ("boot AS (SELECT Coping_Struggles, column_name, rep, sum(w * value) / nullif(sum(w), 0) AS m FROM "
+            "(SELECT * FROM small UNION ALL SELECT * FROM large) GROUP BY ALL)")
+    ci = ("ci AS (SELECT Coping_Struggles, column_name, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi "
+          "FROM boot GROUP BY ALL)")
+    means = ("means AS (SELECT Coping_Struggles, column_name, sum(n * value) / sum(n) AS m FROM cells GROUP BY ALL)")
+    return (with_ctes(*BASE_PREFIX, cells, hashed, u, pmf, cdf, small, large, boot, ci, means)
+            + "SELECT Coping_Struggles, column_name, round(m, 6) AS mean, round(lo, 6) AS ci_low, round(hi, 6) AS ci_high "
+              "FROM means JOIN ci USING (Coping_Struggles, column_name)")
+
+
 def _sql_box_stats() -> str:
     lng = "lng AS (SELECT * FROM " + _unpivot("pp", ["Coping_Struggles"], ORD) + ")"
     st = ("st AS (SELECT Coping_Struggles, column_name, count(*) AS n, quantile_cont(value, 0.25) AS q1, "
@@ -512,6 +537,7 @@ def oracle_sql() -> dict[str, str]:
                                                      for v in NOMINAL_LEVELS["Occupation"])
         + " FROM survey WHERE Growing_Stress IS NOT NULL AND Age IS NOT NULL AND Occupation IS NOT NULL "
           "GROUP BY Growing_Stress, Age",
+        "group_means_bootstrap": _sql_bootstrap(PP_DUMMIES),
         "group_means": _sql_group_means(BASE_PREFIX, "pp", "Coping_Struggles", PP_DUMMIES),
         "group_means_work_interest": _sql_group_means(BASE_PREFIX[:-1] + [CTE_PP2], "pp2", "Work_Interest",
                                                       PP2_DUMMIES),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: its rows stay as they are,
+    whatever is lost or evaluated twice."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/canopy-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
