@@ -106,7 +106,7 @@ def poisson_weights(cells: DataFrame, n_boot: int, seed: int) -> DataFrame:
     n < POISSON_NORMAL: the smallest k whose distribution function is not below u1; the function is an
     array made once per cell (some 800 entries at most).  Beyond: z = sqrt(-2 ln u1) cos(2 pi u2) is
     normal, and k is the Cornish-Fisher quantile n + sqrt(n) z + (z^2 - 1) / 6 + (z - z^3) / (72 sqrt(n)),
-    which is within 0.01 of the exact one before it is rounded."""
+    less 1/2 and rounded up, an approximation of the exact one."""
     keys = cells.columns[:3]
     n = F.col("n").cast("double")
     first = F.exp(-n)
