@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.operators import quantiles as Q
-from canopy.session import stored
 from canopy.sources.survey import TARGET
 
 # ---- fixed values: answer levels and their ordinal codes, in code order ----
@@ -206,13 +205,13 @@ def fit_preprocess(df: DataFrame, nominal: list[str] | None = None) -> dict:
     answers = df.select(*[ordinal_code(c, ORDINAL_MAPS[c]).cast("string").alias(c) for c in ORDINAL_COLUMNS],
                         *[F.col(c).cast("string").alias(c) for c in labels])
     answers = answers.unpivot([], [*ORDINAL_COLUMNS, *labels], Q.NAME, Q.VALUE).where(F.col(Q.VALUE).isNotNull())
-    answers = stored(answers.groupBy(Q.NAME, Q.VALUE).agg(F.count(F.lit(1)).alias(Q.COUNT)), "answers")
-    codes = answers.where(F.col(Q.NAME).isin(ORDINAL_COLUMNS)).withColumn(Q.VALUE, F.col(Q.VALUE).cast("double"))
-    got = {r[Q.NAME]: r["q"][0] for r in Q.quantiles(Q.in_ranges(codes, [Q.NAME]), [Q.NAME], [0.5]).collect()}
-    medians = {c: got.get(c) for c in ORDINAL_COLUMNS}
-    levels: dict[str, list[str]] = {c: [] for c in ["Age", *labels]}
-    for r in answers.where(F.col(Q.NAME).isin(["Age", *labels])).collect():
-        levels[r[Q.NAME]].append(r[Q.VALUE])
+    answers = answers.groupBy(Q.NAME, Q.VALUE).agg(F.count(F.lit(1)).alias(Q.COUNT))
+    # an ordinal column has as many codes as its map has levels, so its median needs no ranges
+    fits = {r[Q.NAME]: r for r in answers.groupBy(Q.NAME).agg(
+        F.percentile(F.when(F.col(Q.NAME).isin(ORDINAL_COLUMNS), F.col(Q.VALUE)).try_cast("double"), 0.5, F.col(Q.COUNT)).alias("median"),
+        F.collect_list(Q.VALUE).alias("levels")).collect()}
+    medians = {c: fits[c]["median"] if c in fits else None for c in ORDINAL_COLUMNS}
+    levels = {c: list(fits[c]["levels"]) if c in fits else [] for c in ["Age", *labels]}
     age = {float(a) for a in levels.pop("Age")}
     if medians["Age"] is not None:
         age.add(medians["Age"])
