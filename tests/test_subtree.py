@@ -68,3 +68,16 @@ def test_whole_trees_prune_as_their_blocks_do(spark, monkeypatch):
     assert sorted(map(tuple, PRN.derive(g.table, variants, g.depth).select(*what).collect())) == whole
     by_block = PRN.derive(g.table, variants, g.depth, merged=True).groupBy(*group).agg(*sums)
     assert sorted(map(tuple, by_block.collect())) == added
+
+
+def test_cells_do_not_multiply_with_folds(spark, monkeypatch):
+    """Fails when a cell is a feature vector per label and fold: their number grew with the rows, up to one for each."""
+    seen = []
+    whole = TR.subtrees
+    monkeypatch.setattr(TR, "subtrees", lambda small, *a: seen.extend(rows.count() for rows, _, _ in small) or whole(small, *a))
+    df = spark.range(600).selectExpr("cast(id % 5 AS double) AS a", "cast(id % 2 AS double) AS b", "0D AS c", "0D AS w",
+                                     "cast(id % 3 AS int) AS f", "cast(id % 7 > 3 AS int) AS y")
+    g = growth(df)
+    assert seen == [10]
+    tops = g.table.where("depth = 0").groupBy("gid").agg(F.expr("sum(t0 + t1) AS t"), F.expr("sum(e0 + e1) AS e")).collect()
+    assert sorted((r["t"], r["e"]) for r in tops) == [(0, 600)] * 3 + [(400, 200)] * 6
