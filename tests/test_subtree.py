@@ -81,3 +81,53 @@ def test_cells_do_not_multiply_with_folds(spark, monkeypatch):
     assert seen == [10]
     tops = g.table.where("depth = 0").groupBy("gid").agg(F.expr("sum(t0 + t1) AS t"), F.expr("sum(e0 + e1) AS e")).collect()
     assert sorted((r["t"], r["e"]) for r in tops) == [(0, 600)] * 3 + [(400, 200)] * 6
+
+
+@pytest.mark.parametrize("most", [1 << 17, 60])
+def test_variants_are_pruned_where_subtrees_grow(spark, monkeypatch, most):
+    """Fails when a search writes all nodes and prunes them in jobs of their own, as it did."""
+    df = table(spark).cache()
+    monkeypatch.setattr(TR, "LOCAL_CELLS", most)
+    monkeypatch.setattr(TR, "SHARE_CELLS", 200)
+    roots = [TR.Root("cv0", "f <> 0", "f = 0"), TR.Root("cv1", "f <> 1", "f = 1"), TR.Root("none", "false", "true")]
+    specs = [(r.name, c, w, m, d) for r in roots
+             for c, w, m, d in (("gini", None, 1, 5), ("entropy", "balanced", 4, None), ("gini", {0: 0.3, 1: 0.7}, 1, None))]
+    specs = [TR.GrowSpec(i, *s) for i, s in enumerate(specs)]
+    variants = [PRN.Variant(7, None), PRN.Variant(1, 4, 6, 0.001), PRN.Variant(2, None, 2, 0.01), PRN.Variant(3, 2), PRN.Variant(0, None, 20, 0.003)]
+    g = TR.grow(df, FEATS, "y", roots, specs, keep=["f"])
+    group = ["gid", "vid", "pred", F.round("prob", 9).alias("p")]
+    sums = [F.sum(c).alias(c) for c in ("t0", "t1", "e0", "e1")]
+    want = sorted(map(tuple, PRN.derive(g.table, variants, g.depth).groupBy(*group).agg(*sums).collect()))
+    monkeypatch.setattr(TR, "grow", None)
+    got = PRN.derive_grown(df, FEATS, "y", roots, specs, variants, ["f"])
+    assert sorted(map(tuple, got.groupBy(*group).agg(*sums).collect())) == want and len(want) > 100
+
+
+def test_a_level_of_small_nodes_is_a_few_blocks_of_arrays():
+    """Fails when a subtree grows node by node, as it did: 2,000 cells gave some 4,000 nodes, each with a pass of its own."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 3, (2000, 9)).astype(float), rng.integers(0, 2, 2000)
+    w = np.stack([1 - y, y, np.zeros_like(y), np.zeros_like(y)], 1)
+    cells = pa.table({"x": x.tolist(), "w": w.tolist()}, schema=pa.schema({"x": pa.list_(pa.float64()), "w": pa.list_(pa.int64())}))
+    one = {"gid": 0, "root": 0, "path": 0, "key": 5, "depth": 0, "node": 1, "parent": None, "block": 5, "above": None, "cw0": None, "cw1": None,
+           "w_root": None, "crit": 0, "msl": 1, "max_depth": None}
+    calls = []
+    block = TR.SUB.Group._block
+    TR.SUB.Group._block = lambda self, *a: calls.append(1) or block(self, *a)
+    try:
+        nodes = TR.SUB.grow_group(cells, pa.Table.from_pylist([{**one, "gid": g, "msl": m} for g, m in enumerate((1, 3))]), 9, None, TR.BAND)
+    finally:
+        TR.SUB.Group._block = block
+    assert len(nodes) > 2000 and len(calls) < 40
+    df = nodes.to_pandas(integer_object_nulls=True)
+    for g in (0, 1):
+        own = df[df.gid == g].astype({"key": "int64"}).set_index("key")
+        assert own.index.is_unique and own[own.is_leaf][["t0", "t1"]].to_numpy().sum() == 2000
+        inner = own[~own.is_leaf]
+        for side in ("lkey", "rkey"):
+            child = own.loc[inner[side].astype("int64")]
+            assert (child.parent.astype("int64").to_numpy() == inner.index).all() and (child.depth.to_numpy() == inner.depth + 1).all()
+        assert (own.loc[inner.lkey.astype("int64"), "t0"].to_numpy() + own.loc[inner.rkey.astype("int64"), "t0"].to_numpy() == inner.t0).all()
