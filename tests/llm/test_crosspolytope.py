@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import duckdb
@@ -97,3 +98,22 @@ def test_very_long_and_short_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = [(r.vec_id, round(r.score, 3)) for r in sorted(C.search(df, df.filter("vec_id = 0")).collect(), key=lambda r: r["rank"])]
     assert got == [(4, 1.0), (1, 1.0), (2, 0.447), (3, -0.316)]
+
+
+def test_vectors_are_stored_once(spark, tmp_path):
+    """Fails when each of the tables has a copy of every vector, and each probed axis one of the query, as it was."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 64)))], "vec_id long, embedding array<float>")
+    df.write.parquet(f"{tmp_path}/v")
+    df = spark.read.parquet(f"{tmp_path}/v")
+    seen = []
+    kept = C.written
+    C.written = lambda d, *a: seen.append(kept(d, *a)) or seen[-1]
+    try:
+        C.search(df, df.filter("vec_id % 50 = 0"))
+    finally:
+        C.written = kept
+    size = lambda d: sum(os.path.getsize(f.removeprefix("file:")) for f in d.inputFiles())
+    assert sum(map(size, seen)) < 3 * size(df)
+    cls = C.classes(C._valid(df), 6)
+    assert cls._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
