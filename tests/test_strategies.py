@@ -61,3 +61,16 @@ def test_nested_invariants(spark, have_data):
     rep = q["nested_test_report"](spark, SF0001).collect()
     n_test = n.data.where(F.col("split") == "test").count()
     assert [r["support"] for r in rep if r["label"] == "accuracy"] == [n_test]
+
+
+def test_features_are_not_persisted(spark, monkeypatch):
+    """Fails when a strategy persists its features, three times over in the nested one, as it did."""
+    kept = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: kept.append(self) or persist(self, *a))
+    held = []
+    for frame in (ST.holdout_frame(spark, SF0001, held), ST.nested_frame(spark, SF0001, held=held)):
+        assert len(frame.columns) > 35
+    assert kept and all(len(f.columns) < 30 for f in kept) and [id(f) for f in held] == [id(f) for f in kept]
+    for f in held:
+        f.unpersist()
